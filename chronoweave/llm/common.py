@@ -32,3 +32,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def crc_of_id(column: str = "doc_id"):
     """crc32 of an id as text; the fold of a labelled row is this modulo 5."""
     return F.crc32(F.col(column).cast("string").cast("binary"))
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table that ``stored`` wrote, when all that was made of it is stored itself."""
+    jvm = df.sparkSession._jvm
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

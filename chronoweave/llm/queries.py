@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from chronoweave.llm.byte_bpe import op2_byte_bpe
 from chronoweave.llm.packing import op7_best_fit_packing
+from chronoweave.llm.substring_dedup import op1_substring_dedup
 from chronoweave.llm.token_files import op3_token_files
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
+    "op2_byte_bpe": op2_byte_bpe,
     "op3_token_files": op3_token_files,
     "op7_best_fit_packing": op7_best_fit_packing,
 }
