@@ -169,12 +169,13 @@ def ragged_take(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np
 class ChunkCache:
     """Ids of chunks, encoded when first met and kept for the next blocks of the Python worker, at most ``keep`` chunks.
 
-    A subclass has ``encode_new(list of bytes) -> (flat ids, lengths)``.
+    A subclass has ``encode_new(list of bytes) -> (flat ids, lengths)``. Chunks are known by their hash, in one sorted array.
     """
 
-    def __init__(self, keep: int = 700_000) -> None:
+    def __init__(self, keep: int = 2_000_000) -> None:
         self.keep = keep
-        self.known: dict[int, int] = {}
+        self.keys = np.zeros(0, dtype=np.uint64)
+        self.places = np.zeros(0, dtype=np.int32)
         self.flat = np.zeros(1 << 16, dtype=np.int32)
         self.ends = np.zeros(1 << 14, dtype=np.int64)
         self.slots = 0
@@ -185,30 +186,33 @@ class ChunkCache:
     def _append(self, flat: np.ndarray, lengths: np.ndarray) -> None:
         used = int(self.ends[self.slots - 1]) if self.slots else 0
         if used + len(flat) > len(self.flat):
-            self.flat = np.concatenate([self.flat[:used], np.zeros(used + 2 * len(flat), dtype=np.int32)])
+            self.flat = np.concatenate([self.flat[:used], np.zeros(used // 2 + 2 * len(flat), dtype=np.int32)])
         if self.slots + len(lengths) > len(self.ends):
-            self.ends = np.concatenate([self.ends[: self.slots], np.zeros(self.slots + 2 * len(lengths), dtype=np.int64)])
+            self.ends = np.concatenate([self.ends[: self.slots], np.zeros(self.slots // 2 + 2 * len(lengths), dtype=np.int64)])
         self.flat[used : used + len(flat)] = flat
         self.ends[self.slots : self.slots + len(lengths)] = used + np.cumsum(lengths)
         self.slots += len(lengths)
 
     def lookup(self, data: np.ndarray, bounds: np.ndarray, hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and length in ``flat`` of each distinct chunk."""
-        if self.slots > len(self.known):  # what the last block had beyond the kept chunks
-            self.slots = len(self.known)
-        get = self.known.get
-        keys = hashes.tolist()
-        slots = np.fromiter((get(k, -1) for k in keys), dtype=np.int64, count=len(keys))
+        self.slots = len(self.keys)  # drops what the last block had beyond the kept chunks
+        slots = np.full(len(hashes), -1, dtype=np.int64)
+        order = np.argsort(hashes)
+        if len(self.keys):
+            ordered = hashes[order]
+            at = np.minimum(np.searchsorted(self.keys, ordered), len(self.keys) - 1)
+            slots[order] = np.where(self.keys[at] == ordered, self.places[at], -1)
         new = np.flatnonzero(slots < 0)
-        if len(new):
-            raw = data.tobytes()
-            at = first[new]
-            begins, stops = bounds[at].tolist(), bounds[at + 1].tolist()
-            flat, lengths = self.encode_new([raw[b:e] for b, e in zip(begins, stops, strict=True)])
-            slots[new] = np.arange(self.slots, self.slots + len(new))
-            room = max(0, self.keep - len(self.known))
-            self.known.update(zip((keys[k] for k in new[:room].tolist()), range(self.slots, self.slots + min(room, len(new))), strict=True))
-            self._append(flat, lengths)
+        for part in range(0, len(new), 1 << 16):
+            some = new[part : part + (1 << 16)]
+            at = first[some]
+            slots[some] = np.arange(self.slots, self.slots + len(some))
+            self._append(*self.encode_new([data[b:e].tobytes() for b, e in zip(bounds[at].tolist(), bounds[at + 1].tolist(), strict=True)]))
+        kept = new[: self.keep - len(self.keys)]
+        if len(kept):
+            keys = np.concatenate([self.keys, hashes[kept]])
+            order = np.argsort(keys, kind="stable")
+            self.keys, self.places = keys[order], np.concatenate([self.places, slots[kept].astype(np.int32)])[order]
         ends = self.ends[slots]
         starts = np.where(slots > 0, self.ends[slots - 1], 0)
         return starts, ends - starts

@@ -53,8 +53,8 @@ class RankFold(ChunkCache):
                 left, right = self.ranks.get(word[:i]), self.ranks.get(word[i:])
                 if left is not None and right is not None:
                     pairs[left * self.base + right] = rank
-        self.keys = np.array(sorted(pairs), dtype=np.int64)
-        self.values = np.array([pairs[k] for k in self.keys.tolist()], dtype=np.int64)
+        self.pair_keys = np.array(sorted(pairs), dtype=np.int64)
+        self.pair_ranks = np.array([pairs[k] for k in self.pair_keys.tolist()], dtype=np.int64)
         self.first = self._ranks_of(np.repeat(self.byte_ids, 256), np.tile(self.byte_ids, 256)).reshape(256, 256)
 
     @classmethod
@@ -66,8 +66,8 @@ class RankFold(ChunkCache):
 
     def _ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left * self.base + right
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.values[at], _NONE)
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], _NONE)
 
     def fold(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and lengths of words, all merged in step."""
@@ -113,7 +113,7 @@ class RankFold(ChunkCache):
         """The same for one long word, with a heap of pairs."""
         ids = [int(self.byte_ids[b]) for b in word]
         after, before = [*range(1, len(ids)), -1], [-1, *range(len(ids) - 1)]
-        known = dict(zip(self.keys.tolist(), self.values.tolist(), strict=True)) if not hasattr(self, "_pairs") else self._pairs
+        known = dict(zip(self.pair_keys.tolist(), self.pair_ranks.tolist(), strict=True)) if not hasattr(self, "_pairs") else self._pairs
         self._pairs = known
         heap = [(r, i, ids[i], ids[i + 1]) for i in range(len(ids) - 1) if (r := known.get(ids[i] * self.base + ids[i + 1])) is not None]
         heapq.heapify(heap)
