@@ -122,7 +122,8 @@ def row_key(docs: DataFrame) -> Column:
 def repeated_runs(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """``key, first, n``: windows ``first .. first + n - 1`` of a document occur more than once. ``docs`` has ``key, text``."""
     anchors = stored(docs.mapInArrow(_seeds(window, gram), _ANCHOR_SCHEMA), "anchors")
-    again = anchors.groupBy("h").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("h")
+    # Hashes that occur twice are stored before the join: Spark splits large keys only between two plain shuffles.
+    again = stored(anchors.groupBy("h").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("h"), "again")
     seeds = stored(anchors.join(again, "h").select(*anchors.columns), "seeds")
     discard(anchors)
 
@@ -130,10 +131,10 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Da
         seeds.groupBy("h", "c").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("key", "first", "n")).alias("one")), "contexts"
     )
     whole = seeds.join(contexts.filter("times > 1").select("h", "c"), ["h", "c"]).select("key", "first", "n")
-    several = contexts.groupBy("h").agg(F.count(F.lit(1)).alias("different")).filter("different > 1").select("h")
+    several = stored(contexts.groupBy("h").agg(F.count(F.lit(1)).alias("different")).filter("different > 1").select("h"), "several")
     ends = contexts.join(several, "h").groupBy("one.key").agg(F.collect_list(F.struct("one.first", "one.n")).alias("runs"))
     windows = docs.join(ends, "key").select("key", "text", "runs").mapInArrow(_windows(window), "w bigint, key bigint, first int")
-    twice = windows.groupBy("w").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("w")
+    twice = stored(windows.groupBy("w").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("w"), "twice")
     parts = windows.join(twice, "w").select("key", "first", F.lit(1).alias("n"))
     return whole.unionByName(parts)
 
