@@ -195,7 +195,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 def _decoder(path: str):
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         piece = {rank: word for word, rank in read_ranks(path).items()}.__getitem__
-        for batch in batches:
+        for batch in (whole.slice(at, 500) for whole in batches for at in range(0, whole.num_rows, 500)):
             tokens = batch.column(1)
             bounds = tokens.offsets.to_pylist()
             values = tokens.values.to_numpy(zero_copy_only=False)
