@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from chronoweave.llm.byte_bpe import op2_byte_bpe
+from chronoweave.llm.near_dedup import op9_near_dedup
 from chronoweave.llm.packing import op7_best_fit_packing
 from chronoweave.llm.substring_dedup import op1_substring_dedup
 from chronoweave.llm.token_files import op3_token_files
@@ -12,6 +13,7 @@ QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_token_files": op3_token_files,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op9_near_dedup": op9_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
