@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from chronoweave.llm.blocks import text_blocks
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -40,3 +46,16 @@ def discard(df: DataFrame) -> None:
     for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
         path = jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def with_score(docs: DataFrame, score: Callable[[np.ndarray, np.ndarray], np.ndarray], name: str = "score") -> DataFrame:
+    """Every row of ``docs`` with a number computed from its ``text``; ``score`` takes the bytes and offsets of a block of texts."""
+    at = docs.columns.index("text")
+
+    def append(batches):
+        for batch in batches:
+            parts = [score(data, offsets) for _, _, data, offsets in text_blocks(batch.column(at), 4 << 20)]
+            values = np.concatenate(parts) if parts else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.float64())], names=[*batch.schema.names, name])
+
+    return docs.mapInArrow(append, StructType([*docs.schema.fields]).add(name, "double"))

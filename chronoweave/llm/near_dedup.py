@@ -180,9 +180,10 @@ def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """
     keyed = docs.select(*docs.columns, with_key(docs).alias("__cw_key"))
     groups = near_duplicates(keyed.select("doc_id", F.col("__cw_key").alias("key"), "text"), shingle, percent)
-    kept = groups.filter("key = component_key").select(F.col("key").alias("__cw_key")).distinct()
-    chosen = keyed.join(kept, "__cw_key", "left_semi")
-    return chosen.dropDuplicates(["__cw_key"]).select(*docs.columns)
+    kept = stored(groups.filter("key = component_key").select(F.col("key").alias("__cw_key")).distinct(), "kept")
+    chosen = keyed.join(F.broadcast(kept) if kept.count() <= BROADCAST_IDS else kept, "__cw_key", "left_semi")
+    twice = keyed.groupBy("__cw_key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count()
+    return (chosen.dropDuplicates(["__cw_key"]) if twice else chosen).select(*docs.columns)
 
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoweave.llm.blocks import mix, text_blocks, word_hashes
-from chronoweave.llm.common import crc_of_id, table
+from chronoweave.llm.common import crc_of_id, table, with_score
 
 SAMPLE = 12_000
 BUCKETS = 1 << 13
@@ -215,6 +215,16 @@ def score_documents(docs: DataFrame, vectors: np.ndarray, model: TwoLayers | Non
     return docs.select("text", F.col("doc_id").cast("bigint")).mapInArrow(_scorer(vectors, model), "doc_id bigint, score double")
 
 
+def reject(docs: DataFrame, labels: DataFrame, least: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` that score at least ``least``; trained on ``docs`` and ``labels``. Without labels all stay."""
+    vectors = word_vectors(docs)
+    model = fit(docs, labels, vectors)
+    if model is None:
+        return docs
+    scored = with_score(docs, lambda data, offsets: model.scores(features(data, offsets, vectors)), "__cw_score")
+    return scored.filter(F.col("__cw_score") >= least).drop("__cw_score")
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     vectors = word_vectors(docs)

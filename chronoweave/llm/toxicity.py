@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoweave.llm.blocks import mix, ragged_take, text_blocks, word_hashes, word_spans
-from chronoweave.llm.common import crc_of_id, table
+from chronoweave.llm.common import crc_of_id, table, with_score
 
 SAMPLE = 2_000
 SAMPLE_WORDS = 4_096
@@ -234,6 +234,15 @@ def score_documents(docs: DataFrame, model: SubwordSoftmax | None) -> DataFrame:
     return docs.select("text", F.col("doc_id").cast("bigint")).mapInArrow(_scorer(levels, bias), "doc_id bigint, score double")
 
 
+def reject(docs: DataFrame, labels: DataFrame, most: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score below ``most``; trained on ``docs`` and ``labels``. Without labels all stay."""
+    model = fit(docs, labels)
+    if model is None:
+        return docs
+    levels, bias = model.table()
+    return with_score(docs, lambda data, offsets: score_block(data, offsets, levels, bias), "__cw_score").filter(F.col("__cw_score") < most).drop("__cw_score")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scores = score_documents(docs, fit(docs, table(spark, sf_dir, "labels")))
