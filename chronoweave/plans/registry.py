@@ -6,5 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+from chronoweave.plans import asof_queries
+
+_MODULES = [asof_queries]
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: query for module in _MODULES for name, query in module.Q.items()}
+ORACLE_SQL: dict[str, str] = {name: sql for module in _MODULES for name, sql in module.SQL.items()}
