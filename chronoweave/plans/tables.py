@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 STEP_US = 6 * 3600 * 1_000_000
-CM_PER_PULSE, SCALE, EXPONENT = 0.0057652, 2.0e-12, 1.2
+CM_PER_PULSE, SCALE, EXPONENT = 0.0058, 2.0e-12, 1.2
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

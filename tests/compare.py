@@ -21,7 +21,7 @@ def rows(frame: pd.DataFrame) -> list[tuple]:
     def plain(x):
         if hasattr(x, "tolist"):
             x = x.tolist()
-        if x is None or x is pd.NaT or (isinstance(x, float) and x != x):
+        if x is None or x is pd.NaT or x is pd.NA or (isinstance(x, float) and x != x):
             return "null"
         if isinstance(x, (list, tuple)):
             return str([plain(y) for y in x])
