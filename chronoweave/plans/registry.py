@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chronoweave.plans import asof_queries, imaging_queries, stream_queries
+from chronoweave.plans import assembly_queries, asof_queries, imaging_queries, state_queries, stream_queries
 
-_MODULES = [asof_queries, stream_queries, imaging_queries]
+_MODULES = [asof_queries, stream_queries, imaging_queries, state_queries, assembly_queries]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: query for module in _MODULES for name, query in module.Q.items()}
 ORACLE_SQL: dict[str, str] = {name: sql for module in _MODULES for name, sql in module.SQL.items()}
