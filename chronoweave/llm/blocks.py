@@ -5,7 +5,10 @@ Everything here works on one bounded block of documents inside a Spark task.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -166,13 +169,39 @@ def ragged_take(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np
     return flat[np.repeat(starts - (ends - lengths), lengths) + np.arange(total)]
 
 
+#: The one cache of encoded chunks that a Python worker keeps between tasks.
+_RESIDENT: dict[tuple, "ChunkCache"] = {}
+
+
+def lean(function: Callable, resident: bool = False) -> Callable:
+    """A function of batches that leaves its worker small: workers are used again by other stages, and memory that is free goes back.
+
+    Only a function that is ``resident`` keeps the cache of chunks for the next task.
+    """
+
+    @functools.wraps(function)
+    def run(batches):
+        if not resident:
+            _RESIDENT.clear()
+        try:
+            yield from function(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 class ChunkCache:
     """Ids of chunks, encoded when first met and kept for the next blocks of the Python worker, at most ``keep`` chunks.
 
     A subclass has ``encode_new(list of bytes) -> (flat ids, lengths)``. Chunks are known by their hash, in one sorted array.
     """
 
-    def __init__(self, keep: int = 2_000_000) -> None:
+    def __init__(self, keep: int = 1_000_000) -> None:
         self.keep = keep
         self.keys = np.zeros(0, dtype=np.uint64)
         self.places = np.zeros(0, dtype=np.int32)
@@ -180,6 +209,15 @@ class ChunkCache:
         self.ends = np.zeros(1 << 14, dtype=np.int64)
         self.slots = 0
 
+    @classmethod
+    def load(cls, *arguments) -> "ChunkCache":
+        """The worker's cache of this class and these arguments; any other one is let go."""
+        key = (cls, *arguments)
+        if key not in _RESIDENT:
+            _RESIDENT.clear()
+            _RESIDENT[key] = cls(*arguments)
+        return _RESIDENT[key]
+
     def encode_new(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         raise NotImplementedError
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoweave.llm.blocks import ChunkCache, encode_block, ragged_take, text_blocks
+from chronoweave.llm.blocks import ChunkCache, encode_block, lean, ragged_take, text_blocks
 from chronoweave.llm.common import table
 
 #: Longer words are folded one by one with a heap, whose cost is n log n.
@@ -36,8 +36,6 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class RankFold(ChunkCache):
     """Encodes distinct chunks by ranks and a split pattern."""
 
-    _loaded: dict[tuple[str, str], "RankFold"] = {}
-
     def __init__(self, path: str, pattern: str) -> None:
         super().__init__()
         import regex
@@ -57,13 +55,6 @@ class RankFold(ChunkCache):
         self.pair_ranks = np.array([pairs[k] for k in self.pair_keys.tolist()], dtype=np.int64)
         self.first = self._ranks_of(np.repeat(self.byte_ids, 256), np.tile(self.byte_ids, 256)).reshape(256, 256)
 
-    @classmethod
-    def load(cls, path: str, pattern: str) -> "RankFold":
-        """One for each file, pattern and Python worker."""
-        if (path, pattern) not in cls._loaded:
-            cls._loaded[path, pattern] = cls(path, pattern)
-        return cls._loaded[path, pattern]
-
     def _ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left * self.base + right
         at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
@@ -189,7 +180,7 @@ def _encoder(path: str, pattern: str):
 
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """``doc_id`` and ``tokens array<int>`` of every whole text."""
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(_encoder(path, pattern), "doc_id bigint, tokens array<int>")
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(lean(_encoder(path, pattern), resident=True), "doc_id bigint, tokens array<int>")
 
 
 def _decoder(path: str):
@@ -210,13 +201,13 @@ def _decoder(path: str):
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """The binary text of every row of ids, with their number and digest."""
-    return encoded.select("doc_id", "tokens").mapInArrow(_decoder(path), "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded binary")
+    return encoded.select("doc_id", "tokens").mapInArrow(lean(_decoder(path), resident=True), "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded binary")
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """``decode(encode(docs))`` in one Python worker instead of two."""
     there, back = _encoder(path, pattern), _decoder(path)
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(lambda batches: back(there(batches)), "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded binary")
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(lean(lambda batches: back(there(batches)), resident=True), "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded binary")
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from chronoweave.llm.blocks import text_blocks
+from chronoweave.llm.blocks import lean, text_blocks
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -58,4 +58,4 @@ def with_score(docs: DataFrame, score: Callable[[np.ndarray, np.ndarray], np.nda
             values = np.concatenate(parts) if parts else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.float64())], names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(append, StructType([*docs.schema.fields]).add(name, "double"))
+    return docs.mapInArrow(lean(append), StructType([*docs.schema.fields]).add(name, "double"))

@@ -37,8 +37,6 @@ class ChunkEncoder(ChunkCache):
     through the whole tokenizer. Special tokens that stand in a text are ordinary text.
     """
 
-    _loaded: dict[str, "ChunkEncoder"] = {}
-
     def __init__(self, path: str) -> None:
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -52,13 +50,6 @@ class ChunkEncoder(ChunkCache):
         self.letters = _byte_letters()
         self.mark = _SEPARATOR.encode().decode("latin-1").translate(self.letters)
 
-    @classmethod
-    def load(cls, path: str) -> "ChunkEncoder":
-        """One encoder for each file and Python worker."""
-        if path not in cls._loaded:
-            cls._loaded[path] = cls(path)
-        return cls._loaded[path]
-
     def encode_new(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         pieces: list[str] = []
         counts = np.zeros(len(chunks), dtype=np.int64)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoweave.llm.blocks import mix, ragged_take
+from chronoweave.llm.blocks import lean, mix, ragged_take
 from chronoweave.llm.common import stored, table
 from chronoweave.llm.components import components
 from chronoweave.llm.superminhash import band_hashes, shingle_sets, signatures
@@ -130,7 +130,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     ``key`` is a number that is never null and goes with the order of ``doc_id``. Sets are linked if
     ``100 * intersection >= percent * union``.
     """
-    sketches = stored(docs.select("doc_id", "key", "text").mapInArrow(_sketches(shingle, bands, rows), "doc_id bigint, key bigint, n_shingles bigint, set_id bigint, bands array<bigint>"), "sketches")
+    sketches = stored(docs.select("doc_id", "key", "text").mapInArrow(lean(_sketches(shingle, bands, rows)), "doc_id bigint, key bigint, n_shingles bigint, set_id bigint, bands array<bigint>"), "sketches")
     classes = sketches.filter("n_shingles > 0").groupBy("set_id").agg(F.min("key").alias("key"), F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
     in_band = classes.select("set_id", "key", F.explode("bands").alias("band"))
     shared = in_band.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("set_id").alias("least")).filter("n > 1")
@@ -149,10 +149,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     wanted = stored(members.select("key").distinct(), "wanted")
     if wanted.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
-    sets = docs.join(wanted, "key", "left_semi").select("text").mapInArrow(_full_sets(shingle), "set_id bigint, shingles array<bigint>")
+    sets = docs.join(wanted, "key", "left_semi").select("text").mapInArrow(lean(_full_sets(shingle)), "set_id bigint, shingles array<bigint>")
     whole = cells.join(sets, "set_id").select("unit", "low", "high", "block", "set_id", "shingles")
     dealt = whole.repartition("unit", "low", "high").sortWithinPartitions("unit", "low", "high", "set_id")
-    links = dealt.mapInArrow(_compare(percent), "u bigint, v bigint")
+    links = dealt.mapInArrow(lean(_compare(percent)), "u bigint, v bigint")
 
     joined = components(links)
     least = classes.select("set_id", "key", "doc_id").join(joined.withColumnRenamed("node", "set_id"), "set_id")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoweave.llm.blocks import mix, text_blocks, word_hashes
+from chronoweave.llm.blocks import lean, mix, text_blocks, word_hashes
 from chronoweave.llm.common import crc_of_id, table, with_score
 
 SAMPLE = 12_000
@@ -95,7 +95,7 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def word_vectors(docs: DataFrame) -> np.ndarray:
     """Word vectors of all buckets, from every text: ``BUCKETS`` rows of ``WIDTH`` numbers reach the driver, however large the corpus."""
     schema = "bucket int, sums array<bigint>"
-    rows = docs.select("text").mapInArrow(_count, schema).repartition("bucket").mapInArrow(_add, schema).toArrow()
+    rows = docs.select("text").mapInArrow(lean(_count), schema).repartition("bucket").mapInArrow(lean(_add), schema).toArrow()
     vectors = np.zeros((BUCKETS, WIDTH))
     if rows.num_rows:
         vectors[rows.column(0).to_numpy()] = np.concatenate(rows.column(1).to_pylist()).reshape(-1, WIDTH)
@@ -192,7 +192,7 @@ def fit(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, label: str = "q
     known = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (crc_of_id() % 5 != 0)).select("doc_id", F.col(label).cast("int").alias("label")).dropDuplicates(["doc_id"])
     chosen = known.orderBy(F.xxhash64("doc_id", F.lit(label)), "doc_id").limit(most)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(F.col("doc_id").cast("bigint"), "label", "text")
-    sample = rows.mapInArrow(_feature_rows(vectors), "doc_id bigint, label int, x array<float>").dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")
+    sample = rows.mapInArrow(lean(_feature_rows(vectors)), "doc_id bigint, label int, x array<float>").dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")
     y = sample.column("label").to_numpy().astype(np.float64)
     if len(set(y.tolist())) < 2:
         return None
@@ -212,7 +212,7 @@ def _scorer(vectors: np.ndarray, model: TwoLayers | None):
 
 def score_documents(docs: DataFrame, vectors: np.ndarray, model: TwoLayers | None) -> DataFrame:
     """``doc_id, score`` of every document."""
-    return docs.select("text", F.col("doc_id").cast("bigint")).mapInArrow(_scorer(vectors, model), "doc_id bigint, score double")
+    return docs.select("text", F.col("doc_id").cast("bigint")).mapInArrow(lean(_scorer(vectors, model)), "doc_id bigint, score double")
 
 
 def reject(docs: DataFrame, labels: DataFrame, least: float = 0.3) -> DataFrame:

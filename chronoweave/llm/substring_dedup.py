@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
-from chronoweave.llm.blocks import _powers, mix, text_blocks, window_hashes, word_hashes, word_spans
+from chronoweave.llm.blocks import _powers, lean, mix, text_blocks, window_hashes, word_hashes, word_spans
 from chronoweave.llm.common import discard, stored, table
 
 WINDOW = 35
@@ -121,7 +121,7 @@ def row_key(docs: DataFrame) -> Column:
 
 def repeated_runs(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """``key, first, n``: windows ``first .. first + n - 1`` of a document occur more than once. ``docs`` has ``key, text``."""
-    anchors = stored(docs.mapInArrow(_seeds(window, gram), _ANCHOR_SCHEMA), "anchors")
+    anchors = stored(docs.mapInArrow(lean(_seeds(window, gram)), _ANCHOR_SCHEMA), "anchors")
     # Hashes that occur twice are stored before the join: Spark splits large keys only between two plain shuffles.
     again = stored(anchors.groupBy("h").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("h"), "again")
     seeds = stored(anchors.join(again, "h").select(*anchors.columns), "seeds")
@@ -133,7 +133,7 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Da
     whole = seeds.join(contexts.filter("times > 1").select("h", "c"), ["h", "c"]).select("key", "first", "n")
     several = stored(contexts.groupBy("h").agg(F.count(F.lit(1)).alias("different")).filter("different > 1").select("h"), "several")
     ends = contexts.join(several, "h").groupBy("one.key").agg(F.collect_list(F.struct("one.first", "one.n")).alias("runs"))
-    windows = docs.join(ends, "key").select("key", "text", "runs").mapInArrow(_windows(window), "w bigint, key bigint, first int")
+    windows = docs.join(ends, "key").select("key", "text", "runs").mapInArrow(lean(_windows(window)), "w bigint, key bigint, first int")
     twice = stored(windows.groupBy("w").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("w"), "twice")
     parts = windows.join(twice, "w").select("key", "first", F.lit(1).alias("n"))
     return whole.unionByName(parts)
@@ -186,7 +186,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, keep
     fields = [f for f in docs.schema.fields if keep_text or f.name != "text"]
     schema = StructType(fields).add("n_words", LongType()).add("n_removed", LongType()).add("kept_sha256", "string")
     joined = keyed.join(spans, "__cw_key", "left").select(*docs.columns, "__cw_runs")
-    return joined.mapInArrow(_remove(docs.columns.index("text"), len(docs.columns), window, schema.names, keep_text), schema)
+    return joined.mapInArrow(lean(_remove(docs.columns.index("text"), len(docs.columns), window, schema.names, keep_text)), schema)
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

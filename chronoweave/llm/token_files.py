@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chronoweave.llm.blocks import encode_block, text_blocks
+from chronoweave.llm.blocks import encode_block, lean, text_blocks
 from chronoweave.llm.common import scratch, table
 
 ROW_INDEX_STRIDE = 2_000
@@ -60,7 +60,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         docs.select(F.col("doc_id").cast("bigint"), F.col("text"))
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .mapInArrow(_encoder(tokenizer, end_id), FILE_SCHEMA)
+        .mapInArrow(lean(_encoder(tokenizer, end_id), resident=True), FILE_SCHEMA)
         .write.option("orc.bloom.filter.columns", "doc_id")
         .option("orc.row.index.stride", ROW_INDEX_STRIDE)
         .option("compression", "zstd")
@@ -95,4 +95,4 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = scratch(spark, "token-files")
     write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
-    return read_token_files(spark, path).select("doc_id", "start", "tokens").mapInArrow(_digest, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return read_token_files(spark, path).select("doc_id", "start", "tokens").mapInArrow(lean(_digest, resident=True), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
