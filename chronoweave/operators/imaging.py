@@ -7,6 +7,7 @@ from functools import cache
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from chronoweave.functions.ordering import in_order, so_far
 from chronoweave.operators.asof import neighbours
@@ -103,7 +104,7 @@ def claimed_runs(runs: DataFrame, sizes: DataFrame) -> DataFrame:
     """
     both = runs.groupBy("session").agg(F.array_sort(F.collect_list(F.struct("run", "pulses"))).alias("runs")).join(sizes.groupBy("session").agg(F.reverse(F.array_sort(F.collect_list("size"))).alias("sizes")), "session")
 
-    @F.pandas_udf("array<int>")
+    @F.pandas_udf(ArrayType(IntegerType()))
     def solve(of_runs: pd.Series, of_sizes: pd.Series) -> pd.Series:
         out = []
         for r, s in zip(of_runs, of_sizes, strict=True):

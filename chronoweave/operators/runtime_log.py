@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from chronoweave.functions.ordering import before, in_order, so_far
 
@@ -34,7 +35,7 @@ def state_table(messages: DataFrame, kind: str) -> DataFrame:
     return routed(messages).filter(F.col("kind") == kind).select("session", "time_us", "seq", byte_at(F.col("payload"), 2).alias("state"))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _double_at_one(payload: pd.Series) -> pd.Series:
     import numpy as np
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from chronoweave.functions.ordering import close_open_end, in_order, no_negative_zero, so_far
 from chronoweave.operators.asof import hold
@@ -21,7 +22,7 @@ def of_code(events: DataFrame, code: int) -> DataFrame:
 _TYPES = {"uint8": "u1", "int8": "i1", "uint16": "<u2", "int16": "<i2", "uint32": "<u4", "int32": "<i4", "uint64": "<u8", "int64": "<i8", "float32": "<f4", "float64": "<f8", "bool": "?"}
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def decode_payload(data: pd.Series, dtype: pd.Series) -> pd.Series:
     """Bytes and a type name to a number; null for an empty or null payload, an unknown type or a wrong length."""
     import numpy as np
