@@ -5,6 +5,7 @@ from __future__ import annotations
 from chronoweave.llm.byte_bpe import op2_byte_bpe
 from chronoweave.llm.fingerprints import op5_order_minhash
 from chronoweave.llm.near_dedup import op9_near_dedup
+from chronoweave.llm.oracles import ORACLE_SQL
 from chronoweave.llm.packing import op7_best_fit_packing
 from chronoweave.llm.quality import op4_quality
 from chronoweave.llm.substring_dedup import op1_substring_dedup
@@ -26,4 +27,4 @@ QUERIES = {
     "op10_top_k": op10_top_k,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
