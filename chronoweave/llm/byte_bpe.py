@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoweave.llm.blocks import ChunkCache, encode_block, lean, ragged_take, text_blocks
-from chronoweave.llm.common import table
+from chronoweave.llm.common import small_batches, table
 
 #: Longer words are folded one by one with a heap, whose cost is n log n.
 LONG_WORD = 64
@@ -180,6 +180,7 @@ def _encoder(path: str, pattern: str):
 
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """``doc_id`` and ``tokens array<int>`` of every whole text."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(lean(_encoder(path, pattern), resident=True), "doc_id bigint, tokens array<int>")
 
 
@@ -206,6 +207,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """``decode(encode(docs))`` in one Python worker instead of two."""
+    small_batches(docs.sparkSession)
     there, back = _encoder(path, pattern), _decoder(path)
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(lean(lambda batches: back(there(batches)), resident=True), "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded binary")
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoweave.llm.blocks import lean, mix, ragged_take
-from chronoweave.llm.common import stored, table
+from chronoweave.llm.common import small_batches, stored, table
 from chronoweave.llm.components import components
 from chronoweave.llm.superminhash import band_hashes, shingle_sets, signatures
 
@@ -130,6 +130,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     ``key`` is a number that is never null and goes with the order of ``doc_id``. Sets are linked if
     ``100 * intersection >= percent * union``.
     """
+    small_batches(docs.sparkSession)
     sketches = stored(docs.select("doc_id", "key", "text").mapInArrow(lean(_sketches(shingle, bands, rows)), "doc_id bigint, key bigint, n_shingles bigint, set_id bigint, bands array<bigint>"), "sketches")
     classes = sketches.filter("n_shingles > 0").groupBy("set_id").agg(F.min("key").alias("key"), F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
     in_band = classes.select("set_id", "key", F.explode("bands").alias("band"))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chronoweave.llm.blocks import encode_block, lean, text_blocks
-from chronoweave.llm.common import stored, table
+from chronoweave.llm.common import small_batches, stored, table
 
 CAPACITY = 2048
 PIECE_SCHEMA = "doc_id bigint, piece int, start bigint, length int, ids_crc32 bigint, part int, part_rank bigint"
@@ -150,6 +150,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPAC
     Texts are encoded once, where they are read; what is stored is a few numbers for each piece.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     pieces = stored(docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(lean(_pieces(tokenizer, end_id, capacity), resident=True), PIECE_SCHEMA), "pieces")
     by_part = pieces.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
     counts = {r["length"]: r["n"] for r in by_part.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `capacity` rows

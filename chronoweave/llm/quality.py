@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoweave.llm.blocks import lean, mix, text_blocks, word_hashes
-from chronoweave.llm.common import crc_of_id, table, with_score
+from chronoweave.llm.common import crc_of_id, small_batches, table, with_score
 
 SAMPLE = 12_000
 BUCKETS = 1 << 13
@@ -94,6 +94,7 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def word_vectors(docs: DataFrame) -> np.ndarray:
     """Word vectors of all buckets, from every text: ``BUCKETS`` rows of ``WIDTH`` numbers reach the driver, however large the corpus."""
+    small_batches(docs.sparkSession)
     schema = "bucket int, sums array<bigint>"
     rows = docs.select("text").mapInArrow(lean(_count), schema).repartition("bucket").mapInArrow(lean(_add), schema).toArrow()
     vectors = np.zeros((BUCKETS, WIDTH))

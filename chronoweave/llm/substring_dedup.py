@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
 from chronoweave.llm.blocks import _powers, lean, mix, text_blocks, window_hashes, word_hashes, word_spans
-from chronoweave.llm.common import discard, stored, table
+from chronoweave.llm.common import discard, small_batches, stored, table
 
 WINDOW = 35
 GRAM = 6
@@ -141,7 +141,7 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Da
 
 def _remove(position: int, runs_at: int, window: int, names: list[str], keep_text: bool):
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(k, 250) for whole in batches for k in range(0, whole.num_rows, 250)):
             runs = batch.column(runs_at)
             texts = batch.column(position).cast(pa.large_binary()).to_pylist()
             total, removed, digest, left = [], [], [], []
@@ -180,6 +180,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, keep
     A text that loses words has its others joined by one blank; any other text, null too, stays as it is. Without ``keep_text`` that
     column is left out, and what is shuffled holds ids and texts only once.
     """
+    small_batches(docs.sparkSession)
     keyed = docs.select(row_key(docs).alias("__cw_key"), *docs.columns).filter(F.col("__cw_key").isNotNull())
     runs = repeated_runs(keyed.select(F.col("__cw_key").alias("key"), "text"), window, gram)
     spans = runs.groupBy(F.col("key").alias("__cw_key")).agg(F.collect_list(F.struct("first", "n")).alias("__cw_runs"))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chronoweave.llm.blocks import encode_block, lean, text_blocks
-from chronoweave.llm.common import scratch, table
+from chronoweave.llm.common import scratch, small_batches, table
 
 ROW_INDEX_STRIDE = 2_000
 FILE_SCHEMA = "doc_id bigint, part int, part_start bigint, n_tokens bigint, tokens array<int>"
@@ -55,6 +55,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     Texts are dealt out before they are encoded, so the sampling of ranges costs a scan and no encoding. ``part`` numbers the
     ranges in order and ``part_start`` counts the ids before a document in its range.
     """
+    small_batches(docs.sparkSession)
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()]
     (
         docs.select(F.col("doc_id").cast("bigint"), F.col("text"))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoweave.llm.blocks import lean, mix, ragged_take, text_blocks, word_hashes, word_spans
-from chronoweave.llm.common import crc_of_id, table, with_score
+from chronoweave.llm.common import crc_of_id, small_batches, table, with_score
 
 SAMPLE = 1_600
 SAMPLE_WORDS = 2_048
@@ -219,6 +219,7 @@ def _shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", each: int = SAMPLE) -> SubwordSoftmax | None:
     """Train on the sample; its size bounds what reaches the driver."""
+    small_batches(docs.sparkSession)
     sample = labelled_sample(docs, labels, label, each).select("doc_id", "label", "text").mapInArrow(lean(_shorten), "doc_id bigint, label int, text binary")
     rows = sample.dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")
     known = rows.column("label").to_numpy()
