@@ -62,6 +62,32 @@ def linear(source: DataFrame, targets: DataFrame, values: list[str], keys: list[
     return near.select(*targets.columns, *[line_between(F.col("prev"), F.col("next"), F.col(on), v, on).alias(v) for v in values])
 
 
+def align_all(targets: DataFrame, sources: list[tuple[DataFrame, list[str], str]], keys: list[str] | None = None, on: str = "time_us") -> DataFrame:
+    """A1 and A2 for many streams at once: ``(source, values, "hold" or "linear")``, with one shuffle and one sort for all of them."""
+    keys = keys or ["session"]
+    kinds = [s.select(F.struct(F.col(on), *v).alias("p")).schema["p"].dataType for s, v, _ in sources]
+    row = targets.select(F.struct("*").alias("r")).schema["r"].dataType
+
+    def part(df: DataFrame, own: int | None) -> DataFrame:
+        points = [(F.struct(F.col(on), *sources[k][1]) if k == own else F.lit(None).cast(kind)).alias(f"_p{k}") for k, kind in enumerate(kinds)]
+        carried = F.struct(*targets.columns) if own is None else F.lit(None).cast(row)
+        return df.select(*keys, F.col(on).alias("_at"), F.lit(int(own is None)).alias("_tag"), (F.lit(0).cast("bigint") if own is None else F.col("seq").cast("bigint")).alias("_seq"), *points, carried.alias("_row"))
+
+    both = part(targets, None)
+    for k, (source, _, _) in enumerate(sources):
+        both = both.unionByName(part(source, k))
+    order = Window.partitionBy(*keys).orderBy("_at", "_tag", "_seq")
+    up, down = order.rowsBetween(Window.unboundedPreceding, Window.currentRow), order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    filled = both.select("*", *[f(f"_p{k}", ignorenulls=True).over(w).alias(f"_{n}{k}") for k in range(len(sources)) for f, w, n in ((F.last, up, "prev"), (F.first, down, "next"))]).filter("_tag = 1")
+    out = []
+    for k, (_, values, kind) in enumerate(sources):
+        prev, following = F.col(f"_prev{k}"), F.col(f"_next{k}")
+        for v in values:
+            held = F.when(prev.isNotNull(), prev.getField(v)).otherwise(following.getField(v))
+            out.append((line_between(prev, following, F.col("_at"), v, on) if kind == "linear" else held).alias(v))
+    return filled.select("_row.*", *out)
+
+
 def window_starts(clock: DataFrame) -> DataFrame:
     """A3: frame i covers ``(start_us, time_us]``; the first opens one interval early, or 1 us for a single frame."""
     w = in_order(order=["frame"])

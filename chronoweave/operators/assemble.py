@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronoweave.functions.ordering import in_order, so_far, with_runs
-from chronoweave.operators.asof import corridor_distance, elapsed_minutes, hold, in_zones, linear, running_speed, signed_peaks, window_maxima, window_onsets
+from chronoweave.operators.asof import align_all, corridor_distance, elapsed_minutes, hold, in_zones, linear, running_speed, signed_peaks, window_maxima, window_onsets
 
 #: Values outside the run state (fixed values).
 NO_CUE, NO_TRIAL, NO_TRIAL_TYPE = 255, 65535, "undefined"
@@ -60,10 +60,7 @@ def present(df: DataFrame, order: list[str], absent: list[str] = ()) -> DataFram
 def behavior(clock: DataFrame, states: DataFrame, encoder: DataFrame, brake: DataFrame, torque: DataFrame, lick: DataFrame, valve: DataFrame, puffs: DataFrame, encoder_states: list[str], minimum_torque: float, window_us: int = 100_000) -> DataFrame:
     """The behavior table. Sources have ``session, time_us, seq`` and their own columns; ``states`` has ``system_state``."""
     ticks = clock.select("session", "frame", "time_us")
-    rows = hold(states, ticks, ["system_state"])
-    rows = linear(encoder, rows, ["traveled_distance_cm"])
-    rows = hold(brake, rows, ["brake_torque"])
-    rows = hold(valve, rows, ["volume", "tone_state"])
+    rows = align_all(ticks, [(states, ["system_state"], "hold"), (encoder, ["traveled_distance_cm"], "linear"), (brake, ["brake_torque"], "hold"), (valve, ["volume", "tone_state"], "hold")])
     licks = window_onsets(lick.withColumn("state", F.col("lick_state")), ticks).select(*FRAME, F.col("onset").alias("lick"))
     puffed = window_onsets(puffs.withColumn("state", F.col("puff_state")), ticks).select(*FRAME, F.col("onset").alias("gas_puff"))
     peaks = signed_peaks(torque.withColumn("value", F.col("torque")), ticks).select(*FRAME, F.col("peak").alias("torque"))

@@ -74,6 +74,15 @@ def test_bucketed_equals_plain(spark):
             assert np.allclose(column(f(source, targets.repartition(3), ["value"], width=width), "value"), plain)
 
 
+def test_all_streams_at_once(spark):
+    rng = random.Random(9)
+    sources = [series(spark, sorted(rng.randrange(1000) for _ in range(60)), [rng.random() for _ in range(60)], name) for name in ("a", "b")]
+    targets = ticks(spark, sorted(rng.randrange(1000) for _ in range(50)))
+    both = asof.align_all(targets, [(sources[0], ["a"], "hold"), (sources[1], ["b"], "linear")])
+    assert column(both, "a") == column(asof.hold(sources[0], targets, ["a"]), "a")
+    assert np.allclose(column(both, "b"), column(asof.linear(sources[1], targets, ["b"]), "b"))
+
+
 def test_valve_and_screen_streams(spark):
     def events(closed, opened, on=(), off=()):
         rows = sorted([(t, 52) for t in closed] + [(t, 51) for t in opened] + [(t, 54) for t in on] + [(t, 55) for t in off])
