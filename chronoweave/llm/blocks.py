@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are handled at once; a longer document is a block of its own.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -201,7 +201,7 @@ class ChunkCache:
     A subclass has ``encode_new(list of bytes) -> (flat ids, lengths)``. Chunks are known by their hash, in one sorted array.
     """
 
-    def __init__(self, keep: int = 1_000_000) -> None:
+    def __init__(self, keep: int = 600_000) -> None:
         self.keep = keep
         self.keys = np.zeros(0, dtype=np.uint64)
         self.places = np.zeros(0, dtype=np.int32)
@@ -241,8 +241,8 @@ class ChunkCache:
             at = np.minimum(np.searchsorted(self.keys, ordered), len(self.keys) - 1)
             slots[order] = np.where(self.keys[at] == ordered, self.places[at], -1)
         new = np.flatnonzero(slots < 0)
-        for part in range(0, len(new), 1 << 16):
-            some = new[part : part + (1 << 16)]
+        for part in range(0, len(new), 1 << 14):
+            some = new[part : part + (1 << 14)]
             at = first[some]
             slots[some] = np.arange(self.slots, self.slots + len(some))
             self._append(*self.encode_new([data[b:e].tobytes() for b, e in zip(bounds[at].tolist(), bounds[at + 1].tolist(), strict=True)]))
@@ -264,7 +264,7 @@ def encode_block(data: np.ndarray, offsets: np.ndarray, cache: ChunkCache) -> It
     document = 0
     documents = len(offsets) - 1
     while document < documents:  # some documents at a time, so that index arrays stay small
-        end = max(document + 1, int(np.searchsorted(first, first[document] + (1 << 18), side="right")) - 1)
+        end = max(document + 1, int(np.searchsorted(first, first[document] + (1 << 17), side="right")) - 1)
         end = min(end, documents)
         taken = index[first[document] : first[end]]
         sizes = lengths[taken]
