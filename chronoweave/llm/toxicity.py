@@ -62,7 +62,7 @@ def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def block_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """Index of each word among the distinct ones of a block, each document's first word, and the distinct words, lower-cased.
 
-    Words that stood among the last ``RECENT`` ones are left out.
+    Words that stood among the last ``RECENT`` ones of the same document are left out.
     """
     starts, ends, first = word_spans(data, offsets)
     coded = pa.array(word_hashes(data, starts, ends)).dictionary_encode()
@@ -71,11 +71,10 @@ def block_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     seen[index[::-1]] = np.arange(len(index) - 1, -1, -1)
     raw = data.tobytes()
     words = [raw[a:b].decode("utf-8", "replace").lower() for a, b in zip(starts[seen].tolist(), ends[seen].tolist(), strict=True)]
+    document = np.repeat(np.arange(len(first) - 1), np.diff(first))
     fresh = np.ones(len(index), dtype=bool)
     for lag in range(1, RECENT + 1):  # a word that comes again at once adds nothing to a bag
-        fresh[lag:] &= index[lag:] != index[:-lag]
-    if len(index):
-        fresh[first[:-1][np.diff(first) > 0]] = True
+        fresh[lag:] &= (index[lag:] != index[:-lag]) | (document[lag:] != document[:-lag])
     return index[fresh], np.concatenate([[0], np.cumsum(fresh)])[first], words
 
 

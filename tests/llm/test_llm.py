@@ -334,6 +334,15 @@ def test_toxicity(spark, labelled, empty):
     assert toxicity.fit(docs, labels.filter("toxic = 0")) is None and toxicity.reject(empty, labels).count() == 0
 
 
+def test_toxicity_of_a_text_does_not_depend_on_its_neighbours():
+    model, text = toxicity.SubwordSoftmax(), b"one two three four five six"
+    alone = model.score(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    row = model.score(np.frombuffer(text * 3, np.uint8), np.arange(4) * len(text))
+    assert row.tolist() == alone.tolist() * 3
+    _, first, _ = toxicity.block_words(np.frombuffer(text * 3, np.uint8), np.arange(4) * len(text))
+    assert np.diff(first).tolist() == [6, 6, 6]
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_queries_equal_sql(spark, name):
     assert not difference(QUERIES[name](spark, SF).toPandas(), oracle(ORACLE_SQL[name], SF))
