@@ -177,14 +177,20 @@ def with_key(docs: DataFrame):
 def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that stand for their group: one of each group, and every document that is linked with nothing.
 
-    Of rows with equal id and text in one group the first stays.
+    The smallest id of a group stays, and of its rows with that id but other texts any one; of rows with equal id and text the first.
+    Where ids repeat or are null, a row is known by a hash of id and text.
     """
-    keyed = docs.select(*docs.columns, with_key(docs).alias("__cw_key"))
+    odd = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 or doc_id is null").limit(1).count()
+    keyed = docs.select(*docs.columns, (F.xxhash64("doc_id", "text") if odd else with_key(docs)).alias("__cw_key"))
     groups = near_duplicates(keyed.select("doc_id", F.col("__cw_key").alias("key"), "text"), shingle, percent)
-    kept = stored(groups.filter("key = component_key").select(F.col("key").alias("__cw_key")).distinct(), "kept")
+    if odd:  # the hash does not go with the order of ids
+        least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))
+        kept = groups.groupBy("component_id", "component_key").agg(least.alias("least")).select(F.col("least.key").alias("__cw_key"))
+    else:
+        kept = groups.filter("key = component_key").select(F.col("key").alias("__cw_key"))
+    kept = stored(kept.distinct(), "kept")
     chosen = keyed.join(F.broadcast(kept) if kept.count() <= BROADCAST_IDS else kept, "__cw_key", "left_semi")
-    twice = keyed.groupBy("__cw_key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count()
-    return (chosen.dropDuplicates(["__cw_key"]) if twice else chosen).select(*docs.columns)
+    return (chosen.dropDuplicates(["doc_id", "__cw_key"]) if odd else chosen).select(*docs.columns)
 
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

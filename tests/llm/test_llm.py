@@ -224,6 +224,14 @@ def test_keep_one_of_each_group(spark, docs, empty):
     assert near_dedup.keep_one(empty).count() == 0
 
 
+def test_keep_one_of_equal_ids_with_different_texts(spark):
+    a, b, c, d = (prose(80, f"ids{k}") for k in range(4))
+    rows = [(7, a), (7, b), (7, b), (7, c + " tail"), (7, None), (7, ""), (3, a + " tail"), (9, b), (2, d), (-4, c), (None, d), (None, "alone it stands"), (8, "own"), (8, "other")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    want = [(7, b), (7, None), (7, ""), (3, a + " tail"), (2, d), (-4, c), (None, "alone it stands"), (8, "own"), (8, "other")]
+    assert sorted(map(repr, map(tuple, near_dedup.keep_one(df).collect()))) == sorted(map(repr, want))
+
+
 def test_superminhash_estimates_likeness():
     own = np.random.default_rng(1)
     pool = own.integers(0, 1 << 63, size=3000, dtype=np.uint64)
