@@ -5,8 +5,8 @@ its vectors with the word it comes from. Words are averaged over segments of con
 as its worst segment, however long it is. Vectors and softmax are trained together on a bounded sample of labelled documents:
 first on whole documents, then on the worst segment of each.
 
-Training takes at most ``SAMPLE`` documents of each class, the ones whose ids hash lowest, none of the held-out fold, and of a
-text over ``SAMPLE_WORDS`` words that many, from its segments evenly spaced. Every document is scored on its whole text.
+Training takes at most ``SAMPLE`` documents of each class, the ones whose ids hash lowest, none of the held-out fold, with their
+whole texts. Every document is scored on its whole text.
 Null and empty texts have no words and get the score of an empty bag. Repeated rows score alike. An empty table gives
 an empty result; without labels of both classes all scores are 0. Other columns than ``text`` and ``doc_id`` are never read.
 """
@@ -23,10 +23,11 @@ from pyspark.sql import functions as F
 from chronoweave.llm.blocks import lean, mix, ragged_take, text_blocks, word_hashes, word_spans
 from chronoweave.llm.common import crc_of_id, small_batches, table, with_score
 
-SAMPLE = 1_600
-SAMPLE_WORDS = 2_048
+SAMPLE = 2_000
 SEGMENT = 24
 RECENT = 12
+#: Bytes of text that training encodes, and words of bags that a step takes, at once; a longer document counts as one.
+ENCODED, TAKEN = 1 << 20, 1 << 18
 BUCKETS = 1 << 15
 WIDTH = 4
 SIZES = (3, 4, 5)
@@ -101,6 +102,17 @@ def worst(values: np.ndarray, first: np.ndarray, empty: float) -> np.ndarray:
     return out
 
 
+def encoded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """``block_words`` of all texts, encoded in blocks of ``ENCODED`` bytes; the distinct words of all."""
+    known: dict[str, int] = {}
+    parts, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    for _, _, data, offsets in text_blocks(pa.array(texts, pa.large_binary()), ENCODED):
+        index, first, words = block_words(data, offsets)
+        parts.append(np.array([known.setdefault(w, len(known)) for w in words], dtype=np.int32)[index])
+        counts.append(np.diff(first))
+    return np.concatenate(parts), np.concatenate([[0], np.cumsum(np.concatenate(counts))]).astype(np.int64), list(known)
+
+
 class SubwordSoftmax:
     """Subword vectors and a two-class softmax over the mean of a bag."""
 
@@ -115,8 +127,7 @@ class SubwordSoftmax:
 
         Steps are scaled by the largest gradient, not one by one, so subwords that say little stay near where they began.
         """
-        offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-        index, first, words = block_words(np.frombuffer(b"".join(texts), dtype=np.uint8), offsets)
+        index, first, words = encoded(texts)
         if not len(index):
             return
         parts = [subwords(words[at : at + 20_000]) for at in range(0, len(words), 20_000)]
@@ -145,25 +156,14 @@ class SubwordSoftmax:
                 chosen = np.concatenate([top, other])
                 bag_of, bag_starts, bag_lengths = documents[chosen], starts[chosen], lengths[chosen]
                 part = np.concatenate([np.where(labels[documents[top]] == 1, 1.0, 0.5), np.full(len(other), 0.1)])
-            taken = index[ragged_take(np.arange(len(index)), bag_starts, bag_lengths)]
-            used, place = np.unique(taken, return_inverse=True)
-            flat = ragged_take(grams, begins[used], counts[used])
-            of_words = np.add.reduceat(self.vectors[flat], np.cumsum(counts[used]) - counts[used], axis=0) / counts[used][:, None]
-            divisor = np.maximum(bag_lengths, SEGMENT)[:, None]
-            bags = np.add.reduceat(of_words[place], np.cumsum(bag_lengths) - bag_lengths, axis=0) / divisor
-            logits = bags @ self.weights + self.bias
-            logits -= logits.max(axis=1, keepdims=True)
-            odds = np.exp(logits)
-            odds /= odds.sum(axis=1, keepdims=True)
-            odds[np.arange(len(bag_of)), labels[bag_of]] -= 1
-            odds *= (share[bag_of] * part)[:, None]
-            down = (odds @ self.weights.T) / divisor
-            spread = np.repeat(np.arange(len(bag_of)), bag_lengths)
-            per_word = np.stack([np.bincount(place, down[spread, k], minlength=len(used)) for k in range(WIDTH)], axis=1) / counts[used][:, None]
-            wide = np.repeat(np.arange(len(used)), counts[used])
-            of_vectors = np.stack([np.bincount(flat, per_word[wide, k], minlength=BUCKETS) for k in range(WIDTH)], axis=1)
+            gradients = [np.zeros(p.shape) for p in (self.vectors, self.weights, self.bias)]
+            cuts = np.flatnonzero(np.diff(np.cumsum(bag_lengths) // TAKEN)) + 1
+            for some_bags in np.split(np.arange(len(bag_of)), cuts):
+                of, weight = bag_of[some_bags], part[some_bags]
+                for gradient, more in zip(gradients, self._gradients(index, begins, counts, grams, bag_starts[some_bags], bag_lengths[some_bags], labels[of], share[of] * weight), strict=True):
+                    gradient += more
             left = rate * (1 - epoch / (warm + epochs))
-            for parameter, gradient, momentum, step in zip((self.vectors, self.weights, self.bias), (of_vectors, bags.T @ odds, odds.sum(axis=0)), momenta, (left, 0.1 * left, 0.1 * left), strict=True):
+            for parameter, gradient, momentum, step in zip((self.vectors, self.weights, self.bias), gradients, momenta, (left, 0.1 * left, 0.1 * left), strict=True):
                 momentum *= 0.8
                 momentum += gradient
                 parameter -= (step * momentum / (np.abs(momentum).max() + 1e-12)).astype(np.float32)
@@ -171,6 +171,26 @@ class SubwordSoftmax:
         level = segment_means((np.add.reduceat(of_buckets[grams], begins) / counts)[index], starts)
         self._settle(worst(level, first_segment, 0.0) + float(self.bias[1] - self.bias[0]), labels)
 
+    def _gradients(self, index: np.ndarray, begins: np.ndarray, counts: np.ndarray, grams: np.ndarray, starts: np.ndarray, lengths: np.ndarray, labels: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Gradients of vectors, weights and bias, summed over some bags of words ``index[start : start + length]``."""
+        taken = ragged_take(index, starts, lengths)
+        used, place = np.unique(taken, return_inverse=True)
+        flat = ragged_take(grams, begins[used], counts[used])
+        of_words = np.add.reduceat(self.vectors[flat], np.cumsum(counts[used]) - counts[used], axis=0) / counts[used][:, None]
+        divisor = np.maximum(lengths, SEGMENT)[:, None]
+        bags = np.add.reduceat(of_words[place], np.cumsum(lengths) - lengths, axis=0) / divisor
+        logits = bags @ self.weights + self.bias
+        logits -= logits.max(axis=1, keepdims=True)
+        odds = np.exp(logits)
+        odds /= odds.sum(axis=1, keepdims=True)
+        odds[np.arange(len(labels)), labels] -= 1
+        odds *= share[:, None]
+        down = (odds @ self.weights.T) / divisor
+        spread = np.repeat(np.arange(len(labels)), lengths)
+        per_word = np.stack([np.bincount(place, down[spread, k], minlength=len(used)) for k in range(WIDTH)], axis=1) / counts[used][:, None]
+        wide = np.repeat(np.arange(len(used)), counts[used])
+        return np.stack([np.bincount(flat, per_word[wide, k], minlength=BUCKETS) for k in range(WIDTH)], axis=1), bags.T @ odds, odds.sum(axis=0)
+
     def _settle(self, logits: np.ndarray, labels: np.ndarray) -> None:
         """Shift the bias to the middle of the shifts that err least on the training documents; a false alarm costs four times as much."""
         shifts = np.linspace(-4, 4, 161)
@@ -204,22 +224,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, each: int) -
     return docs.select("doc_id", "text").join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")
 
 
-def _shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = []
-        for text in batch.column(2).cast(pa.large_binary()).to_pylist():
-            words = (text or b"").split()
-            if len(words) > SAMPLE_WORDS:
-                step = len(words) / (SAMPLE_WORDS // SEGMENT)
-                words = [w for k in range(SAMPLE_WORDS // SEGMENT) for w in words[int(k * step) : int(k * step) + SEGMENT]]
-            texts.append(b" ".join(words))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.binary())], names=["doc_id", "label", "text"])
-
-
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", each: int = SAMPLE) -> SubwordSoftmax | None:
-    """Train on the sample; its size bounds what reaches the driver."""
+    """Train on the sample; its number of rows bounds what reaches the driver, their texts are whole."""
     small_batches(docs.sparkSession)
-    sample = labelled_sample(docs, labels, label, each).select("doc_id", "label", "text").mapInArrow(lean(_shorten), "doc_id bigint, label int, text binary")
+    sample = labelled_sample(docs, labels, label, each).select(F.col("doc_id").cast("bigint"), "label", F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
     rows = sample.dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")
     known = rows.column("label").to_numpy()
     if len(set(known.tolist())) < 2:

@@ -351,6 +351,22 @@ def test_toxicity_of_a_text_does_not_depend_on_its_neighbours():
     assert np.diff(first).tolist() == [6, 6, 6]
 
 
+def test_toxicity_trains_on_whole_texts(spark):
+    """3,000 words with one rude passage of 10, between segments evenly spaced."""
+    own, rows, labels = random.Random(6), [], []
+    for i in (i for i in range(100) if not held(i)):
+        words = [own.choice(WORDS) for _ in range(3000)]
+        if i % 2:
+            at = int(own.randint(5, 80) * 3000 / 85) + 24
+            words[at : at + 10] = [own.choice(["zorkluxing", "vrexpoulty", "quimwhusker"]) + str(k) for k in range(10)]
+        rows.append((i, " ".join(words)))
+        labels.append((i, i % 2))
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, toxic int"))
+    rude, kind = b"zorkluxing1 vrexpoulty2 quimwhusker3 zorkluxing4 vrexpoulty5 quimwhusker6", prose(24, "kind").encode()
+    scores = model.score(np.frombuffer(rude + kind, np.uint8), np.array([0, len(rude), len(rude) + len(kind)]))
+    assert scores[0] > 0.5 > scores[1]
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_queries_equal_sql(spark, name):
     assert not difference(QUERIES[name](spark, SF).toPandas(), oracle(ORACLE_SQL[name], SF))
