@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from chronoweave.functions import expect
@@ -201,15 +202,21 @@ def _(s, d):
     return s.createDataFrame([(c,) for c in ingest.schema_of(s, f"{d}/lineitem.parquet")], "name string")
 
 
+#: Most events of one archive.
+ARCHIVE = 10_000
+
+
 @query("s5_log_archives", with_(EV) + "SELECT CAST(session AS VARCHAR) AS path, seq - 1 AS seq, event AS source, time_us FROM (SELECT session, event, time_us, row_number() OVER (PARTITION BY session ORDER BY time_us, seq) + 1 AS seq FROM ev)")
 def _(s, d):
-    """Archives are packed from the events of each session, one per row, and decoded."""
-    entry = lambda source, elapsed: F.concat(F.unhex(F.lit("09000000")), F.unhex(F.lpad(F.hex(source), 2, "0")), F.unhex(F.array_join(F.reverse(F.regexp_extract_all(F.lpad(F.hex(elapsed), 16, "0"), F.lit("(..)"), F.lit(1))), "")))
+    """Archives are packed from the events of each session, ``ARCHIVE`` at most in one, one per row, and decoded."""
+    entry = lambda source, elapsed: F.concat(F.lit("09000000"), F.lpad(F.hex(source), 2, "0"), F.array_join(F.reverse(F.regexp_extract_all(F.lpad(F.hex(elapsed), 16, "0"), F.lit("(..)"), F.lit(1))), ""))
     base = 1_600_000_000_000_000
-    rows = stream(s, d).groupBy("session").agg(F.array_sort(F.collect_list(F.struct("time_us", "seq", "event"))).alias("e"))
-    body = F.aggregate(F.transform("e", lambda x: entry(x["event"], x["time_us"] - base)), F.unhex(F.lit("")), lambda a, x: F.concat(a, x))
-    files = rows.select(F.col("session").cast("string").alias("path"), F.concat(entry(F.lit(0), F.lit(base)), body).alias("content"))
-    return ingest.messages(files).select("path", "seq", "source", "time_us")
+    place = F.row_number().over(Window.partitionBy("session").orderBy("time_us", "seq", "event"))
+    rows = stream(s, d).withColumn("piece", F.floor((place - 1) / ARCHIVE)).groupBy("session", "piece").agg(F.array_sort(F.collect_list(F.struct("time_us", "seq", "event"))).alias("e"))
+    body = F.array_join(F.transform("e", lambda x: entry(x["event"], x["time_us"] - base)), "")
+    files = rows.select(F.concat_ws("/", "session", "piece").alias("path"), F.unhex(F.concat(entry(F.lit(0), F.lit(base)), body)).alias("content"))
+    before = F.substring_index("path", "/", -1).cast("bigint") * ARCHIVE
+    return ingest.messages(files).select(F.substring_index("path", "/", 1).alias("path"), (before + F.col("seq")).alias("seq"), "source", "time_us")
 
 
 @query("s6_module_messages", with_(EV) + "SELECT session, time_us, seq, CAST(event AS INTEGER) AS event FROM ev WHERE event = 60")

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 import struct
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from chronoweave.functions.expect import violations
 
@@ -95,10 +98,31 @@ def name_collisions(cameras: DataFrame) -> DataFrame:
 
 
 def session_digests(files: DataFrame, excluded: list[str]) -> DataFrame:
-    """One digest of all files of a session in order of their paths; sessions with excluded files only have none."""
+    """One digest of all files of a session in order of their paths; sessions with excluded files only have none.
+
+    The digest runs over sorted lines as they come, so no session is held in memory; by its definition one task reads all lines of a session.
+    """
     own = files.filter(~F.col("name").isin(excluded)).select("session", "path", F.sha2("content", 256).alias("digest"))
-    listed = F.array_sort(F.collect_list(F.struct("path", "digest")))
-    return own.groupBy("session").agg(F.sha2(F.array_join(F.transform(listed, lambda x: F.concat_ws(" ", x["path"], x["digest"])), "\n"), 256).alias("digest"))
+    lines = own.repartition("session").sortWithinPartitions("session", "path", "digest").select("session", F.concat_ws(" ", "path", "digest").alias("line"))
+    kind = StructType([files.schema["session"]])
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by session; a session may go on in the next batch."""
+        total, session, schema = None, None, None
+        for batch in batches:
+            schema, done = batch.schema, []
+            for here, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if total is None or here != session:
+                    if total is not None:
+                        done.append((session, total.hexdigest()))
+                    total, session = hashlib.sha256(line.encode()), here
+                else:
+                    total.update(b"\n" + line.encode())
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in done], schema.field(0).type), pa.array([x[1] for x in done], pa.string())], names=["session", "digest"])
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([session], schema.field(0).type), pa.array([total.hexdigest()], pa.string())], names=["session", "digest"])
+
+    return lines.mapInArrow(digest, kind.add("digest", "string"))
 
 
 def has_data(files: DataFrame, excluded: list[str]) -> DataFrame:

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import random
 
 import numpy as np
 import pytest
+from compare import difference, oracle
+from conftest import SF
 from pyspark.sql import functions as F
 
 from chronoweave.functions import expect, registry
 from chronoweave.functions.ordering import natural_sort
 from chronoweave.operators import asof, assemble, graph, imaging, pose, runtime_log, scheduler, streams, video
+from chronoweave.plans import assembly_queries
+from chronoweave.plans.registry import ORACLE_SQL, QUERIES
 from chronoweave.sources import ingest
 
 
@@ -214,3 +219,27 @@ def test_expectations_and_registry(spark):
 def test_rewards_of_empty_table(spark):
     empty = spark.createDataFrame([], "session int, frame bigint, time_us bigint, volume double, tone_state int")
     assert assemble.reward_classes(empty).count() == 0
+
+
+def test_session_digests_hold_no_session(spark, capsys):
+    rows = [(f"s{i % 3}" if i % 4 else None, f"p{i * 7919 % 1000}", "skip" if i % 10 == 0 else "data", str(i % 50).encode()) for i in range(900)] + [("only", "p", "skip", b"x")]
+    files = spark.createDataFrame(rows, "session string, path string, name string, content binary").repartition(7)
+    got = ingest.session_digests(files, ["skip"])
+    want = {}
+    for session, path, name, content in sorted(rows, key=lambda r: r[1]):
+        if name != "skip":
+            want.setdefault(session, []).append(f"{path} {hashlib.sha256(content).hexdigest()}")
+    assert {r["session"]: r["digest"] for r in got.collect()} == {k: hashlib.sha256("\n".join(v).encode()).hexdigest() for k, v in want.items()}
+    assert got.columns == ["session", "digest"] and ingest.session_digests(files.limit(0), []).count() == 0
+    capsys.readouterr()
+    got.explain()
+    assert "collect_list" not in capsys.readouterr().out
+
+
+def test_archives_are_bounded(spark, monkeypatch):
+    sizes, decode = [], ingest.messages
+    monkeypatch.setattr(assembly_queries, "ARCHIVE", 7, raising=False)
+    monkeypatch.setattr(ingest, "messages", lambda files: sizes.append(files.agg(F.max(F.length("content"))).first()[0]) or decode(files))
+    got = QUERIES["s5_log_archives"](spark, SF).toPandas()
+    assert not difference(got, oracle(ORACLE_SQL["s5_log_archives"], SF))
+    assert sizes == [8 * 13]
