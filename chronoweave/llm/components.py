@@ -45,11 +45,14 @@ def components(links: DataFrame) -> DataFrame:
             break
         seen = tuple(now)
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        # Stored, so that the joins by node are between plain shuffles and a hub is split.
+        least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "least")
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        small = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = stored(large, "large")
+        small = stored(large.groupBy("u").agg(F.min("v").alias("m")), "small")
         joined = large.join(small, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         following = stored(joined.select("e.*").filter("u <> v").distinct(), "forest")
-        discard(edges)
+        for done in (edges, least, large, small):
+            discard(done)
         edges = following
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -1,10 +1,15 @@
 """Near-duplicate groups of documents: SuperMinHash, banding, verification on full sets, union-find.
 
-A document stands for its set of distinct word shingles; equal sets are one class from the start. Signatures are cut into bands, and
-classes that share a band are candidates. Candidates are grouped, not paired: connected candidates form a unit; a unit over
-``UNIT`` classes is taken apart into its single bands, and a band over ``UNIT`` into square blocks, so that a task never holds more
-than two blocks. Inside, classes are compared on their full sets with union-find, which leaves out pairs that are already
-connected, and only a spanning forest of confirmed links is emitted. The number of rows stays linear in the classes of a unit.
+A document stands for its set of distinct word shingles; equal sets are one class from the start, known by 128 bits of hash.
+Signatures are cut into bands, and classes that share a band are candidates. Candidates are grouped, not paired: connected candidates
+form a unit, and a unit is cut into blocks of about ``UNIT`` classes. The first block holds the unit's representatives:
+every other block is compared with it alone, so each class is sent once and the representatives once a block. That joins large
+groups of near copies at linear cost. Only a class that is not in the largest group of one of its bands then is compared with all
+of that band. Inside a task, sets are compared with union-find, which leaves out pairs that are already connected, and only a
+spanning forest of confirmed links is emitted.
+
+What can still grow faster than the classes: bands of over ``UNIT`` classes in which many are linked with no representative, that is,
+many documents that are alike to about half. Their rows are (classes without link) x (blocks of the band).
 
 With ``rows`` and ``bands`` of the defaults a pair at the threshold is missed with a probability of about 2e-7; pairs above it less.
 
@@ -32,12 +37,13 @@ from chronoweave.llm.superminhash import band_hashes, shingle_sets, signatures
 UNIT = 1024
 #: Most ids of candidates that are broadcast (16 MB); beyond, texts are joined by shuffle.
 BROADCAST_IDS = 2_000_000
+_OTHER = np.uint64(0xA5A3564E27F8A1D3)
 
 
-def _set_id(values: np.ndarray) -> int:
-    total = np.bitwise_xor.reduce(mix(values)) if len(values) else np.uint64(0)
-    pair = np.array([total, values.sum(dtype=np.uint64) + np.uint64(len(values))], dtype=np.uint64)
-    return int(mix(mix(pair[:1]) + pair[1:])[0].view(np.int64))
+def _set_ids(sets: list[np.ndarray]) -> list[pa.Array]:
+    """Two independent hashes of each set, whatever the order of its values."""
+    pairs = np.array([(np.bitwise_xor.reduce(mix(s)), mix(s ^ _OTHER).sum(dtype=np.uint64)) if len(s) else (0, 0) for s in sets], dtype=np.uint64).reshape(-1, 2)
+    return [pa.array(np.ascontiguousarray(pairs[:, k]).view(np.int64)) for k in (0, 1)]
 
 
 def _long_lists(parts: list[np.ndarray]) -> pa.Array:
@@ -52,8 +58,8 @@ def _sketches(shingle: int, bands: int, rows: int):
                 hashes = band_hashes(signatures(sets, bands * rows), bands, rows)
                 sizes = np.array([len(s) for s in sets], dtype=np.int64)
                 columns = [batch.column(0).slice(begin, end - begin), batch.column(1).slice(begin, end - begin), pa.array(sizes)]
-                columns += [pa.array([_set_id(s) for s in sets], pa.int64()), _long_lists([h if len(s) else h[:0] for h, s in zip(hashes, sets, strict=True)])]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "n_shingles", "set_id", "bands"])
+                columns += [*_set_ids(sets), _long_lists([h if len(s) else h[:0] for h, s in zip(hashes, sets, strict=True)])]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "n_shingles", "set_a", "set_b", "bands"])
 
     return sketch
 
@@ -62,7 +68,7 @@ def _full_sets(shingle: int):
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, sets in shingle_sets(batch.column(0), shingle):
-                yield pa.RecordBatch.from_arrays([pa.array([_set_id(s) for s in sets], pa.int64()), _long_lists(sets)], names=["set_id", "shingles"])
+                yield pa.RecordBatch.from_arrays([*_set_ids(sets), _long_lists(sets)], names=["set_a", "set_b", "shingles"])
 
     return collect
 
@@ -124,49 +130,69 @@ def _compare(percent: int):
     return compare
 
 
+def _links(cells: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links inside cells. ``cells`` has ``unit, block, other, node``: a class of one block that meets another block."""
+    ordered = cells.select("unit", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node")
+    whole = ordered.join(classes.select("node", "set_a", "set_b"), "node").join(sets, ["set_a", "set_b"])
+    dealt = whole.select("unit", "low", "high", "block", "node", "shingles").repartition("unit", "low", "high").sortWithinPartitions("unit", "low", "high", "node")
+    return stored(dealt.mapInArrow(lean(_compare(percent)), "u bigint, v bigint"), "links")
+
+
+def _remaining(members: DataFrame, large: DataFrame, joined: DataFrame) -> DataFrame:
+    """Cells, band by band, of the classes outside their band's largest group, each with all blocks of the band."""
+    rooted = members.join(large, "node").select("band", "node").join(joined, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
+    rooted = stored(rooted, "rooted")
+    groups = rooted.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
+    main = groups.groupBy("band").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("inside"), (F.sum("n") - F.max("n")).alias("outside"))
+    main = stored(main.filter("outside > 0"), "main")
+    blocks = lambda n: F.ceil(F.col(n) / UNIT).cast("int")
+    part = lambda n: F.pmod(F.xxhash64("node"), blocks(n)).cast("int")
+    out = F.col("root") != F.col("main")
+    block = F.when(out, part("outside")).otherwise(blocks("outside") + part("inside"))
+    others = F.sequence(F.lit(0), F.when(out, blocks("outside") + blocks("inside")).otherwise(blocks("outside")) - 1)
+    return rooted.join(main, "band").select(F.col("band").alias("unit"), block.alias("block"), F.explode(others).alias("other"), "node")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 26, rows: int = 4) -> DataFrame:
-    """``doc_id, key, n_shingles, set_id, component_id, component_key`` of every row of ``docs (doc_id, key, text)``.
+    """``doc_id, key, n_shingles, component_id, component_key`` of every row of ``docs (doc_id, key, text)``.
 
     ``key`` is a number that is never null and goes with the order of ``doc_id``. Sets are linked if
-    ``100 * intersection >= percent * union``.
+    ``100 * intersection >= percent * union``. Tables that are joined by keys that may be hot are stored first, so that
+    Spark can split such keys.
     """
     small_batches(docs.sparkSession)
-    sketches = stored(docs.select("doc_id", "key", "text").mapInArrow(lean(_sketches(shingle, bands, rows)), "doc_id bigint, key bigint, n_shingles bigint, set_id bigint, bands array<bigint>"), "sketches")
-    classes = sketches.filter("n_shingles > 0").groupBy("set_id").agg(F.min("key").alias("key"), F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
-    in_band = classes.select("set_id", "key", F.explode("bands").alias("band"))
-    shared = in_band.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("set_id").alias("least")).filter("n > 1")
-    members = stored(in_band.join(shared, "band").select("band", "set_id", "key", "n", "least"), "members")
-
-    candidates = components(members.select(F.col("set_id").alias("u"), F.col("least").alias("v")).filter("u <> v"))
-    crowds = candidates.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    placed = candidates.join(crowds, "root").select(F.col("node").alias("set_id"), "root", "size")
-    together = placed.filter(F.col("size") <= UNIT).select(F.col("root").alias("unit"), "size", "set_id")
-    apart = members.join(placed.filter(F.col("size") > UNIT).select("set_id"), "set_id").select(F.col("band").alias("unit"), F.col("n").alias("size"), "set_id")
-    units = together.unionByName(apart).withColumn("blocks", F.ceil(F.col("size") / UNIT).cast("int"))
-    units = units.withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
-    cells = units.select("unit", "set_id", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    cells = cells.select("unit", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "set_id")
+    sketches = docs.select("doc_id", "key", "text").mapInArrow(lean(_sketches(shingle, bands, rows)), "doc_id bigint, key bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>")
+    sketches = stored(sketches, "sketches")
+    filled = sketches.filter("n_shingles > 0")
+    classes = filled.groupBy("set_a", "set_b").agg(F.min("key").alias("key"), F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
+    classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    in_band = classes.select("node", "key", F.explode("bands").alias("band"))
+    shared = stored(in_band.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("least")).filter("n > 1"), "shared")
+    members = stored(in_band.join(shared, "band").select("band", "node", "key", "least"), "members")
+
+    candidates = components(members.select(F.col("node").alias("u"), F.col("least").alias("v")).filter("u <> v"))
+    crowds = stored(candidates.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / UNIT).cast("int").alias("blocks")), "crowds")
+    placed = candidates.join(crowds, "root").select(F.col("root").alias("unit"), "node", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
+    met = F.when(F.col("block") == 0, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.lit(0)))
 
     wanted = stored(members.select("key").distinct(), "wanted")
     if wanted.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
-    sets = docs.join(wanted, "key", "left_semi").select("text").mapInArrow(lean(_full_sets(shingle)), "set_id bigint, shingles array<bigint>")
-    whole = cells.join(sets, "set_id").select("unit", "low", "high", "block", "set_id", "shingles")
-    dealt = whole.repartition("unit", "low", "high").sortWithinPartitions("unit", "low", "high", "set_id")
-    links = dealt.mapInArrow(lean(_compare(percent)), "u bigint, v bigint")
-
+    sets = docs.join(wanted, "key", "left_semi").select("text").mapInArrow(lean(_full_sets(shingle)), "set_a bigint, set_b bigint, shingles array<bigint>")
+    sets = sets.dropDuplicates(["set_a", "set_b"])
+    links = _links(placed.select("unit", "block", F.explode(met).alias("other"), "node"), classes, sets, percent)
     joined = components(links)
-    least = classes.select("set_id", "key", "doc_id").join(joined.withColumnRenamed("node", "set_id"), "set_id")
-    least = least.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.min("key").alias("component_key"))
-    linked = joined.join(least, "root").select(F.col("node").alias("set_id"), "component_id", "component_key")
-    own = classes.select("set_id", F.col("doc_id").alias("own_id"), F.col("key").alias("own_key"))
-    groups = own.join(linked, "set_id", "left").select("set_id", F.coalesce("component_id", "own_id").alias("component_id"), F.coalesce("component_key", "own_key").alias("component_key"))
-    empty = F.col("n_shingles") == 0
-    return sketches.join(groups, "set_id", "left").select(
-        "doc_id", "key", "n_shingles", "set_id",
-        F.when(empty, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        F.when(empty, F.col("key")).otherwise(F.col("component_key")).alias("component_key"),
-    )
+    if crowds.filter("blocks > 1").limit(1).count():
+        links = links.unionByName(_links(_remaining(members, placed.filter("blocks > 1").select("node"), joined), classes, sets, percent))
+        joined = components(links)
+
+    least = classes.select("node", "key", "doc_id").join(joined, "node").groupBy("root").agg(F.min("doc_id").alias("component_id"), F.min("key").alias("component_key"))
+    linked = joined.join(stored(least, "least"), "root").select("node", "component_id", "component_key")
+    own = classes.select("node", "set_a", "set_b", F.col("doc_id").alias("own_id"), F.col("key").alias("own_key"))
+    groups = own.join(linked, "node", "left").select("set_a", "set_b", F.coalesce("component_id", "own_id").alias("component_id"), F.coalesce("component_key", "own_key").alias("component_key"))
+    found = filled.select("doc_id", "key", "n_shingles", "set_a", "set_b").join(stored(groups, "groups"), ["set_a", "set_b"]).drop("set_a", "set_b")
+    empty = sketches.filter("n_shingles = 0").select("doc_id", "key", "n_shingles", F.col("doc_id").alias("component_id"), F.col("key").alias("component_key"))
+    return found.unionByName(empty)
 
 
 def with_key(docs: DataFrame):
