@@ -33,8 +33,8 @@ _SEPARATOR = "\u2063"
 class ChunkEncoder(ChunkCache):
     """Encodes distinct chunks with the model of a tokenizer file.
 
-    Chunks of code points under 256 are split here and their pieces go to the library's model in one call; any other chunk goes
-    through the whole tokenizer. Special tokens that stand in a text are ordinary text.
+    Chunks of code points under 256 are split here and their pieces go to the library's model in one call; any other chunk, and one
+    that holds the text of an added token, goes through the whole tokenizer, which gives that token its own id.
     """
 
     def __init__(self, path: str) -> None:
@@ -43,7 +43,7 @@ class ChunkEncoder(ChunkCache):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [token.content.encode() for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.bare = Tokenizer(self.tokenizer.model)
         self.words = self.tokenizer.normalizer is not None
         self.split = _SPLITS["words" if self.words else "bytes"]
@@ -57,7 +57,7 @@ class ChunkEncoder(ChunkCache):
         findall = self.split.findall
         for i, chunk in enumerate(chunks):
             text = chunk.decode("utf-8", "replace")
-            if not (text.isascii() or max(text) < "\u0100"):
+            if not (text.isascii() or max(text) < "\u0100") or any(token in chunk for token in self.added):
                 others[i] = self.tokenizer.encode(text, add_special_tokens=False).ids
                 continue
             if self.words:

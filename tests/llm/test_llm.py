@@ -31,7 +31,7 @@ def prose(n, seed):
 
 PASSAGE = prose(60, "p")
 TEXTS = [
-    None, "", " \t\n", "one", "One two", "été à la plage, déjà vu! 日本 語 ½ x²  it's I'LL\n\n\tend ", "<|endoftext|> is text", "a" * 3000, "ab" * 40 + " \x85 x  y",
+    None, "", " \t\n", "one", "One two", "été à la plage, déjà vu! 日本 語 ½ x²  it's I'LL\n\n\tend ", "<|endoftext|> is  <|endoftext|>x<|startoftext|> a token", "a" * 3000, "ab" * 40 + " \x85 x  y",
     *[prose(120, k) for k in range(6)], prose(120, 0), prose(120, 0), prose(120, 1).upper(), prose(50, 20) + " " + PASSAGE + " " + prose(40, 21), prose(33, 22) + "\n" + PASSAGE + "\tz " + prose(9, 23),
     prose(120, 2).replace(prose(120, 2).split()[7], "zz", 1), prose(120, 2) + " tail", " ".join(["re pe at"] * 60), prose(4000, 30), "x " * 34 + "x", "y " * 35 + "y",
 ]
@@ -100,9 +100,10 @@ def test_chunks_tile_any_text():
 
     letters = "aab é  　日\n\t.,'s1½\x1c\x85😀ß"
     texts = ["".join(rng.choices(letters, k=rng.randint(0, 30))) for _ in range(400)]
+    special = [*letters, "<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|endoftext", " "]
+    texts += ["".join(rng.choices(special, weights=[1] * len(letters) + [4] * 5, k=rng.randint(0, 30))) for _ in range(400)]
     for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
         peer = Tokenizer.from_file(P.path(name))
-        peer.encode_special_tokens = True
         cache = ChunkEncoder.load(P.path(name))
         got = [x.tolist() for _, _, d, o in blocks.text_blocks(pa.array(texts), 500) for x in blocks.encode_block(d, o, cache)]
         assert got == [peer.encode(t, add_special_tokens=False).ids for t in texts]
@@ -112,7 +113,6 @@ def test_token_files(spark, docs, empty):
     from tokenizers import Tokenizer
 
     peer = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    peer.encode_special_tokens = True
     path = scratch(spark, "tokens")
     token_files.write_token_files(docs, path, P.path("byte_bpe_50k.json"))
     rows = token_files.read_token_files(spark, path).orderBy("doc_id").collect()
