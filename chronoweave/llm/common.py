@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -16,9 +17,11 @@ from chronoweave.llm.blocks import lean, text_blocks
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder that ``spark.checkpoint.dir`` names; a local session without one gets a temporary folder."""
+    """A new path in the shared folder that ``spark.checkpoint.dir`` names; without one a local session gets a temporary folder, a cluster an error."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="chronoweave-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -47,9 +50,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def crc_of_id(column: str = "doc_id"):
-    """crc32 of an id as text; the fold of a labelled row is this modulo 5."""
-    return F.crc32(F.col(column).cast("string").cast("binary"))
+def held_out(column: str = "doc_id"):
+    """Whether crc32 of an id as text is 0 modulo 5; a row without id, which can't have labels, is not held out."""
+    return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+def known_labels(labels: DataFrame, label: str) -> DataFrame:
+    """``doc_id, label`` of the ids that are not held out; of several labels of an id the largest counts."""
+    usable = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
+    return usable.groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("label"))
 
 
 def discard(df: DataFrame) -> None:

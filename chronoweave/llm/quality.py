@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoweave.llm.blocks import lean, mix, text_blocks, word_hashes
-from chronoweave.llm.common import crc_of_id, small_batches, table, with_score
+from chronoweave.llm.common import held_out, known_labels, small_batches, table, with_score
 
 SAMPLE = 12_000
 BUCKETS = 1 << 13
@@ -189,11 +189,10 @@ def _feature_rows(vectors: np.ndarray):
 
 
 def fit(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, label: str = "quality", most: int = SAMPLE) -> TwoLayers | None:
-    """Train on at most ``most`` labelled documents; of each only the features reach the driver."""
-    known = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (crc_of_id() % 5 != 0)).select("doc_id", F.col(label).cast("int").alias("label")).dropDuplicates(["doc_id"])
-    chosen = known.orderBy(F.xxhash64("doc_id", F.lit(label)), "doc_id").limit(most)
+    """Train on at most ``most`` labelled documents; of each only the features reach the driver, of several texts of an id the least."""
+    chosen = known_labels(labels, label).orderBy(F.xxhash64("doc_id", F.lit(label)), "doc_id").limit(most)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(F.col("doc_id").cast("bigint"), "label", "text")
-    sample = rows.mapInArrow(lean(_feature_rows(vectors)), "doc_id bigint, label int, x array<float>").dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")
+    sample = rows.mapInArrow(lean(_feature_rows(vectors)), "doc_id bigint, label int, x array<float>").groupBy("doc_id").agg(F.first("label").alias("label"), F.min("x").alias("x")).toArrow().sort_by("doc_id")
     y = sample.column("label").to_numpy().astype(np.float64)
     if len(set(y.tolist())) < 2:
         return None
@@ -230,4 +229,4 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     vectors = word_vectors(docs)
     scores = score_documents(docs, vectors, fit(docs, table(spark, sf_dir, "labels"), vectors))
-    return scores.select("doc_id", (crc_of_id() % 5 == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    return scores.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoweave.llm.blocks import lean, mix, ragged_take, text_blocks, word_hashes, word_spans
-from chronoweave.llm.common import crc_of_id, small_batches, table, with_score
+from chronoweave.llm.common import held_out, known_labels, small_batches, table, with_score
 
 SAMPLE = 2_000
 SEGMENT = 24
@@ -218,17 +218,20 @@ def score_block(data: np.ndarray, offsets: np.ndarray, levels: np.ndarray, bias:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, each: int) -> DataFrame:
-    """``doc_id, label, text`` of at most ``each`` documents of each class that are not held out, those whose ids hash lowest."""
-    known = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (crc_of_id() % 5 != 0)).select("doc_id", F.col(label).cast("int").alias("label")).dropDuplicates(["doc_id"])
+    """``doc_id, label, text`` of at most ``each`` documents of each class that are not held out, those whose ids hash lowest.
+
+    Of several texts of an id the one with the lowest hash counts.
+    """
+    known = known_labels(labels, label)
     chosen = [known.filter(F.col("label") == k).orderBy(F.xxhash64("doc_id", F.lit(label)), "doc_id").limit(each) for k in (0, 1)]
-    return docs.select("doc_id", "text").join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")
+    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text")).join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")
+    return rows.groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.first("label").alias("label"), F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", each: int = SAMPLE) -> SubwordSoftmax | None:
     """Train on the sample; its number of rows bounds what reaches the driver, their texts are whole."""
     small_batches(docs.sparkSession)
-    sample = labelled_sample(docs, labels, label, each).select(F.col("doc_id").cast("bigint"), "label", F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
-    rows = sample.dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")
+    rows = labelled_sample(docs, labels, label, each).toArrow().sort_by("doc_id")
     known = rows.column("label").to_numpy()
     if len(set(known.tolist())) < 2:
         return None
@@ -267,4 +270,4 @@ def reject(docs: DataFrame, labels: DataFrame, most: float = 0.5) -> DataFrame:
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scores = score_documents(docs, fit(docs, table(spark, sf_dir, "labels")))
-    return scores.select("doc_id", (crc_of_id() % 5 == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return scores.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
