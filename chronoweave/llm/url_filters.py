@@ -1,16 +1,17 @@
 """URL filters, in DataFrame functions alone.
 
-Pattern rules are indexed by one literal token each: of the tokens that every match must hold, the one that fewest URLs of the table hold.
-The tokens of a URL fetch candidate rules from that index, and only those run their regular expression. A short list of host rules
-goes before: the longest one that fits decides, patterns decide the rest.
+Rules are patterns on the whole URL and rules of host and path. Both are indexed by one literal token each: of the tokens that every match
+must hold, the one that fewest URLs of the table hold. The tokens of a URL fetch candidate rules from that index, and only those are
+tried. The longest rule of host and path that fits decides; patterns decide the rest.
 
 Every distinct URL is judged once, so a URL that many pages share costs one row; counts by token are summed before they are shuffled.
-Null URLs and URLs without ``://`` have an empty host and path; a null URL fits no pattern. Repeated rows get the same
-verdict. An empty table gives an empty result. Columns besides ``page_id`` and ``url`` are not read.
+Null URLs and URLs without ``://`` have an empty host and path, which no rule fits; a null URL fits no pattern. Repeated rows get the same
+verdict. An empty table gives an empty result. Columns besides ``page_id`` and ``url`` are not read. A rule without any token is refused.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -73,44 +74,52 @@ def path_of(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)).otherwise("")
 
 
-def longest_rule(host: Column, path: Column, rules: list[HostRule]) -> Column:
-    """``struct<size, tie, rule, verdict>`` of the longest rule that fits, else null; of equally long ones a block goes first."""
-    entries = F.array(*[F.struct(F.lit(len(r.host + r.path)).alias("size"), F.lit(int(r.verdict == "block")).alias("tie"), F.lit(r.host + r.path).alias("rule"), F.lit(r.verdict).alias("verdict"), F.lit(r.host).alias("host"), F.lit(r.path).alias("path")) for r in rules])
-    fits = F.filter(entries, lambda r: ((host == r["host"]) | F.endswith(host, F.concat(F.lit("."), r["host"]))) & F.startswith(path, r["path"]))
-    return F.array_max(fits)
-
-
 def url_tokens(url: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(url), F.lit("[a-z0-9]+"), F.lit(0)))
 
 
-def pattern_index(tokens: DataFrame, patterns: list[Pattern]) -> DataFrame:
-    """``token, name, regex``: each rule under the token of its own that fewest URLs hold. ``tokens`` has ``url, token``."""
-    spark = tokens.sparkSession
-    literals = spark.createDataFrame([(t, p.name, p.regex) for p in patterns for t in p.tokens], "token string, name string, regex string")
+def rule_tokens(rule: HostRule) -> tuple[str, ...]:
+    """Tokens that each match holds whole: those of the host, and of the path but for one that it may go on behind."""
+    return tuple(re.findall("[a-z0-9]+", rule.host) + re.findall("[a-z0-9]+(?=[^a-z0-9])", rule.path.lower()))
+
+
+_RULE = "token string, name string, regex string, rule string, verdict string, host string, path string"
+
+
+def rule_index(tokens: DataFrame, rules: list[HostRule], patterns: list[Pattern]) -> DataFrame:
+    """``_RULE`` rows: each rule under the token of its own that fewest URLs hold. ``tokens`` has ``url, token``."""
+    rows = [(t, p.name, p.regex, None, None, None, None) for p in patterns for t in p.tokens]
+    rows += [(t, None, None, r.host + r.path, r.verdict, r.host, r.path) for r in rules for t in rule_tokens(r)]
+    if len({r[1:] for r in rows}) < len({*rules}) + len({*patterns}):
+        raise ValueError("a rule without tokens can't be indexed")
+    literals = tokens.sparkSession.createDataFrame(rows, _RULE)
     wanted = literals.select("token").distinct()
-    counts = tokens.join(F.broadcast(wanted) if len(patterns) <= BROADCAST_RULES else wanted, "token").groupBy("token").agg(F.count(F.lit(1)).alias("urls"))
+    counts = tokens.join(F.broadcast(wanted) if len(rows) <= BROADCAST_RULES else wanted, "token").groupBy("token").agg(F.count(F.lit(1)).alias("urls"))
     ranked = literals.join(counts, "token", "left").withColumn("urls", F.coalesce("urls", F.lit(0)))
-    return ranked.groupBy("name", "regex").agg(F.min(F.struct("urls", "token")).getField("token").alias("token"))
+    rarest = F.min(F.struct("urls", "token")).getField("token").alias("token")
+    return ranked.groupBy([c for c in literals.columns if c != "token"]).agg(rarest).select(*literals.columns)
 
 
-def matched_urls(pages: DataFrame, patterns: list[Pattern] = PATTERNS) -> DataFrame:
-    """``url, pattern``: every URL that some pattern fits, with the first such name."""
+def matched_urls(pages: DataFrame, rules: list[HostRule], patterns: list[Pattern] = PATTERNS) -> DataFrame:
+    """``url, rule, verdict, pattern`` of every URL that something fits: its longest rule, a block first of equally long ones, and the first pattern."""
     urls = pages.select("url").filter(F.col("url").isNotNull()).distinct()
     tokens = urls.select("url", F.explode(url_tokens(F.col("url"))).alias("token"))
-    index = pattern_index(tokens, patterns)
-    candidates = tokens.join(F.broadcast(index) if len(patterns) <= BROADCAST_RULES else index, "token")
-    return candidates.filter(F.rlike(F.lower("url"), F.col("regex"))).groupBy("url").agg(F.min("name").alias("pattern"))
+    index = rule_index(tokens, rules, patterns)
+    candidates = tokens.join(F.broadcast(index) if len(rules) + len(patterns) <= BROADCAST_RULES else index, "token")
+    host, path = host_of(F.col("url")), path_of(F.col("url"))
+    in_host = ((host == F.col("host")) | F.endswith(host, F.concat(F.lit("."), "host"))) & F.startswith(path, F.col("path"))
+    fits = F.when(F.col("regex").isNotNull(), F.rlike(F.lower("url"), F.col("regex"))).otherwise(in_host)
+    longest = F.max(F.when(F.col("rule").isNotNull(), F.struct(F.char_length("rule").alias("size"), F.col("verdict") == "block", "rule", "verdict")))
+    found = candidates.filter(fits).groupBy("url").agg(longest.alias("one"), F.min("name").alias("pattern"))
+    return found.select("url", "one.rule", "one.verdict", "pattern")
 
 
 def judge(pages: DataFrame, rules: list[HostRule], patterns: list[Pattern] = PATTERNS) -> DataFrame:
     """``page_id, host, path, rule, verdict, pattern`` of every page."""
-    matched = stored(matched_urls(pages, patterns), "matched-urls")
-    parted = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    parted = parted.withColumns({"host": F.coalesce("host", F.lit("")), "path": F.coalesce("path", F.lit(""))})
-    decided = parted.withColumn("__cw_rule", longest_rule(F.col("host"), F.col("path"), rules)).join(matched, "url", "left")
+    matched = stored(matched_urls(pages, rules, patterns), "matched-urls")
+    parted = pages.select("page_id", "url", F.coalesce(host_of(F.col("url")), F.lit("")).alias("host"), F.coalesce(path_of(F.col("url")), F.lit("")).alias("path"))
     by_pattern = F.when(F.col("pattern").isNotNull(), "block").otherwise("allow")
-    return decided.select("page_id", "host", "path", F.col("__cw_rule.rule").alias("rule"), F.coalesce("__cw_rule.verdict", by_pattern).alias("verdict"), "pattern")
+    return parted.join(matched, "url", "left").select("page_id", "host", "path", "rule", F.coalesce("verdict", by_pattern).alias("verdict"), "pattern")
 
 
 RULES = [HostRule("allow", "org", "/"), HostRule("block", "example.org", "/es/"), HostRule("block", "example.org", "/en/1"), HostRule("allow", "com", "/fr/"), HostRule("block", "com", "/de/")]

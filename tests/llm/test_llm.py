@@ -346,6 +346,31 @@ def test_url_filters(spark):
     assert url_filters.judge(df, url_filters.RULES).count() == len(urls) + 1 and url_filters.judge(df.limit(0), url_filters.RULES).count() == 0
 
 
+def test_host_rules_equal_brute_force(spark):
+    """Random rules and URLs over few labels; rules go through the index, the peer tries them all."""
+    own = random.Random(17)
+    labels, parts = ["a", "b", "x-y", "com", "org", "n1"], ["", "e", "en", "en/", "en/1", "EN/1", "d-e/f"]
+    rules = {}
+    for _ in range(40):
+        host, path = ".".join(own.choices(labels, k=own.randint(1, 3))), "/" + own.choice(parts)
+        rules[host, path] = url_filters.HostRule(own.choice(["allow", "block"]), host, path)
+    urls = [own.choice(["http://", "HTTPS://", "", "://"]) + ".".join(own.choices([*labels, "Com", "A"], k=own.randint(1, 4))) + own.choice(["", "?q", "#f", "/"]) + own.choice(parts) + own.choice(["", "2", "?z", "/en/1"]) for _ in range(500)]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string").repartition(3)
+    want = {}
+    for i, url in enumerate(urls):
+        rest = url.split("://", 1)[1] if "://" in url else ""
+        host = re.match(r"[^/?#]*", rest)[0]
+        path = re.match(r"[^?#]*", rest[len(host) :])[0]
+        host = host.lower()
+        fit = [(len(r.host + r.path), r.verdict == "block", r.host + r.path, r.verdict) for r in rules.values() if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+        best = max(fit, default=(0, False, None, "allow"))
+        want[i] = (host, path, best[2], best[3])
+    got = url_filters.judge(df, list(rules.values()), [url_filters.Pattern("never", "^$", ("never",))])
+    assert {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in got.collect()} == want
+    with pytest.raises(ValueError):
+        url_filters.judge(df, [url_filters.HostRule("block", "", "/")])
+
+
 def test_top_k(spark, monkeypatch):
     monkeypatch.setattr(top_k, "BLOCK", 40)
     monkeypatch.setattr(top_k, "QUERIES", 3)
