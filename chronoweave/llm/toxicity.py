@@ -1,8 +1,8 @@
 """Toxicity: bags of subwords, averaged into a linear softmax, both trained jointly in numpy.
 
 A word is the mean of the vectors of its character n-grams (hashed to a fixed number of buckets), so a misspelling shares most of
-its vectors with the word it comes from. Words are averaged over segments of consecutive words, and a document scores
-as its worst segment, however long it is. Vectors and softmax are trained together on a bounded sample of labelled documents:
+its vectors with the word it comes from. A text is cut into segments of ``SEGMENT`` consecutive words; the bag of a segment holds each
+of its different words once. Bags are averaged, and a document scores as its worst segment, however long it is. Vectors and softmax are trained together on a bounded sample of labelled documents:
 first on whole documents, then on the worst segment of each.
 
 Training takes at most ``SAMPLE`` documents of each class, the ones whose ids hash lowest, none of the held-out fold, with their
@@ -25,7 +25,6 @@ from chronoweave.llm.common import held_out, known_labels, small_batches, table,
 
 SAMPLE = 2_000
 SEGMENT = 24
-RECENT = 12
 #: Bytes of text that training encodes, and words of bags that a step takes, at once; a longer document counts as one.
 ENCODED, TAKEN = 1 << 20, 1 << 18
 BUCKETS = 1 << 15
@@ -60,11 +59,9 @@ def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(found)[order], np.bincount(owners, minlength=len(words))
 
 
-def block_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Index of each word among the distinct ones of a block, each document's first word, and the distinct words, lower-cased.
-
-    Words that stood among the last ``RECENT`` ones of the same document are left out.
-    """
+def block_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
+    """The bags of all segments of a block, one behind the other, as indices into its distinct words; where each bag starts; the first
+    segment of each document (one more at the end); and the distinct words, lower-cased."""
     starts, ends, first = word_spans(data, offsets)
     coded = pa.array(word_hashes(data, starts, ends)).dictionary_encode()
     index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
@@ -72,11 +69,12 @@ def block_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     seen[index[::-1]] = np.arange(len(index) - 1, -1, -1)
     raw = data.tobytes()
     words = [raw[a:b].decode("utf-8", "replace").lower() for a, b in zip(starts[seen].tolist(), ends[seen].tolist(), strict=True)]
-    document = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    bounds, first_segment = segment_bounds(first, SEGMENT)
+    segment = np.repeat(np.arange(len(bounds)), np.diff(np.append(bounds, len(index))))
     fresh = np.ones(len(index), dtype=bool)
-    for lag in range(1, RECENT + 1):  # a word that comes again at once adds nothing to a bag
-        fresh[lag:] &= (index[lag:] != index[:-lag]) | (document[lag:] != document[:-lag])
-    return index[fresh], np.concatenate([[0], np.cumsum(fresh)])[first], words
+    for lag in range(1, SEGMENT):
+        fresh[lag:] &= (index[lag:] != index[:-lag]) | (segment[lag:] != segment[:-lag])
+    return index[fresh], np.concatenate([[0], np.cumsum(fresh)])[bounds], first_segment, words
 
 
 def segment_bounds(first: np.ndarray, segment: int) -> tuple[np.ndarray, np.ndarray]:
@@ -102,15 +100,17 @@ def worst(values: np.ndarray, first: np.ndarray, empty: float) -> np.ndarray:
     return out
 
 
-def encoded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """``block_words`` of all texts, encoded in blocks of ``ENCODED`` bytes; the distinct words of all."""
+def encoded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
+    """``block_words`` of all texts, encoded in blocks of ``ENCODED`` bytes."""
     known: dict[str, int] = {}
-    parts, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    parts, lengths, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for _, _, data, offsets in text_blocks(pa.array(texts, pa.large_binary()), ENCODED):
-        index, first, words = block_words(data, offsets)
+        index, starts, first_segment, words = block_words(data, offsets)
         parts.append(np.array([known.setdefault(w, len(known)) for w in words], dtype=np.int32)[index])
-        counts.append(np.diff(first))
-    return np.concatenate(parts), np.concatenate([[0], np.cumsum(np.concatenate(counts))]).astype(np.int64), list(known)
+        lengths.append(np.diff(np.append(starts, len(index))))
+        counts.append(np.diff(first_segment))
+    lengths = np.concatenate(lengths)
+    return np.concatenate(parts), np.cumsum(lengths) - lengths, np.concatenate([[0], np.cumsum(np.concatenate(counts))]).astype(np.int64), list(known)
 
 
 class SubwordSoftmax:
@@ -127,14 +127,14 @@ class SubwordSoftmax:
 
         Steps are scaled by the largest gradient, not one by one, so subwords that say little stay near where they began.
         """
-        index, first, words = encoded(texts)
+        index, starts, first_segment, words = encoded(texts)
         if not len(index):
             return
         parts = [subwords(words[at : at + 20_000]) for at in range(0, len(words), 20_000)]
         grams, counts = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
         del parts, words
         begins = np.cumsum(counts) - counts
-        starts, first_segment = segment_bounds(first, SEGMENT)
+        first = np.append(starts, len(index))[first_segment]
         lengths = np.diff(np.append(starts, len(index)))
         documents = np.repeat(np.arange(len(texts)), np.diff(first_segment))
         rng = np.random.default_rng(11)
@@ -207,12 +207,11 @@ class SubwordSoftmax:
 
 def score_block(data: np.ndarray, offsets: np.ndarray, levels: np.ndarray, bias: float) -> np.ndarray:
     """Probability of each document of a block: its worst segment's."""
-    index, first, words = block_words(data, offsets)
+    index, starts, first_segment, words = block_words(data, offsets)
     if not len(words):
         return np.full(len(offsets) - 1, 1 / (1 + np.exp(-bias)))
     grams, counts = subwords(words)
     of_words = np.add.reduceat(levels[grams], np.cumsum(counts) - counts) / counts
-    starts, first_segment = segment_bounds(first, SEGMENT)
     logits = worst(segment_means(of_words[index], starts), first_segment, 0.0) + bias
     return 1 / (1 + np.exp(-np.clip(logits, -60, 60)))
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from chronoweave.llm import blocks, byte_bpe, fingerprints, near_dedup, packing, quality, substring_dedup, superminhash, token_files, top_k, toxicity, url_filters
-from chronoweave.llm.common import scratch, stored
+from chronoweave.llm.common import held_out, known_labels, scratch, stored
 from chronoweave.llm.queries import ORACLE_SQL, QUERIES
 
 P = pytest.importorskip("public_tokenizers")
@@ -163,6 +163,12 @@ def fewest_pairs(sizes, capacity):
 
 def test_packing_of_documents(docs, empty):
     rows = packing.pack(docs, P.path("word_bpe_49k.json"), capacity=256).collect()
+    from tokenizers import Tokenizer
+
+    peer = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    whole = [[*peer.encode(t or "", add_special_tokens=False).ids, 0] for t in TEXTS]
+    assert all(r["ids_crc32"] == zlib.crc32(np.array(whole[r["doc_id"]][r["start"] : r["start"] + r["length"]], "<u4").tobytes()) for r in rows)
+    assert sum(r["length"] for r in rows) == sum(map(len, whole))
     by_doc, by_sequence = {}, {}
     for r in rows:
         by_doc.setdefault(r["doc_id"], []).append((r["piece"], r["start"], r["length"]))
@@ -441,8 +447,99 @@ def test_toxicity_of_a_text_does_not_depend_on_its_neighbours():
     alone = model.score(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
     row = model.score(np.frombuffer(text * 3, np.uint8), np.arange(4) * len(text))
     assert row.tolist() == alone.tolist() * 3
-    _, first, _ = toxicity.block_words(np.frombuffer(text * 3, np.uint8), np.arange(4) * len(text))
-    assert np.diff(first).tolist() == [6, 6, 6]
+    index, starts, first_segment, _ = toxicity.block_words(np.frombuffer(text * 3, np.uint8), np.arange(4) * len(text))
+    assert len(index) == 18 and starts.tolist() == [0, 6, 12] and first_segment.tolist() == [0, 1, 2, 3]
+
+
+def test_toxicity_score_equals_brute_force():
+    """Bags by word, n-gram and segment in plain Python; scores of every text, long and empty ones too."""
+    model = toxicity.SubwordSoftmax(seed=3)
+    texts = [(t or "").encode() for t in TEXTS]
+    model.train(texts[9:20], np.arange(11) % 2, epochs=5)
+    levels, bias = model.table()
+    want = []
+    for text in texts:
+        words = [w.decode().lower() for w in text.split()]
+        best = [-np.inf] if words else [0.0]
+        for at in range(0, len(words), 24):
+            of_words = [np.mean([levels[g] for g in toxicity.subwords([w])[0]]) for w in dict.fromkeys(words[at : at + 24])]
+            best.append(sum(of_words) / 24)
+        want.append(1 / (1 + np.exp(-(max(best) + bias))))
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    got = model.score(data, np.concatenate([[0], np.cumsum([len(t) for t in texts])]))
+    assert np.allclose(got, want)
+
+
+def test_subwords_are_the_grams_of_a_word():
+    words = ["a", "abc", "abcd", "xabcx"]
+    grams, counts = toxicity.subwords(words)
+    assert counts.tolist() == [sum(max(0, len(w) + 3 - n) for n in (3, 4, 5)) + 1 for w in words]
+    of = np.split(grams, np.cumsum(counts)[:-1])
+    assert len(set(of[1]) & set(of[2])) >= 3 and len(set(of[0]) & set(of[2])) == 0
+    assert all(toxicity.subwords([w])[0].tolist() == g.tolist() for w, g in zip(words, of, strict=True))
+
+
+def test_quality_features_and_scores_equal_brute_force():
+    """Tokens, pooled vectors and the forward pass in plain Python."""
+    own = np.random.default_rng(2)
+    vectors = own.normal(size=(quality.BUCKETS, quality.WIDTH)).astype(np.float32)
+    texts = [(t or "").encode() for t in TEXTS]
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    got = quality.features(data, offsets, vectors)
+    w = quality.WIDTH
+    for text, x in zip(texts, got, strict=True):
+        found = re.findall(rb"[0-9A-Za-z\x80-\xff]+|[^0-9A-Za-z\x80-\xff\x20\x09-\x0D]+", text)
+        want = np.zeros(3 * w + 3)
+        want[-1] = np.log1p(len(found)) / 10
+        if found:
+            one = [blocks.word_hashes(np.frombuffer(t, np.uint8), np.array([0]), np.array([len(t)]))[0] for t in found]
+            rows = vectors[np.array(one) % np.uint64(quality.BUCKETS)].astype(np.float64)
+            again = np.array([k > 0 and found[k] == found[k - 1] for k in range(len(found))], dtype=float)
+            cuts = [*range(0, max(len(found) // 64, 1) * 64, 64), len(found)]
+            means = [rows[a:b].mean(axis=0) for a, b in itertools.pairwise(cuts)]
+            want[:w], want[w : 2 * w], want[2 * w : -3] = rows.mean(axis=0), np.max(means, axis=0), np.min(means, axis=0)
+            want[-3], want[-2] = again.mean(), max(again[a:b].mean() for a, b in itertools.pairwise(cuts))
+        assert np.allclose(x, want, atol=1e-4)
+    y = np.arange(len(got)) % 2
+    model = quality.TwoLayers(got.astype(float), y, epochs=3)
+    hidden = [[max(0.0, sum((x[i] - model.centre[i]) / model.scale[i] * model.layers[0][i][j] for i in range(len(x))) + model.layers[1][j]) for j in range(quality.HIDDEN)] for x in got.astype(float)]
+    logits = np.array([sum(h * k for h, k in zip(row, model.layers[2], strict=True)) + model.layers[3][0] for row in hidden])
+    assert np.allclose(model.scores(got.astype(float)), 1 / (1 + np.exp(-logits / model.temperature)))
+
+
+def test_quality_word_vectors_equal_brute_force(spark, docs):
+    total = np.zeros((quality.BUCKETS, quality.WIDTH))
+    for text in TEXTS:
+        data = np.frombuffer((text or "").encode(), np.uint8)
+        hashes, _ = quality.tokens(data, np.array([0, len(data)]))
+        plus, minus = quality._index_places(hashes)
+        for k, h in enumerate(hashes.tolist()):
+            for other in (*range(max(0, k - 2), k), *range(k + 1, min(len(hashes), k + 3))):
+                total[h % quality.BUCKETS, plus[other]] += 1
+                total[h % quality.BUCKETS, minus[other]] -= 1
+    want = total / np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1)
+    assert np.allclose(quality.word_vectors(docs), want, atol=1e-6)
+
+
+@pytest.mark.parametrize("module", ["quality", "toxicity"])
+def test_ties_of_labels_and_texts(spark, module):
+    """Several labels of an id: the largest; several texts: the same one however rows are dealt out; rows without id are not held out."""
+    rows = [(i % 40, prose(30, f"tie{i}")) for i in range(80)] + [(None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(i, 0) for i in range(40)] + [(None, 1), (3, None)], f"doc_id bigint, {'quality' if module == 'quality' else 'toxic'} int")
+    scores = []
+    for parts in (1, 5):
+        dealt = docs.repartition(parts)
+        if module == "quality":
+            vectors = quality.word_vectors(dealt)
+            scored = quality.score_documents(dealt, vectors, quality.fit(dealt, labels, vectors))
+        else:
+            scored = toxicity.score_documents(dealt, toxicity.fit(dealt, labels))
+        scores.append(sorted((str(r["doc_id"]), r["score"]) for r in scored.collect()))
+    assert np.allclose([s for _, s in scores[0]], [s for _, s in scores[1]]) and len(scores[0]) == 81
+    known = {r["doc_id"]: r["label"] for r in known_labels(labels, labels.columns[1]).collect()}
+    assert known == {i: i % 2 for i in range(40) if not held(i)}
+    assert docs.filter("doc_id is null").select(held_out()).first()[0] is False
 
 
 def test_toxicity_trains_on_whole_texts(spark):
