@@ -1,8 +1,9 @@
 """Resampling: every stream on one reference clock per session.
 
-A source row has ``time_us, seq`` and value columns, a target row ``time_us`` and whatever it carries. Both are united, sorted once by
-session and time, and filled from both sides: one shuffle, no rows multiplied, where an inequality join would be quadratic. A
-source at the time of a target stands before it. ``width`` cuts long sessions into time buckets, so that no task holds one whole.
+A source row has ``time_us, seq`` and value columns, a target row ``time_us`` and whatever it carries. Both are united and sorted by
+session and time, once forwards and once backwards, and filled from both sides: one shuffle, no rows multiplied, and every row is
+passed once, where an inequality join or a frame that ends behind the current row would be quadratic. A source at the time
+of a target stands before it. ``width`` cuts long sessions into time buckets, so that no task holds one whole.
 """
 
 from __future__ import annotations
@@ -13,35 +14,53 @@ from pyspark.sql import functions as F
 from chronoweave.functions.ordering import in_order, so_far
 
 
-def neighbours(source: DataFrame, targets: DataFrame, values: list[str], keys: list[str] | None = None, on: str = "time_us", width: int | None = None) -> DataFrame:
-    """Targets with ``prev`` and ``next``: structs of ``on`` and the values of the last source at or before, and the first at or after."""
-    keys = keys or ["session"]
-    point = F.struct(F.col(on), *values)
-    kind = source.select(point.alias("p")).schema["p"].dataType
-    s = source.select(*keys, F.col(on).alias("_at"), F.lit(0).alias("_tag"), F.col("seq").alias("_seq"), point.alias("_p"), F.lit(None).cast(targets.select(F.struct("*").alias("r")).schema["r"].dataType).alias("_row"))
-    t = targets.select(*keys, F.col(on).alias("_at"), F.lit(1).alias("_tag"), F.lit(0).cast("bigint").alias("_seq"), F.lit(None).cast(kind).alias("_p"), F.struct(*targets.columns).alias("_row"))
-    both = s.unionByName(t)
+def _filled(both: DataFrame, keys: list[str], points: list[str], width: int | None) -> DataFrame:
+    """The targets (``_tag = 1``) with ``_prev<p>`` and ``_next<p>`` of each point: the last one up to them, the first one behind them.
+
+    What comes next is the last one before in descending order: a frame that ends at the current row grows by a row a step, one that
+    begins there would be read to its end for every row.
+    """
     parts = list(keys)
     if width is not None:
         both = both.withColumn("_bucket", F.floor(F.col("_at") / width))
         parts.append("_bucket")
-    order = Window.partitionBy(*parts).orderBy("_at", "_tag", "_seq")
-    up = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # Sources at the target's own time stand before it, so an exact hit is both neighbours.
-    down = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    filled = both.select("*", F.last("_p", ignorenulls=True).over(up).alias("_prev"), F.first("_p", ignorenulls=True).over(down).alias("_after")).filter("_tag = 1")
-    if width is not None:
-        sources = both.filter("_tag = 0").groupBy(*parts).agg(F.max_by("_p", F.struct("_at", "_seq")).alias("_last"), F.min_by("_p", F.struct("_at", "_seq")).alias("_first"))
-        every = both.select(*parts).distinct().join(sources, parts, "left")
-        line = Window.partitionBy(*keys).orderBy("_bucket")
-        carry = every.select(
-            *parts,
-            F.last("_last", ignorenulls=True).over(line.rowsBetween(Window.unboundedPreceding, -1)).alias("_carried"),
-            F.first("_first", ignorenulls=True).over(line.rowsBetween(1, Window.unboundedFollowing)).alias("_coming"),
-        )
-        filled = filled.join(carry, parts).withColumns({"_prev": F.coalesce("_prev", "_carried"), "_after": F.coalesce("_after", "_coming")})
-    exact = F.col("_prev").getField(on) == F.col("_at")
-    return filled.select("_row.*", F.col("_prev").alias("prev"), F.when(exact, F.col("_prev")).otherwise(F.col("_after")).alias("next"))
+    order = [F.col(c) for c in ("_at", "_tag", "_seq")]
+    up, down = (Window.partitionBy(*parts).orderBy(*o).rowsBetween(Window.unboundedPreceding, Window.currentRow) for o in (order, [c.desc() for c in order]))
+    filled = both.select("*", *[F.last(p, ignorenulls=True).over(w).alias(f"{n}{p}") for n, w in (("_prev", up), ("_next", down)) for p in points]).filter("_tag = 1")
+    if width is None:
+        return filled
+    at = F.struct("_at", "_seq")
+    ends = [f(F.col(p), F.when(F.col(p).isNotNull(), at)).alias(f"{n}{p}") for n, f in (("_last", F.max_by), ("_first", F.min_by)) for p in points]
+    every = both.groupBy(*parts).agg(*ends)
+    line = Window.partitionBy(*keys)
+    before, behind = (line.orderBy(o).rowsBetween(Window.unboundedPreceding, -1) for o in (F.col("_bucket"), F.col("_bucket").desc()))
+    carried = [F.last(f"{n}{p}", ignorenulls=True).over(w).alias(f"_carried{n}{p}") for n, w in (("_last", before), ("_first", behind)) for p in points]
+    joined = filled.join(every.select(*parts, *carried), parts)
+    return joined.withColumns({f"{n}{p}": F.coalesce(f"{n}{p}", f"_carried{o}{p}") for n, o in (("_prev", "_last"), ("_next", "_first")) for p in points})
+
+
+def _united(targets: DataFrame, sources: list[tuple[DataFrame, list[str]]], keys: list[str], on: str) -> DataFrame:
+    """Targets and all sources as rows of one table: each source has a point column ``_p<k>``, targets have ``_row``."""
+    kinds = [s.select(F.struct(F.col(on), *v).alias("p")).schema["p"].dataType for s, v in sources]
+    row = targets.select(F.struct("*").alias("r")).schema["r"].dataType
+
+    def part(df: DataFrame, own: int | None) -> DataFrame:
+        points = [(F.struct(F.col(on), *sources[k][1]) if k == own else F.lit(None).cast(kind)).alias(f"_p{k}") for k, kind in enumerate(kinds)]
+        carried = F.struct(*targets.columns) if own is None else F.lit(None).cast(row)
+        return df.select(*keys, F.col(on).alias("_at"), F.lit(int(own is None)).alias("_tag"), (F.lit(0).cast("bigint") if own is None else F.col("seq").cast("bigint")).alias("_seq"), *points, carried.alias("_row"))
+
+    both = part(targets, None)
+    for k, (source, _) in enumerate(sources):
+        both = both.unionByName(part(source, k))
+    return both
+
+
+def neighbours(source: DataFrame, targets: DataFrame, values: list[str], keys: list[str] | None = None, on: str = "time_us", width: int | None = None) -> DataFrame:
+    """Targets with ``prev`` and ``next``: structs of ``on`` and the values of the last source at or before, and the first at or after."""
+    keys = keys or ["session"]
+    filled = _filled(_united(targets, [(source, values)], keys, on), keys, ["_p0"], width)
+    exact = F.col("_prev_p0").getField(on) == F.col("_at")
+    return filled.select("_row.*", F.col("_prev_p0").alias("prev"), F.when(exact, F.col("_prev_p0")).otherwise(F.col("_next_p0")).alias("next"))
 
 
 def hold(source: DataFrame, targets: DataFrame, values: list[str], keys: list[str] | None = None, on: str = "time_us", width: int | None = None) -> DataFrame:
@@ -62,26 +81,13 @@ def linear(source: DataFrame, targets: DataFrame, values: list[str], keys: list[
     return near.select(*targets.columns, *[line_between(F.col("prev"), F.col("next"), F.col(on), v, on).alias(v) for v in values])
 
 
-def align_all(targets: DataFrame, sources: list[tuple[DataFrame, list[str], str]], keys: list[str] | None = None, on: str = "time_us") -> DataFrame:
-    """A1 and A2 for many streams at once: ``(source, values, "hold" or "linear")``, with one shuffle and one sort for all of them."""
+def align_all(targets: DataFrame, sources: list[tuple[DataFrame, list[str], str]], keys: list[str] | None = None, on: str = "time_us", width: int | None = None) -> DataFrame:
+    """A1 and A2 for many streams at once: ``(source, values, "hold" or "linear")``, with one shuffle for all of them."""
     keys = keys or ["session"]
-    kinds = [s.select(F.struct(F.col(on), *v).alias("p")).schema["p"].dataType for s, v, _ in sources]
-    row = targets.select(F.struct("*").alias("r")).schema["r"].dataType
-
-    def part(df: DataFrame, own: int | None) -> DataFrame:
-        points = [(F.struct(F.col(on), *sources[k][1]) if k == own else F.lit(None).cast(kind)).alias(f"_p{k}") for k, kind in enumerate(kinds)]
-        carried = F.struct(*targets.columns) if own is None else F.lit(None).cast(row)
-        return df.select(*keys, F.col(on).alias("_at"), F.lit(int(own is None)).alias("_tag"), (F.lit(0).cast("bigint") if own is None else F.col("seq").cast("bigint")).alias("_seq"), *points, carried.alias("_row"))
-
-    both = part(targets, None)
-    for k, (source, _, _) in enumerate(sources):
-        both = both.unionByName(part(source, k))
-    order = Window.partitionBy(*keys).orderBy("_at", "_tag", "_seq")
-    up, down = order.rowsBetween(Window.unboundedPreceding, Window.currentRow), order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    filled = both.select("*", *[f(f"_p{k}", ignorenulls=True).over(w).alias(f"_{n}{k}") for k in range(len(sources)) for f, w, n in ((F.last, up, "prev"), (F.first, down, "next"))]).filter("_tag = 1")
+    filled = _filled(_united(targets, [(s, v) for s, v, _ in sources], keys, on), keys, [f"_p{k}" for k in range(len(sources))], width)
     out = []
     for k, (_, values, kind) in enumerate(sources):
-        prev, following = F.col(f"_prev{k}"), F.col(f"_next{k}")
+        prev, following = F.col(f"_prev_p{k}"), F.col(f"_next_p{k}")
         for v in values:
             held = F.when(prev.isNotNull(), prev.getField(v)).otherwise(following.getField(v))
             out.append((line_between(prev, following, F.col("_at"), v, on) if kind == "linear" else held).alias(v))
@@ -95,42 +101,55 @@ def window_starts(clock: DataFrame) -> DataFrame:
     return clock.withColumn("start_us", F.coalesce(F.lag(t).over(w), 2 * t - F.lead(t).over(w), t - 1))
 
 
-def in_windows(source: DataFrame, clock: DataFrame, values: list[str]) -> DataFrame:
+def in_windows(source: DataFrame, clock: DataFrame, values: list[str], width: int | None = None) -> DataFrame:
     """``session, frame, time_us, seq`` and values of the source rows that fall in the window of some frame."""
     bounded = window_starts(clock).withColumn("seq", F.lit(0).cast("bigint"))
-    near = neighbours(bounded, source, ["frame", "start_us"])
+    near = neighbours(bounded, source, ["frame", "start_us"], width=width)
     inside = near.filter(F.col("next").isNotNull() & (F.col("time_us") > F.col("next.start_us")))
     return inside.select("session", F.col("next.frame").alias("frame"), "time_us", "seq", *values)
 
 
-def window_onsets(source: DataFrame, clock: DataFrame, state: str = "state") -> DataFrame:
-    """A4: 1 where an engaged reading that follows a disengaged one falls in the frame's window."""
+def onsets_of(source: DataFrame, state: str = "state") -> DataFrame:
+    """The engaged readings that follow a disengaged one, or none."""
     engaged = source.withColumn("_on", F.col(state) > 0)
-    onsets = engaged.withColumn("_was", F.lag("_on", 1, False).over(in_order())).filter("_on and not _was").drop("_on", "_was")
-    hit = in_windows(onsets, clock, []).select("session", "frame").distinct().withColumn("onset", F.lit(1))
+    return engaged.withColumn("_was", F.lag("_on", 1, False).over(in_order())).filter("_on and not _was").drop("_on", "_was")
+
+
+def held_at_start(source: DataFrame, clock: DataFrame, value: str, width: int | None = None) -> DataFrame:
+    """The value that each frame's window begins with, as a reading before all others."""
+    starts = window_starts(clock).select("session", "frame", F.col("start_us").alias("time_us"))
+    return hold(source, starts, [value], width=width).select("session", "frame", F.lit(-(1 << 62)).alias("time_us"), F.lit(0).cast("bigint").alias("seq"), value)
+
+
+def strongest(value: str, of: Column | None = None) -> Column:
+    """A5 as an aggregate: the value of largest magnitude, the earliest on ties; ``of`` says which rows count."""
+    key = F.struct(F.abs(value), -F.col("time_us"), -F.col("seq"))
+    return F.max_by(F.col(value), key if of is None else F.when(of, key))
+
+
+def window_onsets(source: DataFrame, clock: DataFrame, state: str = "state", width: int | None = None) -> DataFrame:
+    """A4: 1 where an engaged reading that follows a disengaged one falls in the frame's window."""
+    hit = in_windows(onsets_of(source, state), clock, [], width).select("session", "frame").distinct().withColumn("onset", F.lit(1))
     return clock.join(hit, ["session", "frame"], "left").withColumn("onset", F.coalesce("onset", F.lit(0)))
 
 
-def signed_peaks(source: DataFrame, clock: DataFrame, value: str = "value") -> DataFrame:
+def signed_peaks(source: DataFrame, clock: DataFrame, value: str = "value", width: int | None = None) -> DataFrame:
     """A5: of the value held at the window's start and all values inside, the one of largest magnitude, the earliest on ties."""
-    starts = window_starts(clock).select("session", "frame", F.col("start_us").alias("time_us"))
-    held = hold(source, starts, [value]).select("session", "frame", F.lit(-(1 << 62)).alias("time_us"), F.lit(0).cast("bigint").alias("seq"), value)
-    rows = held.unionByName(in_windows(source, clock, [value]))
-    peak = rows.groupBy("session", "frame").agg(F.max_by(value, F.struct(F.abs(value), -F.col("time_us"), -F.col("seq"))).alias("peak"))
-    return clock.join(peak, ["session", "frame"], "left")
+    rows = held_at_start(source, clock, value, width).unionByName(in_windows(source, clock, [value], width))
+    return clock.join(rows.groupBy("session", "frame").agg(strongest(value).alias("peak")), ["session", "frame"], "left")
 
 
-def window_maxima(source: DataFrame, clock: DataFrame, value: str = "value") -> DataFrame:
+def window_maxima(source: DataFrame, clock: DataFrame, value: str = "value", width: int | None = None) -> DataFrame:
     """Largest value of the window that is not NaN; NaN if all are; an empty window takes the linear value at the frame."""
-    inside = in_windows(source, clock, [value]).groupBy("session", "frame").agg(F.max(F.when(~F.isnan(value), F.col(value))).alias("_max"), F.count(F.lit(1)).alias("_n"))
-    line = linear(source, clock, [value]).withColumnRenamed(value, "_line")
+    inside = in_windows(source, clock, [value], width).groupBy("session", "frame").agg(F.max(F.when(~F.isnan(value), F.col(value))).alias("_max"), F.count(F.lit(1)).alias("_n"))
+    line = linear(source, clock, [value], width=width).withColumnRenamed(value, "_line")
     joined = line.join(inside, ["session", "frame"], "left")
     return joined.select(*clock.columns, F.when(F.col("_n").isNull(), F.col("_line")).otherwise(F.coalesce("_max", F.lit(float("nan")))).alias("maximum"))
 
 
-def nearest(source: DataFrame, targets: DataFrame, values: list[str], keys: list[str] | None = None) -> DataFrame:
+def nearest(source: DataFrame, targets: DataFrame, values: list[str], keys: list[str] | None = None, width: int | None = None) -> DataFrame:
     """The nearest source; a tie takes the later one. ``distance_us`` is how far it is."""
-    near = neighbours(source, targets, values, keys)
+    near = neighbours(source, targets, values, keys, width=width)
     left, right = F.col("time_us") - F.col("prev.time_us"), F.col("next.time_us") - F.col("time_us")
     pick = F.when(F.col("next").isNull() | (left < right), F.col("prev")).otherwise(F.col("next"))
     return near.withColumn("_pick", pick).select(*targets.columns, *[F.col("_pick").getField(v).alias(v) for v in values], F.abs(F.col("time_us") - F.col("_pick.time_us")).alias("distance_us"))
@@ -141,27 +160,33 @@ def matches_in_tolerance(source: DataFrame, targets: DataFrame, tolerance_us: in
     return nearest(source, targets, [], keys).groupBy(*(keys or ["session"])).agg(F.count_if(F.col("distance_us") < tolerance_us).alias("matches"))
 
 
-def corridor_distance(encoder: DataFrame, corridors: DataFrame, targets: DataFrame) -> DataFrame:
+def corridor_distance(encoder: DataFrame, corridors: DataFrame, targets: DataFrame, width: int | None = None) -> DataFrame:
     """Distance since the last corridor's onset, clamped to the corridor's length, plus the corridor's start.
 
     ``encoder`` has ``distance``, ``corridors`` ``start_cm``. The length of the last corridor is open.
     """
-    onsets = neighbours(encoder, corridors, ["distance"]).withColumn("onset_distance", F.coalesce("prev.distance", F.lit(0.0)))
+    onsets = neighbours(encoder, corridors, ["distance"], width=width).withColumn("onset_distance", F.coalesce("prev.distance", F.lit(0.0)))
     onsets = onsets.withColumn("length_cm", F.lead("start_cm").over(in_order()) - F.col("start_cm")).drop("prev", "next")
-    travelled = linear(encoder, targets, ["distance"])
-    placed = hold(onsets, travelled, ["onset_distance", "start_cm", "length_cm"])
+    travelled = linear(encoder, targets, ["distance"], width=width)
+    placed = hold(onsets, travelled, ["onset_distance", "start_cm", "length_cm"], width=width)
     since = F.greatest(F.col("distance") - F.col("onset_distance"), F.lit(0.0))
     return placed.select(*targets.columns, (F.col("start_cm") + F.when(F.col("length_cm").isNull(), since).otherwise(F.least(since, F.col("length_cm")))).alias("corridor_cm"))
 
 
-def in_zones(targets: DataFrame, zones: DataFrame, on: str = "distance") -> DataFrame:
-    """A10: 1 if ``start_cm <= distance <= end_cm`` for some zone of the session.
+def merged_zones(zones: DataFrame) -> DataFrame:
+    """``session, start_cm, end_cm`` of the stretches that zones cover; zones that overlap or touch are one."""
+    line = Window.partitionBy("session").orderBy("start_cm", "end_cm")
+    reach = F.max("end_cm").over(line.rowsBetween(Window.unboundedPreceding, -1))
+    marked = zones.filter("start_cm <= end_cm").withColumn("_new", (reach.isNull() | (F.col("start_cm") > reach)).cast("int"))
+    numbered = marked.withColumn("_stretch", F.sum("_new").over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return numbered.groupBy("session", "_stretch").agg(F.min("start_cm").alias("start_cm"), F.max("end_cm").alias("end_cm")).drop("_stretch")
 
-    Zones of a session are few; they are gathered to one sorted array per session and joined by key, not by range.
-    """
-    listed = zones.groupBy("session").agg(F.collect_list(F.struct("start_cm", "end_cm")).alias("_zones"))
-    hit = F.exists("_zones", lambda z: F.col(on).between(z["start_cm"], z["end_cm"]))
-    return targets.join(listed, "session", "left").select(*targets.columns, F.coalesce(hit.cast("int"), F.lit(0)).alias("in_zone"))
+
+def in_zones(targets: DataFrame, zones: DataFrame, on: str = "distance", width: int | None = None) -> DataFrame:
+    """A10: 1 if ``start_cm <= distance <= end_cm`` for some zone of the session: the last stretch that begins at or before decides."""
+    begins = merged_zones(zones).select("session", F.col("start_cm").alias(on), F.lit(0).cast("bigint").alias("seq"), "end_cm")
+    near = neighbours(begins, targets, ["end_cm"], on=on, width=width)
+    return near.select(*targets.columns, F.coalesce((F.col("prev.end_cm") >= F.col(on)).cast("int"), F.lit(0)).alias("in_zone"))
 
 
 def running_speed(df: DataFrame, window_us: int = 100_000, distance: str = "distance") -> DataFrame:
