@@ -1,4 +1,8 @@
-"""Assembly: the aligned tables of all sessions, joined on the reference clock by session and frame."""
+"""Assembly: the aligned tables of all sessions, joined on the reference clock by session and frame.
+
+Streams that a session type lacks are left out by giving none, their columns then are absent; a session without rows of a stream that
+others have gets nulls. All streams of a table go through one alignment, and all that is read by windows through one more.
+"""
 
 from __future__ import annotations
 
@@ -8,18 +12,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronoweave.functions.ordering import in_order, so_far, with_runs
-from chronoweave.operators.asof import align_all, corridor_distance, elapsed_minutes, hold, in_zones, linear, running_speed, signed_peaks, window_maxima, window_onsets
+from chronoweave.operators.asof import align_all, corridor_distance, elapsed_minutes, held_at_start, in_windows, in_zones, onsets_of, running_speed, slowest_clock, strongest
+from chronoweave.operators.imaging import aligned_frames, attach_traces
 
 #: Values outside the run state (fixed values).
 NO_CUE, NO_TRIAL, NO_TRIAL_TYPE = 255, 65535, "undefined"
 IDLE, REST, RUN = "idle", "rest", "run"
 FRAME = ["session", "frame"]
+#: Columns of the behavior table in their order (fixed names).
+BEHAVIOR = ["time_us", "elapsed_minutes", "brake", "screens", "torque_N_cm", "distance_cm", "speed_cm_s", "lick", "water_uL", "reward", "system_state"]
+TIME = ["time_us", "elapsed_minutes"]
 
 
-def labelled(df: DataFrame, code: str, labels: dict[int, str], name: str) -> DataFrame:
-    """B1: codes as labels; unknown codes give null, which X1 reports."""
+def labelled(df: DataFrame, code: str, labels: dict[int, str], name: str, strict: bool = False) -> DataFrame:
+    """B1: codes as labels; unknown codes give null, which X1 reports, or with ``strict`` an error."""
     pairs = F.create_map(*[F.lit(x) for pair in labels.items() for x in pair])
-    return df.withColumn(name, pairs[F.col(code)])
+    found = F.try_element_at(pairs, F.col(code).cast("int"))
+    unknown = F.raise_error(F.concat(F.lit(f"no label of {code} "), F.col(code).cast("string")))
+    return df.withColumn(name, F.when(F.col(code).isNotNull() & found.isNull(), unknown).otherwise(found) if strict else found)
 
 
 def increments(total: str, name: str = "delta") -> dict[str, Column]:
@@ -57,44 +67,98 @@ def present(df: DataFrame, order: list[str], absent: list[str] = ()) -> DataFram
     return df.select(*[c for c in order if c in df.columns and c not in absent])
 
 
-def behavior(clock: DataFrame, states: DataFrame, encoder: DataFrame, brake: DataFrame, torque: DataFrame, lick: DataFrame, valve: DataFrame, puffs: DataFrame, encoder_states: list[str], minimum_torque: float, window_us: int = 100_000) -> DataFrame:
-    """The behavior table. Sources have ``session, time_us, seq`` and their own columns; ``states`` has ``system_state``."""
-    ticks = clock.select("session", "frame", "time_us")
-    rows = align_all(ticks, [(states, ["system_state"], "hold"), (encoder, ["traveled_distance_cm"], "linear"), (brake, ["brake_torque"], "hold"), (valve, ["volume", "tone_state"], "hold")])
-    licks = window_onsets(lick.withColumn("state", F.col("lick_state")), ticks).select(*FRAME, F.col("onset").alias("lick"))
-    puffed = window_onsets(puffs.withColumn("state", F.col("puff_state")), ticks).select(*FRAME, F.col("onset").alias("gas_puff"))
-    peaks = signed_peaks(torque.withColumn("value", F.col("torque")), ticks).select(*FRAME, F.col("peak").alias("torque"))
-    joined = reduce(lambda a, b: a.join(b, FRAME), [licks, puffed, peaks], rows)
-    rewarded = reward_classes(elapsed_minutes(joined))
-    moved = running_speed(rewarded.withColumn("seq", F.col("frame")), window_us, "traveled_distance_cm")
-    return moved.select(
-        *FRAME, "time_us", "elapsed_min", "system_state", F.col("volume").alias("dispensed_volume"), "reward", "lick", "gas_puff", brake_flag("brake_torque", minimum_torque).alias("brake"),
-        F.when(F.col("system_state") == RUN, 0.0).otherwise(F.col("torque")).alias("torque"), gated("speed", encoder_states).alias("speed"), gated_fill("traveled_distance_cm", encoder_states).alias("distance_cm"),
-    )
-
-
-def runtime(clock: DataFrame, encoder: DataFrame, corridors: DataFrame, trials: DataFrame, cues: DataFrame, zones: DataFrame, runtime_states: DataFrame) -> DataFrame:
-    """Trial, cue, trigger zone and runtime state of each sample. ``trials`` and ``cues`` are keyed by ``distance``."""
-    placed = corridor_distance(encoder, corridors, clock.select("session", "frame", "time_us")).withColumnRenamed("corridor_cm", "distance").filter("distance is not null")
-    rows = hold(trials, placed, ["trial"], on="distance")
-    rows = hold(cues, rows, ["cue"], on="distance")
+def behavior(
+    clock: DataFrame, states: DataFrame, lick: DataFrame, valve: DataFrame, *, labels: dict[int, str], encoder: DataFrame | None = None, screen: DataFrame | None = None, brake: DataFrame | None = None,
+    torque: DataFrame | None = None, encoder_states: tuple[str, ...] = (RUN,), minimum_torque: float = 0.0, window_us: int = 100_000, drop_time: bool = False, width: int | None = None,
+) -> DataFrame:
+    """The behavior table, ``BEHAVIOR`` without the columns of absent streams.
+
+    Streams have ``session, time_us, seq`` and their own column: ``state``, ``lick_state``, ``volume`` and ``tone_state``, ``traveled_distance_cm``,
+    ``screen_state``, ``brake_torque``, ``torque``. States, licks and the valve are always there.
+    """
+    ticks = clock.select(*FRAME, "time_us")
+    own = lambda df, *columns: df.select("session", "time_us", F.col("seq").cast("bigint").alias("seq"), *columns)
+    sources = [(own(states, F.col("state").alias("_state")), ["_state"], "hold"), (own(valve, "volume", "tone_state"), ["volume", "tone_state"], "hold")]
+    if encoder is not None:
+        fast = running_speed(own(encoder, "traveled_distance_cm"), window_us, "traveled_distance_cm")
+        sources.append((fast, ["traveled_distance_cm", "speed"], "linear"))
+    if screen is not None:
+        sources.append((own(screen, F.col("screen_state").alias("screens")), ["screens"], "hold"))
+    if brake is not None:
+        sources.append((own(brake, "brake_torque"), ["brake_torque"], "hold"))
+    rows = align_all(ticks, sources, width=width)
+
+    read = own(onsets_of(lick, "lick_state"), F.lit("lick").alias("_stream"), F.lit(None).cast("double").alias("torque"))
+    if torque is not None:
+        read = read.unionByName(own(torque, F.lit("torque").alias("_stream"), F.col("torque").cast("double").alias("torque")))
+    inside = in_windows(read, ticks, ["_stream", "torque"], width)
+    if torque is not None:
+        held = held_at_start(own(torque, F.col("torque").cast("double").alias("torque")), ticks, "torque", width)
+        inside = inside.unionByName(held.withColumn("_stream", F.lit("torque")))
+    found = inside.groupBy(*FRAME).agg(F.max((F.col("_stream") == "lick").cast("int")).alias("lick"), strongest("torque", F.col("_stream") == "torque").alias("torque"))
+    joined = labelled(rows.join(found, FRAME, "left"), "_state", labels, "system_state", strict=True)
+
+    out = reward_classes(elapsed_minutes(joined)).withColumnsRenamed({"elapsed_min": "elapsed_minutes", "volume": "water_uL"}).withColumn("lick", F.coalesce("lick", F.lit(0)))
+    if brake is not None:
+        out = out.withColumn("brake", brake_flag("brake_torque", minimum_torque))
+    if torque is not None:
+        out = out.withColumn("torque_N_cm", F.when(F.col("system_state") == RUN, 0.0).otherwise(F.col("torque")))
+    if encoder is not None:
+        active = list(encoder_states)
+        out = out.withColumns({"distance_cm": gated_fill("traveled_distance_cm", active), "speed_cm_s": gated("speed", active)})
+    return present(out, [*FRAME, *BEHAVIOR], TIME if drop_time else [])
+
+
+def runtime(
+    clock: DataFrame, encoder: DataFrame, corridors: DataFrame, trials: DataFrame, cues: DataFrame, zones: DataFrame, runtime_states: DataFrame, *, trial_types: dict[int, str], state_labels: dict[int, str],
+    reinforcing: DataFrame | None = None, aversive: DataFrame | None = None, width: int | None = None,
+) -> DataFrame:
+    """Trial number from 1 on, trial type, cue, trigger zone and runtime state of each sample, and guidance where it was recorded.
+
+    ``trials`` and ``cues`` are keyed by ``distance`` and have ``trial_type_index`` and ``cue``; ``runtime_states`` and guidance have ``state``. Samples of
+    sessions without encoder or corridors have no place and drop out.
+    """
+    travelled = encoder.select("session", "time_us", "seq", F.col("traveled_distance_cm").alias("distance"))
+    placed = corridor_distance(travelled, corridors, clock.select(*FRAME, "time_us"), width).withColumnRenamed("corridor_cm", "distance").filter("distance is not null")
+    numbered = trials.select("session", "distance", "seq", "trial_type_index", F.row_number().over(in_order(order=["seq"])).alias("trial"))
+    rows = align_all(placed, [(numbered, ["trial", "trial_type_index"], "hold"), (cues, ["cue"], "hold")], on="distance")
     rows = in_zones(rows, zones, "distance").withColumnRenamed("in_zone", "in_trigger_zone")
-    return hold(runtime_states, rows, ["runtime_state"]).select(*FRAME, "trial", "cue", "in_trigger_zone", "runtime_state")
+    state = lambda df, name: (df.select("session", "time_us", "seq", F.col("state").alias(name)), [name], "hold")
+    guided = {"reinforcing_guided": reinforcing, "aversive_guided": aversive}
+    rows = align_all(rows, [state(runtime_states, "_state"), *[state(df, name) for name, df in guided.items() if df is not None]], width=width)
+    rows = labelled(labelled(rows, "_state", state_labels, "runtime_state", strict=True), "trial_type_index", trial_types, "trial_type", strict=True)
+    return present(rows, [*FRAME, "trial", "trial_type", "cue", "in_trigger_zone", "runtime_state", *guided])
 
 
-def video_table(clock: DataFrame, series: DataFrame, cameras: list[str]) -> DataFrame:
-    """Energy (largest in the window) and luminance (linear) of each camera; a camera without rows gives nulls.
+def video_table(clock: DataFrame, cameras: dict[str, DataFrame | None], pupil: DataFrame | None = None, width: int | None = None) -> DataFrame:
+    """Energy (largest in the window) and luminance (linear) of each camera, pupil numbers (linear) and flags (held).
 
-    ``series`` has ``session, camera, time_us, seq, motion_energy, frame_luminance``.
+    A camera has ``session, time_us, seq, motion_energy, frame_luminance``; one that is None is left out. ``pupil`` has the columns of
+    ``pose.pupil_metrics`` with the time of each frame.
     """
-    ticks = clock.select("session", "frame", "time_us")
-    out = ticks
-    for camera in cameras:
-        own = series.filter(F.col("camera") == camera)
-        energy = window_maxima(own.withColumn("value", F.col("motion_energy")), ticks).select(*FRAME, F.col("maximum").alias(f"{camera}_motion_energy"))
-        light = linear(own, ticks, ["frame_luminance"]).select(*FRAME, F.col("frame_luminance").alias(f"{camera}_luminance"))
-        out = out.join(energy, FRAME).join(light, FRAME)
-    return out.drop("time_us")
+    ticks = clock.select(*FRAME, "time_us")
+    there = {name: df for name, df in cameras.items() if df is not None}
+    sources, read = [], None
+    for name, df in there.items():
+        values = {f"{name}_motion_energy": F.col("motion_energy").cast("double"), f"{name}_frame_luminance": F.col("frame_luminance").cast("double")}
+        sources.append((df.select("session", "time_us", "seq", *[v.alias(k) for k, v in values.items()]), list(values), "linear"))
+        part = df.select("session", "time_us", F.col("seq").cast("bigint").alias("seq"), F.lit(name).alias("_camera"), F.col("motion_energy").cast("double").alias("_energy"))
+        read = part if read is None else read.unionByName(part)
+    if pupil is not None:
+        flags = [c for c in pupil.columns if c in PUPIL_FLAGS]
+        numbers = [c for c in pupil.columns if c not in (*FRAME, "time_us", "seq", *PUPIL_FLAGS)]
+        sources.append((pupil.select("session", "time_us", "seq", *[F.col(c).cast("int").alias(c) for c in flags]), flags, "hold"))
+        sources.append((pupil.select("session", "time_us", "seq", *[F.col(c).cast("double").alias(c) for c in numbers]), numbers, "linear"))
+    if not sources:
+        return ticks.select(*FRAME)
+    rows = align_all(ticks, sources, width=width)
+    if read is not None:
+        most = [F.max(F.when((F.col("_camera") == name) & ~F.isnan("_energy"), F.col("_energy"))).alias(f"_most_{name}") for name in there]
+        seen = [F.count_if(F.col("_camera") == name).alias(f"_seen_{name}") for name in there]
+        rows = rows.join(in_windows(read, ticks, ["_camera", "_energy"], width).groupBy(*FRAME).agg(*most, *seen), FRAME, "left")
+        largest = {f"{name}_motion_energy": F.when(F.coalesce(F.col(f"_seen_{name}"), F.lit(0)) == 0, F.col(f"{name}_motion_energy")).otherwise(F.coalesce(f"_most_{name}", F.lit(float("nan")))) for name in there}
+        rows = rows.withColumns(largest)
+    return rows.select(*FRAME, *[c for _, values, _ in sources for c in values])
 
 
 def masked_outside_run(df: DataFrame) -> DataFrame:
@@ -117,14 +181,25 @@ def side_by_side(*tables: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.join(b.drop("time_us"), FRAME), tables)
 
 
+def fluorescence(band: DataFrame, pulses: DataFrame, recorded: DataFrame, counts: DataFrame, traces: dict[str, DataFrame]) -> DataFrame:
+    """The imaging clock: frames aligned with the recorder's own (F11, F12), with an array column of each trace."""
+    return attach_traces(aligned_frames(band, pulses, recorded, counts), traces)
+
+
+def camera_clock(frames: DataFrame, ranks: dict[str, int] | None = None) -> DataFrame:
+    """The frames of each session's slowest camera (A13) as its reference clock, numbered from 1 on. ``frames`` has ``camera``."""
+    own = frames.join(slowest_clock(frames, ranks).select("session", "camera"), ["session", "camera"])
+    return own.select("session", F.row_number().over(in_order()).alias("frame"), "time_us")
+
+
 def experiment(frames: DataFrame, behavior_table: DataFrame, runtime_table: DataFrame, video: DataFrame, system_states: DataFrame, runtime_states: DataFrame) -> DataFrame:
-    """Imaging clock with all tables, masked and clipped."""
-    return clipped(masked_outside_run(side_by_side(frames, behavior_table, runtime_table, video)), system_states, runtime_states)
+    """The imaging clock with its traces and all tables on it, masked, clipped and described. The behavior table has no times of its own."""
+    return described(clipped(masked_outside_run(side_by_side(frames, behavior_table, runtime_table, video)), system_states, runtime_states))
 
 
-def training(clock: DataFrame, behavior_table: DataFrame, video: DataFrame, system_states: DataFrame, runtime_states: DataFrame) -> DataFrame:
-    """The slowest camera's clock with behavior and video, clipped."""
-    return clipped(side_by_side(clock, behavior_table, video), system_states, runtime_states)
+def training(behavior_table: DataFrame, video: DataFrame, system_states: DataFrame, runtime_states: DataFrame) -> DataFrame:
+    """Behavior with its times and video, both on the slowest camera's clock, clipped and described."""
+    return described(clipped(side_by_side(behavior_table, video), system_states, runtime_states))
 
 
 def by_type(sessions: DataFrame, assembled: dict[str, DataFrame]) -> DataFrame:
@@ -133,13 +208,34 @@ def by_type(sessions: DataFrame, assembled: dict[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-#: What the columns mean.
-DESCRIPTIONS = {
-    "session": "key of the session", "frame": "number of the sample on the reference clock", "time_us": "time of the sample in microseconds since 1970", "elapsed_min": "minutes since the first sample",
-    "system_state": "state of the acquisition system", "dispensed_volume": "water given so far", "reward": "no, tone or yes", "lick": "a lick began in the sample's window", "gas_puff": "a puff began in the sample's window",
-    "brake": "the brake is engaged", "torque": "strongest torque of the window, with its sign", "speed": "running speed over the last window", "distance_cm": "distance run so far", "trial": "trial type index, 65535 outside runs",
-    "trial_type": "name of the trial type", "cue": "code of the wall cue, 255 outside runs", "in_trigger_zone": "inside a trigger zone", "runtime_state": "stage of the experiment",
-}
+PUPIL_FLAGS = ("blinking_state", "dilation_state")
+
+
+def _descriptions() -> dict[str, str]:
+    px, axis = "in pixels of the face camera", {"x": "horizontal", "y": "vertical"}
+    out = {
+        "session": "key of the session", "frame": "number of the sample on the reference clock", "time_us": "time of the sample in microseconds since 1970", "elapsed_minutes": "minutes since the first sample of the clock",
+        "brake": "1 while the wheel is held", "screens": "1 while the displays are lit", "torque_N_cm": "strongest torque since the sample before, with its sign; 0 while running", "distance_cm": "distance run so far",
+        "speed_cm_s": "running speed; 0 where the wheel is not read", "lick": "1 if a lick began since the sample before", "water_uL": "water given so far, in microlitres", "reward": "no without a tone, yes with a tone and water, else tone",
+        "system_state": "what the acquisition system was doing", "trial": "number of the trial from 1 on; 65535 outside runs", "trial_type": "name of the trial's type; undefined outside runs", "cue": "code of the wall cue; 255 outside runs",
+        "in_trigger_zone": "1 inside a trigger zone", "runtime_state": "stage of the experiment", "reinforcing_guided": "1 while rewards are guided", "aversive_guided": "1 while aversive stimuli are guided",
+        "pupil_diameter_px": f"mean of the two axes of the pupil's ellipse {px}", "pupil_area_px2": "area of the pupil's ellipse in square pixels", "pupil_fit_condition": "condition number of the pupil's fit, lower is better",
+        "pupil_fit_residual_px": f"distance of trusted points from the pupil's ellipse {px}", "eye_width_px": f"width of the eye's ellipse {px}", "eye_height_px": f"height of the eye's ellipse {px}", "eye_openness": "height of the eye over its width",
+        "blinking_state": "1 during a blink", "dilation_state": "1 where the pupil is wider than the eye shows",
+    }
+    for a, name in axis.items():
+        out |= {f"pupil_center_{a}_px": f"{name} place of the pupil {px}", f"eye_center_{a}_px": f"{name} place of the eye {px}", f"reflection_{a}_px": f"{name} place of the light's reflection {px}"}
+        out |= {f"pupil_reflection_offset_{a}_px": f"{name} way from the reflection to the pupil {px}", f"pupil_in_eye_{a}": f"{name} place of the pupil in the eye, in half axes of the eye"}
+    for camera in ("face", "body"):
+        out |= {f"{camera}_camera_motion_energy": f"largest change between pictures of the {camera} camera since the sample before", f"{camera}_camera_frame_luminance": f"mean grey level of the {camera} camera"}
+    for days, cells in {"single_day": "this session", "multi_day": "all sessions of the animal"}.items():
+        for trace in ("cell_fluorescence", "neuropil_fluorescence", "subtracted_fluorescence", "spikes"):
+            out[f"{days}_{trace}"] = f"{trace.replace('_', ' ')} of each cell found in {cells}"
+    return out
+
+
+#: What the columns mean (fixed names).
+DESCRIPTIONS = _descriptions()
 
 
 def described(df: DataFrame) -> DataFrame:
@@ -148,4 +244,5 @@ def described(df: DataFrame) -> DataFrame:
 
 
 def description_table(df: DataFrame) -> DataFrame:
+    """``column, description`` of every column of a table; an undescribed one has null, which B21 reports."""
     return df.sparkSession.createDataFrame([(c, DESCRIPTIONS.get(c)) for c in df.columns], "column string, description string")

@@ -84,7 +84,7 @@ def frame_points(predictions: DataFrame, reflection: str, pupil: list[str], eye:
 
 
 def pupil_metrics(frames: DataFrame) -> DataFrame:
-    """All metrics of ``session, frame, reflection, pupil, eye`` rows (P1-P11), as floats."""
+    """P12 (fixed names): all metrics of ``session, frame, reflection, pupil, eye`` rows (P1-P11), as floats."""
     fitted = fit_ring(fit_ring(frames, "pupil", PUPIL_POINTS, "p"), "eye", EYE_POINTS, "e")
     openness = F.when(F.col("e_valid") & (2 * F.col("e_semi_a") >= LEAST_EXTENT), F.col("e_semi_b") / F.col("e_semi_a")).otherwise(NAN)
     opened = fitted.withColumn("openness", openness)
@@ -97,11 +97,11 @@ def pupil_metrics(frames: DataFrame) -> DataFrame:
     measured = F.col("p_valid") & ~F.col("blinking")
     inside = lambda axis, semi: masked(F.when(F.col(semi) >= LEAST_EXTENT, (F.col(f"p_c{axis}") - F.col(f"e_c{axis}")) / F.col(semi)).otherwise(NAN), measured & F.col("e_valid"))
     numbers = {
-        "pupil_center_x": masked(F.col("p_cx"), measured), "pupil_center_y": masked(F.col("p_cy"), measured), "pupil_diameter": masked(F.col("p_semi_a") + F.col("p_semi_b"), measured),
-        "pupil_area": masked(F.col("p_area"), measured), "pupil_fit_condition": masked(F.col("p_condition"), measured), "pupil_fit_residual": masked(F.col("p_residual"), measured),
-        "eye_center_x": masked(F.col("e_cx"), F.col("e_valid")), "eye_center_y": masked(F.col("e_cy"), F.col("e_valid")), "eye_width": masked(2 * F.col("e_semi_a"), F.col("e_valid")),
-        "eye_height": masked(2 * F.col("e_semi_b"), F.col("e_valid")), "eye_openness": F.col("openness"), "reflection_x": masked(F.col("reflection.x"), mirror), "reflection_y": masked(F.col("reflection.y"), mirror),
-        "pupil_reflection_x": masked(F.col("p_cx") - F.col("reflection.x"), measured & mirror), "pupil_reflection_y": masked(F.col("p_cy") - F.col("reflection.y"), measured & mirror),
+        "pupil_center_x_px": masked(F.col("p_cx"), measured), "pupil_center_y_px": masked(F.col("p_cy"), measured), "pupil_diameter_px": masked(F.col("p_semi_a") + F.col("p_semi_b"), measured),
+        "pupil_area_px2": masked(F.col("p_area"), measured), "pupil_fit_condition": masked(F.col("p_condition"), measured), "pupil_fit_residual_px": masked(F.col("p_residual"), measured),
+        "eye_center_x_px": masked(F.col("e_cx"), F.col("e_valid")), "eye_center_y_px": masked(F.col("e_cy"), F.col("e_valid")), "eye_width_px": masked(2 * F.col("e_semi_a"), F.col("e_valid")),
+        "eye_height_px": masked(2 * F.col("e_semi_b"), F.col("e_valid")), "eye_openness": F.col("openness"), "reflection_x_px": masked(F.col("reflection.x"), mirror), "reflection_y_px": masked(F.col("reflection.y"), mirror),
+        "pupil_reflection_offset_x_px": masked(F.col("p_cx") - F.col("reflection.x"), measured & mirror), "pupil_reflection_offset_y_px": masked(F.col("p_cy") - F.col("reflection.y"), measured & mirror),
         "pupil_in_eye_x": inside("x", "e_semi_a"), "pupil_in_eye_y": inside("y", "e_semi_b"),
     }
-    return flagged.select("session", "frame", "blinking", (~F.col("blinking") & ~measured).alias("dilated"), *[v.cast("float").alias(k) for k, v in numbers.items()])
+    return flagged.select("session", "frame", F.col("blinking").cast("int").alias("blinking_state"), (~F.col("blinking") & ~measured).cast("int").alias("dilation_state"), *[v.cast("float").alias(k) for k, v in numbers.items()])

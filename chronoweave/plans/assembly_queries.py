@@ -6,10 +6,12 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from chronoweave.functions import expect
-from chronoweave.operators import assemble, streams
-from chronoweave.operators.asof import hold
+from chronoweave.functions.ordering import in_order, so_far
+from chronoweave.operators import assemble, imaging, streams
+from chronoweave.operators.asof import align_all
+from chronoweave.plans.asof_queries import COR, ENC, SIGNED, STATE
 from chronoweave.plans.stream_queries import PULSES, TONE, TRAIN, VOLUME
-from chronoweave.plans.tables import CLOCK, EV, EXPONENT, SCALE, clock, read, readings, stream, with_
+from chronoweave.plans.tables import CLOCK, EV, EXPONENT, LINE, RD, SCALE, clock, near, read, readings, stream, with_
 from chronoweave.sources import ingest
 
 Q, SQL = {}, {}
@@ -37,8 +39,8 @@ ALIGNED = [EV, CLOCK, TRAIN, PULSES, VOLUME, TONE,
 
 def _rewarded(s, d):
     events = stream(s, d)
-    rows = hold(streams.valve_volume(events, SCALE, EXPONENT), clock(s, d), ["volume"])
-    return assemble.reward_classes(hold(streams.tone(events), rows, ["tone_state"]))
+    rows = align_all(clock(s, d), [(streams.valve_volume(events, SCALE, EXPONENT), ["volume"], "hold"), (streams.tone(events), ["tone_state"], "hold")])
+    return assemble.reward_classes(rows)
 
 
 @query("flagship_reward_summary", with_(*ALIGNED) + "SELECT session, count(*) FILTER (WHERE reward = 'yes') AS rewarded, count(*) FILTER (WHERE reward = 'tone') AS tone_only, count(*) FILTER (WHERE reward = 'no') AS silent FROM rw GROUP BY session")
@@ -75,8 +77,6 @@ NUMBERED = "nb AS (SELECT *, row_number() OVER (PARTITION BY session ORDER BY ti
 
 
 def _numbered(s, d):
-    from chronoweave.functions.ordering import in_order
-
     return _states(s, d).withColumn("frame", F.row_number().over(in_order()))
 
 
@@ -95,47 +95,127 @@ def _(s, d):
     return _states(s, d).select("session", "seq", assemble.brake_flag("value", 40.0).alias("brake"))
 
 
-def _behavior(s, d):
+#: Streams of an assembled session, read straight from the events; the parsers of each stream have queries of their own.
+VALVE = "va AS (SELECT session, time_us, seq, {'w': sum(CASE WHEN event = 54 THEN value ELSE 0 END) OVER (PARTITION BY session ORDER BY time_us, seq ROWS UNBOUNDED PRECEDING), 't': event = 54} AS p FROM ev WHERE event IN (54, 55))"
+SPEED_US = 86_400_000_000
+SPEED = f"""sf AS (SELECT *, first_value({{'t': time_us, 'd': distance}}) OVER (PARTITION BY session ORDER BY time_us RANGE BETWEEN {SPEED_US} PRECEDING AND CURRENT ROW) AS f FROM en),
+ sp AS (SELECT session, time_us, seq, CASE WHEN time_us > f.t AND distance > f.d THEN (distance - f.d) / (time_us - f.t) * 1e6 ELSE 0.0 END AS speed FROM sf)"""
+OTHERS = "bk AS (SELECT session, time_us, seq, value AS torque FROM ev WHERE event = 52), sc AS (SELECT session, time_us, seq, CAST(seq % 2 AS INTEGER) AS screen FROM ev WHERE event = 51)"
+_S = "PARTITION BY session ORDER BY frame"
+
+
+def windows_of(clock: str, name: str) -> str:
+    return f"{name} AS (SELECT *, coalesce(lag(time_us) OVER w, 2 * time_us - lead(time_us) OVER w, time_us - 1) AS start_us FROM {clock} WINDOW w AS ({_S}))"
+
+
+def behavior_sql(clock: str, whole: bool = True) -> list[str]:
+    """CTEs that end with ``bh``, the behavior table on a clock; not ``whole``: without encoder, screen, brake and torque."""
+    more = [near("n3", "en", clock, "distance"), near("n4", "sp", clock, "speed"), near("n5", "sc", clock, "screen"), near("n6", "bk", clock, "torque"), f"w0 AS (SELECT session, frame, start_us AS time_us FROM bw)", near("n7", "sg", "w0", "value"),
+        "tq AS (SELECT session, frame, value FROM (SELECT *, row_number() OVER (PARTITION BY session, frame ORDER BY abs(value) DESC, t, seq) AS rn FROM (SELECT session, frame, -1 AS t, -1 AS seq, coalesce(y0, y1) AS value FROM n7 UNION ALL SELECT bw.session, frame, sg.time_us, seq, value FROM bw JOIN sg ON sg.session = bw.session AND sg.time_us > start_us AND sg.time_us <= bw.time_us)) WHERE rn = 1)"]
+    joins = "".join(f" JOIN {n} USING (session, frame)" for n in ("n3", "n4", "n5", "n6")) + " LEFT JOIN tq USING (session, frame)" if whole else ""
+    extra = f", {LINE.format(on='n3.time_us').replace('x0', 'n3.x0').replace('x1', 'n3.x1').replace('y0', 'n3.y0').replace('y1', 'n3.y1')} AS far, {LINE.format(on='n4.time_us').replace('x0', 'n4.x0').replace('x1', 'n4.x1').replace('y0', 'n4.y0').replace('y1', 'n4.y1')} AS speed, coalesce(n5.y0, n5.y1) AS screens, coalesce(n6.y0, n6.y1) AS held, tq.value AS torque" if whole else ""
+    columns = f"CAST(held > 40 AS INTEGER) AS brake, screens, CASE WHEN system_state = 'run' THEN 0.0 ELSE torque END AS \"torque_N_cm\", round(CASE WHEN count(*) FILTER (WHERE system_state <> 'idle') OVER u > 0 THEN coalesce(last_value(CASE WHEN system_state = 'run' THEN far END IGNORE NULLS) OVER u, 0.0) ELSE 0.0 END, 4) AS distance_cm, round(CASE WHEN system_state = 'run' THEN speed ELSE 0.0 END, 9) AS speed_cm_s, " if whole else ""
+    return [
+        STATES, STATE, VALVE, *([RD, ENC, SPEED, OTHERS, SIGNED] if whole else []), windows_of(clock, "bw"), "lo AS (SELECT * FROM (SELECT *, lag(state, 1, 0) OVER (PARTITION BY session ORDER BY time_us, seq) AS was FROM st) WHERE state > 0 AND was <= 0)",
+        near("n1", "ss", clock, "system_state"), near("n2", "va", clock, "p"), *(more if whole else []),
+        f"b0 AS (SELECT n1.session, n1.frame, n1.time_us, coalesce(n1.y0, n1.y1) AS system_state, coalesce(n2.y0, n2.y1) AS va, EXISTS (SELECT 1 FROM lo WHERE lo.session = bw.session AND lo.time_us > bw.start_us AND lo.time_us <= bw.time_us) AS lick{extra} FROM n1 JOIN n2 USING (session, frame) JOIN bw USING (session, frame){joins})",
+        f"b1 AS (SELECT *, CASE WHEN va.t IS DISTINCT FROM lag(va.t) OVER w THEN 1 ELSE 0 END AS c, coalesce(va.w - lag(va.w) OVER w, 0) AS delta FROM b0 WINDOW w AS ({_S}))",
+        f"b2 AS (SELECT *, sum(c) OVER ({_S} ROWS UNBOUNDED PRECEDING) AS run FROM b1)",
+        f"bh AS (SELECT session, frame, time_us, round_even((time_us - min(time_us) OVER (PARTITION BY session)) / 6e7, 2) AS elapsed_minutes, {columns}CAST(lick AS INTEGER) AS lick, round(va.w, 4) AS \"water_uL\", CASE WHEN va.t IS NULL THEN 'tone' WHEN NOT va.t THEN 'no' WHEN sum(delta) OVER (PARTITION BY session, run) > 0 THEN 'yes' ELSE 'tone' END AS reward, system_state FROM b2 WINDOW u AS ({_S} ROWS UNBOUNDED PRECEDING))",
+    ]
+
+
+def _codes(s, d):
+    return readings(s, d).select("session", "time_us", "seq", (F.col("seq") % 3).cast("int").alias("state"))
+
+
+def _behavior(s, d, ticks, whole: bool = True, drop_time: bool = False):
     events = stream(s, d)
-    return assemble.behavior(
-        clock(s, d), _states(s, d), streams.encoder(events, 0.0058), streams.brake(events, 11.3, 0.4), streams.torque(events, 0.005), streams.lick(events, 50.0),
-        streams.valve(events, SCALE, EXPONENT), streams.gas_puffs(events), ["run"], 0.4,
-    )
+    of = lambda *codes: events.filter(F.col("event").isin(*codes))
+    valve = of(54, 55).withColumn("volume", F.sum(F.when(F.col("event") == 54, F.col("value")).otherwise(0.0)).over(so_far())).withColumn("tone_state", (F.col("event") == 54).cast("int"))
+    streams_ = {
+        "encoder": readings(s, d).withColumn("traveled_distance_cm", F.sum("value").over(so_far())), "screen": of(51).withColumn("screen_state", (F.col("seq") % 2).cast("int")), "brake": of(52).withColumn("brake_torque", F.col("value")),
+        "torque": events.withColumn("torque", F.when(F.col("seq") % 2 == 0, F.col("value")).otherwise(-F.col("value"))),
+    }
+    lick = of(51, 52).withColumn("lick_state", (F.col("event") == 51).cast("int"))
+    return assemble.behavior(ticks, _codes(s, d), lick, valve, labels=LABELS, minimum_torque=40.0, window_us=SPEED_US, drop_time=drop_time, **(streams_ if whole else {}))
+
 
+def _rounded(df):
+    places = {"water_uL": 4, "distance_cm": 4, "speed_cm_s": 9, **{c: 6 for c in df.columns if c.startswith(("face_camera", "body_camera", "pupil"))}}
+    return df.withColumns({c: F.round(c, n) for c, n in places.items() if c in df.columns})
 
-@query("b11_behavior_table")
+
+@query("b11_behavior_table", with_(EV, CLOCK, *behavior_sql("ck")) + "SELECT * FROM bh")
 def _(s, d):
-    """The whole behavior table; its parts have SQL of their own."""
-    return _behavior(s, d)
+    return _rounded(_behavior(s, d, clock(s, d)))
+
 
+@query("b10_mandatory_streams", with_(EV, CLOCK, *behavior_sql("ck", whole=False)) + "SELECT * FROM bh")
+def _(s, d):
+    """Sessions of a type without encoder, screen, brake and torque: their columns are absent."""
+    return _rounded(_behavior(s, d, clock(s, d), whole=False))
 
-def _runtime(s, d):
-    from chronoweave.functions.ordering import so_far
 
+TRIAL_TYPES, RUNTIME_STATES = {0: "ABC", 1: "ABCD", 2: "AD", 3: "B"}, {0: "idle", 1: "baseline", 2: "task", 3: "probe", 4: "rest"}
+_case = lambda column, labels: f"CASE {column} " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in labels.items()) + " END"
+
+
+def runtime_sql(clock: str) -> list[str]:
+    """CTEs that end with ``rt``, the runtime table on a clock."""
+    return [
+        COR, near("on1", "en", "co", "distance"), "os AS (SELECT session, time_us, seq, start_cm, coalesce(y0, 0.0) AS onset, lead(start_cm) OVER (PARTITION BY session ORDER BY time_us, seq) - start_cm AS len FROM on1)",
+        "pk AS (SELECT session, time_us, {'onset': onset, 's': start_cm, 'len': len} AS p FROM os)", near("tr", "en", clock, "distance"), f"t2 AS (SELECT session, frame, time_us, {LINE.format(on='time_us')} AS dist FROM tr)", near("pl", "pk", "t2", "p"),
+        "pf AS (SELECT session, frame, time_us, dist, coalesce(y0, y1) AS p FROM pl)", "pc AS (SELECT session, frame, time_us, p.s + CASE WHEN p.len IS NULL THEN greatest(dist - p.onset, 0.0) ELSE least(greatest(dist - p.onset, 0.0), p.len) END AS distance FROM pf WHERE p IS NOT NULL AND dist IS NOT NULL)",
+        "mk AS (SELECT session, time_us, seq, sum(value) OVER (PARTITION BY session ORDER BY time_us, seq ROWS UNBOUNDED PRECEDING) AS distance FROM ev WHERE event = 54)",
+        "tn AS (SELECT session, distance, {'n': row_number() OVER (PARTITION BY session ORDER BY seq), 'i': seq % 4} AS p FROM mk)", "cu AS (SELECT session, distance / 3 AS distance, CAST(seq % 9 AS INTEGER) AS cue FROM mk)",
+        "rs AS (SELECT session, time_us, seq, seq % 5 AS state FROM ev WHERE event = 55)", "gd AS (SELECT session, time_us, seq, CAST(seq % 2 AS INTEGER) AS state FROM ev WHERE event = 51)",
+        near("r1", "tn", "pc", "p", "distance"), near("r2", "cu", "pc", "cue", "distance"), near("r3", "rs", "pc", "state"), near("r4", "gd", "pc", "state"),
+        f"""rt AS (SELECT r1.session, r1.frame, CAST(coalesce(r1.y0, r1.y1).n AS INTEGER) AS trial, {_case('coalesce(r1.y0, r1.y1).i', TRIAL_TYPES)} AS trial_type, coalesce(r2.y0, r2.y1) AS cue,
+ CAST(EXISTS (SELECT 1 FROM mk WHERE mk.session = r1.session AND mk.seq % 3 = 0 AND r1.distance BETWEEN mk.distance AND mk.distance + 40) AS INTEGER) AS in_trigger_zone, {_case('coalesce(r3.y0, r3.y1)', RUNTIME_STATES)} AS runtime_state, coalesce(r4.y0, r4.y1) AS reinforcing_guided
+ FROM r1 JOIN r2 USING (session, frame) JOIN r3 USING (session, frame) JOIN r4 USING (session, frame))""",
+    ]
+
+
+def _runtime(s, d, ticks):
     events = stream(s, d)
-    encoder = readings(s, d).withColumn("distance", F.sum("value").over(so_far())).drop("value")
-    marks = events.filter("event = 54").select("session", "time_us", "seq", F.sum("value").over(so_far()).alias("distance"))
-    corridors = marks.select("session", "time_us", "seq", (F.col("distance") / 2).alias("start_cm"))
+    encoder = readings(s, d).withColumn("traveled_distance_cm", F.sum("value").over(so_far()))
+    marks = events.filter("event = 54")
+    corridors = marks.select("session", "time_us", "seq", ((F.row_number().over(in_order()) - 1) * 100.0).alias("start_cm"))
+    marks = marks.select("session", "time_us", "seq", F.sum("value").over(so_far()).alias("distance"))
     zones = marks.filter("seq % 3 = 0").select("session", F.col("distance").alias("start_cm"), (F.col("distance") + 40).alias("end_cm"))
-    trials = marks.select("session", "distance", "seq", (F.col("seq") % 4).cast("int").alias("trial"))
+    trials = marks.select("session", "distance", "seq", (F.col("seq") % 4).cast("int").alias("trial_type_index"))
     cues = marks.select("session", (F.col("distance") / 3).alias("distance"), "seq", (F.col("seq") % 9).cast("int").alias("cue"))
-    states = events.filter("event = 55").select("session", "time_us", "seq", (F.col("seq") % 5).cast("int").alias("runtime_state"))
-    return assemble.runtime(clock(s, d), encoder, corridors, trials, cues, zones, states)
+    states = events.filter("event = 55").select("session", "time_us", "seq", (F.col("seq") % 5).cast("int").alias("state"))
+    guided = events.filter("event = 51").select("session", "time_us", "seq", (F.col("seq") % 2).cast("int").alias("state"))
+    return assemble.runtime(ticks, encoder, corridors, trials, cues, zones, states, trial_types=TRIAL_TYPES, state_labels=RUNTIME_STATES, reinforcing=guided)
 
 
-@query("b12_runtime_table")
+@query("b12_runtime_table", with_(EV, RD, CLOCK, ENC, *runtime_sql("ck")) + "SELECT * FROM rt")
 def _(s, d):
-    return _runtime(s, d)
+    return _runtime(s, d, clock(s, d))
+
+
+def video_sql(clock: str) -> list[str]:
+    """CTEs that end with ``vd``, the video table on a clock."""
+    out = ["fc AS (SELECT session, time_us, seq, value FROM ev WHERE event = 51)", "bc AS (SELECT session, time_us, seq, value FROM ev WHERE event = 52)", "pu AS (SELECT session, time_us, seq, value, CAST(seq % 4 = 0 AS INTEGER) AS blink FROM ev WHERE event = 60)", windows_of(clock, "vw")]
+    for name in ("fc", "bc"):
+        out += [near(f"l{name}", name, clock, "value"), f"m{name} AS (SELECT vw.session, frame, max({name}.value) AS m, count(*) AS n FROM vw JOIN {name} ON {name}.session = vw.session AND {name}.time_us > start_us AND {name}.time_us <= vw.time_us GROUP BY ALL)",
+                f"v{name} AS (SELECT session, frame, CASE WHEN n IS NULL THEN line ELSE m END AS energy, line / 2 AS light FROM (SELECT session, frame, {LINE.format(on='time_us')} AS line FROM l{name}) LEFT JOIN m{name} USING (session, frame))"]
+    out += [near("pn", "pu", clock, "value"), near("pb", "pu", clock, "blink"), f"pv AS (SELECT session, frame, {LINE.format(on='time_us')} AS diameter FROM pn)"]
+    return [*out, "vd AS (SELECT vfc.session, vfc.frame, round(vfc.energy, 6) AS face_camera_motion_energy, round(vfc.light, 6) AS face_camera_frame_luminance, round(vbc.energy, 6) AS body_camera_motion_energy, round(vbc.light, 6) AS body_camera_frame_luminance, round(diameter, 6) AS pupil_diameter_px, coalesce(y0, y1) AS blinking_state FROM vfc JOIN vbc USING (session, frame) JOIN pv USING (session, frame) JOIN pb USING (session, frame))"]
 
 
-def _video(s, d):
-    series = stream(s, d).filter("event in (51, 52)").select("session", F.when(F.col("event") == 51, "face").otherwise("body").alias("camera"), "time_us", "seq", F.col("value").alias("motion_energy"), (F.col("value") / 2).alias("frame_luminance"))
-    return assemble.video_table(clock(s, d), series, ["face", "body"])
+def _video(s, d, ticks):
+    events = stream(s, d)
+    camera = lambda code: events.filter(F.col("event") == code).select("session", "time_us", "seq", F.col("value").alias("motion_energy"), (F.col("value") / 2).alias("frame_luminance"))
+    pupil = readings(s, d).select("session", "time_us", "seq", F.col("value").alias("pupil_diameter_px"), (F.col("seq") % 4 == 0).cast("int").alias("blinking_state"))
+    return _rounded(assemble.video_table(ticks, {"face_camera": camera(51), "body_camera": camera(52), "third_camera": None}, pupil))
 
 
-@query("b13_video_table")
+@query("b13_video_table", with_(EV, CLOCK, *video_sql("ck")) + "SELECT * FROM vd")
 def _(s, d):
-    return _video(s, d)
+    return _video(s, d, clock(s, d))
 
 
 @query("b14_row_counts_agree", with_(EV) + "SELECT 'as many rows as the clock' AS \"check\", CAST(session AS VARCHAR) AS key, count(*) FILTER (WHERE event = 51) || ' and ' || count(*) FILTER (WHERE event = 52) || ' rows' AS message FROM ev WHERE event IN (51, 52) GROUP BY session HAVING count(*) FILTER (WHERE event = 51) <> count(*) FILTER (WHERE event = 52)")
@@ -160,15 +240,44 @@ def _(s, d):
     return assemble.side_by_side(ticks, ticks.withColumn("twice", F.col("frame") * 2), ticks.withColumn("thrice", F.col("frame") * 3))
 
 
-@query("b18_experiment_dataset")
+BOUNDS = "fi AS (SELECT session, min(time_us) AS a FROM ss WHERE code <> 0 GROUP BY session), la AS (SELECT session, max(time_us) AS b FROM ev WHERE event = 55 GROUP BY session)"
+_INSIDE = "LEFT JOIN fi USING (session) LEFT JOIN la USING (session) WHERE coalesce(time_us >= a, true) AND coalesce(time_us <= b, true)"
+
+
+@query(
+    "b18_experiment_dataset",
+    with_(EV, CLOCK, *behavior_sql("ck"), *runtime_sql("ck"), *video_sql("ck"), "sk AS (SELECT label AS session, vec_id AS frame, embedding AS single_day_spikes FROM embeddings)", BOUNDS)
+    + """SELECT ck.session, ck.frame, ck.time_us, sk.single_day_spikes, bh.* EXCLUDE (session, frame, time_us, elapsed_minutes), CAST(CASE WHEN system_state IN ('idle', 'rest') THEN 65535 ELSE trial END AS INTEGER) AS trial, CASE WHEN system_state IN ('idle', 'rest') THEN 'undefined' ELSE trial_type END AS trial_type,
+ CAST(CASE WHEN system_state IN ('idle', 'rest') THEN 255 ELSE cue END AS INTEGER) AS cue, rt.* EXCLUDE (session, frame, trial, trial_type, cue), vd.* EXCLUDE (session, frame) FROM ck LEFT JOIN sk ON sk.session = ck.session AND sk.frame = ck.frame
+ JOIN bh ON bh.session = ck.session AND bh.frame = ck.frame JOIN rt ON rt.session = ck.session AND rt.frame = ck.frame JOIN vd ON vd.session = ck.session AND vd.frame = ck.frame LEFT JOIN fi ON fi.session = ck.session LEFT JOIN la ON la.session = ck.session WHERE coalesce(ck.time_us >= a, true) AND coalesce(ck.time_us <= b, true)""",
+)
 def _(s, d):
-    frames, states = clock(s, d).select("session", "frame", "time_us"), _states(s, d).withColumnRenamed("code", "state")
-    return assemble.experiment(frames, _behavior(s, d), _runtime(s, d), _video(s, d), states, stream(s, d).filter("event = 55"))
+    """Traces are vectors; the tables on the clock of each session, masked and clipped."""
+    ticks = clock(s, d).select("session", "frame", "time_us")
+    traces = read(s, d, "embeddings").select(F.col("label").cast("bigint").alias("session"), F.col("vec_id").cast("bigint").alias("frame"), F.posexplode("embedding").alias("roi", "value"))
+    frames = imaging.attach_traces(ticks, {"single_day_spikes": traces})
+    whole = assemble.experiment(frames, _rounded(_behavior(s, d, ticks, drop_time=True)), _runtime(s, d, ticks), _video(s, d, ticks), _codes(s, d), stream(s, d).filter("event = 55"))
+    if expect.undescribed(whole, set(assemble.DESCRIPTIONS)):
+        raise expect.ExpectationError("columns without a description")
+    return whole
+
+
+CAMERAS = {"face_camera": 51, "body_camera": 52}
 
 
-@query("b19_training_dataset")
+@query(
+    "b19_training_dataset",
+    with_(EV, "cs AS (SELECT session, event, (count(*) - 1) * 1e6 / (max(time_us) - min(time_us)) AS rate FROM ev WHERE event IN (51, 52) GROUP BY ALL HAVING count(*) >= 2 AND max(time_us) > min(time_us))",
+          "cp AS (SELECT session, arg_min(event, (rate, event)) AS event FROM cs GROUP BY session)", "cc AS (SELECT session, row_number() OVER (PARTITION BY session ORDER BY time_us, seq) AS frame, time_us FROM ev JOIN cp USING (session, event))",
+          *behavior_sql("cc"), *video_sql("cc"), BOUNDS)
+    + f"SELECT bh.*, vd.* EXCLUDE (session, frame) FROM bh JOIN vd USING (session, frame) {_INSIDE}",
+)
 def _(s, d):
-    return assemble.training(clock(s, d), _behavior(s, d), _video(s, d), _states(s, d).withColumnRenamed("code", "state"), stream(s, d).filter("event = 55"))
+    """The slowest of two cameras is the clock of each session."""
+    code = F.when(F.col("event") == CAMERAS["face_camera"], "face_camera").otherwise("body_camera")
+    frames = stream(s, d).filter("event in (51, 52)").select("session", "time_us", "seq", code.alias("camera"))
+    ticks = assemble.camera_clock(frames, {name: place for place, name in enumerate(CAMERAS)})
+    return assemble.training(_rounded(_behavior(s, d, ticks)), _video(s, d, ticks), _codes(s, d), stream(s, d).filter("event = 55"))
 
 
 @query("b20_route_by_type", with_(EV, CLOCK) + "SELECT session, frame, CASE WHEN session % 2 = 0 THEN frame END AS imaging, CASE WHEN session % 2 = 1 THEN time_us END AS camera FROM ck WHERE session % 5 < 4")
