@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from chronoweave.functions.shared import settled
+
 SESSION = ["session"]
 ORDER = ["time_us", "seq"]
 
@@ -70,3 +72,17 @@ def natural_sort(df: DataFrame, *names: str, nulls_last: bool = True) -> DataFra
         for key in (natural_key(F.col(name)), F.col(name)):
             keys.append(key.asc_nulls_last() if nulls_last else key.asc_nulls_first())
     return df.orderBy(*keys)
+
+
+def natural_places(df: DataFrame, *names: str, place: str = "place") -> DataFrame:
+    """``df`` with each row's place from 1 on in natural order, over the whole table.
+
+    Rows are sorted by ranges and numbered inside them; what is added are the heights of the ranges before, one number for each.
+    """
+    numbered = settled(natural_sort(df, *names).withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftright("_at", 33)
+    heights = numbered.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    base = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bases = heights.select("_part", base.alias("_base"))
+    inside = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return numbered.withColumn("_part", part).join(F.broadcast(bases), "_part").select(*df.columns, (F.col("_base") + inside).alias(place))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronoweave.functions.ordering import natural_key
+from chronoweave.functions.ordering import natural_key, natural_sort
 from chronoweave.operators.state import SUCCEEDED
 
 
@@ -111,3 +111,8 @@ def first_in_order(files: DataFrame, keys: list[str]) -> DataFrame:
 
 def rank_by_name(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(natural_key(F.col(name)), name)))
+
+
+def existing(found: DataFrame) -> DataFrame:
+    """Datasets of a project in natural order, from its path markers."""
+    return natural_sort(found.filter("kind = 'dataset'").select("dataset"), "dataset")

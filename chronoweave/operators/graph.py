@@ -5,24 +5,17 @@ Each round is written to the shared folder (``checkpoint``), so lineage stays sh
 
 from __future__ import annotations
 
-import tempfile
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chronoweave.functions.shared import settled
 from chronoweave.operators.state import SUCCEEDED
 
 MOST_LISTED = 50
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the folder of ``spark.checkpoint.dir``; a session without one gets a temporary folder."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="chronoweave-"))
-    return df.checkpoint()
-
-
 def batch_document(units: DataFrame, state: DataFrame, plan: DataFrame) -> DataFrame:
     """G1: outstanding jobs of each unit with planned figures; units without state, or with unplanned jobs, carry a reason.
 
@@ -69,15 +62,16 @@ def blocked(jobs: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def closure(edges: DataFrame) -> DataFrame:
-    """``job_id, after``: every job with all jobs that need it, directly or not; each pair once."""
+    """``job_id, after``: every job with all jobs that need it, directly or not; each pair once. A round writes its new pairs only."""
     step = settled(edges.select(F.col("needs").alias("job_id"), F.col("job_id").alias("after")).distinct())
-    known = fresh = step
+    rounds = [step]
     while True:
-        longer = fresh.select("job_id", F.col("after").alias("via")).join(step.select(F.col("job_id").alias("via"), "after"), "via").select("job_id", "after").distinct()
+        known = reduce(DataFrame.unionByName, rounds)
+        longer = rounds[-1].select("job_id", F.col("after").alias("via")).join(step.select(F.col("job_id").alias("via"), "after"), "via").select("job_id", "after").distinct()
         fresh = settled(longer.join(known, ["job_id", "after"], "left_anti"))
         if fresh.isEmpty():
             return known
-        known = settled(known.unionByName(fresh))
+        rounds.append(fresh)
 
 
 def downstream_weight(jobs: DataFrame, edges: DataFrame) -> DataFrame:

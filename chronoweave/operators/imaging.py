@@ -159,12 +159,12 @@ def align(pulses: DataFrame, frames: DataFrame, tolerance_us: int = TOLERANCE_US
     return chosen.withColumn("_rank", rank).filter("_rank = 1").select("session", F.col("pulse_id").alias("frame"), F.col("pulse_start").alias("time_us"), "place")
 
 
-def aligned_frames(band: DataFrame, pulses: DataFrame, frames: DataFrame, counts: DataFrame) -> DataFrame:
+def aligned_frames(band: DataFrame, pulses: DataFrame, frames: DataFrame, counts: DataFrame, tolerance_us: int = TOLERANCE_US) -> DataFrame:
     """the last pulses where there are too many, the nearest ones where there are too few; frames numbered from 1 on."""
     have = counts.join(band.groupBy("session").agg(F.count(F.lit(1)).alias("_have")), "session", "left").withColumn("_have", F.coalesce("_have", F.lit(0)))
     enough = last_frames(band, have.filter("_have >= frame_count").select("session", "frame_count"))
     few = have.filter("_have < frame_count").select("session")
-    found = align(pulses.join(few, "session", "left_semi"), frames.join(few, "session", "left_semi")).select("session", "frame", "time_us")
+    found = align(pulses.join(few, "session", "left_semi"), frames.join(few, "session", "left_semi"), tolerance_us).select("session", "frame", "time_us")
     both = enough.select("session", "frame", "time_us").unionByName(found)
     return both.select("session", F.row_number().over(in_order(order=["frame"])).alias("frame"), "time_us")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronoweave.functions.ordering import natural_key
+from chronoweave.functions.ordering import natural_key, natural_sort
 
 SUCCEEDED = "SUCCEEDED"
 #: More distinct values than this are only counted in a breakdown (fixed value).
@@ -50,9 +50,9 @@ def project_plan(plans: list[DataFrame], version: int) -> DataFrame:
     return whole.filter(F.col("model_version") == version)
 
 
-def ranked(df: DataFrame, by: str, within: list[str] | None = None, name: str = "index") -> DataFrame:
-    """1-based place in natural order inside a group."""
-    w = Window.partitionBy(*(within or [])).orderBy(natural_key(F.col(by)), by)
+def ranked(df: DataFrame, by: str, within: list[str], name: str = "index") -> DataFrame:
+    """1-based place in natural order inside a group; ``ordering.natural_places`` numbers a whole table."""
+    w = Window.partitionBy(*within).orderBy(natural_key(F.col(by)), by)
     return df.withColumn(name, F.row_number().over(w))
 
 
@@ -142,3 +142,47 @@ def planned_units(units: DataFrame, plan: DataFrame) -> DataFrame:
     """Jobs and memory of each named unit, or the reason why there are none."""
     sums = plan.groupBy("unit").agg(F.count(F.lit(1)).alias("jobs"), F.sum("memory_mb").alias("memory_mb"), F.sum("resident_mb").alias("resident_mb"))
     return units.join(sums, "unit", "left").withColumn("reason", F.when(F.col("jobs").isNull(), "no job is planned for this unit"))
+
+
+def job_listing(jobs: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
+    """M3: one row for each tracked job, in natural order, nulls last."""
+    return natural_sort(jobs.select(*columns), *by)
+
+
+def animals_of(manifest_table: DataFrame) -> DataFrame:
+    """M7: the animals of a project, each once."""
+    return manifest_table.select("animal").distinct()
+
+
+def sessions_of(manifest_table: DataFrame, animal: object | None = None, complete: list[str] = ()) -> DataFrame:
+    """M8: sessions of an animal or of all, only those in which the named pipelines are done."""
+    rows = manifest_table if animal is None else manifest_table.filter(F.col("animal") == F.lit(animal))
+    for pipeline in complete:
+        rows = rows.filter(F.col(pipeline) == 1)
+    return rows.select("animal", "session")
+
+
+def lookup(sessions: DataFrame, session: object, columns: list[str]) -> DataFrame:
+    """M9: fields of one session; an unknown session gives no row."""
+    return sessions.filter(F.col("session") == F.lit(session)).select(*columns)
+
+
+def view(manifest_table: DataFrame, animal: object, columns: list[str]) -> DataFrame:
+    """Some columns of an animal's sessions."""
+    return manifest_table.filter(F.col("animal") == F.lit(animal)).select(*columns)
+
+
+def with_jobs(manifest_table: DataFrame, jobs: DataFrame) -> DataFrame:
+    """The manifest with a row for each job; sessions without jobs drop out."""
+    return manifest_table.join(jobs, ["animal", "session"])
+
+
+def discovered_units(found: DataFrame) -> DataFrame:
+    """``unit_kind, dataset, animal, session, unit_path`` of a project's path markers."""
+    path = F.when(F.col("kind") == "dataset", F.col("dataset")).otherwise(F.concat_ws("/", "animal", "session"))
+    return found.select(F.col("kind").alias("unit_kind"), "dataset", "animal", "session", path.alias("unit_path"))
+
+
+def staged_read(table: DataFrame, axes: list[str], filters: dict[str, list] | None = None, order: list | None = None, start: int = 0, length: int = 200) -> tuple[DataFrame, DataFrame | None]:
+    """How every listing is read: counts by axis for all rows, and a page once a filter is named."""
+    return breakdown(table, axes), listing(table, filters, order or table.columns, start, length) if filters else None

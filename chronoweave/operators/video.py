@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,10 +15,15 @@ LEAST_CHUNK = 4000
 BLOCK = 3
 
 
+#: Frames that are measured in one step.
+STEP = 64
+
+
 def block_means(pixels: np.ndarray, block: int = BLOCK) -> np.ndarray:
-    """V1: means of square blocks of a plane; blocks that don't fit are cut off."""
-    height, width = (n - n % block for n in pixels.shape)
-    return pixels[:height, :width].astype(np.float64).reshape(height // block, block, width // block, block).mean(axis=(1, 3))
+    """V1: means of square blocks of planes (the last two axes); blocks that don't fit are cut off."""
+    height, width = (n - n % block for n in pixels.shape[-2:])
+    whole = pixels[..., :height, :width].astype(np.float64)
+    return whole.reshape(*pixels.shape[:-2], height // block, block, width // block, block).mean(axis=(-3, -1))
 
 
 def chunked(frames: DataFrame, size: int = LEAST_CHUNK) -> DataFrame:
@@ -29,26 +36,32 @@ def chunked(frames: DataFrame, size: int = LEAST_CHUNK) -> DataFrame:
 def motion_energy(frames: DataFrame, size: int = LEAST_CHUNK, block: int = BLOCK) -> DataFrame:
     """V1-V4: ``session, camera, frame, motion_energy, frame_luminance``; ``frames`` has ``height, width, pixels``. The first energy is NaN.
 
-    Chunks are dealt out and sorted; a task holds two frames at a time.
+    Chunks are dealt out and sorted; a task measures ``STEP`` frames at a time and carries the last one over.
     """
     dealt = chunked(frames, size).repartition("session", "camera", "chunk").sortWithinPartitions("session", "camera", "chunk", "frame")
+    dealt = dealt.select("session", "camera", "chunk", "frame", "priming", "height", "width", "pixels")
 
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         earlier, key = None, None
-        for rows in batches:
-            out = []
-            for r in rows.itertuples(index=False):
-                plane = block_means(np.frombuffer(r.pixels, dtype=np.uint8).reshape(r.height, r.width), block)
-                here = (r.session, r.camera, r.chunk)
-                if not r.priming:
-                    energy = float(np.abs(plane - earlier).mean()) if key == here else float("nan")
-                    out.append((r.session, r.camera, r.frame, energy, float(plane.mean())))
-                earlier, key = plane, here
-            yield pd.DataFrame(out, columns=["session", "camera", "frame", "motion_energy", "frame_luminance"])
+        for batch in (whole.slice(at, STEP) for whole in batches for at in range(0, whole.num_rows, STEP)):
+            keys = list(zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True))
+            shapes = np.stack([batch.column(k).to_numpy() for k in (5, 6)], axis=1)
+            energy, light = np.full(len(keys), np.nan), np.empty(len(keys))
+            cuts = np.flatnonzero((shapes[1:] != shapes[:-1]).any(axis=1)) + 1
+            for a, b in itertools.pairwise([0, *cuts.tolist(), len(keys)]):
+                pixels = np.frombuffer(b"".join(batch.column(7).slice(a, b - a).to_pylist()), dtype=np.uint8)
+                planes = block_means(pixels.reshape(b - a, *shapes[a]), block)
+                light[a:b] = planes.mean(axis=(1, 2))
+                if key == keys[a] and earlier.shape == planes[0].shape:
+                    energy[a] = np.abs(planes[0] - earlier).mean()
+                same = np.array([keys[k] == keys[k - 1] for k in range(a + 1, b)], dtype=bool)
+                energy[a + 1 : b][same] = np.abs(np.diff(planes, axis=0)).mean(axis=(1, 2))[same]
+                earlier, key = planes[-1], keys[b - 1]
+            out = pa.RecordBatch.from_arrays([*(batch.column(k) for k in (0, 1, 3)), pa.array(energy), pa.array(light)], names=["session", "camera", "frame", "motion_energy", "frame_luminance"])
+            yield out.filter(pc.invert(batch.column(4)))
 
     kinds = dict(frames.dtypes)
-    measured = dealt.mapInPandas(measure, f"session {kinds['session']}, camera {kinds['camera']}, frame bigint, motion_energy double, frame_luminance double")
-    return measured.withColumn("motion_energy", F.coalesce("motion_energy", F.lit(float("nan"))))  # pandas turns NaN into null
+    return dealt.mapInArrow(measure, f"session {kinds['session']}, camera {kinds['camera']}, frame {kinds['frame']}, motion_energy double, frame_luminance double")
 
 
 def truncated_chunks(frames: DataFrame, measured: DataFrame, size: int = LEAST_CHUNK) -> DataFrame:

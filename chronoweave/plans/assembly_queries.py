@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from chronoweave.functions import expect
+from chronoweave.functions import expect, registry
 from chronoweave.functions.ordering import in_order, so_far
+from chronoweave.functions.shared import fresh_path
 from chronoweave.operators import assemble, imaging, streams
 from chronoweave.operators.asof import align_all
 from chronoweave.plans.asof_queries import COR, ENC, SIGNED, STATE
+from chronoweave.plans.state_queries import MARKERS, _markers
 from chronoweave.plans.stream_queries import PULSES, TONE, TRAIN, VOLUME
 from chronoweave.plans.tables import CLOCK, EV, EXPONENT, LINE, RD, SCALE, clock, near, read, readings, stream, with_
 from chronoweave.sources import ingest
@@ -333,11 +335,37 @@ def _(s, d):
     return streams.of_code(stream(s, d), 60).drop("value")
 
 
-@query("s10_path_markers", "SELECT 'dataset' AS kind, 'd' || n_nationkey AS dataset, NULL AS animal, NULL AS session FROM nation WHERE n_nationkey % 5 = 0 UNION ALL SELECT 'session', NULL, 'd' || (c_custkey % 25), 's' || c_custkey FROM customer WHERE c_custkey % 25 % 5 <> 0")
+@query("s10_path_markers", with_(MARKERS) + "SELECT * FROM mk")
 def _(s, d):
-    sets = read(s, d, "nation").filter("n_nationkey % 5 = 0").select(F.concat(F.lit("d"), "n_nationkey", F.lit("/dataset.yaml")).alias("path"))
-    runs = read(s, d, "customer").select(F.concat(F.lit("d"), F.col("c_custkey") % 25, F.lit("/s"), "c_custkey", F.lit("/raw/session.yaml")).alias("path"))
-    return ingest.markers(sets.union(runs), "dataset.yaml", "session.yaml")
+    return _markers(s, d)
+
+
+@query("s1_s12_published_table", "SELECT * FROM orders")
+def _(s, d):
+    """A table published twice: readers see the second one whole."""
+    path, orders = fresh_path(s, "published"), read(s, d, "orders")
+    ingest.publish(orders.select("o_orderkey"), path)
+    ingest.publish(orders, path)
+    return s.read.parquet(path)
+
+
+@query("s13_session_folders", "SELECT c_custkey, c_name, CAST(c_nationkey AS INTEGER) AS animal, c_mktsegment AS session, CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END AS version FROM customer")
+def _(s, d):
+    """A folder for each animal and session; the sessions of a second write replace their own only."""
+    path = fresh_path(s, "sessions")
+    rows = read(s, d, "customer").select("c_custkey", "c_name", F.col("c_nationkey").cast("int").alias("animal"), F.col("c_mktsegment").alias("session"), F.lit(0).alias("version"))
+    ingest.write_sessions(rows, path)
+    ingest.write_sessions(rows.filter("session = 'BUILDING'").withColumn("version", F.lit(1)), path)
+    return ingest.read_sessions(s, path)
+
+
+@query("x2_donated_parser", with_(EV) + "SELECT session, time_us, seq, value > 50 AS loud FROM ev WHERE event IN (51, 52)")
+def _(s, d):
+    """A parser that a system donates, applied to the events it names."""
+    if "query" not in registry.systems():
+        loud = lambda df: df.select("session", "time_us", "seq", (F.col("value") > 50).alias("loud"))
+        registry.donate(registry.System("query", {"sound": loud}, {"sound": (51, 52)}, lambda df: df, lambda *tables: tables[0], {"run": ("video",)}, {"loud": "louder than 50"}))
+    return registry.parsed(stream(s, d), "query", "sound")
 
 
 @query("s15_named_clocks", with_(EV) + "SELECT session, seq, CASE event WHEN 51 THEN 'face' ELSE 'body' END AS camera FROM ev WHERE event IN (51, 52)")
@@ -353,7 +381,8 @@ def _(s, d):
 
 
 FILES = "fl AS (SELECT source AS session, CAST(doc_id AS VARCHAR) AS path, CASE WHEN doc_id % 10 = 0 THEN 'checksum.txt' ELSE 'data' END AS name, sha256(text) AS digest FROM documents)"
-DIGESTS = "dg AS (SELECT session, sha256(string_agg(path || ' ' || digest, chr(10) ORDER BY path)) AS digest FROM fl WHERE name <> 'checksum.txt' GROUP BY session)"
+DIGESTS = """gr AS (SELECT session, substr(sha256(path), 1, 3) AS g, sha256(string_agg(path || ' ' || digest, chr(10) ORDER BY path, digest)) AS digest FROM fl WHERE name <> 'checksum.txt' GROUP BY ALL),
+ dg AS (SELECT session, sha256(string_agg(g || ' ' || digest, chr(10) ORDER BY g)) AS digest FROM gr GROUP BY session)"""
 
 
 def _files(s, d):

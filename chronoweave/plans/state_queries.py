@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-
+from chronoweave.functions.ordering import natural_places
 from chronoweave.operators import datasets, graph, scheduler, state
 from chronoweave.plans.tables import read, with_
+from chronoweave.sources import ingest
 
 Q, SQL = {}, {}
 
@@ -62,10 +63,10 @@ def _(s, d):
     return state.pipeline_rollup(_jobs(s, d), PIPELINES)
 
 
-@query("m3_job_listing_natural", with_(JOBS) + "SELECT 'job' || line AS job_name, count(*) AS jobs, row_number() OVER (ORDER BY line) AS place FROM jb GROUP BY line")
+@query("m3_job_listing_natural", with_(JOBS) + "SELECT 'job' || line AS job_name, session, status FROM jb")
 def _(s, d):
-    counts = _jobs(s, d).groupBy(F.concat(F.lit("job"), "line").alias("job_name")).agg(F.count(F.lit(1)).alias("jobs"))
-    return datasets.rank_by_name(counts.withColumn("all", F.lit(1)), ["all"], "job_name").withColumnRenamed("rank", "place").drop("all")
+    rows = _jobs(s, d).withColumn("job_name", F.concat(F.lit("job"), "line")).withColumn("name", F.col("session").cast("string"))
+    return state.job_listing(rows, ["job_name", "session", "status", "name"], ["name", "job_name"]).drop("name")
 
 
 @query("m4_dataset_state", "SELECT CASE WHEN n_nationkey % 2 = 0 THEN 'discover' ELSE 'extract' END AS job_name, CASE WHEN n_nationkey % 2 = 0 THEN 'animal' ELSE 'session' END AS scope, CASE WHEN n_nationkey % 2 = 0 THEN n_name ELSE 'region' || n_regionkey END AS animal, CASE WHEN n_nationkey % 2 = 1 THEN n_name END AS session FROM nation")
@@ -79,8 +80,35 @@ def _(s, d):
 
 @query("m5_natural_order", "SELECT 'c' || c_custkey AS name, row_number() OVER (ORDER BY c_custkey) AS place FROM customer")
 def _(s, d):
-    names = read(s, d, "customer").select(F.concat(F.lit("c"), "c_custkey").alias("name"), F.lit(1).alias("all"))
-    return datasets.rank_by_name(names, ["all"], "name").select("name", F.col("rank").alias("place"))
+    return natural_places(read(s, d, "customer").select(F.concat(F.lit("c"), "c_custkey").alias("name")), "name")
+
+
+MARKERS = "mk AS (SELECT 'dataset' AS kind, 'd' || n_nationkey AS dataset, NULL AS animal, NULL AS session FROM nation WHERE n_nationkey % 5 = 0 UNION ALL SELECT 'session', NULL, 'd' || (c_custkey % 25), 's' || c_custkey FROM customer WHERE c_custkey % 25 % 5 <> 0)"
+
+
+def _markers(s, d):
+    """Every fifth nation is a dataset; customers are sessions below animals, those below a dataset drop out."""
+    sets = read(s, d, "nation").filter("n_nationkey % 5 = 0").select(F.concat(F.lit("d"), "n_nationkey", F.lit("/dataset.yaml")).alias("path"))
+    runs = read(s, d, "customer").select(F.concat(F.lit("d"), F.col("c_custkey") % 25, F.lit("/s"), "c_custkey", F.lit("/raw/session.yaml")).alias("path"))
+    return ingest.markers(sets.union(runs), "dataset.yaml", "session.yaml")
+
+
+@query("d10_existing_datasets", with_(MARKERS) + "SELECT dataset FROM mk WHERE kind = 'dataset'")
+def _(s, d):
+    return datasets.existing(_markers(s, d))
+
+
+UNITS = "ut AS (SELECT kind AS unit_kind, dataset, animal, session, CASE WHEN kind = 'dataset' THEN dataset ELSE animal || '/' || session END AS unit_path FROM mk)"
+
+
+@query("m26_discovery_counts", with_(MARKERS, UNITS) + "SELECT 'unit_kind' AS axis, unit_kind AS value, count(*) AS count FROM ut GROUP BY 2 UNION ALL SELECT 'animal', coalesce(animal, 'none'), count(*) FROM ut GROUP BY 2 UNION ALL SELECT 'dataset', coalesce(dataset, 'none'), count(*) FROM ut GROUP BY 2")
+def _(s, d):
+    return state.staged_read(state.discovered_units(_markers(s, d)), ["unit_kind", "animal", "dataset"])[0]
+
+
+@query("m26_discovery_units", with_(MARKERS, UNITS) + "SELECT * FROM ut WHERE animal IN ('d1', 'd2', 'd3')")
+def _(s, d):
+    return state.staged_read(state.discovered_units(_markers(s, d)), ["unit_kind"], {"animal": ["d1", "d2", "d3"]}, ["unit_path"], length=0)[1]
 
 
 PLAN = """pn AS (SELECT CASE WHEN l_linestatus = 'F' THEN 'session' ELSE 'dataset' END AS unit_kind, CASE l_linenumber % 5 WHEN 0 THEN 'checksum' WHEN 1 THEN 'runtime' WHEN 2 THEN 'microcontroller' WHEN 3 THEN 'video' ELSE 'two_photon' END AS pipeline,
@@ -103,17 +131,18 @@ def _(s, d):
 
 @query("m7_animals", "SELECT DISTINCT o_custkey AS animal FROM orders")
 def _(s, d):
-    return _sessions(s, d).select("animal").distinct()
+    return state.animals_of(_sessions(s, d))
 
 
-@query("m8_sessions_of_animal", with_(JOBS, MANIFEST) + "SELECT session FROM mf WHERE animal % 50 = 7 AND runtime = 1")
+@query("m8_sessions_of_animal", with_(JOBS, MANIFEST) + "SELECT animal, session FROM mf WHERE runtime = 1 AND video = 1")
 def _(s, d):
-    return _manifest(s, d).filter("animal % 50 = 7 and runtime = 1").select("session")
+    """Of all animals; one animal is a filter of its own, as in the summary view."""
+    return state.sessions_of(_manifest(s, d), complete=["runtime", "video"])
 
 
 @query("m9_point_lookup", "SELECT o_orderkey AS session, o_custkey AS animal, o_orderpriority AS system FROM orders WHERE o_orderkey = 4242")
 def _(s, d):
-    return _sessions(s, d).filter("session = 4242").select("session", "animal", "system")
+    return state.lookup(_sessions(s, d), 4242, ["session", "animal", "system"])
 
 
 @query(
@@ -133,7 +162,7 @@ def _(s, d):
 
 @query("m12_summary_view", with_(JOBS, MANIFEST) + "SELECT session, type, video FROM mf WHERE animal = 10")
 def _(s, d):
-    return _manifest(s, d).filter("animal = 10").select("session", "type", "video")
+    return state.view(_manifest(s, d), 10, ["session", "type", "video"])
 
 
 @query("m13_breakdown", with_(JOBS) + "SELECT 'pipeline' AS axis, pipeline AS value, count(*) AS count FROM jb GROUP BY pipeline UNION ALL SELECT 'status', status, count(*) FROM jb GROUP BY status UNION ALL SELECT 'animal', NULL, count(DISTINCT animal) FROM jb")
@@ -154,7 +183,7 @@ def _(s, d):
 
 @query("m16_manifest_jobs", with_(JOBS, MANIFEST) + "SELECT mf.session, mf.type, pipeline, status, count(*) AS jobs FROM mf JOIN jb ON mf.animal = jb.animal AND mf.session = jb.session GROUP BY ALL")
 def _(s, d):
-    return _manifest(s, d).select("animal", "session", "type").join(_jobs(s, d), ["animal", "session"]).groupBy("session", "type", "pipeline", "status").agg(F.count(F.lit(1)).alias("jobs"))
+    return state.with_jobs(_manifest(s, d).select("animal", "session", "type"), _jobs(s, d)).groupBy("session", "type", "pipeline", "status").agg(F.count(F.lit(1)).alias("jobs"))
 
 
 @query("m17_without_empty", "SELECT CASE WHEN n_nationkey % 2 = 0 THEN '{\"key\":' || n_nationkey || ',\"name\":\"' || n_name || '\"}' ELSE '{\"key\":' || n_nationkey || '}' END AS record FROM nation")
@@ -301,13 +330,13 @@ def _(s, d):
 
 
 # Job n of an order needs the jobs n - 1 and n - 2.
-LINES = "ln AS (SELECT l_orderkey * 10 + l_linenumber AS job_id, l_orderkey AS unit, min(l_linenumber) AS line, max(CASE WHEN l_returnflag = 'N' THEN 'SUCCEEDED' WHEN l_returnflag = 'A' THEN 'FAILED' ELSE 'SCHEDULED' END) AS status, CAST(sum(l_quantity) AS BIGINT) AS cores FROM lineitem WHERE l_orderkey % 10 = 0 GROUP BY ALL)"
+LINES = "ln AS (SELECT l_orderkey * 10 + l_linenumber AS job_id, l_orderkey AS unit, min(l_linenumber) AS line, max(CASE WHEN l_returnflag = 'N' THEN 'SUCCEEDED' WHEN l_returnflag = 'A' THEN 'FAILED' ELSE 'SCHEDULED' END) AS status, CAST(sum(l_quantity) AS BIGINT) AS cores FROM lineitem GROUP BY ALL)"
 EDGES = "ed AS (SELECT job_id, job_id - k AS needs FROM ln, (VALUES (1), (2)) t(k) WHERE line - k >= 1)"
 
 
 def _lines(s, d):
     status = F.when(F.col("l_returnflag") == "N", "SUCCEEDED").when(F.col("l_returnflag") == "A", "FAILED").otherwise("SCHEDULED")
-    rows = read(s, d, "lineitem").filter("l_orderkey % 10 = 0")
+    rows = read(s, d, "lineitem")
     return rows.groupBy((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("job_id"), F.col("l_orderkey").alias("unit")).agg(F.min("l_linenumber").alias("line"), F.max(status).alias("status"), F.sum("l_quantity").cast("bigint").alias("cores"))
 
 
@@ -317,13 +346,13 @@ def _edges(jobs):
 
 @query(
     "g1_batch_document",
-    with_(LINES) + """, u AS (SELECT DISTINCT o_orderkey AS unit FROM orders WHERE o_orderkey % 10 = 0), t AS (SELECT u.unit, job_id, status FROM u LEFT JOIN ln USING (unit)), op AS (SELECT t.unit, t.job_id, t.status, CASE WHEN ln.line <= 4 THEN CAST(ln.cores AS INTEGER) END AS cores, CASE WHEN ln.line <= 4 THEN ln.cores * 100 END AS memory_mb FROM t JOIN ln ON t.job_id = ln.job_id WHERE t.status <> 'SUCCEEDED'),
+    with_(LINES) + """, u AS (SELECT DISTINCT o_orderkey AS unit FROM orders), t AS (SELECT u.unit, job_id, status FROM u LEFT JOIN ln USING (unit)), op AS (SELECT t.unit, t.job_id, t.status, CASE WHEN ln.line <= 4 THEN CAST(ln.cores AS INTEGER) END AS cores, CASE WHEN ln.line <= 4 THEN ln.cores * 100 END AS memory_mb FROM t JOIN ln ON t.job_id = ln.job_id WHERE t.status <> 'SUCCEEDED'),
  un AS (SELECT unit, count(*) FILTER (WHERE cores IS NULL) AS n FROM op GROUP BY unit)
  SELECT op.*, CASE WHEN n > 0 THEN 'jobs without a plan' END AS reason FROM op JOIN un USING (unit) UNION ALL SELECT unit, NULL, NULL, NULL, NULL, 'no job state' FROM t WHERE job_id IS NULL""",
 )
 def _(s, d):
     jobs = _lines(s, d)
-    units = read(s, d, "orders").filter("o_orderkey % 10 = 0").select(F.col("o_orderkey").alias("unit"))
+    units = read(s, d, "orders").select(F.col("o_orderkey").alias("unit"))
     plan = jobs.filter("line <= 4").select("unit", "job_id", F.col("cores").cast("int").alias("cores"), (F.col("cores") * 100).alias("memory_mb"))
     return graph.batch_document(units, jobs.select("unit", "job_id", "status"), plan)
 
@@ -450,11 +479,11 @@ def _(s, d):
 
 
 ACCOUNTING = """ac AS (SELECT l_orderkey * 10 + l_linenumber AS line, l_orderkey || CASE WHEN l_linenumber = 1 THEN '' WHEN l_linenumber = 2 THEN '.extern' ELSE '.' || l_linenumber END AS job_id,
- CASE WHEN l_partkey % 7 = 0 THEN '' ELSE (l_partkey % 90) || '.50' || CASE l_suppkey % 3 WHEN 0 THEN 'K' WHEN 1 THEN 'M' ELSE 'G' END END AS max_rss, CASE WHEN l_linenumber % 2 = 0 THEN (l_partkey % 3) || '-' ELSE '' END || lpad(CAST(l_partkey % 24 AS VARCHAR), 2, '0') || ':05:00' AS elapsed, CASE WHEN l_linenumber > 1 THEN '' ELSE l_returnflag END AS state, l_partkey, l_suppkey, l_linenumber FROM lineitem WHERE l_orderkey % 4 = 0)"""
+ CASE WHEN l_partkey % 7 = 0 THEN '' ELSE (l_partkey % 90) || '.50' || CASE l_suppkey % 3 WHEN 0 THEN 'K' WHEN 1 THEN 'M' ELSE 'G' END END AS max_rss, CASE WHEN l_linenumber % 2 = 0 THEN (l_partkey % 3) || '-' ELSE '' END || lpad(CAST(l_partkey % 24 AS VARCHAR), 2, '0') || ':05:00' AS elapsed, CASE WHEN l_linenumber > 1 THEN '' ELSE l_returnflag END AS state, l_partkey, l_suppkey, l_linenumber FROM lineitem)"""
 
 
 def _accounting(s, d):
-    line, k = read(s, d, "lineitem").filter("l_orderkey % 4 = 0"), F.col("l_linenumber")
+    line, k = read(s, d, "lineitem"), F.col("l_linenumber")
     step = F.when(k == 1, "").when(k == 2, ".extern").otherwise(F.concat(F.lit("."), k))
     rss = F.when(F.col("l_partkey") % 7 == 0, "").otherwise(F.concat(F.col("l_partkey") % 90, F.lit(".50"), F.get(F.array(F.lit("K"), F.lit("M"), F.lit("G")), (F.col("l_suppkey") % 3).cast("int"))))
     elapsed = F.concat(F.when(k % 2 == 0, F.concat(F.col("l_partkey") % 3, F.lit("-"))).otherwise(""), F.lpad((F.col("l_partkey") % 24).cast("string"), 2, "0"), F.lit(":05:00"))

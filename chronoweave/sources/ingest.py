@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-import hashlib
+import itertools
 import struct
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from chronoweave.functions.expect import violations
 
 #: Layout of an entry: source byte, microseconds since onset (or the onset itself in entry 0), payload (fixed values).
 HEADER = struct.Struct("<BQ")
 LENGTH = struct.Struct("<I")
+#: Messages that are handed on at once.
+DECODED = 10_000
 
 
 def pack_archive(entries: list[tuple[int, int, bytes]]) -> bytes:
@@ -43,14 +43,19 @@ def unpack_archive(content: bytes) -> Iterator[tuple[int, int, int, bytes]]:
 
 
 def messages(files: DataFrame) -> DataFrame:
-    """``path, seq, source, time_us, payload`` of archives; ``files`` has ``path, content``. One archive stays in one task."""
+    """``path, seq, source, time_us, payload`` of archives; ``files`` has ``path, content``. A task holds one archive at a time."""
+    names = ["path", "seq", "source", "time_us", "payload"]
+    kinds = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
 
-    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(path, *entry) for path, content in zip(batch["path"], batch["content"], strict=True) for entry in unpack_archive(content)]
-            yield pd.DataFrame(rows, columns=["path", "seq", "source", "time_us", "payload"])
+            for path, content in zip(batch.column(0), batch.column(1), strict=True):
+                entries = unpack_archive(content.as_py())
+                while part := list(itertools.islice(entries, DECODED)):
+                    columns = [[path.as_py()] * len(part), *zip(*part, strict=True)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    return files.select("path", "content").mapInPandas(decode, "path string, seq bigint, source int, time_us bigint, payload binary")
+    return files.select("path", "content").mapInArrow(decode, "path string, seq bigint, source int, time_us bigint, payload binary")
 
 
 def archives(spark: SparkSession, folder: str, pattern: str = "*.log") -> DataFrame:
@@ -97,32 +102,23 @@ def name_collisions(cameras: DataFrame) -> DataFrame:
     return first.unionByName(violations(taken, "no camera takes another's parsed name", F.lit(True), F.concat_ws("/", "session", "name"), F.format_string("source %s", F.col("_other").cast("string"))))
 
 
+#: Hex digits of a path's hash that name its group: 4096 groups to a session (fixed value of the digest).
+GROUP_DIGITS = 3
+
+
 def session_digests(files: DataFrame, excluded: list[str]) -> DataFrame:
-    """One digest of all files of a session in order of their paths; sessions with excluded files only have none.
+    """One digest of all files of a session; sessions with excluded files only have none.
 
-    The digest runs over sorted lines as they come, so no session is held in memory; by its definition one task reads all lines of a session.
+    Files are dealt to groups by the hash of their path. A group's digest is that of its lines, path and content digest, in order of the paths;
+    the session's digest is that of its group digests in order. So a large session is digested by many tasks, and its last step reads
+    at most 4096 lines.
     """
-    own = files.filter(~F.col("name").isin(excluded)).select("session", "path", F.sha2("content", 256).alias("digest"))
-    lines = own.repartition("session").sortWithinPartitions("session", "path", "digest").select("session", F.concat_ws(" ", "path", "digest").alias("line"))
-    kind = StructType([files.schema["session"]])
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by session; a session may go on in the next batch."""
-        total, session, schema = None, None, None
-        for batch in batches:
-            schema, done = batch.schema, []
-            for here, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if total is None or here != session:
-                    if total is not None:
-                        done.append((session, total.hexdigest()))
-                    total, session = hashlib.sha256(line.encode()), here
-                else:
-                    total.update(b"\n" + line.encode())
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in done], schema.field(0).type), pa.array([x[1] for x in done], pa.string())], names=["session", "digest"])
-        if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([session], schema.field(0).type), pa.array([total.hexdigest()], pa.string())], names=["session", "digest"])
-
-    return lines.mapInArrow(digest, kind.add("digest", "string"))
+    digest = F.sha2("content", 256)
+    own = files.filter(~F.col("name").isin(excluded)).select("session", F.substring(F.sha2("path", 256), 1, GROUP_DIGITS).alias("_group"), F.struct("path", digest.alias("digest")).alias("file"))
+    line = lambda f: F.concat_ws(" ", f["path"], f["digest"])
+    joined = lambda rows: F.sha2(F.array_join(rows, "\n"), 256)
+    groups = own.groupBy("session", "_group").agg(joined(F.transform(F.array_sort(F.collect_list("file")), line)).alias("digest"))
+    return groups.groupBy("session").agg(joined(F.transform(F.array_sort(F.collect_list(F.struct("_group", "digest"))), lambda g: F.concat_ws(" ", g["_group"], g["digest"]))).alias("digest"))
 
 
 def has_data(files: DataFrame, excluded: list[str]) -> DataFrame:
