@@ -13,7 +13,7 @@ from conftest import SF
 from pyspark.sql import functions as F
 
 from chronoweave.functions import expect, registry
-from chronoweave.functions.ordering import natural_sort
+from chronoweave.functions.ordering import natural_places, natural_sort
 from chronoweave.operators import asof, assemble, graph, imaging, pose, runtime_log, scheduler, streams, video
 from chronoweave.plans import assembly_queries
 from chronoweave.plans.registry import ORACLE_SQL, QUERIES
@@ -33,40 +33,85 @@ def column(df, name, order="frame"):
     return [r[name] for r in df.orderBy(order).collect()]
 
 
-CLOCK = [1000, 2000, 3000, 4000]
+def random_times(rng, n, top=2000):
+    return sorted(rng.sample(range(top), n))
 
 
-def test_window_starts(spark):
-    assert column(asof.window_starts(ticks(spark, CLOCK)), "start_us") == [0, 1000, 2000, 3000]
-    assert column(asof.window_starts(ticks(spark, [500])), "start_us") == [499]
+def starts_of(times):
+    """First times of the windows that end at ``times``."""
+    first = times[0] - 1 if len(times) == 1 else 2 * times[0] - times[1]
+    return [first, *times[:-1]]
 
 
-@pytest.mark.parametrize(("times", "states", "want"), [([0, 2200, 2260], [0, 1, 0], [0, 0, 1, 0]), ([2000, 2050, 3001, 3050], [1, 0, 1, 0], [0, 1, 0, 1])])
-def test_window_onsets(spark, times, states, want):
-    assert column(asof.window_onsets(series(spark, times, states, "state", "int"), ticks(spark, CLOCK)), "onset") == want
+def held(times, values, at):
+    before = [v for t, v in zip(times, values, strict=True) if t <= at]
+    return before[-1] if before else values[0]
 
 
-def test_signed_peaks(spark):
-    assert column(asof.signed_peaks(series(spark, [1500, 2200, 2300, 3500], [1.0, -3.0, 0.5, 2.0]), ticks(spark, CLOCK)), "peak") == [1, 1, -3, 2]
+@pytest.mark.parametrize("n", [1, 2, 25])
+def test_window_starts(spark, n):
+    times = random_times(random.Random(n), n)
+    assert column(asof.window_starts(ticks(spark, times)), "start_us") == starts_of(times)
 
 
-def test_window_maxima(spark):
-    nan = float("nan")
-    got = column(asof.window_maxima(series(spark, [900, 1400, 1800, 2600, 2900], [1.0, nan, 4.0, nan, nan]), ticks(spark, [1000, 2000, 3000, 3500])), "maximum")
-    assert got[:2] == [1, 4] and np.isnan(got[2]) and np.isnan(got[3])
-    assert column(asof.window_maxima(series(spark, [0, 3000], [0.0, 30.0]), ticks(spark, CLOCK)), "maximum") == [10, 20, 30, 30]
+@pytest.mark.parametrize("seed", range(3))
+def test_windows_equal_brute_force(spark, seed):
+    """Onsets, signed peaks and maxima of random series, window by window."""
+    rng = random.Random(seed)
+    clock, times = random_times(rng, 30), random_times(rng, 90)
+    windows = list(zip(starts_of(clock), clock, strict=True))
+    states = [rng.randint(0, 2) for _ in times]
+    onsets = [t for k, t in enumerate(times) if states[k] > 0 and (k == 0 or states[k - 1] <= 0)]
+    got = column(asof.window_onsets(series(spark, times, states, "state", "int"), ticks(spark, clock)), "onset")
+    assert got == [int(any(a < t <= b for t in onsets)) for a, b in windows]
 
+    values = [float(rng.randint(-4, 4)) for _ in times]
+    want = []
+    for a, b in windows:
+        inside = [held(times, values, a), *[v for t, v in zip(times, values, strict=True) if a < t <= b]]
+        want.append(max(inside, key=abs))  # the first of equally strong ones
+    assert column(asof.signed_peaks(series(spark, times, values), ticks(spark, clock)), "peak") == want
 
-def test_zones(spark):
-    rows = spark.createDataFrame([(1, i, float(d)) for i, d in enumerate([5, 15, 25, 35, 45, 15])], "session int, frame int, distance double")
-    zones = spark.createDataFrame([(1, 10.0, 20.0), (1, 30.0, 40.0)], "session int, start_cm double, end_cm double")
-    assert column(asof.in_zones(rows, zones), "in_zone") == [0, 1, 0, 1, 0, 1]
+    gappy = [float("nan") if rng.random() < 0.4 else v for v in values]
+    few, some = times[::3], gappy[::3]
+    want = []
+    for a, b in windows:
+        inside = [v for t, v in zip(few, some, strict=True) if a < t <= b]
+        known = [v for v in inside if v == v]
+        want.append(max(known) if known else float("nan") if inside else np.interp(b, few, some))
+    assert np.allclose(column(asof.window_maxima(series(spark, few, some), ticks(spark, clock)), "maximum"), want, equal_nan=True)
 
 
-@pytest.mark.parametrize(("window", "want"), [(100_000, [0, 0, 100, 100, 0, 0]), (200_000, [0, 0, 100, 100, 26.667, 50])])
-def test_running_speed(spark, window, want):
-    rows = series(spark, [t * 1000 for t in (0, 0, 50, 100, 150, 300)], [0.0, 0.0, 5.0, 10.0, 4.0, 20.0], "distance")
-    assert np.allclose(column(asof.running_speed(rows, window), "speed", "seq"), want, atol=1e-3)
+@pytest.mark.parametrize("seed", range(3))
+def test_zones_equal_brute_force(spark, seed):
+    """Zones that overlap, touch, lie inside one another, or end before they begin."""
+    rng = random.Random(seed)
+    zones = [(float(a), float(a + rng.randint(-3, 12))) for a in (rng.randrange(200) for _ in range(20))]
+    places = [float(rng.randrange(-5, 220)) for _ in range(150)] + [None, float("nan")]
+    rows = spark.createDataFrame([(1, i, d) for i, d in enumerate(places)] + [(2, 900, 5.0)], "session int, frame int, distance double")
+    got = asof.in_zones(rows, spark.createDataFrame([(1, *z) for z in zones], "session int, start_cm double, end_cm double"))
+    assert column(got, "in_zone") == [int(d is not None and any(a <= d <= b for a, b in zones)) for d in places] + [0]
+
+
+@pytest.mark.parametrize("window", [7_000, 90_000, 2_000_000])
+def test_running_speed_equals_brute_force(spark, window):
+    rng = random.Random(window)
+    times = sorted(rng.randrange(400_000) for _ in range(80))
+    distance = np.cumsum([rng.choice([-1.5, 0.0, 2.25]) for _ in times]).tolist()
+    want = []
+    for t, d in zip(times, distance, strict=True):
+        k = next(k for k, other in enumerate(times) if other >= t - window)
+        want.append((d - distance[k]) / (t - times[k]) * 1e6 if t > times[k] and d > distance[k] else 0.0)
+    # Rows of equal time share a window; only the last of them is compared where they differ.
+    assert np.allclose(column(asof.running_speed(series(spark, times, distance, "distance"), window), "speed", "seq"), want)
+
+
+def test_a_long_session_is_filled_in_one_pass(spark):
+    """What comes next is filled by a frame that ends at the current row: one that begins there is read to its end for every row."""
+    source, targets = series(spark, [1], [1.0]), ticks(spark, [1])
+    for df in (asof.linear(source, targets, ["value"]), asof.linear(source, targets, ["value"], width=5), asof.align_all(targets, [(source, ["value"], "linear")])):
+        plan = df._jdf.queryExecution().analyzed().toString()
+        assert "currentrow$()" in plan and "unboundedfollowing$()" not in plan
 
 
 def test_bucketed_equals_plain(spark):
@@ -88,23 +133,56 @@ def test_all_streams_at_once(spark):
     assert np.allclose(column(both, "b"), column(asof.linear(sources[1], targets, ["b"]), "b"))
 
 
-def test_valve_and_screen_streams(spark):
-    def events(closed, opened, on=(), off=()):
-        rows = sorted([(t, 52) for t in closed] + [(t, 51) for t in opened] + [(t, 54) for t in on] + [(t, 55) for t in off])
-        return spark.createDataFrame([(1, t, i, c, 0.0) for i, (t, c) in enumerate(rows)], "session int, time_us bigint, seq bigint, event int, value double")
-
-    full = streams.valve(events([5, 20, 40], [10, 30], [15], [25]), 1.0, 1.0)
-    assert column(full, "time_us", "seq") == [5, 15, 20, 25, 40] and column(full, "tone_state", "seq") == [1, 1, 1, 0, 0]
-    closing = streams.valve(events([5, 20], [10], [15]), 1.0, 1.0)
-    assert column(closing, "time_us", "seq") == [5, 15, 16, 20] and column(closing, "tone_state", "seq") == [1, 1, 0, 0]
-    screen = streams.screen(events([10, 30], [20, 40])).orderBy("time_us").collect()
-    assert [(r["time_us"], r["screen_state"]) for r in screen] == [(10, 0), (20, 1), (40, 0)]
-
-
-def test_motifs(spark):
-    rows = spark.createDataFrame([(1, 0, [1, 2, 3, 1, 2], [[1, 2, 3], [1, 2]]), (2, 0, [1, 2, 3, 1, 2, 9], [[1, 2, 3], [1, 2]]), (3, 0, [], [[1]])], "session int, seq int, cues array<int>, motifs array<array<int>>")
-    got = {r["session"]: (r["trials"], r["stop"]) for r in runtime_log.decompose(rows).collect()}
-    assert got == {1: ([0, 1], None), 2: ([0, 1], 5), 3: ([], None)}
+def events_of(spark, **codes):
+    names = {"opened": 51, "closed": 52, "on": 54, "off": 55}
+    rows = sorted((t, names[name]) for name, times in codes.items() for t in times)
+    return spark.createDataFrame([(1, t, i, c, 0.0) for i, (t, c) in enumerate(rows)], "session int, time_us bigint, seq bigint, event int, value double")
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_valve_equals_brute_force(spark, seed):
+    """Rows at every close and every change of the tone; a tone that is never switched off ends one step later."""
+    rng = random.Random(seed)
+    edges = random_times(rng, 9)
+    closed, opened = edges[::2], edges[1::2]
+    tone = [t + 0.0 for t in random_times(rng, 6) if t not in edges]
+    tone = [int(t) for t in tone if t > closed[0]][: 4 - seed % 2]
+    on, off = tone[::2], tone[1::2]
+    rows = {t: 1 for t in on} | {t: 0 for t in off}
+    if len(on) > len(off):
+        rows[on[-1] + 1] = 0
+    got = streams.valve(events_of(spark, closed=closed, opened=opened, on=on, off=off), 1.0, 1.0).orderBy("time_us").collect()
+    assert [r["time_us"] for r in got] == sorted({*closed, *rows})
+    changes = sorted(rows.items())
+    if changes:
+        assert [r["tone_state"] for r in got] == [held([t for t, _ in changes], [v for _, v in changes], r["time_us"]) for r in got]
+
+
+@pytest.mark.parametrize("first", [0, 1])
+def test_screen_flips_at_each_rise(spark, first):
+    times = random_times(random.Random(first), 8)
+    got = streams.screen(events_of(spark, opened=times[1::2], closed=times[::2]), first).orderBy("time_us").collect()
+    assert [(r["time_us"], r["screen_state"]) for r in got] == [(times[0], first), *[(t, (first + k + 1) % 2) for k, t in enumerate(times[1::2])]]
+
+
+def test_motifs_equal_brute_force(spark):
+    """Longest motif first from the left, as a loop."""
+    rng = random.Random(12)
+    rows, want = [], {}
+    for session in range(40):
+        motifs = [list(m) for m in {tuple(rng.choices(range(1, 4), k=rng.randint(1, 3))) for _ in range(3)}]
+        cues = [c for m in rng.choices(motifs, k=rng.randint(0, 5)) for c in m] + ([9] if session % 5 == 0 else [])
+        order, trials, at = sorted(range(len(motifs)), key=lambda k: (-len(motifs[k]), k)), [], 0
+        while at < len(cues):
+            fit = next((k for k in order if cues[at : at + len(motifs[k])] == motifs[k]), None)
+            if fit is None:
+                break
+            trials.append(fit)
+            at += len(motifs[fit])
+        rows.append((session, 0, cues, motifs))
+        want[session] = (trials, at if at < len(cues) else None)
+    got = runtime_log.decompose(spark.createDataFrame(rows, "session int, seq int, cues array<int>, motifs array<array<int>>"))
+    assert {r["session"]: (r["trials"], r["stop"]) for r in got.collect()} == want
 
 
 def test_run_spans_against_enumeration():
@@ -169,19 +247,34 @@ def test_graph_with_a_diamond_and_a_cycle(spark):
     assert depth == {"a": 0, "b": 1, "c": 1, "d": 2, "x": 0, "y": 0}
 
 
-def test_scheduler_texts(spark):
-    df = spark.createDataFrame([("512.00M", "23:00:00"), ("2.00G", "1-00:00:00"), ("x", "1:x"), ("", "05:30")], "size string, time string")
-    rows = df.select(scheduler.size_bytes(F.col("size")).alias("b"), scheduler.duration_seconds(F.col("time")).alias("s")).collect()
-    assert [(r["b"], r["s"]) for r in rows] == [(512 * 2.0**20, 82800.0), (2 * 2.0**30, 86400.0), (None, None), (None, 330.0)]
-    steps = spark.createDataFrame([(1, "5502", "", "R"), (2, "5502.0", "2.00G", ""), (3, "5502.1", "8.00G", "X"), (4, "5502.extern", "9.00G", "")], "line int, job_id string, rss string, state string")
-    assert [tuple(r) for r in scheduler.merged_accounting(steps, ["rss"], []).collect()] == [("5502", "8.00G", "R")]
-    names = spark.createDataFrame([("slurm:12:3",), ("host:1",), ("",), (None,)], "executor string")
-    assert [r[0] for r in names.select(scheduler.allocation_of(F.col("executor"))).collect()] == ["12:3", "", "", ""]
+def test_scheduler_sizes_and_durations(spark):
+    rng = random.Random(31)
+    rows = []
+    for power, unit in enumerate("KMGT", start=1):
+        for number in (rng.randint(1, 999), round(rng.uniform(0.1, 99), 2)):
+            days, hours, minutes, seconds = rng.choice([0, 0, 3, 12]), rng.randrange(24), rng.randrange(60), rng.randrange(60)
+            text = f"{days}-{hours:02}:{minutes:02}:{seconds:02}" if days else f"{hours:02}:{minutes:02}:{seconds:02}"
+            rows.append((f"{number}{unit}", text, number * 1024.0**power, days * 86400.0 + hours * 3600 + minutes * 60 + seconds))
+    rows += [("none", "a:b", None, None), ("", "07:09", None, 429.0)]
+    got = spark.createDataFrame(rows, "size string, time string, b double, s double").select("b", "s", scheduler.size_bytes(F.col("size")).alias("gb"), scheduler.duration_seconds(F.col("time")).alias("gs"))
+    for r in got.collect():
+        assert (r["gb"] is None) == (r["b"] is None) and (r["b"] is None or abs(r["gb"] - r["b"]) <= 1) and r["gs"] == r["s"]
 
 
-def test_natural_order(spark):
-    names = spark.createDataFrame([("s10",), ("s2",), (None,), ("s1",)], "name string")
-    assert [r[0] for r in natural_sort(names, "name").collect()] == ["s1", "s2", "s10", None]
+def test_accounting_steps_fold_into_their_job(spark):
+    steps = spark.createDataFrame([(1, "77", "", "COMPLETED"), (2, "77.0", "3.00G", ""), (3, "77.1", "900.00M", "X"), (4, "77.extern", "40.00G", ""), (5, "78", "", "FAILED"), (6, "78.batch", "1.00K", "")], "line int, job_id string, rss string, state string")
+    assert sorted(tuple(r) for r in scheduler.merged_accounting(steps, ["rss"], []).collect()) == [("77", "3.00G", "COMPLETED"), ("78", "1.00K", "FAILED")]
+    names = spark.createDataFrame([("slurm:9:1",), ("box:4",), ("",), (None,)], "executor string")
+    assert [r[0] for r in names.select(scheduler.allocation_of(F.col("executor"))).collect()] == ["9:1", "", "", ""]
+
+
+def test_natural_order_and_places(spark):
+    rng = random.Random(6)
+    names = [f"run{a}_part{b}" for a in (1, 2, 9, 10, 100) for b in (3, 20)]
+    mixed = spark.createDataFrame([(n,) for n in rng.sample(names, len(names))] + [(None,)], "name string").repartition(4)
+    assert [r[0] for r in natural_sort(mixed, "name").collect()] == [*names, None]
+    assert {r["name"]: r["place"] for r in natural_places(mixed, "name").collect()} == {n: k for k, n in enumerate([*names, None], start=1)}
+    assert natural_places(mixed.limit(0), "name").count() == 0
 
 
 def test_archive_round_trip(spark):
@@ -221,19 +314,55 @@ def test_rewards_of_empty_table(spark):
     assert assemble.reward_classes(empty).count() == 0
 
 
-def test_session_digests_hold_no_session(spark, capsys):
+def test_session_digests_in_two_levels(spark):
     rows = [(f"s{i % 3}" if i % 4 else None, f"p{i * 7919 % 1000}", "skip" if i % 10 == 0 else "data", str(i % 50).encode()) for i in range(900)] + [("only", "p", "skip", b"x")]
     files = spark.createDataFrame(rows, "session string, path string, name string, content binary").repartition(7)
-    got = ingest.session_digests(files, ["skip"])
-    want = {}
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    groups = {}
     for session, path, name, content in sorted(rows, key=lambda r: r[1]):
         if name != "skip":
-            want.setdefault(session, []).append(f"{path} {hashlib.sha256(content).hexdigest()}")
-    assert {r["session"]: r["digest"] for r in got.collect()} == {k: hashlib.sha256("\n".join(v).encode()).hexdigest() for k, v in want.items()}
+            groups.setdefault(session, {}).setdefault(sha(path)[:3], []).append(f"{path} {hashlib.sha256(content).hexdigest()}")
+    want = {session: sha("\n".join(f"{g} {sha(chr(10).join(lines))}" for g, lines in sorted(found.items()))) for session, found in groups.items()}
+    got = ingest.session_digests(files, ["skip"])
+    assert {r["session"]: r["digest"] for r in got.collect()} == want
     assert got.columns == ["session", "digest"] and ingest.session_digests(files.limit(0), []).count() == 0
-    capsys.readouterr()
-    got.explain()
-    assert "collect_list" not in capsys.readouterr().out
+
+
+def test_every_assembled_column_is_described(spark):
+    """The names of all streams together; a table of all columns lists a meaning for each."""
+    columns = [*assemble.FRAME, *assemble.BEHAVIOR, "trial", "trial_type", "cue", "in_trigger_zone", "runtime_state", "reinforcing_guided", "aversive_guided"]
+    columns += [f"{c}_camera_{n}" for c in ("face", "body") for n in ("motion_energy", "frame_luminance")] + [f"{d}_day_{t}" for d in ("single", "multi") for t in ("cell_fluorescence", "neuropil_fluorescence", "subtracted_fluorescence", "spikes")]
+    points = "array<struct<x: double, y: double, likelihood: double>>"
+    columns += pose.pupil_metrics(spark.createDataFrame([], f"session int, frame int, reflection struct<x: double, y: double, likelihood: double>, pupil {points}, eye {points}")).columns
+    wide = spark.range(0).select(*[F.lit(None).alias(c) for c in dict.fromkeys(columns)])
+    assert not expect.undescribed(wide, set(assemble.DESCRIPTIONS))
+    table = {r["column"]: r["description"] for r in assemble.description_table(assemble.described(wide)).collect()}
+    assert list(table) == list(dict.fromkeys(columns)) and all(table.values())
+    assert assemble.described(wide).schema["lick"].metadata == {"description": table["lick"]}
+
+
+def test_labels_are_strict_on_demand(spark):
+    df = spark.createDataFrame([(0,), (None,), (7,)], "code int")
+    assert [r["l"] for r in assemble.labelled(df, "code", {0: "idle"}, "l").collect()] == ["idle", None, None]
+    with pytest.raises(Exception, match="no label of code 7"):
+        assemble.labelled(df, "code", {0: "idle"}, "l", strict=True).collect()
+
+
+def test_optional_streams_and_columns(spark):
+    clock, one = ticks(spark, [10, 20, 30]), lambda name, value: series(spark, [5, 25], value, name, "int" if isinstance(value[0], int) else "double")
+    valve = one("volume", [0.0, 2.0]).withColumn("tone_state", F.lit(1))
+    tables = [clock, one("state", [1, 2]), one("lick_state", [0, 1]), valve]
+    plain = assemble.behavior(*tables, labels={1: "rest", 2: "run"})
+    assert plain.columns == ["session", "frame", "time_us", "elapsed_minutes", "lick", "water_uL", "reward", "system_state"]
+    assert column(plain, "reward") == ["yes"] * 3 and column(plain, "lick") == [0, 0, 1] and column(plain, "system_state") == ["rest", "rest", "run"]
+    whole = assemble.behavior(*tables, labels={1: "rest", 2: "run"}, encoder=one("traveled_distance_cm", [0.0, 4.0]), torque=one("torque", [3.0, -5.0]), brake=one("brake_torque", [0.0, 9.0]), screen=one("screen_state", [0, 1]), minimum_torque=1.0, drop_time=True)
+    assert whole.columns == ["session", "frame", "brake", "screens", "torque_N_cm", "distance_cm", "speed_cm_s", "lick", "water_uL", "reward", "system_state"]
+    assert column(whole, "torque_N_cm") == [3, 3, 0] and column(whole, "brake") == [0, 0, 1] and column(whole, "distance_cm") == [0, 0, 4]
+    wide = assemble.behavior(*tables, labels={1: "rest", 2: "run"}, torque=one("torque", [3.0, -5.0]), width=7)
+    assert column(wide, "torque_N_cm") == [3, 3, 0] and column(wide, "water_uL") == [0, 0, 2]
+    assert assemble.video_table(clock, {"face_camera": None}).columns == ["session", "frame"]
+    frames = spark.createDataFrame([(1, t, t, c) for c, times in (("a", [0, 10, 20]), ("b", [0, 20])) for t in times], "session int, time_us bigint, seq bigint, camera string")
+    assert column(assemble.camera_clock(frames), "time_us") == [0, 20]
 
 
 def test_archives_are_bounded(spark, monkeypatch):
