@@ -128,6 +128,22 @@ def test_token_files(spark, docs, empty):
     assert token_files.read_token_files(spark, path).count() == 0
 
 
+def test_token_files_are_skipped_by_bloom_filter(spark):
+    """One file of even ids: an odd id inside its range is found nowhere, an even one in one group of rows."""
+    path = scratch(spark, "tokens")
+    rows = spark.range(8000).select((F.col("id") * 2).alias("doc_id"), F.lit("a b").alias("text")).coalesce(1)
+    token_files.write_token_files(rows, path, P.path("byte_bpe_50k.json"))
+    files = {r[0] for r in spark.read.orc(path).select(F.input_file_name()).distinct().collect()}
+
+    def read(doc_id):
+        df = spark.read.schema(token_files.FILE_SCHEMA).orc(path).filter(F.col("doc_id") == doc_id)
+        found = df.collect()
+        return len(found), df._jdf.queryExecution().executedPlan().collectLeaves().head().metrics().apply("numOutputRows").value()
+
+    assert read(7001) == (0, 0)
+    assert read(7000)[0] == 1 and 1 <= read(7000)[1] <= token_files.ROW_INDEX_STRIDE < 8000 // len(files) + 1
+
+
 def test_packing_plans_are_whole_and_tight():
     for seed in range(60):
         own = random.Random(seed)
@@ -558,19 +574,103 @@ def test_toxicity_trains_on_whole_texts(spark):
     assert scores[0] > 0.5 > scores[1]
 
 
+CLASH = ["n_words", "kept_sha256", "score", "key", "label", "first", "runs", "block", "unit", "node", "band", "h", "c", "n", "length", "print", "id", "component_id", "n_shingles", "url", "predicted"]
+
+
+@pytest.fixture(scope="module")
+def crowded(docs):
+    """Documents with columns named like those that operators use inside and add."""
+    return docs.select("*", *[F.concat(F.lit(f"{c}:"), "doc_id").alias(c) for c in CLASH])
+
+
+def test_clashing_names_in_every_operator(spark, crowded, docs, labelled):
+    same = lambda df: all(r[c] == f"{c}:{r['doc_id']}" for r in df.collect() for c in CLASH)
+    labels = labelled[1].withColumn("label", F.lit("x")).withColumn("text", F.lit("y"))
+    for kept in (near_dedup.keep_one(crowded), substring_dedup.remove_repeats(crowded, digest=False), quality.reject(crowded, labels), toxicity.reject(crowded, labels)):
+        assert kept.columns == crowded.columns and same(kept)
+    cut = substring_dedup.remove_repeats(crowded)
+    assert cut.columns == [*[c for c in crowded.columns if c not in ("n_words", "kept_sha256")], "n_words", "n_removed", "kept_sha256"]
+    assert {(r["doc_id"], r["n_words"]) for r in cut.collect()} == {(i, len((t or "").encode().split())) for i, t in enumerate(TEXTS)}
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    rows = lambda df: sorted(map(repr, df.collect()))
+    for run in (lambda d: byte_bpe.round_trip(d, path, P.PATTERN), lambda d: packing.pack(d, P.path("word_bpe_49k.json")).drop("sequence_id", "offset"), lambda d: fingerprints.with_next(d.select("doc_id", "text"), ["text"])):
+        assert rows(run(crowded)) == rows(run(docs))
+    pages = spark.createDataFrame([(1, "http://example.org/es/", "r", "v", "h", "t")], "page_id bigint, url string, rule string, verdict string, host string, token string")
+    assert [r["rule"] for r in url_filters.judge(pages, url_filters.RULES).collect()] == ["example.org/es/"]
+    vectors = spark.createDataFrame([(k, [float(k)], "x", 1) for k in range(3)], "vec_id bigint, embedding array<double>, v string, cell int")
+    assert top_k.top_k(top_k.integer_vectors(vectors), F.lit(True)).count() == 6
+
+
+def test_a_passage_in_very_many_documents_is_a_row_a_block(spark):
+    """Places of equal runs are listed from the start: a passage in 400 documents gives some rows of runs, not some for each of them."""
+    counts = {}
+    for copies in (2, 400):
+        texts = [prose(20, f"own{k}") + " " + PASSAGE + " " + prose(20, f"end{k}") for k in range(copies)]
+        df = spark.createDataFrame(list(enumerate(texts)), "key bigint, text string").coalesce(1)
+        schema = f"h bigint, c bigint, key bigint, first int, {substring_dedup._MORE}, n int, block bigint"
+        anchors = df.mapInArrow(blocks.lean(substring_dedup._seeds(35, 6)), schema)
+        counts[copies] = anchors.filter("more is not null").count()
+        got = {r["doc_id"]: r["n_removed"] for r in substring_dedup.remove_repeats(df.withColumnRenamed("key", "doc_id"), keep_text=False).collect()}
+        assert got == {k: n for k, (_, n, _) in enumerate(removed(texts))}
+    assert 1 <= counts[2] <= counts[400] <= 20
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_queries_equal_sql(spark, name):
     assert not difference(QUERIES[name](spark, SF).toPandas(), oracle(ORACLE_SQL[name], SF))
 
 
-def test_pipeline(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    columns, kept = docs.columns, docs.count()
-    for name, stage in corpus_pipeline.STAGES[:-1]:
+def test_pipeline_equals_brute_force(spark):
+    """Every stage on what the one before it kept: decisions by score, groups by all pairs, windows by counting, packing by its layout."""
+    from tokenizers import Tokenizer
+
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    columns = docs.columns
+    rows = {r["doc_id"]: r for r in docs.collect()}
+    vectors = quality.word_vectors(docs)
+    score = {r["doc_id"]: r["score"] for r in quality.score_documents(docs, vectors, quality.fit(docs, labels, vectors)).collect()}
+    kept = {i for i in rows if score[i] >= 0.3}
+    for (name, stage), step in zip(corpus_pipeline.STAGES[:-1], range(4), strict=True):
+        before = docs
         docs = stored(stage(spark, docs, SF), name)
-        assert docs.columns == columns and docs.count() <= kept
-        kept = docs.count()
-    left = removed([r["text"] for r in docs.select("text").collect()])
-    assert kept > 100 and left
-    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
-    assert packed.select("doc_id").distinct().count() == kept
+        got = {r["doc_id"]: r for r in docs.collect()}
+        assert docs.columns == columns and len(got) == docs.count()
+        if step == 1:
+            score = {r["doc_id"]: r["score"] for r in toxicity.score_documents(before, toxicity.fit(before, labels)).collect()}
+            kept = {i for i in kept if score[i] < 0.5}
+        elif step == 2:
+            ids = sorted(kept)
+            kept = {ids[root] for _, root in groups([rows[i]["text"] for i in ids], 5, 80)}
+        assert set(got) == kept
+        if step < 3:
+            assert all(got[i] == rows[i] for i in kept)
+        else:
+            ids = sorted(kept)
+            want = removed([rows[i]["text"] for i in ids])
+            for i, (_, gone, digest) in zip(ids, want, strict=True):
+                text = got[i]["text"]
+                assert text == rows[i]["text"] if not gone else hashlib.sha256(text.encode()).hexdigest() == digest
+                assert got[i]["n_chars"] == (None if text is None else len(text))
+            texts = {i: got[i]["text"] for i in ids}
+    peer = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    whole = {i: [*peer.encode(t or "", add_special_tokens=False).ids, 0] for i, t in texts.items()}
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
+    assert sum(r["length"] for r in packed) == sum(map(len, whole.values()))
+    assert all(r["ids_crc32"] == zlib.crc32(np.array(whole[r["doc_id"]][r["start"] : r["start"] + r["length"]], "<u4").tobytes()) for r in packed)
+    ends = {}
+    for r in sorted(packed, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert ends.get(r["sequence_id"], 0) == r["offset"]
+        ends[r["sequence_id"]] = r["offset"] + r["length"]
+    assert max(ends.values()) <= 2048
+
+
+@pytest.mark.parametrize("setting", [(5, 80, 26, 4), (3, 85, 26, 5)])
+def test_recall_of_links_on_the_provided_documents(spark, setting):
+    """All pairs over the threshold, found by an exact join of all sets, end in one group: no link is missed."""
+    shingle, percent, bands, per = setting
+    docs = spark.read.parquet(SF.replace("sf0.001", "sf0.01") + "/documents.parquet").select("doc_id", "text")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    ids = sorted(texts)
+    want = {ids[k]: ids[root] for k, (_, root) in enumerate(groups([texts[i] for i in ids], shingle, percent))}
+    found = near_dedup.near_duplicates(docs.select("doc_id", near_dedup.with_key(docs).alias("key"), "text"), shingle, percent, bands, per)
+    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == want and len(set(want.values())) < len(want)
