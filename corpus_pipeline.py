@@ -29,7 +29,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the words of passages that stand elsewhere too; ``n_chars`` follows the text."""
-    cleaned = substring_dedup.remove_repeats(docs).select(*docs.columns)
+    cleaned = substring_dedup.remove_repeats(docs, digest=False)
     return cleaned.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cleaned
 
 
