@@ -8,11 +8,14 @@ products, and their best rows are merged.
 
 Components become ``floor(64 x)``; vectors that are null or hold null or non-finite components, and rows without id, take no part. Rows that share
 an id count as one, with the least vector. Missing trailing components of shorter vectors count as 0. Ties go to the
-smaller id. An empty table gives an empty result. Other columns are ignored.
+smaller id. An empty table gives an empty result. Other columns are ignored. Products are exact: in doubles below 2**53, else in integers of 64
+bits, which scores must fit.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -22,10 +25,15 @@ from chronoweave.llm.common import stored, table
 
 BLOCK = 4096
 QUERIES = 2048
-#: Rows of a group that are aimed at, and the most pivots (which bounds what is collected and shipped with the code).
+#: Rows of a group that are aimed at. Beyond ``FEW_PIVOTS`` pivots grow with the square root of the rows, as far as ``PIVOT_BYTES``, which
+#: bounds what is collected and shipped with the code.
 GROUP_ROWS = 2048
-MOST_PIVOTS = 256
+FEW_PIVOTS = 256
+PIVOT_BYTES = 64 << 20
+#: Most products of rows and pivots that a task holds at once.
+HELD = 1 << 20
 SCALE = 64
+_LEAST = -(1 << 63)
 _RESULT = "query_id bigint, vec_id bigint, score bigint"
 
 
@@ -37,10 +45,20 @@ def integer_vectors(rows: DataFrame, scale: int = SCALE) -> DataFrame:
     return whole.groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
-def _matrix(column: pa.Array, width: int) -> np.ndarray:
+def pivots_for(rows: int, width: int) -> int:
+    """How many pivots a table gets."""
+    return max(8, min(rows // GROUP_ROWS, max(FEW_PIVOTS, math.isqrt(rows)), PIVOT_BYTES // (8 * width)))
+
+
+def _slices(batches, pivots: int):
+    step = max(1, HELD // max(1, pivots))
+    return (batch.slice(at, step) for batch in batches for at in range(0, batch.num_rows, step))
+
+
+def _matrix(column: pa.Array, width: int, kind: type = float) -> np.ndarray:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     sizes = np.diff(column.offsets.to_numpy())
-    out = np.zeros((len(column), width))
+    out = np.zeros((len(column), width), dtype=kind)
     flat = column.flatten().to_numpy(zero_copy_only=False)
     if len(sizes):
         at = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -51,7 +69,7 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
 def _assign(pivots: np.ndarray):
     def assign(batches):
         squares = (pivots**2).sum(axis=1)
-        for batch in batches:
+        for batch in _slices(batches, len(pivots)):
             x = _matrix(batch.column(1), pivots.shape[1])
             distance = (x**2).sum(axis=1)[:, None] - 2 * x @ pivots.T + squares[None, :]
             cell = distance.argmin(axis=1)
@@ -65,7 +83,7 @@ def _assign(pivots: np.ndarray):
 def _reach(pivots: np.ndarray, cells: np.ndarray, radii: np.ndarray):
     def reach(batches):
         """The groups that a query needs, by its bound and the score it is sure of."""
-        for batch in batches:
+        for batch in _slices(batches, len(pivots)):
             q = _matrix(batch.column(1), pivots.shape[1])
             sure = batch.column(2).to_numpy(zero_copy_only=False).astype(float)
             # The slack covers rounding of the square roots.
@@ -84,11 +102,13 @@ def _solve(k: int, width: int):
         order = np.argsort(ids, kind="stable")
         ids, found = ids[order], []
         if len(q_id) and len(ids):
-            scores = _matrix(queries.column("q"), width) @ _matrix(data.column("v"), width)[order].T
-            scores[ids[None, :] == q_id[:, None]] = -np.inf
-            sure = queries.column("sure").to_numpy(zero_copy_only=False).astype(float)
+            q, v = (_matrix(c, width) for c in (queries.column("q"), data.column("v")))
+            if (q**2).sum(axis=1).max() * (v**2).sum(axis=1).max() >= 2.0**104:  # a product may not fit a double
+                q, v = (_matrix(c, width, np.int64) for c in (queries.column("q"), data.column("v")))
+            scores = q @ v[order].T
+            sure = queries.column("sure").fill_null(_LEAST).to_numpy()
             for row, floor, q in zip(scores, sure, q_id, strict=True):
-                good = np.flatnonzero(np.isfinite(row) & ~(row < floor))
+                good = np.flatnonzero((ids != q) & (row >= floor))
                 if len(good) > k:
                     least = np.partition(row[good], len(good) - k)[len(good) - k]
                     good = good[row[good] >= least]
@@ -120,8 +140,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
     vectors = stored(vectors, "vectors")
     size = vectors.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
     width = max(1, size[1] or 1)
-    wanted = min(MOST_PIVOTS, max(8, size[0] // GROUP_ROWS))
-    chosen = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(wanted).select("v").toArrow()
+    chosen = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(pivots_for(size[0], width)).select("v").toArrow()
     if not chosen.num_rows:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
     pivots = np.unique(_matrix(chosen.column(0), width), axis=0)

@@ -412,6 +412,20 @@ def test_top_k(spark, monkeypatch):
     assert few.count() == 6
 
 
+def test_top_k_of_large_components_is_exact(spark):
+    """Scores beyond 2**53 that differ in their last bit; pivots grow with the table within their bound."""
+    rows = [(k, [float(1 << 22) + k % 7 / 64, float(1 << 22) - k / 64]) for k in range(120)]
+    x = np.array([[int(np.floor(64 * c)) for c in v] for _, v in rows], dtype=object)
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = {tuple(r) for r in top_k.top_k(top_k.integer_vectors(df), F.col("vec_id") % 20 == 0).select("query_id", "rank", "vec_id", "score").collect()}
+    want = set()
+    for q in range(0, 120, 20):
+        best = sorted((-int(x[i] @ x[q]), i) for i in range(120) if i != q)[:20]
+        want |= {(q, k + 1, i, -s) for k, (s, i) in enumerate(best)}
+    assert got == want and any(s > 1 << 53 for *_, s in want)
+    assert [top_k.pivots_for(n, 64) for n in (10, 100_000, 500_000, 10**8, 10**12)] == [8, 48, 244, 10_000, 131_072]
+
+
 @pytest.fixture(scope="module")
 def labelled(spark):
     """Clean and junk, kind and rude documents; a third of the rude words is misspelled in a way of its own."""
