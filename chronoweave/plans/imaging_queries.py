@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
 from pyspark.sql import functions as F
 
 from chronoweave.operators import imaging, pose, streams, video
+from chronoweave.operators.assemble import PUPIL_FLAGS
 from chronoweave.plans.stream_queries import TRAIN
 from chronoweave.plans.tables import EV, read, stream, with_
 
@@ -179,10 +183,62 @@ def _(s, d):
     return fit.select("session", "frame", (F.round("p_cx", 6) + 0.0).alias("cx"), (F.round("p_cy", 6) + 0.0).alias("cy"), F.round("p_area", 4).alias("area"), F.round(F.col("p_semi_a") + F.col("p_semi_b"), 6).alias("diameter"))
 
 
-@query("p12_pupil_metrics")
+def ring_sql(name: str, points: range) -> tuple[str, str, str]:
+    """Least squares of a ring by its normal equations: columns of sums over trusted points, the solution, and the squared distance."""
+    n = len(points)
+    cos, sin = ([f"({f(2 * math.pi * k / n):.17g})" for k in range(n)] for f in (math.cos, math.sin))
+    trusted = [f"CAST(embedding[{3 * p + 3}] > -0.05::FLOAT AS INTEGER)" for p in points]
+    at = {axis: [f"CAST(embedding[{3 * p + 1 + i}] AS DOUBLE) * 100" for p in points] for i, axis in enumerate("xy")}
+    total = lambda weight: " + ".join(f"{t} * {weight(k)}" for k, t in enumerate(trusted))
+    sums = {"n": lambda k: "1", "c": lambda k: cos[k], "s": lambda k: sin[k], "cc": lambda k: f"{cos[k]} * {cos[k]}", "ss": lambda k: f"{sin[k]} * {sin[k]}", "cs": lambda k: f"{cos[k]} * {sin[k]}", "code": lambda k: str(1 << k)}
+    for axis in "xy":
+        sums |= {axis: lambda k, v=at[axis]: v[k], f"{axis}c": lambda k, v=at[axis]: f"{v[k]} * {cos[k]}", f"{axis}s": lambda k, v=at[axis]: f"{v[k]} * {sin[k]}"}
+    columns = ", ".join(f"{total(w)} AS {name}{key}" for key, w in sums.items())
+    c = {key: f"{name}{key}" for key in sums}
+    minors = {"11": "{cc} * {ss} - {cs} * {cs}", "12": "{cs} * {s} - {c} * {ss}", "13": "{c} * {cs} - {cc} * {s}", "22": "{n} * {ss} - {s} * {s}", "23": "{c} * {s} - {n} * {cs}", "33": "{n} * {cc} - {c} * {c}"}
+    m = {key: f"({text.format(**c)})" for key, text in minors.items()}
+    det = f"({c['n']} * {m['11']} + {c['c']} * {m['12']} + {c['s']} * {m['13']})"
+    solved = [f"({m[w[0]]} * {c[axis]} + {m[w[1]]} * {c[axis + 'c']} + {m[w[2]]} * {c[axis + 's']}) / nullif({det}, 0) AS {name}_{part}{axis}" for axis in "xy" for part, w in (("c", ("11", "12", "13")), ("a", ("12", "22", "23")), ("b", ("13", "23", "33")))]
+    off = lambda axis, k: f"pow({name}_c{axis} + {cos[k]} * {name}_a{axis} + {sin[k]} * {name}_b{axis} - {at[axis][k]}, 2)"
+    return columns, ", ".join(solved), total(lambda k: f"({off('x', k)} + {off('y', k)})")
+
+
+def fitted_sql(name: str, n: int) -> str:
+    """The patterns that can be fitted, with the condition of each."""
+    rows = []
+    for code in range(1 << n):
+        angles = [2 * math.pi * k / n for k in range(n) if code >> k & 1]
+        if len(angles) >= pose.LEAST_POINTS:
+            condition = float(np.linalg.cond(np.array([[1.0, math.cos(t), math.sin(t)] for t in angles])))
+            if condition <= pose.MOST_CONDITION:
+                rows.append(f"({code}, {condition!r}::DOUBLE)")
+    return f"{name} AS (SELECT * FROM (VALUES {', '.join(rows)}) t(code, condition))"
+
+
+def pupil_sql() -> str:
+    (p_sums, p_fit, p_off), (e_sums, e_fit, e_off) = ring_sql("p", range(1, 9)), ring_sql("e", range(9, 13))
+    semi = lambda n, part: f"sqrt({n}_{part}x * {n}_{part}x + {n}_{part}y * {n}_{part}y)"
+    masked = {
+        "pupil_center_x_px": ("measured", "p_cx"), "pupil_center_y_px": ("measured", "p_cy"), "pupil_diameter_px": ("measured", f"{semi('p', 'a')} + {semi('p', 'b')}"), "pupil_area_px2": ("measured", "pi() * abs(p_ax * p_by - p_ay * p_bx)"),
+        "pupil_fit_condition": ("measured", "p_condition"), "pupil_fit_residual_px": ("measured AND pn > 3", f"sqrt(({p_off}) / pn)"), "eye_center_x_px": ("e_valid", "e_cx"), "eye_center_y_px": ("e_valid", "e_cy"),
+        "eye_width_px": ("e_valid", f"2 * {semi('e', 'a')}"), "eye_height_px": ("e_valid", f"2 * {semi('e', 'b')}"), "eye_openness": ("true", "openness"), "reflection_x_px": ("mirror", "rx"), "reflection_y_px": ("mirror", "ry"),
+        "pupil_reflection_offset_x_px": ("measured AND mirror", "p_cx - rx"), "pupil_reflection_offset_y_px": ("measured AND mirror", "p_cy - ry"),
+        "pupil_in_eye_x": (f"measured AND e_valid AND {semi('e', 'a')} >= 1e-6", f"(p_cx - e_cx) / {semi('e', 'a')}"), "pupil_in_eye_y": (f"measured AND e_valid AND {semi('e', 'b')} >= 1e-6", f"(p_cy - e_cy) / {semi('e', 'b')}"),
+    }
+    numbers = ", ".join(f"round(CAST(CAST(CASE WHEN {when} THEN {value} END AS FLOAT) AS DOUBLE), 3) + 0.0 AS {name}" for name, (when, value) in masked.items())
+    return f"""WITH {fitted_sql('pv', 8)}, {fitted_sql('ev', 4)}, s0 AS (SELECT label AS session, vec_id AS frame, embedding, embedding[3] > -0.05::FLOAT AS mirror, CAST(embedding[1] AS DOUBLE) * 100 AS rx, CAST(embedding[2] AS DOUBLE) * 100 AS ry, {p_sums}, {e_sums} FROM embeddings),
+ s1 AS (SELECT s0.*, pv.code IS NOT NULL AS p_valid, pv.condition AS p_condition, ev.code IS NOT NULL AS e_valid, {p_fit}, {e_fit} FROM s0 LEFT JOIN pv ON pv.code = pcode LEFT JOIN ev ON ev.code = ecode),
+ s2 AS (SELECT *, CASE WHEN e_valid AND 2 * {semi('e', 'a')} >= 1e-6 THEN {semi('e', 'b')} / {semi('e', 'a')} END AS openness FROM s1), md AS (SELECT session, median(openness) AS base FROM s2 GROUP BY session),
+ s3 AS (SELECT s2.*, ((NOT (e_valid AND mirror) OR openness IS NULL) AND NOT p_valid) OR coalesce(openness < 0.5 * base, false) AS blinking FROM s2 JOIN md USING (session)), s4 AS (SELECT *, p_valid AND NOT blinking AS measured FROM s3)
+ SELECT session, frame, CAST(blinking AS INTEGER) AS blinking_state, CAST(NOT blinking AND NOT measured AS INTEGER) AS dilation_state, {numbers} FROM s4"""
+
+
+@query("p12_pupil_metrics", pupil_sql())
 def _(s, d):
-    """All metrics; tested against a numpy model."""
-    return pose.pupil_metrics(_frame_points(s, d))
+    """All metrics, to three places; NaN is given as null."""
+    found = pose.pupil_metrics(_frame_points(s, d))
+    numbers = [c for c in found.columns if c not in ("session", "frame", *PUPIL_FLAGS)]
+    return found.select("session", "frame", *PUPIL_FLAGS, *[F.when(~F.isnan(c), F.round(F.col(c).cast("double"), 3) + 0.0).alias(c) for c in numbers])
 
 
 @query(
