@@ -212,6 +212,51 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(lean(lambda batches: back(there(batches)), resident=True), "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded binary")
 
 
+def pair_ranks(ranks: dict[bytes, int]) -> tuple[list[int], list[int]]:
+    """The literal rank table: ascending keys ``left id * base + right id`` of all pairs that merge, and the id that each merges into."""
+    base = max(ranks.values()) + 1
+    pairs = {}
+    for word, rank in ranks.items():
+        for i in range(1, len(word)):
+            left, right = ranks.get(word[:i]), ranks.get(word[i:])
+            if left is not None and right is not None:
+                pairs[left * base + right] = rank
+    keys = sorted(pairs)
+    return keys, [pairs[k] for k in keys]
+
+
+def fold_words(words: DataFrame, path: str) -> DataFrame:
+    """``word binary, tokens array<int>`` of distinct words, folded by Spark's higher-order functions alone.
+
+    The state of the fold is the array of ids, at first one for each byte; every step merges the leftmost pair of the lowest rank, found by
+    binary search in a literal table, until no pair has a rank. README has its cost beside that of ``encode``.
+    """
+    ranks = read_ranks(path)
+    keys, merged = pair_ranks(ranks)
+    base = max(ranks.values()) + 1
+    literal = lambda values, kind: F.from_json(F.lit(str(values)), f"array<{kind}>")
+    table, ids = literal(keys, "bigint"), literal(merged, "int")
+    steps = F.array(*[F.lit(1 << k) for k in range(len(keys).bit_length() - 1, -1, -1)])
+    byte_ids = literal([ranks[bytes([b])] for b in range(256)], "int")
+    none = F.lit(base)
+
+    def rank_of(left, right):
+        key = left.cast("bigint") * base + right
+        at = F.aggregate(steps, F.lit(0), lambda a, step: a + F.when(F.get(table, a + step - 1) <= key, step).otherwise(0))
+        return F.when(F.get(table, at - 1) == key, F.get(ids, at - 1)).otherwise(none)
+
+    def merge(state, _):
+        pairs = F.transform(F.slice(state, 1, F.greatest(F.size(state) - 1, F.lit(0))), lambda left, i: F.struct(rank_of(left, F.get(state, i + 1)).alias("rank"), i.alias("i")))
+        spliced = lambda best: F.concat(F.slice(state, 1, best["i"]), F.array(best["rank"]), F.slice(state, best["i"] + 3, F.size(state)))
+        # One element, so that the best pair is named once and not computed at each of its uses.
+        return F.get(F.transform(F.array(F.array_min(pairs)), lambda best: F.when(best.isNull() | (best["rank"] == none), state).otherwise(spliced(best))), 0)
+
+    digits = F.regexp_extract_all(F.hex("word"), F.lit("(..)"), F.lit(1))
+    start = F.transform(digits, lambda h: F.get(byte_ids, F.conv(h, 16, 10).cast("int")))
+    rounds = F.when(F.octet_length("word") > 1, F.sequence(F.lit(2), F.octet_length("word"))).otherwise(F.array().cast("array<int>"))
+    return words.select("word", F.aggregate(rounds, start, merge).alias("tokens"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 

@@ -94,6 +94,16 @@ def test_byte_bpe_equals_tiktoken_and_decodes(docs, empty):
     assert byte_bpe.round_trip(empty, path, P.PATTERN).count() == 0
 
 
+def test_fold_of_higher_order_functions_equals_tiktoken(spark):
+    import tiktoken
+
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    peer = tiktoken.Encoding("peer", pat_str=P.PATTERN, mergeable_ranks=byte_bpe.read_ranks(path), special_tokens={})
+    words = sorted({w.encode() for t in TEXTS[3:12] if t for w in re.findall(r" ?[^ ]+", t)[:60] if len(w.encode()) < 40 and len(peer.encode_ordinary(w)) == len(peer._encode_single_piece(w.encode()))})
+    got = byte_bpe.fold_words(spark.createDataFrame([(bytearray(w),) for w in words], "word binary"), path).collect()
+    assert {bytes(r["word"]): r["tokens"] for r in got} == {w: peer._encode_single_piece(w) for w in words}
+
+
 def test_chunks_tile_any_text():
     import pyarrow as pa
     from tokenizers import Tokenizer
