@@ -6,6 +6,7 @@ Each round is written to the shared folder (``checkpoint``), so lineage stays sh
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,42 +37,49 @@ def narrowed(jobs: DataFrame) -> DataFrame:
     return jobs.join(tracked, "unit").withColumn("prerequisites", F.sort_array(F.array_intersect("prerequisites", "_tracked"))).drop("_tracked")
 
 
+def together(rounds: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, rounds)
+
+
+def joined(rounds: list[DataFrame], fresh: DataFrame, most: int = 16) -> list[DataFrame]:
+    """The results of all rounds; many small ones become one table, so that plans of deep graphs stay short."""
+    rounds = [*rounds, fresh]
+    return rounds if len(rounds) < most else [settled(together(rounds))]
+
+
 def blocked(jobs: DataFrame, edges: DataFrame) -> DataFrame:
     """``job_id, round, unmet``: jobs blocked by a prerequisite that neither succeeded nor runs here, or is itself blocked.
 
     ``jobs`` has ``job_id, status, here`` (whether it runs in this batch); ``edges`` ``job_id, needs``. ``unmet`` lists the
     prerequisites that were unmet in the round that blocked the job. Jobs that don't run here aren't listed.
     """
-    members = settled(jobs.filter("here").select("job_id"))
-    bad = settled(jobs.filter(~F.col("here") & (F.col("status") != SUCCEEDED)).select(F.col("job_id").alias("needs")))
-    links = edges.join(members, "job_id", "left_semi")
-    unknown = links.join(jobs.select(F.col("job_id").alias("needs")), "needs", "left_anti").select("needs").distinct()
-    bad = settled(bad.unionByName(unknown).distinct())
-    done, number = None, 0
-    while True:
-        number += 1
+    links = settled(edges.select("job_id", "needs").join(jobs.filter("here").select("job_id"), "job_id", "left_semi"))
+    bad = jobs.filter(~F.col("here") & (F.col("status") != SUCCEEDED)).select(F.col("job_id").alias("needs"))
+    unknown = links.join(jobs.select(F.col("job_id").alias("needs")), "needs", "left_anti").select("needs")
+    # A job that is still free needs nothing that was unmet before, so a round looks at what the round before it blocked.
+    bad, rounds = bad.unionByName(unknown).distinct(), []
+    for number in count(1):
         fresh = links.join(bad, "needs", "left_semi")
-        if done is not None:
-            fresh = fresh.join(done.select("job_id"), "job_id", "left_anti")
+        if rounds:
+            fresh = fresh.join(together(rounds).select("job_id"), "job_id", "left_anti")
         fresh = settled(fresh.groupBy("job_id").agg(F.sort_array(F.collect_set("needs")).alias("unmet")).withColumn("round", F.lit(number)))
-        if fresh.isEmpty():
-            break
-        done = fresh if done is None else settled(done.unionByName(fresh))
-        bad = settled(bad.unionByName(fresh.select(F.col("job_id").alias("needs"))).distinct())
-    return done if done is not None else fresh
+        if number > 1 and fresh.isEmpty():
+            return together(rounds)
+        rounds = joined(rounds, fresh)
+        bad = fresh.select(F.col("job_id").alias("needs"))
 
 
 def closure(edges: DataFrame) -> DataFrame:
     """``job_id, after``: every job with all jobs that need it, directly or not; each pair once. A round writes its new pairs only."""
     step = settled(edges.select(F.col("needs").alias("job_id"), F.col("job_id").alias("after")).distinct())
-    rounds = [step]
+    rounds, fresh = [step], step
     while True:
-        known = reduce(DataFrame.unionByName, rounds)
-        longer = rounds[-1].select("job_id", F.col("after").alias("via")).join(step.select(F.col("job_id").alias("via"), "after"), "via").select("job_id", "after").distinct()
+        known = together(rounds)
+        longer = fresh.select("job_id", F.col("after").alias("via")).join(step.select(F.col("job_id").alias("via"), "after"), "via").select("job_id", "after").distinct()
         fresh = settled(longer.join(known, ["job_id", "after"], "left_anti"))
         if fresh.isEmpty():
             return known
-        rounds.append(fresh)
+        rounds = joined(rounds, fresh)
 
 
 def downstream_weight(jobs: DataFrame, edges: DataFrame) -> DataFrame:
@@ -81,17 +89,20 @@ def downstream_weight(jobs: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def submission_order(jobs: DataFrame, edges: DataFrame, most: int | None = None) -> DataFrame:
-    """``job_id, depth``: longest path of prerequisites inside the batch. Relaxation rounds, at most the number of jobs."""
+    """``job_id, depth``: longest path of prerequisites inside the batch; rounds are at most the number of jobs.
+
+    Round k holds the jobs at the end of a path of length k, so rounds shrink; the last one that holds a job is its depth.
+    """
     inside = settled(edges.join(jobs.select("job_id"), "job_id", "left_semi").join(jobs.select(F.col("job_id").alias("needs")), "needs", "left_semi"))
     limit = jobs.count() if most is None else most
-    depth = settled(jobs.select("job_id", F.lit(0).cast("bigint").alias("depth")))
-    for _ in range(limit):
-        above = inside.join(depth.select(F.col("job_id").alias("needs"), (F.col("depth") + 1).alias("least")), "needs").groupBy("job_id").agg(F.max("least").alias("least"))
-        following = settled(depth.join(above, "job_id", "left").select("job_id", F.greatest("depth", F.coalesce("least", F.lit(0))).alias("depth"), (F.coalesce("least", F.lit(0)) > F.col("depth")).alias("_moved")))
-        depth = following.drop("_moved")
-        if following.filter("_moved").isEmpty():
+    reached = jobs.select("job_id").distinct()
+    rounds = [reached.withColumn("depth", F.lit(0).cast("bigint"))]
+    for number in range(1, limit + 1):
+        reached = settled(inside.join(reached.select(F.col("job_id").alias("needs")), "needs", "left_semi").select("job_id").distinct())
+        if reached.isEmpty():
             break
-    return depth
+        rounds = joined(rounds, reached.withColumn("depth", F.lit(number).cast("bigint")))
+    return together(rounds).groupBy("job_id").agg(F.max("depth").alias("depth"))
 
 
 def outcome(batch: DataFrame, edges: DataFrame) -> DataFrame:

@@ -126,13 +126,11 @@ def reconciled(resolutions: DataFrame, edges: DataFrame) -> DataFrame:
 
 def size_bytes(text: Column) -> Column:
     """Q11: a magnitude with a unit from K to P; null if it has none."""
-    number = F.regexp_extract(F.trim(text), r"^[0-9.]*", 0)
-    magnitude = F.when(number.rlike(r"^(\d+\.?\d*|\.\d+)$"), number.cast("double"))
-    unit = F.upper(F.substring(F.trim(text), F.char_length(number) + 1, F.lit(1)))
-    scale = F.lit(1.0)
-    for name, factor in _UNITS.items():
-        scale = F.when(unit == name, factor).otherwise(scale)
-    return magnitude * scale
+    clean = F.trim(text)
+    number = F.regexp_extract(clean, r"^(\d+\.?\d*|\.\d+)(?![0-9.])", 1)
+    unit = F.upper(F.substring(clean, F.char_length(number) + 1, F.lit(1)))
+    scale = F.try_element_at(F.create_map(*[F.lit(x) for pair in _UNITS.items() for x in pair]), unit)
+    return number.try_cast("double") * F.coalesce(scale, F.lit(1.0))
 
 
 def duration_seconds(text: Column) -> Column:
@@ -140,7 +138,7 @@ def duration_seconds(text: Column) -> Column:
     clean = F.trim(text)
     days = F.when(F.instr(clean, "-") > 0, F.substring_index(clean, "-", 1)).otherwise("0")
     clock = F.when(F.instr(clean, "-") > 0, F.substring(clean, F.instr(clean, "-") + 1, F.lit(1 << 30))).otherwise(clean)
-    number = lambda x: F.when(F.trim(x).rlike(r"^(\d+\.?\d*|\.\d+)$"), F.trim(x).cast("double"))
+    number = lambda x: F.regexp_extract(F.trim(x), r"^(\d+\.?\d*|\.\d+)$", 1).try_cast("double")
     return number(days) * 86400.0 + F.aggregate(F.split(clock, ":"), F.lit(0.0), lambda a, x: a * 60.0 + number(x))
 
 
@@ -163,13 +161,15 @@ def merged_accounting(rows: DataFrame, sizes: list[str], durations: list[str], i
     """
     own = rows.filter(~F.coalesce(F.col(identifier).contains("extern"), F.lit(False))).withColumn("_job", F.substring_index(identifier, ".", 1))
     fields = [c for c in rows.columns if c not in ("line", identifier)]
+    # Figures are parsed once for each row, before the aggregate, which reads an ordering several times.
+    own = own.withColumns({f"_value_{c}": size_bytes(F.col(c)) if c in sizes else duration_seconds(F.col(c)) for c in fields if c in sizes or c in durations})
 
     def folded(c: str) -> Column:
         filled = F.when(F.col(c) != "", F.col(c))
         first = F.min_by(c, F.struct("line", c))
         if c not in sizes and c not in durations:
             return F.coalesce(F.min_by(c, F.when(filled.isNotNull(), F.struct("line", c))), first).alias(c)
-        value = size_bytes(F.col(c)) if c in sizes else duration_seconds(F.col(c))
+        value = F.col(f"_value_{c}")
         return F.coalesce(F.max_by(c, F.when(value.isNotNull(), F.struct(value, -F.col("line")))), first).alias(c)
 
     return own.groupBy(F.col("_job").alias(identifier)).agg(*[folded(c) for c in fields])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chronoweave.functions.ordering import natural_places
+from chronoweave.functions.shared import settled
 from chronoweave.operators import datasets, graph, scheduler, state
 from chronoweave.plans.tables import read, with_
 from chronoweave.sources import ingest
@@ -370,19 +371,19 @@ BLOCKED = """RECURSIVE_MARK bk(job_id) AS (SELECT ed.job_id FROM ed JOIN hr ON h
 
 @query("g3_blocked_jobs", ("WITH RECURSIVE " + ",\n".join([LINES, EDGES, HERE, BLOCKED.replace("RECURSIVE_MARK ", "")])) + " SELECT DISTINCT job_id FROM bk")
 def _(s, d):
-    jobs = _lines(s, d)
+    jobs = settled(_lines(s, d))
     return graph.blocked(jobs.withColumn("here", (F.col("status") != "FAILED") & (F.col("line") < 7)), _edges(jobs)).select("job_id")
 
 
 @query("g4_downstream_weight", "WITH RECURSIVE " + ",\n".join([LINES, EDGES, "cl(job_id, behind) AS (SELECT needs, job_id FROM ed UNION SELECT cl.job_id, ed.job_id FROM cl JOIN ed ON ed.needs = cl.behind)"]) + " SELECT ln.job_id, CAST(coalesce((SELECT sum(b.cores) FROM cl JOIN ln b ON b.job_id = behind WHERE cl.job_id = ln.job_id), 0) AS BIGINT) AS weight FROM ln")
 def _(s, d):
-    jobs = _lines(s, d)
+    jobs = settled(_lines(s, d))
     return graph.downstream_weight(jobs, _edges(jobs))
 
 
 @query("g5_depth_order", "WITH RECURSIVE " + ",\n".join([LINES, EDGES, "inn AS (SELECT * FROM ed WHERE needs IN (SELECT job_id FROM ln))", "dp(job_id, depth) AS (SELECT job_id, 0 FROM ln UNION SELECT inn.job_id, depth + 1 FROM dp JOIN inn ON inn.needs = dp.job_id)"]) + " SELECT job_id, CAST(max(depth) AS BIGINT) AS depth FROM dp GROUP BY job_id")
 def _(s, d):
-    jobs = _lines(s, d)
+    jobs = settled(_lines(s, d))
     return graph.submission_order(jobs, _edges(jobs))
 
 
