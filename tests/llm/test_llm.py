@@ -408,18 +408,21 @@ def test_top_k(spark, monkeypatch):
     monkeypatch.setattr(top_k, "QUERIES", 3)
     own = np.random.default_rng(6)
     vectors = [own.normal(size=6).tolist() for _ in range(150)] + [[0.5] * 6] * 90
-    rows = list(enumerate(vectors)) + [(500, None), (501, [0.1, None, 1.0]), (502, [float("nan")] * 6), (None, [1.0] * 6), (0, vectors[0])]
+    # Ids that stand twice, with the same vector and with another one: each row is a candidate and a query.
+    known = [*enumerate(vectors), (0, vectors[0]), (20, vectors[7]), (31, (4 * np.array(vectors[20])).tolist())]
+    rows = [*known, (500, None), (501, [0.1, None, 1.0]), (502, [float("nan")] * 6), (None, [1.0] * 6)]
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
-    x = np.floor(64 * np.array(vectors)).astype(np.int64)
-    want = set()
-    for q in range(0, len(x), 20):
-        best = sorted((-int(s), i) for i, s in enumerate(x @ x[q]) if i != q)[:20]
-        want |= {(q, k + 1, i, -s) for k, (s, i) in enumerate(best)}
+    x = np.floor(64 * np.array([v for _, v in known])).astype(np.int64)
+    want = []
+    for at, (query, _) in enumerate(known):
+        if query % 20 == 0:
+            best = sorted((-int(s), known[i][0]) for i, s in enumerate(x @ x[at]) if i != at)[:20]
+            want += [(query, k + 1, i, -s) for k, (s, i) in enumerate(best)]
     got = top_k.top_k(top_k.integer_vectors(df), F.col("vec_id") % 20 == 0)
-    assert {tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()} == want
+    assert sorted(tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()) == sorted(want)
     assert top_k.top_k(top_k.integer_vectors(df.limit(0)), F.lit(True)).count() == 0
     few = top_k.top_k(top_k.integer_vectors(df.filter("vec_id < 3")), F.lit(True))
-    assert few.count() == 6
+    assert few.count() == 12
 
 
 def test_top_k_of_large_components_is_exact(spark):
