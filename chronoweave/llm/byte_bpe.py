@@ -181,7 +181,8 @@ def _encoder(path: str, pattern: str):
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """``doc_id`` and ``tokens array<int>`` of every whole text."""
     small_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(lean(_encoder(path, pattern), resident=True), "doc_id bigint, tokens array<int>")
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(lean(_encoder(path, pattern), resident=True),
+        "doc_id bigint, tokens array<int>")
 
 
 def _decoder(path: str):
@@ -195,21 +196,25 @@ def _decoder(path: str):
             for a, b in zip(bounds[:-1], bounds[1:], strict=True):
                 ids.append(hashlib.sha256(values[a:b].astype("<u4").tobytes()).hexdigest())
                 text.append(b"".join(map(piece, values[a:b].tolist())))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(bounds).astype(np.int64)), pa.array(ids, pa.string()), pa.array(text, pa.binary())], names=["doc_id", "n_tokens", "ids_sha256", "decoded"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(bounds).astype(np.int64)),
+                    pa.array(ids, pa.string()), pa.array(text, pa.binary())],
+                names=["doc_id", "n_tokens", "ids_sha256", "decoded"])
 
     return decode
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """The binary text of every row of ids, with their number and digest."""
-    return encoded.select("doc_id", "tokens").mapInArrow(lean(_decoder(path), resident=True), "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded binary")
+    return encoded.select("doc_id", "tokens").mapInArrow(lean(_decoder(path), resident=True),
+        "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded binary")
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """``decode(encode(docs))`` in one Python worker instead of two."""
     small_batches(docs.sparkSession)
     there, back = _encoder(path, pattern), _decoder(path)
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(lean(lambda batches: back(there(batches)), resident=True), "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded binary")
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(lean(lambda batches: back(there(batches)),
+            resident=True), "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded binary")
 
 
 def pair_ranks(ranks: dict[bytes, int]) -> tuple[list[int], list[int]]:
@@ -246,10 +251,13 @@ def fold_words(words: DataFrame, path: str) -> DataFrame:
         return F.when(F.get(table, at - 1) == key, F.get(ids, at - 1)).otherwise(none)
 
     def merge(state, _):
-        pairs = F.transform(F.slice(state, 1, F.greatest(F.size(state) - 1, F.lit(0))), lambda left, i: F.struct(rank_of(left, F.get(state, i + 1)).alias("rank"), i.alias("i")))
-        spliced = lambda best: F.concat(F.slice(state, 1, best["i"]), F.array(best["rank"]), F.slice(state, best["i"] + 3, F.size(state)))
+        pairs = F.transform(F.slice(state, 1, F.greatest(F.size(state) - 1, F.lit(0))),
+            lambda left, i: F.struct(rank_of(left, F.get(state, i + 1)).alias("rank"), i.alias("i")))
+        spliced = lambda best: F.concat(F.slice(state, 1, best["i"]), F.array(best["rank"]),
+            F.slice(state, best["i"] + 3, F.size(state)))
         # One element, so that the best pair is named once and not computed at each of its uses.
-        return F.get(F.transform(F.array(F.array_min(pairs)), lambda best: F.when(best.isNull() | (best["rank"] == none), state).otherwise(spliced(best))), 0)
+        return F.get(F.transform(F.array(F.array_min(pairs)), lambda best: F.when(best.isNull() | (best["rank"] == none),
+                    state).otherwise(spliced(best))), 0)
 
     digits = F.regexp_extract_all(F.hex("word"), F.lit("(..)"), F.lit(1))
     start = F.transform(digits, lambda h: F.get(byte_ids, F.conv(h, 16, 10).cast("int")))
@@ -261,4 +269,5 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return round_trip(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    return round_trip(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN).select("doc_id", "n_tokens",
+        "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -50,9 +50,11 @@ def components(links: DataFrame) -> DataFrame:
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = stored(large, "large")
         small = stored(large.groupBy("u").agg(F.min("v").alias("m")), "small")
-        joined = large.join(small, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
+        joined = large.join(small, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")),
+                    F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         following = stored(joined.select("e.*").filter("u <> v").distinct(), "forest")
         for done in (edges, least, large, small):
             discard(done)
         edges = following
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v")
+            .alias("node"), F.col("v").alias("root")).distinct())

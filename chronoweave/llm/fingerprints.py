@@ -39,7 +39,8 @@ BROADCAST_BUCKETS = 1_000_000
 def _numbered(words: Column) -> Column:
     """Hash of each occurrence-numbered k-mer with its place in the low bits, ordered by bin and hash."""
     places = F.pow(F.lit(2), PLACE).cast("bigint")
-    hashes = F.transform(words, lambda w, i: F.shiftleft(F.xxhash64(w, *[F.get(words, i + k) for k in range(1, K)]), PLACE).bitwiseOR(i.cast("bigint") % places))
+    hashes = F.transform(words, lambda w, i: F.shiftleft(F.xxhash64(w, *[F.get(words, i + k) for k in range(1, K)]),
+            PLACE).bitwiseOR(i.cast("bigint") % places))
     count = F.greatest(F.size(words) - (K - 1), F.least(F.size(words), F.lit(1)))
     return F.sort_array(F.slice(hashes, 1, count))
 
@@ -61,10 +62,12 @@ def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
     several = F.filter(kmers, lambda x, i: ~alone(x, i))
     step = step.withColumn("__cw_single", single).withColumn("__cw_several", several)
     runs = F.col("__cw_several")
-    begins = F.filter(F.sequence(F.lit(0), F.greatest(F.size(runs) - 1, F.lit(0))), lambda i: (i == 0) | (F.shiftright(F.get(runs, i), PLACE) != F.shiftright(F.get(runs, i - 1), PLACE)))
+    begins = F.filter(F.sequence(F.lit(0), F.greatest(F.size(runs) - 1, F.lit(0))), lambda i: (i == 0)
+        | (F.shiftright(F.get(runs, i), PLACE) != F.shiftright(F.get(runs, i - 1), PLACE)))
     step = step.withColumn("__cw_begins", F.when(F.size(runs) > 0, begins).otherwise(F.array().cast("array<int>")))
     firsts = F.col("__cw_begins")
-    numbered = F.flatten(F.transform(firsts, lambda s, r: F.transform(F.slice(runs, s + 1, F.coalesce(F.get(firsts, r + 1), F.size(runs)) - s), lambda x, n: key(x, n))))
+    numbered = F.flatten(F.transform(firsts, lambda s, r: F.transform(F.slice(runs, s + 1,
+                    F.coalesce(F.get(firsts, r + 1), F.size(runs)) - s), lambda x, n: key(x, n))))
     step = step.withColumn("__cw_all", F.sort_array(F.concat("__cw_single", numbered)))
     every = F.col("__cw_all")
     # The circle begins at the least long, so the sorted list is the circle cut open there; slot j begins at j / SLOTS of it.
@@ -80,7 +83,8 @@ def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
         a, b = F.get(every, i), F.get(every, (i + 1) % F.size(every))
         place = lambda x: x.bitwiseAND(F.lit(mask))
         value = lambda x: F.shiftright(x, PLACE)
-        pair = F.when(F.size(every) == 1, F.xxhash64(value(a))).when(place(a) <= place(b), F.xxhash64(value(a), value(b))).otherwise(F.xxhash64(value(b), value(a)))
+        pair = F.when(F.size(every) == 1, F.xxhash64(value(a))).when(place(a) <= place(b),
+            F.xxhash64(value(a), value(b))).otherwise(F.xxhash64(value(b), value(a)))
         return F.shiftleft(pair, slot_bits).bitwiseOR(slot.cast("bigint"))
 
     step = step.withColumn("__cw_nearest", F.when(F.size(every) > 0, nearest).otherwise(F.array().cast("array<int>")))
@@ -100,13 +104,15 @@ def _count_upto(bounds: list[int], value: Column, strictly: bool) -> Column:
     """How many of the ascending bounds are below a value, or not above it: a binary search by doubling steps."""
     steps = [1 << k for k in range(max(1, len(bounds)).bit_length() - 1, -1, -1)]
     passed = lambda at: (at < value) if strictly else (at <= value)
-    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda at, step: at + F.when(passed(F.get(_longs(bounds), at + step - 1)), step).otherwise(0))
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda at, step: at
+        + F.when(passed(F.get(_longs(bounds), at + step - 1)), step).otherwise(0))
 
 
 def _placed(rows: DataFrame, ids: DataFrame, size: int, tie: Column) -> DataFrame:
     """``rows`` with ``__cw_id, __cw_tie`` and ``__cw_bucket``, a number that ascends with them."""
     quantiles = min(MOST_QUANTILES, max(1, size // BUCKET_ROWS))
-    cuts = ids.agg(F.percentile_approx("id", [k / quantiles for k in range(quantiles + 1)], 10 * MOST_QUANTILES).alias("cuts")).first()["cuts"] if quantiles > 1 else []
+    cuts = ids.agg(F.percentile_approx("id", [k / quantiles for k in range(quantiles + 1)], 10 * MOST_QUANTILES)
+        .alias("cuts")).first()["cuts"] if quantiles > 1 else []
     bounds = sorted(cuts or [])
     keyed = rows.withColumns({"__cw_id": _identity(), "__cw_tie": tie})
     if not bounds:
@@ -140,19 +146,22 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     tops = stored(top, "tops")
     # The bucket above each one; the highest is followed by the lowest. Steps between two quantiles are one group of the window.
     group = F.floor(F.col("__cw_bucket") / 4096)
-    edge = tops.groupBy(group.alias("group")).agg(F.min("__cw_bucket").alias("low")).withColumn("following", F.lead("low").over(Window.orderBy("group")))
+    edge = tops.groupBy(group.alias("group")).agg(F.min("__cw_bucket").alias("low")).withColumn("following",
+        F.lead("low").over(Window.orderBy("group")))
     lowest = F.min("low").over(Window.partitionBy())
     edge = edge.select("group", F.coalesce("following", lowest).alias("following"), F.col("following").isNull().alias("last"))
     inside = F.lead("__cw_bucket").over(Window.partitionBy("group").orderBy("__cw_bucket"))
     above = tops.withColumn("group", group).withColumn("inside", inside).join(F.broadcast(edge), "group")
-    above = stored(above.select("__cw_bucket", "top", F.coalesce("inside", "following").alias("above"), (F.col("inside").isNull() & F.col("last")).alias("wraps")), "above")
+    above = stored(above.select("__cw_bucket", "top", F.coalesce("inside", "following").alias("above"),
+            (F.col("inside").isNull() & F.col("last")).alias("wraps")), "above")
     if above.count() <= BROADCAST_BUCKETS:
         above = F.broadcast(above)
     own = F.struct(F.col("__cw_bucket").alias("bucket"), F.lit(0).alias("extra"))
     copy = F.struct(F.col("above").alias("bucket"), F.when(F.col("wraps"), F.lit(2)).otherwise(F.lit(1)).alias("extra"))
     is_top = F.struct("__cw_id", "__cw_tie") == F.col("top")
     copies = placed.join(above, "__cw_bucket").withColumn("__cw_at", F.explode(F.when(is_top, F.array(own, copy)).otherwise(F.array(own))))
-    order = Window.partitionBy("__cw_at.bucket").orderBy(F.col("__cw_at.extra") == 2, F.col("__cw_id").desc(), F.col("__cw_tie").desc(), F.col("__cw_at.extra"), F.col("text").desc())
+    order = Window.partitionBy("__cw_at.bucket").orderBy(F.col("__cw_at.extra") == 2, F.col("__cw_id").desc(),
+        F.col("__cw_tie").desc(), F.col("__cw_at.extra"), F.col("text").desc())
     following = copies.select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in columns]).filter("__cw_at.extra = 0")
     return following.select(*docs.columns, *[f"next_{c}" for c in columns])
 
@@ -171,9 +180,11 @@ def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     printed = with_fingerprint(docs, "text", "print")
     both = with_next(printed, ["text", "print"])
-    changed = both.select("doc_id", "print", "next_print", F.char_length("text").cast("bigint").alias("n_chars"), edited(F.col("text"), F.col("next_text")).alias("edited"))
+    changed = both.select("doc_id", "print", "next_print", F.char_length("text").cast("bigint").alias("n_chars"),
+        edited(F.col("text"), F.col("next_text")).alias("edited"))
     done = with_fingerprint(changed, "edited", "edited_print")
     return done.select(
-        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), as_string(F.col("print")).alias("fingerprint"), as_string(F.col("edited_print")).alias("edited_fingerprint"),
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), as_string(F.col("print")).alias("fingerprint"),
+        as_string(F.col("edited_print")).alias("edited_fingerprint"),
         likeness(F.col("print"), F.col("edited_print")).alias("near_edited"), likeness(F.col("print"), F.col("next_print")).alias("near_next"),
     )

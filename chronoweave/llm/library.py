@@ -14,7 +14,8 @@ _LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
 _DIGITS = "0-9²³¹¼-¾"
 _BLANKS = "\t-\r \u0085 "
 _SPLITS = {
-    "bytes": re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[{_DIGITS}]+| ?[^{_BLANKS}{_LETTERS}{_DIGITS}]+|[{_BLANKS}]+(?![^{_BLANKS}])|[{_BLANKS}]+"),
+    "bytes": re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[{_DIGITS}]+| "
+        f"?[^{_BLANKS}{_LETTERS}{_DIGITS}]+|[{_BLANKS}]+(?![^{_BLANKS}])|[{_BLANKS}]+"),
     "words": re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^{_BLANKS}{_LETTERS}{_DIGITS}]+"),
 }
 

@@ -42,7 +42,8 @@ _OTHER = np.uint64(0xA5A3564E27F8A1D3)
 
 def _set_ids(sets: list[np.ndarray]) -> list[pa.Array]:
     """Two independent hashes of each set, whatever the order of its values."""
-    pairs = np.array([(np.bitwise_xor.reduce(mix(s)), mix(s ^ _OTHER).sum(dtype=np.uint64)) if len(s) else (0, 0) for s in sets], dtype=np.uint64).reshape(-1, 2)
+    pairs = np.array([(np.bitwise_xor.reduce(mix(s)), mix(s ^ _OTHER).sum(dtype=np.uint64)) if len(s) else (0, 0)
+            for s in sets], dtype=np.uint64).reshape(-1, 2)
     return [pa.array(np.ascontiguousarray(pairs[:, k]).view(np.int64)) for k in (0, 1)]
 
 
@@ -110,7 +111,8 @@ def _compare(percent: int):
             if len(held) < 2:
                 return []
             sizes = np.array([len(h[2]) for h in held], dtype=np.int64)
-            return spanning_links(np.array([h[0] for h in held], dtype=np.int64), np.array([h[1] for h in held]), np.concatenate([h[2] for h in held]), sizes, percent, cell[1] != cell[2])
+            return spanning_links(np.array([h[0] for h in held], dtype=np.int64), np.array([h[1] for h in held]),
+                np.concatenate([h[2] for h in held]), sizes, percent, cell[1] != cell[2])
 
         for batch in batches:
             found: list[tuple[int, int]] = []
@@ -123,7 +125,8 @@ def _compare(percent: int):
                     found += solve()
                     held, cell = [], here
                 held.append((ids[k], block[k], values[bounds[k] : bounds[k + 1]].copy()))
-            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], names=["u", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()),
+                    pa.array([f[1] for f in found], pa.int64())], names=["u", "v"])
         found = solve()
         yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], names=["u", "v"])
 
@@ -134,16 +137,19 @@ def _links(cells: DataFrame, classes: DataFrame, sets: DataFrame, percent: int)
     """Confirmed links inside cells. ``cells`` has ``unit, block, other, node``: a class of one block that meets another block."""
     ordered = cells.select("unit", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node")
     whole = ordered.join(classes.select("node", "set_a", "set_b"), "node").join(sets, ["set_a", "set_b"])
-    dealt = whole.select("unit", "low", "high", "block", "node", "shingles").repartition("unit", "low", "high").sortWithinPartitions("unit", "low", "high", "node")
+    dealt = whole.select("unit", "low", "high", "block", "node", "shingles").repartition("unit", "low",
+        "high").sortWithinPartitions("unit", "low", "high", "node")
     return stored(dealt.mapInArrow(lean(_compare(percent)), "u bigint, v bigint"), "links")
 
 
 def _remaining(members: DataFrame, large: DataFrame, joined: DataFrame) -> DataFrame:
     """Cells, band by band, of the classes outside their band's largest group, each with all blocks of the band."""
-    rooted = members.join(large, "node").select("band", "node").join(joined, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
+    rooted = members.join(large, "node").select("band", "node").join(joined, "node", "left").select("band", "node",
+        F.coalesce("root", "node").alias("root"))
     rooted = stored(rooted, "rooted")
     groups = rooted.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
-    main = groups.groupBy("band").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("inside"), (F.sum("n") - F.max("n")).alias("outside"))
+    main = groups.groupBy("band").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("inside"),
+        (F.sum("n") - F.max("n")).alias("outside"))
     main = stored(main.filter("outside > 0"), "main")
     blocks = lambda n: F.ceil(F.col(n) / UNIT).cast("int")
     part = lambda n: F.pmod(F.xxhash64("node"), blocks(n)).cast("int")
@@ -161,7 +167,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     Spark can split such keys.
     """
     small_batches(docs.sparkSession)
-    sketches = docs.select("doc_id", "key", "text").mapInArrow(lean(_sketches(shingle, bands, rows)), "doc_id bigint, key bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>")
+    sketches = docs.select("doc_id", "key", "text").mapInArrow(lean(_sketches(shingle, bands, rows)),
+        "doc_id bigint, key bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>")
     sketches = stored(sketches, "sketches")
     filled = sketches.filter("n_shingles > 0")
     classes = filled.groupBy("set_a", "set_b").agg(F.min("key").alias("key"), F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
@@ -172,13 +179,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
 
     candidates = components(members.select(F.col("node").alias("u"), F.col("least").alias("v")).filter("u <> v"))
     crowds = stored(candidates.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / UNIT).cast("int").alias("blocks")), "crowds")
-    placed = candidates.join(crowds, "root").select(F.col("root").alias("unit"), "node", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
+    placed = candidates.join(crowds, "root").select(F.col("root").alias("unit"), "node", "blocks",
+        F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
     met = F.when(F.col("block") == 0, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.lit(0)))
 
     wanted = stored(members.select("key").distinct(), "wanted")
     if wanted.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
-    sets = docs.join(wanted, "key", "left_semi").select("text").mapInArrow(lean(_full_sets(shingle)), "set_a bigint, set_b bigint, shingles array<bigint>")
+    sets = docs.join(wanted, "key", "left_semi").select("text").mapInArrow(lean(_full_sets(shingle)),
+        "set_a bigint, set_b bigint, shingles array<bigint>")
     sets = sets.dropDuplicates(["set_a", "set_b"])
     links = _links(placed.select("unit", "block", F.explode(met).alias("other"), "node"), classes, sets, percent)
     joined = components(links)
@@ -186,12 +195,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
         links = links.unionByName(_links(_remaining(members, placed.filter("blocks > 1").select("node"), joined), classes, sets, percent))
         joined = components(links)
 
-    least = classes.select("node", "key", "doc_id").join(joined, "node").groupBy("root").agg(F.min("doc_id").alias("component_id"), F.min("key").alias("component_key"))
+    least = classes.select("node", "key", "doc_id").join(joined,
+        "node").groupBy("root").agg(F.min("doc_id").alias("component_id"), F.min("key").alias("component_key"))
     linked = joined.join(stored(least, "least"), "root").select("node", "component_id", "component_key")
     own = classes.select("node", "set_a", "set_b", F.col("doc_id").alias("own_id"), F.col("key").alias("own_key"))
-    groups = own.join(linked, "node", "left").select("set_a", "set_b", F.coalesce("component_id", "own_id").alias("component_id"), F.coalesce("component_key", "own_key").alias("component_key"))
+    groups = own.join(linked, "node", "left").select("set_a", "set_b",
+        F.coalesce("component_id", "own_id").alias("component_id"),
+        F.coalesce("component_key", "own_key").alias("component_key"))
     found = filled.select("doc_id", "key", "n_shingles", "set_a", "set_b").join(stored(groups, "groups"), ["set_a", "set_b"]).drop("set_a", "set_b")
-    empty = sketches.filter("n_shingles = 0").select("doc_id", "key", "n_shingles", F.col("doc_id").alias("component_id"), F.col("key").alias("component_key"))
+    empty = sketches.filter("n_shingles = 0").select("doc_id", "key", "n_shingles", F.col("doc_id").alias("component_id"),
+        F.col("key").alias("component_key"))
     return found.unionByName(empty)
 
 

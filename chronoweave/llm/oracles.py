@@ -8,16 +8,20 @@ _BLANKS = r"[\x20\x09-\x0D]+"
 
 SUBSTRING_DEDUP = rf"""
 WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '{_BLANKS}'), lambda x: x <> '') AS ws FROM documents),
- g AS (SELECT doc_id, s, sha256(array_to_string(ws[s:s + 34], ' ')) AS h FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 34)) AS s FROM w WHERE len(ws) >= 35)),
+ g AS (SELECT doc_id, s, sha256(array_to_string(ws[s:s + 34], ' ')) AS h
+    FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 34)) AS s FROM w WHERE len(ws) >= 35)),
  r AS (SELECT h FROM g GROUP BY h HAVING count(*) > 1),
  c AS (SELECT DISTINCT doc_id, s + k AS i FROM (SELECT doc_id, s, unnest(generate_series(0, 34)) AS k FROM g JOIN r USING (h))),
  k AS (SELECT doc_id, i, ws[i] AS word FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws))) AS i FROM w)),
  l AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept, count(*) AS n FROM k ANTI JOIN c USING (doc_id, i) GROUP BY doc_id)
-SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN l USING (doc_id)"""
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) -
+    coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN l USING (doc_id)"""
 
 NEAR_DEDUP = rf"""
-WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_BLANKS}'), lambda x: x <> '') AS ws FROM documents),
- s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 2], ' ') AS g FROM (SELECT doc_id, ws, unnest(generate_series(1, greatest(len(ws) - 2, CASE WHEN len(ws) > 0 THEN 1 ELSE 0 END))) AS i FROM w)),
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_BLANKS}'), lambda x: x <> '') AS ws
+    FROM documents),
+ s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 2], ' ') AS g
+    FROM (SELECT doc_id, ws, unnest(generate_series(1, greatest(len(ws) - 2, CASE WHEN len(ws) > 0 THEN 1 ELSE 0 END))) AS i FROM w)),
  n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
  p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
  e AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * common >= 85 * (a.n + b.n - common)),
@@ -43,11 +47,16 @@ _PATTERN_ROWS = ", ".join(f"({_quoted(p.name)}, {_quoted(p.regex)})" for p in PA
 _RULE_ROWS = ", ".join(f"({_quoted(r.verdict)}, {_quoted(r.host)}, {_quoted(r.path)})" for r in RULES)
 
 URL_FILTERS = f"""
-WITH h AS (SELECT page_id, url, coalesce(CASE WHEN strpos(url, '://') > 0 THEN translate(regexp_extract(substr(url, strpos(url, '://') + 3), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') END, '') AS host,
-  coalesce(CASE WHEN strpos(url, '://') > 0 THEN regexp_extract(substr(url, strpos(url, '://') + 3), '^[^/?#]*([^?#]*)', 1) END, '') AS path FROM pages),
+WITH h AS (SELECT page_id, url, coalesce(CASE WHEN strpos(url, '://') > 0
+    THEN translate(regexp_extract(substr(url, strpos(url, '://') + 3), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') END, '') AS host,
+  coalesce(CASE WHEN strpos(url, '://') > 0
+    THEN regexp_extract(substr(url, strpos(url, '://') + 3), '^[^/?#]*([^?#]*)', 1) END, '') AS path FROM pages),
  f AS (SELECT * FROM (VALUES {_PATTERN_ROWS}) t(name, regex)), r AS (SELECT * FROM (VALUES {_RULE_ROWS}) t(verdict, host, path)),
  m AS (SELECT h.*, (SELECT min(name) FROM f WHERE regexp_matches(lower(h.url), regex)) AS pattern,
-  (SELECT arg_max({{'rule': r.host || r.path, 'verdict': r.verdict}}, length(r.host || r.path) * 2 + CAST(r.verdict = 'block' AS INTEGER)) FROM r WHERE (h.host = r.host OR ends_with(h.host, '.' || r.host)) AND starts_with(h.path, r.path)) AS fit FROM h)
-SELECT page_id, host, path, fit.rule AS rule, coalesce(fit.verdict, CASE WHEN pattern IS NULL THEN 'allow' ELSE 'block' END) AS verdict, pattern FROM m"""
+  (SELECT arg_max({{'rule': r.host || r.path, 'verdict': r.verdict}}, length(r.host || r.path) * 2 +
+    CAST(r.verdict = 'block' AS INTEGER)) FROM r WHERE (h.host = r.host OR ends_with(h.host, '.' || r.host))
+    AND starts_with(h.path, r.path)) AS fit FROM h)
+SELECT page_id, host, path, fit.rule AS rule, coalesce(fit.verdict, CASE WHEN pattern IS NULL THEN 'allow'
+    ELSE 'block' END) AS verdict, pattern FROM m"""
 
 ORACLE_SQL = {"op1_substring_dedup": SUBSTRING_DEDUP, "op6_url_filters": URL_FILTERS, "op9_near_dedup": NEAR_DEDUP, "op10_top_k": TOP_K}

@@ -51,7 +51,9 @@ def _pieces(tokenizer: str, end_id: int, capacity: int):
                         rank.append(seen[size])
                         seen[size] += 1
                 ids = batch.column(0).slice(first, end - first).take(pa.array(row, pa.int64()))
-                columns = [ids, pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int32()), pa.array(crc, pa.int64()), pa.array(np.full(len(row), part, dtype=np.int32)), pa.array(np.array(rank, dtype=np.int64))]
+                columns = [ids, pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int32()),
+                    pa.array(crc, pa.int64()), pa.array(np.full(len(row), part, dtype=np.int32)),
+                    pa.array(np.array(rank, dtype=np.int64))]
                 yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in PIECE_SCHEMA.split(", ")])
 
     return cut
@@ -151,16 +153,19 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPAC
     """
     spark = docs.sparkSession
     small_batches(spark)
-    pieces = stored(docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(lean(_pieces(tokenizer, end_id, capacity), resident=True), PIECE_SCHEMA), "pieces")
+    pieces = stored(docs.select(F.col("doc_id").cast("bigint"), "text")
+        .mapInArrow(lean(_pieces(tokenizer, end_id, capacity), resident=True), PIECE_SCHEMA), "pieces")
     by_part = pieces.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
     counts = {r["length"]: r["n"] for r in by_part.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `capacity` rows
-    plan = spark.createDataFrame(plan_sequences(counts, capacity), "length int, rank_from bigint, rank_to bigint, sequence_from bigint, offset bigint")
+    plan = spark.createDataFrame(plan_sequences(counts, capacity),
+        "length int, rank_from bigint, rank_to bigint, sequence_from bigint, offset bigint")
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = by_part.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     ranked = pieces.join(bases, ["length", "part"]).withColumn("rank", F.col("base") + F.col("part_rank"))
     return (
         ranked.join(F.broadcast(plan), (ranked["length"] == plan["length"]) & F.col("rank").between(F.col("rank_from"), F.col("rank_to") - 1))
-        .select("doc_id", "piece", "start", ranked["length"].cast("bigint").alias("length"), "ids_crc32", (F.col("sequence_from") + F.col("rank") - F.col("rank_from")).alias("sequence_id"), "offset")
+        .select("doc_id", "piece", "start", ranked["length"].cast("bigint").alias("length"), "ids_crc32",
+            (F.col("sequence_from") + F.col("rank") - F.col("rank_from")).alias("sequence_id"), "offset")
     )
 
 

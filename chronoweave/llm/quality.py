@@ -88,7 +88,8 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, row in zip(batch.column(0).to_pylist(), rows, strict=True):
             total[bucket] = total[bucket] + row if bucket in total else row.copy()
     used = sorted(total)
-    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(used) + 1, dtype=np.int32) * WIDTH), pa.array(np.concatenate([total[b] for b in used]) if used else np.zeros(0, np.int64)))
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(used) + 1, dtype=np.int32) * WIDTH),
+        pa.array(np.concatenate([total[b] for b in used]) if used else np.zeros(0, np.int64)))
     yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), lists], names=["bucket", "sums"])
 
 
@@ -145,7 +146,8 @@ class TwoLayers:
         z = (x - self.centre) / self.scale
         held = np.arange(len(z)) % 5 == 4
         fit, rest = np.flatnonzero(~held), np.flatnonzero(held)
-        self.layers = [rng.normal(size=(z.shape[1], HIDDEN)) * z.shape[1] ** -0.5, np.zeros(HIDDEN), rng.normal(size=HIDDEN) * HIDDEN**-0.5, np.zeros(1)]
+        self.layers = [rng.normal(size=(z.shape[1], HIDDEN)) * z.shape[1] ** -0.5, np.zeros(HIDDEN),
+            rng.normal(size=HIDDEN) * HIDDEN**-0.5, np.zeros(1)]
         first, second = [np.zeros_like(p) for p in self.layers], [np.zeros_like(p) for p in self.layers]
         step = 0
         for epoch in range(epochs):
@@ -156,7 +158,8 @@ class TwoLayers:
                 odds = 1 / (1 + np.exp(-np.clip(hidden @ self.layers[2] + self.layers[3], -30, 30)))
                 error = (odds - y[rows]) / len(rows)
                 back = np.outer(error, self.layers[2]) * (hidden > 0)
-                gradients = [z[rows].T @ back + 1e-4 * self.layers[0], back.sum(axis=0), hidden.T @ error + 1e-4 * self.layers[2], np.array([error.sum()])]
+                gradients = [z[rows].T @ back + 1e-4 * self.layers[0], back.sum(axis=0), hidden.T @ error
+                    + 1e-4 * self.layers[2], np.array([error.sum()])]
                 step += 1
                 for p, g, m, v in zip(self.layers, gradients, first, second, strict=True):
                     m += 0.1 * (g - m)
@@ -183,7 +186,8 @@ def _feature_rows(vectors: np.ndarray):
             for begin, end, data, offsets in text_blocks(batch.column(2), 4 << 20):
                 x = features(data, offsets, vectors)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, end - begin), batch.column(1).slice(begin, end - begin), lists], names=["doc_id", "label", "x"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, end - begin),
+                        batch.column(1).slice(begin, end - begin), lists], names=["doc_id", "label", "x"])
 
     return pool
 
@@ -192,7 +196,8 @@ def fit(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, label: str = "q
     """Train on at most ``most`` labelled documents; of each only the features reach the driver, of several texts of an id the least."""
     chosen = known_labels(labels, label).orderBy(F.xxhash64("doc_id", F.lit(label)), "doc_id").limit(most)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(F.col("doc_id").cast("bigint"), "label", "text")
-    sample = rows.mapInArrow(lean(_feature_rows(vectors)), "doc_id bigint, label int, x array<float>").groupBy("doc_id").agg(F.first("label").alias("label"), F.min("x").alias("x")).toArrow().sort_by("doc_id")
+    sample = rows.mapInArrow(lean(_feature_rows(vectors)), "doc_id bigint, label int, x array<float>").groupBy(
+        "doc_id").agg(F.first("label").alias("label"), F.min("x").alias("x")).toArrow().sort_by("doc_id")
     y = sample.column("label").to_numpy().astype(np.float64)
     if len(set(y.tolist())) < 2:
         return None
@@ -203,9 +208,11 @@ def fit(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, label: str = "q
 def _scorer(vectors: np.ndarray, model: TwoLayers | None):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [model.scores(features(data, offsets, vectors)) if model else np.full(end - begin, 0.5) for begin, end, data, offsets in text_blocks(batch.column(0), 4 << 20)]
+            parts = [model.scores(features(data, offsets, vectors)) if model else np.full(end - begin, 0.5)
+                for begin, end, data, offsets in text_blocks(batch.column(0), 4 << 20)]
             columns = [batch.column(k) for k in range(1, batch.num_columns)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.concatenate(parts) if parts else np.zeros(0))], names=[*batch.schema.names[1:], "score"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.concatenate(parts) if parts else np.zeros(0))],
+                names=[*batch.schema.names[1:], "score"])
 
     return score
 

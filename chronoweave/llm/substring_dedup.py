@@ -116,7 +116,8 @@ def _seeds(window: int, gram: int):
                 one, columns = _grouped(anchor, context, batch.column(0).slice(begin, end - begin).take(pa.array(owner)), at)
                 block = pa.array(np.full(len(one), _block_number(blocks, 0)))
                 blocks += 1
-                yield pa.RecordBatch.from_arrays([_long(anchor[one]), _long(context[one]), *columns, pa.array(n[one].astype(np.int32)), block], names=["h", "c", "key", "first", "more", "n", "block"])
+                yield pa.RecordBatch.from_arrays([_long(anchor[one]), _long(context[one]), *columns,
+                        pa.array(n[one].astype(np.int32)), block], names=["h", "c", "key", "first", "more", "n", "block"])
 
     return seed
 
@@ -141,7 +142,8 @@ def _windows(window: int):
                 one, columns = _grouped(own, anchor, batch.column(0).slice(begin, end - begin).take(pa.array(owner)), start)
                 block = pa.array(np.full(len(one), _block_number(blocks, 1)))
                 blocks += 1
-                yield pa.RecordBatch.from_arrays([pa.array(anchor[one]), _long(own[one]), *columns, block], names=["h", "w", "key", "first", "more", "block"])
+                yield pa.RecordBatch.from_arrays([pa.array(anchor[one]), _long(own[one]), *columns, block],
+                    names=["h", "w", "key", "first", "more", "block"])
 
     return expand
 
@@ -168,8 +170,11 @@ def _merge_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             span_first = first[begins]
             span_last = reach[np.append(begins[1:], len(key)) - 1] - shift[begins]
             documents = np.flatnonzero(fresh[begins])
-            spans = pa.StructArray.from_arrays([pa.array(span_first.astype(np.int32)), pa.array((span_last - span_first).astype(np.int32))], names=["first", "n"])
-            yield pa.RecordBatch.from_arrays([pa.array(key[begins][documents]), pa.ListArray.from_arrays(pa.array(np.append(documents, len(begins)).astype(np.int32)), spans)], names=["key", "runs"])
+            spans = pa.StructArray.from_arrays([pa.array(span_first.astype(np.int32)),
+                    pa.array((span_last - span_first).astype(np.int32))], names=["first", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(key[begins][documents]),
+                    pa.ListArray.from_arrays(pa.array(np.append(documents, len(begins)).astype(np.int32)), spans)],
+                names=["key", "runs"])
 
 
 def row_key(docs: DataFrame) -> Column:
@@ -186,7 +191,8 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Da
     ``docs`` has ``key, text``. A document has one row for each block that found something in it.
     """
     times = F.sum(F.lit(1) + F.coalesce(F.array_size("more"), F.lit(0))).alias("times")
-    anchors = stored(docs.mapInArrow(lean(_seeds(window, gram)), f"h bigint, c bigint, key bigint, first int, {_MORE}, n int, block bigint"), "anchors")
+    anchors = stored(docs.mapInArrow(lean(_seeds(window, gram)),
+            f"h bigint, c bigint, key bigint, first int, {_MORE}, n int, block bigint"), "anchors")
     # Hashes that occur twice are stored before the join: Spark splits large keys only between two plain shuffles.
     again = stored(anchors.groupBy("h").agg(times).filter("times > 1").select("h"), "again")
     seeds = stored(anchors.join(again, "h").select(*anchors.columns), "seeds")
@@ -197,7 +203,8 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Da
     whole = seeds.join(contexts.filter("times > 1").select("h", "c"), ["h", "c"]).select("block", place)
     several = stored(contexts.groupBy("h").agg(F.count(F.lit(1)).alias("different")).filter("different > 1").select("h"), "several")
     ends = contexts.join(several, "h").groupBy("one.key").agg(F.collect_list(F.struct("one.first", "one.n", "h")).alias("runs"))
-    windows = docs.join(ends, "key").select("key", "text", "runs").mapInArrow(lean(_windows(window)), f"h bigint, w bigint, key bigint, first int, {_MORE}, block bigint")
+    windows = docs.join(ends, "key").select("key", "text", "runs").mapInArrow(lean(_windows(window)),
+        f"h bigint, w bigint, key bigint, first int, {_MORE}, block bigint")
     windows = stored(windows, "windows")
     twice = stored(windows.groupBy("h", "w").agg(times).filter("times > 1").select("h", "w"), "twice")
     parts = windows.join(twice, ["h", "w"]).withColumn("n", F.lit(1)).select("block", place)

@@ -41,7 +41,8 @@ def _encoder(tokenizer: str, end_id: int):
                 tokens = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(ids).astype(np.int32)))
                 n = end - first
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, n), pa.array(np.full(n, part, dtype=np.int32)), pa.array(before + ends - lengths), pa.array(lengths), tokens],
+                    [batch.column(0).slice(first, n), pa.array(np.full(n, part, dtype=np.int32)),
+                        pa.array(before + ends - lengths), pa.array(lengths), tokens],
                     names=["doc_id", "part", "part_start", "n_tokens", "tokens"],
                 )
                 before += int(ends[-1])
@@ -87,7 +88,8 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values = tokens.values.to_numpy(zero_copy_only=False).astype("<u4")
         bounds = tokens.offsets.to_numpy()
         crc = np.array([zlib.crc32(values[a:b].tobytes()) for a, b in zip(bounds[:-1], bounds[1:], strict=True)], dtype=np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.diff(bounds).astype(np.int64)), pa.array(crc)], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.diff(bounds).astype(np.int64)),
+                pa.array(crc)], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,4 +98,5 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = scratch(spark, "token-files")
     write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
-    return read_token_files(spark, path).select("doc_id", "start", "tokens").mapInArrow(lean(_digest, resident=True), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return read_token_files(spark, path).select("doc_id", "start", "tokens").mapInArrow(lean(_digest, resident=True),
+        "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")

@@ -42,7 +42,8 @@ _NEEDED = "query_row bigint, query_id bigint, q array<bigint>, sure bigint, cell
 def integer_vectors(rows: DataFrame, scale: int = SCALE) -> DataFrame:
     """``vec_id, v array<bigint>`` of the rows that take part."""
     values = F.col("embedding").cast("array<double>")
-    good = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.forall(values, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    good = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.forall(values, lambda x: x.isNotNull()
+        & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return rows.filter(good).select(F.col("vec_id").cast("bigint"), F.transform(values, lambda x: F.floor(F.lit(float(scale)) * x)).alias("v"))
 
 
@@ -151,7 +152,8 @@ def top_k(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
     pivots = np.unique(_matrix(chosen.column(0), width), axis=0)
     grouped = stored(vectors.mapInArrow(_assign(pivots), _GROUPED), "grouped")
-    summary = grouped.groupBy("cell").agg(F.count(F.lit(1)).alias("rows"), F.max("radius").alias("radius")).orderBy("cell").collect()  # a row for each pivot
+    summary = grouped.groupBy("cell").agg(F.count(F.lit(1)).alias("rows"),
+        F.max("radius").alias("radius")).orderBy("cell").collect()  # a row for each pivot
     cells, radii = np.array([r["cell"] for r in summary]), np.array([r["radius"] for r in summary])
     blocks = spark.createDataFrame([(r["cell"], -(-r["rows"] // BLOCK)) for r in summary], "cell int, blocks int")
 

@@ -51,7 +51,8 @@ def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         owners.append(owner[:n][fits])
     whole = np.zeros(len(words), dtype=np.uint64)
     if len(words):
-        whole = np.add.reduceat(mix(points + _PRIME * (np.arange(len(points)) - np.repeat(ends - lengths, lengths)).astype(np.uint64)), ends - lengths)
+        whole = np.add.reduceat(mix(points + _PRIME * (np.arange(len(points)) - np.repeat(ends - lengths, lengths))
+                .astype(np.uint64)), ends - lengths)
     found.append((mix(whole) % np.uint64(BUCKETS)).astype(np.int32))
     owners.append(np.arange(len(words)))
     owners = np.concatenate(owners)
@@ -83,7 +84,8 @@ def segment_bounds(first: np.ndarray, segment: int) -> tuple[np.ndarray, np.ndar
     pieces = -(-counts // segment)
     before = np.cumsum(pieces) - pieces
     owner = np.repeat(np.arange(len(counts)), pieces)
-    return first[:-1][owner] + segment * (np.arange(len(owner)) - before[owner]), np.append(before, before[-1] + pieces[-1]) if len(counts) else np.zeros(1, np.int64)
+    return first[:-1][owner] + segment * (np.arange(len(owner)) - before[owner]), np.append(before, before[-1]
+        + pieces[-1]) if len(counts) else np.zeros(1, np.int64)
 
 
 def segment_means(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -160,10 +162,12 @@ class SubwordSoftmax:
             cuts = np.flatnonzero(np.diff(np.cumsum(bag_lengths) // TAKEN)) + 1
             for some_bags in np.split(np.arange(len(bag_of)), cuts):
                 of, weight = bag_of[some_bags], part[some_bags]
-                for gradient, more in zip(gradients, self._gradients(index, begins, counts, grams, bag_starts[some_bags], bag_lengths[some_bags], labels[of], share[of] * weight), strict=True):
+                for gradient, more in zip(gradients, self._gradients(index, begins, counts, grams, bag_starts[some_bags],
+                            bag_lengths[some_bags], labels[of], share[of] * weight), strict=True):
                     gradient += more
             left = rate * (1 - epoch / (warm + epochs))
-            for parameter, gradient, momentum, step in zip((self.vectors, self.weights, self.bias), gradients, momenta, (left, 0.1 * left, 0.1 * left), strict=True):
+            for parameter, gradient, momentum, step in zip((self.vectors, self.weights, self.bias), gradients, momenta,
+                    (left, 0.1 * left, 0.1 * left), strict=True):
                 momentum *= 0.8
                 momentum += gradient
                 parameter -= (step * momentum / (np.abs(momentum).max() + 1e-12)).astype(np.float32)
@@ -171,7 +175,8 @@ class SubwordSoftmax:
         level = segment_means((np.add.reduceat(of_buckets[grams], begins) / counts)[index], starts)
         self._settle(worst(level, first_segment, 0.0) + float(self.bias[1] - self.bias[0]), labels)
 
-    def _gradients(self, index: np.ndarray, begins: np.ndarray, counts: np.ndarray, grams: np.ndarray, starts: np.ndarray, lengths: np.ndarray, labels: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, ...]:
+    def _gradients(self, index: np.ndarray, begins: np.ndarray, counts: np.ndarray, grams: np.ndarray, starts: np.ndarray,
+            lengths: np.ndarray, labels: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, ...]:
         """Gradients of vectors, weights and bias, summed over some bags of words ``index[start : start + length]``."""
         taken = ragged_take(index, starts, lengths)
         used, place = np.unique(taken, return_inverse=True)
@@ -223,8 +228,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, each: int) -
     """
     known = known_labels(labels, label)
     chosen = [known.filter(F.col("label") == k).orderBy(F.xxhash64("doc_id", F.lit(label)), "doc_id").limit(each) for k in (0, 1)]
-    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text")).join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")
-    return rows.groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.first("label").alias("label"), F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("binary"), F.lit(b""))
+        .alias("text")).join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")
+    return rows.groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.first("label").alias("label"),
+        F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", each: int = SAMPLE) -> SubwordSoftmax | None:
@@ -244,9 +251,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", each: int = SA
 def _scorer(levels: np.ndarray | None, bias: float):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [score_block(data, offsets, levels, bias) if levels is not None else np.zeros(end - begin) for begin, end, data, offsets in text_blocks(batch.column(0))]
+            parts = [score_block(data, offsets, levels, bias) if levels is not None else np.zeros(end - begin)
+                for begin, end, data, offsets in text_blocks(batch.column(0))]
             columns = [batch.column(k) for k in range(1, batch.num_columns)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.concatenate(parts) if parts else np.zeros(0))], names=[*batch.schema.names[1:], "score"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.concatenate(parts) if parts else np.zeros(0))],
+                names=[*batch.schema.names[1:], "score"])
 
     return score
 
@@ -263,7 +272,8 @@ def reject(docs: DataFrame, labels: DataFrame, most: float = 0.5) -> DataFrame:
     if model is None:
         return docs
     levels, bias = model.table()
-    return with_score(docs, lambda data, offsets: score_block(data, offsets, levels, bias), "__cw_score").filter(F.col("__cw_score") < most).drop("__cw_score")
+    return with_score(docs, lambda data, offsets: score_block(data, offsets, levels, bias),
+        "__cw_score").filter(F.col("__cw_score") < most).drop("__cw_score")
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

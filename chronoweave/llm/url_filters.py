@@ -94,7 +94,8 @@ def rule_index(tokens: DataFrame, rules: list[HostRule], patterns: list[Pattern]
         raise ValueError("a rule without tokens can't be indexed")
     literals = tokens.sparkSession.createDataFrame(rows, _RULE)
     wanted = literals.select("token").distinct()
-    counts = tokens.join(F.broadcast(wanted) if len(rows) <= BROADCAST_RULES else wanted, "token").groupBy("token").agg(F.count(F.lit(1)).alias("urls"))
+    counts = tokens.join(F.broadcast(wanted) if len(rows) <= BROADCAST_RULES else wanted,
+        "token").groupBy("token").agg(F.count(F.lit(1)).alias("urls"))
     ranked = literals.join(counts, "token", "left").withColumn("urls", F.coalesce("urls", F.lit(0)))
     rarest = F.min(F.struct("urls", "token")).getField("token").alias("token")
     return ranked.groupBy([c for c in literals.columns if c != "token"]).agg(rarest).select(*literals.columns)
@@ -117,12 +118,15 @@ def matched_urls(pages: DataFrame, rules: list[HostRule], patterns: list[Pattern
 def judge(pages: DataFrame, rules: list[HostRule], patterns: list[Pattern] = PATTERNS) -> DataFrame:
     """``page_id, host, path, rule, verdict, pattern`` of every page."""
     matched = stored(matched_urls(pages, rules, patterns), "matched-urls")
-    parted = pages.select("page_id", "url", F.coalesce(host_of(F.col("url")), F.lit("")).alias("host"), F.coalesce(path_of(F.col("url")), F.lit("")).alias("path"))
+    parted = pages.select("page_id", "url", F.coalesce(host_of(F.col("url")), F.lit("")).alias("host"),
+        F.coalesce(path_of(F.col("url")), F.lit("")).alias("path"))
     by_pattern = F.when(F.col("pattern").isNotNull(), "block").otherwise("allow")
-    return parted.join(matched, "url", "left").select("page_id", "host", "path", "rule", F.coalesce("verdict", by_pattern).alias("verdict"), "pattern")
+    return parted.join(matched, "url", "left").select("page_id", "host", "path", "rule",
+        F.coalesce("verdict", by_pattern).alias("verdict"), "pattern")
 
 
-RULES = [HostRule("allow", "org", "/"), HostRule("block", "example.org", "/es/"), HostRule("block", "example.org", "/en/1"), HostRule("allow", "com", "/fr/"), HostRule("block", "com", "/de/")]
+RULES = [HostRule("allow", "org", "/"), HostRule("block", "example.org", "/es/"),
+    HostRule("block", "example.org", "/en/1"), HostRule("allow", "com", "/fr/"), HostRule("block", "com", "/de/")]
 
 
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,9 +33,12 @@ def prose(n, seed):
 
 PASSAGE = prose(60, "p")
 TEXTS = [
-    None, "", " \t\n", "one", "One two", "été à la plage, déjà vu! 日本 語 ½ x²  it's I'LL\n\n\tend ", "<|endoftext|> is  <|endoftext|>x<|startoftext|> a token", "a" * 3000, "ab" * 40 + " \x85 x  y",
-    *[prose(120, k) for k in range(6)], prose(120, 0), prose(120, 0), prose(120, 1).upper(), prose(50, 20) + " " + PASSAGE + " " + prose(40, 21), prose(33, 22) + "\n" + PASSAGE + "\tz " + prose(9, 23),
-    prose(120, 2).replace(prose(120, 2).split()[7], "zz", 1), prose(120, 2) + " tail", " ".join(["re pe at"] * 60), prose(4000, 30), "x " * 34 + "x", "y " * 35 + "y",
+    None, "", " \t\n", "one", "One two", "été à la plage, déjà vu! 日本 語 ½ x²  it's I'LL\n\n\tend ",
+    "<|endoftext|> is  <|endoftext|>x<|startoftext|> a token", "a" * 3000, "ab" * 40 + " \x85 x  y",
+    *[prose(120, k) for k in range(6)], prose(120, 0), prose(120, 0), prose(120, 1).upper(), prose(50, 20) + " " + PASSAGE
+    + " " + prose(40, 21), prose(33, 22) + "\n" + PASSAGE + "\tz " + prose(9, 23),
+    prose(120, 2).replace(prose(120, 2).split()[7], "zz", 1), prose(120, 2) + " tail", " ".join(["re pe at"] * 60),
+    prose(4000, 30), "x " * 34 + "x", "y " * 35 + "y",
 ]
 ROWS = [(i, t, "en", "s", None if t is None else len(t)) for i, t in enumerate(TEXTS)]
 
@@ -69,7 +72,8 @@ def removed(rows, window=35):
 
 
 def test_substring_dedup(docs, empty):
-    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in substring_dedup.remove_repeats(docs.select("doc_id", "text"), keep_text=False).collect()}
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"])
+        for r in substring_dedup.remove_repeats(docs.select("doc_id", "text"), keep_text=False).collect()}
     assert got == dict(enumerate(removed(TEXTS)))
     assert substring_dedup.remove_repeats(empty).count() == 0
 
@@ -99,7 +103,8 @@ def test_fold_of_higher_order_functions_equals_tiktoken(spark):
 
     path = P.path("byte_bpe_multi_50k.tiktoken")
     peer = tiktoken.Encoding("peer", pat_str=P.PATTERN, mergeable_ranks=byte_bpe.read_ranks(path), special_tokens={})
-    words = sorted({w.encode() for t in TEXTS[3:12] if t for w in re.findall(r" ?[^ ]+", t)[:60] if len(w.encode()) < 40 and len(peer.encode_ordinary(w)) == len(peer._encode_single_piece(w.encode()))})
+    words = sorted({w.encode() for t in TEXTS[3:12] if t for w in re.findall(r" ?[^ ]+", t)[:60] if len(w.encode()) < 40
+            and len(peer.encode_ordinary(w)) == len(peer._encode_single_piece(w.encode()))})
     got = byte_bpe.fold_words(spark.createDataFrame([(bytearray(w),) for w in words], "word binary"), path).collect()
     assert {bytes(r["word"]): r["tokens"] for r in got} == {w: peer._encode_single_piece(w) for w in words}
 
@@ -260,7 +265,8 @@ def test_keep_one_of_each_group(spark, docs, empty):
 
 def test_keep_one_of_equal_ids_with_different_texts(spark):
     a, b, c, d = (prose(80, f"ids{k}") for k in range(4))
-    rows = [(7, a), (7, b), (7, b), (7, c + " tail"), (7, None), (7, ""), (3, a + " tail"), (9, b), (2, d), (-4, c), (None, d), (None, "alone it stands"), (8, "own"), (8, "other")]
+    rows = [(7, a), (7, b), (7, b), (7, c + " tail"), (7, None), (7, ""), (3, a + " tail"), (9, b), (2, d), (-4, c),
+        (None, d), (None, "alone it stands"), (8, "own"), (8, "other")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
     want = [(7, b), (7, None), (7, ""), (3, a + " tail"), (2, d), (-4, c), (None, "alone it stands"), (8, "own"), (8, "other")]
     assert sorted(map(repr, map(tuple, near_dedup.keep_one(df).collect()))) == sorted(map(repr, want))
@@ -320,7 +326,8 @@ def test_fingerprints(spark, docs, empty):
     for n in (300, 30):
         words = prose(n, 90).split()
         half = n // 2
-        moved = [" ".join(words), " ".join(words[:half] + ["new"] + words[half:]), " ".join(words[half:] + words[:half]), " ".join(reversed(words)), prose(n, 91)]
+        moved = [" ".join(words), " ".join(words[:half] + ["new"] + words[half:]), " ".join(words[half:] + words[:half]),
+            " ".join(reversed(words)), prose(n, 91)]
         df = fingerprints.with_fingerprint(spark.createDataFrame(list(enumerate(moved)), "k int, text string"), "text", "p")
         p = {r["k"]: r["p"] for r in df.collect()}
         assert like(p, 0, 1) > (0.8 if n == 300 else 0.5) and like(p, 0, 1) > like(p, 0, 2) > like(p, 0, 3) and like(p, 0, 4) == 0
@@ -369,10 +376,13 @@ def test_next_document_of_an_id_that_fills_the_table(spark, monkeypatch):
 
 
 def test_url_filters(spark):
-    urls = ["https://A.Example.ORG/es/1", "http://example.org/en/12?x=1", "ftp://x.com/fr/#a", "http://com/de/", None, "no url", "http://ads.site.net/a", "http://m.net/casino/2?page=2&ref=x", "http://m.net/b?utm_source=feed", "http://notorg/", "http://x.net?utm_source=feedx", "://h", "http://x.net/casinos/1"]
+    urls = ["https://A.Example.ORG/es/1", "http://example.org/en/12?x=1", "ftp://x.com/fr/#a", "http://com/de/", None,
+        "no url", "http://ads.site.net/a", "http://m.net/casino/2?page=2&ref=x", "http://m.net/b?utm_source=feed",
+        "http://notorg/", "http://x.net?utm_source=feedx", "://h", "http://x.net/casinos/1"]
     df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)] + [(0, urls[0])], "page_id bigint, url string")
     got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in url_filters.judge(df, url_filters.RULES).collect()}
-    assert got[0] == ("a.example.org", "/es/1", "example.org/es/", "block") and got[1][2:] == ("example.org/en/1", "block") and got[2] == ("x.com", "/fr/", "com/fr/", "allow")
+    assert got[0] == ("a.example.org", "/es/1", "example.org/es/", "block") and got[1][2:] == ("example.org/en/1",
+        "block") and got[2] == ("x.com", "/fr/", "com/fr/", "allow")
     assert got[3][2:] == ("com/de/", "block") and got[4] == got[5] == ("", "", None, "allow")
     assert [got[k][3] for k in range(6, 13)] == ["block", "block", "block", "allow", "allow", "allow", "allow"]
     assert url_filters.judge(df, url_filters.RULES).count() == len(urls) + 1 and url_filters.judge(df.limit(0), url_filters.RULES).count() == 0
@@ -386,7 +396,9 @@ def test_host_rules_equal_brute_force(spark):
     for _ in range(40):
         host, path = ".".join(own.choices(labels, k=own.randint(1, 3))), "/" + own.choice(parts)
         rules[host, path] = url_filters.HostRule(own.choice(["allow", "block"]), host, path)
-    urls = [own.choice(["http://", "HTTPS://", "", "://"]) + ".".join(own.choices([*labels, "Com", "A"], k=own.randint(1, 4))) + own.choice(["", "?q", "#f", "/"]) + own.choice(parts) + own.choice(["", "2", "?z", "/en/1"]) for _ in range(500)]
+    urls = [own.choice(["http://", "HTTPS://", "", "://"]) + ".".join(own.choices([*labels, "Com", "A"],
+                k=own.randint(1, 4))) + own.choice(["", "?q", "#f", "/"]) + own.choice(parts)
+        + own.choice(["", "2", "?z", "/en/1"]) for _ in range(500)]
     df = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string").repartition(3)
     want = {}
     for i, url in enumerate(urls):
@@ -394,7 +406,8 @@ def test_host_rules_equal_brute_force(spark):
         host = re.match(r"[^/?#]*", rest)[0]
         path = re.match(r"[^?#]*", rest[len(host) :])[0]
         host = host.lower()
-        fit = [(len(r.host + r.path), r.verdict == "block", r.host + r.path, r.verdict) for r in rules.values() if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+        fit = [(len(r.host + r.path), r.verdict == "block", r.host + r.path, r.verdict) for r in rules.values()
+            if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
         best = max(fit, default=(0, False, None, "allow"))
         want[i] = (host, path, best[2], best[3])
     got = url_filters.judge(df, list(rules.values()), [url_filters.Pattern("never", "^$", ("never",))])
@@ -430,7 +443,8 @@ def test_top_k_of_large_components_is_exact(spark):
     rows = [(k, [float(1 << 22) + k % 7 / 64, float(1 << 22) - k / 64]) for k in range(120)]
     x = np.array([[int(np.floor(64 * c)) for c in v] for _, v in rows], dtype=object)
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
-    got = {tuple(r) for r in top_k.top_k(top_k.integer_vectors(df), F.col("vec_id") % 20 == 0).select("query_id", "rank", "vec_id", "score").collect()}
+    got = {tuple(r) for r in top_k.top_k(top_k.integer_vectors(df), F.col("vec_id") % 20 == 0).select("query_id", "rank",
+            "vec_id", "score").collect()}
     want = set()
     for q in range(0, 120, 20):
         best = sorted((-int(x[i] @ x[q]), i) for i in range(120) if i != q)[:20]
@@ -545,7 +559,8 @@ def test_quality_features_and_scores_equal_brute_force():
         assert np.allclose(x, want, atol=1e-4)
     y = np.arange(len(got)) % 2
     model = quality.TwoLayers(got.astype(float), y, epochs=3)
-    hidden = [[max(0.0, sum((x[i] - model.centre[i]) / model.scale[i] * model.layers[0][i][j] for i in range(len(x))) + model.layers[1][j]) for j in range(quality.HIDDEN)] for x in got.astype(float)]
+    hidden = [[max(0.0, sum((x[i] - model.centre[i]) / model.scale[i] * model.layers[0][i][j] for i in range(len(x)))
+                + model.layers[1][j]) for j in range(quality.HIDDEN)] for x in got.astype(float)]
     logits = np.array([sum(h * k for h, k in zip(row, model.layers[2], strict=True)) + model.layers[3][0] for row in hidden])
     assert np.allclose(model.scores(got.astype(float)), 1 / (1 + np.exp(-logits / model.temperature)))
 
@@ -569,7 +584,8 @@ def test_ties_of_labels_and_texts(spark, module):
     """Several labels of an id: the largest; several texts: the same one however rows are dealt out; rows without id are not held out."""
     rows = [(i % 40, prose(30, f"tie{i}")) for i in range(80)] + [(None, "x")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(i, 0) for i in range(40)] + [(None, 1), (3, None)], f"doc_id bigint, {'quality' if module == 'quality' else 'toxic'} int")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(i, 0) for i in range(40)] + [(None, 1), (3, None)],
+        f"doc_id bigint, {'quality' if module == 'quality' else 'toxic'} int")
     scores = []
     for parts in (1, 5):
         dealt = docs.repartition(parts)
@@ -601,7 +617,8 @@ def test_toxicity_trains_on_whole_texts(spark):
     assert scores[0] > 0.5 > scores[1]
 
 
-CLASH = ["n_words", "kept_sha256", "score", "key", "label", "first", "runs", "block", "unit", "node", "band", "h", "c", "n", "length", "print", "id", "component_id", "n_shingles", "url", "predicted"]
+CLASH = ["n_words", "kept_sha256", "score", "key", "label", "first", "runs", "block", "unit", "node", "band", "h", "c",
+    "n", "length", "print", "id", "component_id", "n_shingles", "url", "predicted"]
 
 
 @pytest.fixture(scope="module")
@@ -613,16 +630,20 @@ def crowded(docs):
 def test_clashing_names_in_every_operator(spark, crowded, docs, labelled):
     same = lambda df: all(r[c] == f"{c}:{r['doc_id']}" for r in df.collect() for c in CLASH)
     labels = labelled[1].withColumn("label", F.lit("x")).withColumn("text", F.lit("y"))
-    for kept in (near_dedup.keep_one(crowded), substring_dedup.remove_repeats(crowded, digest=False), quality.reject(crowded, labels), toxicity.reject(crowded, labels)):
+    for kept in (near_dedup.keep_one(crowded), substring_dedup.remove_repeats(crowded, digest=False),
+            quality.reject(crowded, labels), toxicity.reject(crowded, labels)):
         assert kept.columns == crowded.columns and same(kept)
     cut = substring_dedup.remove_repeats(crowded)
     assert cut.columns == [*[c for c in crowded.columns if c not in ("n_words", "kept_sha256")], "n_words", "n_removed", "kept_sha256"]
     assert {(r["doc_id"], r["n_words"]) for r in cut.collect()} == {(i, len((t or "").encode().split())) for i, t in enumerate(TEXTS)}
     path = P.path("byte_bpe_multi_50k.tiktoken")
     rows = lambda df: sorted(map(repr, df.collect()))
-    for run in (lambda d: byte_bpe.round_trip(d, path, P.PATTERN), lambda d: packing.pack(d, P.path("word_bpe_49k.json")).drop("sequence_id", "offset"), lambda d: fingerprints.with_next(d.select("doc_id", "text"), ["text"])):
+    for run in (lambda d: byte_bpe.round_trip(d, path, P.PATTERN),
+            lambda d: packing.pack(d, P.path("word_bpe_49k.json")).drop("sequence_id", "offset"),
+            lambda d: fingerprints.with_next(d.select("doc_id", "text"), ["text"])):
         assert rows(run(crowded)) == rows(run(docs))
-    pages = spark.createDataFrame([(1, "http://example.org/es/", "r", "v", "h", "t")], "page_id bigint, url string, rule string, verdict string, host string, token string")
+    pages = spark.createDataFrame([(1, "http://example.org/es/", "r", "v", "h", "t")],
+        "page_id bigint, url string, rule string, verdict string, host string, token string")
     assert [r["rule"] for r in url_filters.judge(pages, url_filters.RULES).collect()] == ["example.org/es/"]
     vectors = spark.createDataFrame([(k, [float(k)], "x", 1) for k in range(3)], "vec_id bigint, embedding array<double>, v string, cell int")
     assert top_k.top_k(top_k.integer_vectors(vectors), F.lit(True)).count() == 6
