@@ -19,7 +19,8 @@ def violations(df: DataFrame, check: str, bad: Column, key: Column, message: Col
 def known_labels(df: DataFrame, column: str, allowed: list[str], key: str) -> DataFrame:
     """B1, B2: values outside a closed list, null included."""
     inside = F.coalesce(F.col(column).isin(allowed), F.lit(False))
-    return violations(df, f"{column} is known", ~inside, F.col(key), F.concat(F.lit("unknown value "), F.coalesce(F.col(column).cast("string"), F.lit("none"))))
+    return violations(df, f"{column} is known", ~inside, F.col(key),
+        F.concat(F.lit("unknown value "), F.coalesce(F.col(column).cast("string"), F.lit("none"))))
 
 
 def same_heights(left: DataFrame, right: DataFrame, keys: list[str], check: str) -> DataFrame:

@@ -25,8 +25,10 @@ def _filled(both: DataFrame, keys: list[str], points: list[str], width: int | No
         both = both.withColumn("_bucket", F.floor(F.col("_at") / width))
         parts.append("_bucket")
     order = [F.col(c) for c in ("_at", "_tag", "_seq")]
-    up, down = (Window.partitionBy(*parts).orderBy(*o).rowsBetween(Window.unboundedPreceding, Window.currentRow) for o in (order, [c.desc() for c in order]))
-    filled = both.select("*", *[F.last(p, ignorenulls=True).over(w).alias(f"{n}{p}") for n, w in (("_prev", up), ("_next", down)) for p in points]).filter("_tag = 1")
+    up, down = (Window.partitionBy(*parts).orderBy(*o).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        for o in (order, [c.desc() for c in order]))
+    filled = both.select("*", *[F.last(p, ignorenulls=True).over(w).alias(f"{n}{p}")
+            for n, w in (("_prev", up), ("_next", down)) for p in points]).filter("_tag = 1")
     if width is None:
         return filled
     at = F.struct("_at", "_seq")
@@ -34,9 +36,11 @@ def _filled(both: DataFrame, keys: list[str], points: list[str], width: int | No
     every = both.groupBy(*parts).agg(*ends)
     line = Window.partitionBy(*keys)
     before, behind = (line.orderBy(o).rowsBetween(Window.unboundedPreceding, -1) for o in (F.col("_bucket"), F.col("_bucket").desc()))
-    carried = [F.last(f"{n}{p}", ignorenulls=True).over(w).alias(f"_carried{n}{p}") for n, w in (("_last", before), ("_first", behind)) for p in points]
+    carried = [F.last(f"{n}{p}", ignorenulls=True).over(w).alias(f"_carried{n}{p}")
+        for n, w in (("_last", before), ("_first", behind)) for p in points]
     joined = filled.join(every.select(*parts, *carried), parts)
-    return joined.withColumns({f"{n}{p}": F.coalesce(f"{n}{p}", f"_carried{o}{p}") for n, o in (("_prev", "_last"), ("_next", "_first")) for p in points})
+    return joined.withColumns({f"{n}{p}": F.coalesce(f"{n}{p}", f"_carried{o}{p}")
+            for n, o in (("_prev", "_last"), ("_next", "_first")) for p in points})
 
 
 def _united(targets: DataFrame, sources: list[tuple[DataFrame, list[str]]], keys: list[str], on: str) -> DataFrame:
@@ -47,7 +51,9 @@ def _united(targets: DataFrame, sources: list[tuple[DataFrame, list[str]]], keys
     def part(df: DataFrame, own: int | None) -> DataFrame:
         points = [(F.struct(F.col(on), *sources[k][1]) if k == own else F.lit(None).cast(kind)).alias(f"_p{k}") for k, kind in enumerate(kinds)]
         carried = F.struct(*targets.columns) if own is None else F.lit(None).cast(row)
-        return df.select(*keys, F.col(on).alias("_at"), F.lit(int(own is None)).alias("_tag"), (F.lit(0).cast("bigint") if own is None else F.col("seq").cast("bigint")).alias("_seq"), *points, carried.alias("_row"))
+        return df.select(*keys, F.col(on).alias("_at"), F.lit(int(own is None)).alias("_tag"),
+            (F.lit(0).cast("bigint") if own is None else F.col("seq").cast("bigint")).alias("_seq"), *points,
+            carried.alias("_row"))
 
     both = part(targets, None)
     for k, (source, _) in enumerate(sources):
@@ -55,7 +61,8 @@ def _united(targets: DataFrame, sources: list[tuple[DataFrame, list[str]]], keys
     return both
 
 
-def neighbours(source: DataFrame, targets: DataFrame, values: list[str], keys: list[str] | None = None, on: str = "time_us", width: int | None = None) -> DataFrame:
+def neighbours(source: DataFrame, targets: DataFrame, values: list[str], keys: list[str] | None = None,
+        on: str = "time_us", width: int | None = None) -> DataFrame:
     """Targets with ``prev`` and ``next``: structs of ``on`` and the values of the last source at or before, and the first at or after."""
     keys = keys or ["session"]
     filled = _filled(_united(targets, [(source, values)], keys, on), keys, ["_p0"], width)
@@ -63,10 +70,12 @@ def neighbours(source: DataFrame, targets: DataFrame, values: list[str], keys: l
     return filled.select("_row.*", F.col("_prev_p0").alias("prev"), F.when(exact, F.col("_prev_p0")).otherwise(F.col("_next_p0")).alias("next"))
 
 
-def hold(source: DataFrame, targets: DataFrame, values: list[str], keys: list[str] | None = None, on: str = "time_us", width: int | None = None) -> DataFrame:
+def hold(source: DataFrame, targets: DataFrame, values: list[str], keys: list[str] | None = None, on: str = "time_us",
+        width: int | None = None) -> DataFrame:
     """The last value at or before each target; before the first source, its first value."""
     near = neighbours(source, targets, values, keys, on, width)
-    return near.select(*targets.columns, *[F.coalesce(F.when(F.col("prev").isNotNull(), F.col("prev")).otherwise(F.col("next")).getField(v)).alias(v) for v in values])
+    return near.select(*targets.columns, *[F.coalesce(F.when(F.col("prev").isNotNull(), F.col("prev"))
+                .otherwise(F.col("next")).getField(v)).alias(v) for v in values])
 
 
 def line_between(prev: Column, following: Column, at: Column, value: str, on: str = "time_us") -> Column:
@@ -75,13 +84,15 @@ def line_between(prev: Column, following: Column, at: Column, value: str, on: st
     return F.when(prev.isNull(), y1).when(following.isNull() | (x0 == at), y0).otherwise(y0 + (y1 - y0) / (x1 - x0) * (at - x0))
 
 
-def linear(source: DataFrame, targets: DataFrame, values: list[str], keys: list[str] | None = None, on: str = "time_us", width: int | None = None) -> DataFrame:
+def linear(source: DataFrame, targets: DataFrame, values: list[str], keys: list[str] | None = None, on: str = "time_us",
+        width: int | None = None) -> DataFrame:
     """A2: linear between the neighbours, clamped at both ends; NaN spreads to the samples it brackets."""
     near = neighbours(source, targets, values, keys, on, width)
     return near.select(*targets.columns, *[line_between(F.col("prev"), F.col("next"), F.col(on), v, on).alias(v) for v in values])
 
 
-def align_all(targets: DataFrame, sources: list[tuple[DataFrame, list[str], str]], keys: list[str] | None = None, on: str = "time_us", width: int | None = None) -> DataFrame:
+def align_all(targets: DataFrame, sources: list[tuple[DataFrame, list[str], str]], keys: list[str] | None = None,
+        on: str = "time_us", width: int | None = None) -> DataFrame:
     """A1 and A2 for many streams at once: ``(source, values, "hold" or "linear")``, with one shuffle for all of them."""
     keys = keys or ["session"]
     filled = _filled(_united(targets, [(s, v) for s, v, _ in sources], keys, on), keys, [f"_p{k}" for k in range(len(sources))], width)
@@ -118,7 +129,8 @@ def onsets_of(source: DataFrame, state: str = "state") -> DataFrame:
 def held_at_start(source: DataFrame, clock: DataFrame, value: str, width: int | None = None) -> DataFrame:
     """The value that each frame's window begins with, as a reading before all others."""
     starts = window_starts(clock).select("session", "frame", F.col("start_us").alias("time_us"))
-    return hold(source, starts, [value], width=width).select("session", "frame", F.lit(-(1 << 62)).alias("time_us"), F.lit(0).cast("bigint").alias("seq"), value)
+    return hold(source, starts, [value], width=width).select("session", "frame", F.lit(-(1 << 62)).alias("time_us"),
+        F.lit(0).cast("bigint").alias("seq"), value)
 
 
 def strongest(value: str, of: Column | None = None) -> Column:
@@ -141,10 +153,12 @@ def signed_peaks(source: DataFrame, clock: DataFrame, value: str = "value", widt
 
 def window_maxima(source: DataFrame, clock: DataFrame, value: str = "value", width: int | None = None) -> DataFrame:
     """Largest value of the window that is not NaN; NaN if all are; an empty window takes the linear value at the frame."""
-    inside = in_windows(source, clock, [value], width).groupBy("session", "frame").agg(F.max(F.when(~F.isnan(value), F.col(value))).alias("_max"), F.count(F.lit(1)).alias("_n"))
+    inside = in_windows(source, clock, [value], width).groupBy("session",
+        "frame").agg(F.max(F.when(~F.isnan(value), F.col(value))).alias("_max"), F.count(F.lit(1)).alias("_n"))
     line = linear(source, clock, [value], width=width).withColumnRenamed(value, "_line")
     joined = line.join(inside, ["session", "frame"], "left")
-    return joined.select(*clock.columns, F.when(F.col("_n").isNull(), F.col("_line")).otherwise(F.coalesce("_max", F.lit(float("nan")))).alias("maximum"))
+    return joined.select(*clock.columns, F.when(F.col("_n").isNull(), F.col("_line"))
+        .otherwise(F.coalesce("_max", F.lit(float("nan")))).alias("maximum"))
 
 
 def nearest(source: DataFrame, targets: DataFrame, values: list[str], keys: list[str] | None = None, width: int | None = None) -> DataFrame:
@@ -152,7 +166,8 @@ def nearest(source: DataFrame, targets: DataFrame, values: list[str], keys: list
     near = neighbours(source, targets, values, keys, width=width)
     left, right = F.col("time_us") - F.col("prev.time_us"), F.col("next.time_us") - F.col("time_us")
     pick = F.when(F.col("next").isNull() | (left < right), F.col("prev")).otherwise(F.col("next"))
-    return near.withColumn("_pick", pick).select(*targets.columns, *[F.col("_pick").getField(v).alias(v) for v in values], F.abs(F.col("time_us") - F.col("_pick.time_us")).alias("distance_us"))
+    return near.withColumn("_pick", pick).select(*targets.columns, *[F.col("_pick").getField(v).alias(v) for v in values],
+        F.abs(F.col("time_us") - F.col("_pick.time_us")).alias("distance_us"))
 
 
 def matches_in_tolerance(source: DataFrame, targets: DataFrame, tolerance_us: int = 50_000, keys: list[str] | None = None) -> DataFrame:
@@ -170,7 +185,8 @@ def corridor_distance(encoder: DataFrame, corridors: DataFrame, targets: DataFra
     travelled = linear(encoder, targets, ["distance"], width=width)
     placed = hold(onsets, travelled, ["onset_distance", "start_cm", "length_cm"], width=width)
     since = F.greatest(F.col("distance") - F.col("onset_distance"), F.lit(0.0))
-    return placed.select(*targets.columns, (F.col("start_cm") + F.when(F.col("length_cm").isNull(), since).otherwise(F.least(since, F.col("length_cm")))).alias("corridor_cm"))
+    return placed.select(*targets.columns, (F.col("start_cm") + F.when(F.col("length_cm").isNull(), since)
+            .otherwise(F.least(since, F.col("length_cm")))).alias("corridor_cm"))
 
 
 def merged_zones(zones: DataFrame) -> DataFrame:
@@ -205,12 +221,14 @@ def clock_heights(clocks: DataFrame, keys: list[str]) -> DataFrame:
 
 def slowest_clock(clocks: DataFrame, ranks: dict[str, int] | None = None) -> DataFrame:
     """Of the cameras with two frames and a positive span, the one with the fewest frames per second; ties by rank, then name."""
-    spans = clocks.groupBy("session", "camera").agg(F.count(F.lit(1)).alias("frames"), F.min("time_us").alias("first_us"), F.max("time_us").alias("last_us"))
+    spans = clocks.groupBy("session", "camera").agg(F.count(F.lit(1)).alias("frames"), F.min("time_us").alias("first_us"),
+        F.max("time_us").alias("last_us"))
     fit = spans.filter("frames >= 2 and last_us > first_us").withColumn("rate", (F.col("frames") - 1) * 1e6 / (F.col("last_us") - F.col("first_us")))
     rank = F.lit(0)
     for name, place in (ranks or {}).items():
         rank = F.when(F.col("camera") == name, place).otherwise(rank)
-    return fit.groupBy("session").agg(F.min_by(F.struct("camera", "frames", "rate"), F.struct("rate", rank, "camera")).alias("_c")).select("session", "_c.*")
+    return fit.groupBy("session").agg(F.min_by(F.struct("camera", "frames", "rate"), F.struct("rate", rank, "camera"))
+        .alias("_c")).select("session", "_c.*")
 
 
 def elapsed_minutes(df: DataFrame) -> DataFrame:
@@ -225,6 +243,8 @@ def running_total(df: DataFrame, value: str, name: str, width: int | None = None
         return df.withColumn(name, F.sum(value).over(so_far()))
     cut = df.withColumn("_bucket", F.floor(F.col("time_us") / width))
     totals = cut.groupBy("session", "_bucket").agg(F.sum(value).alias("_total"))
-    earlier = F.coalesce(F.sum("_total").over(Window.partitionBy("session").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    earlier = F.coalesce(F.sum("_total").over(Window.partitionBy("session").orderBy("_bucket")
+            .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
     inside = cut.withColumn("_own", F.sum(value).over(so_far(["session", "_bucket"])))
-    return inside.join(totals.select("session", "_bucket", earlier.alias("_earlier")), ["session", "_bucket"]).withColumn(name, F.col("_own") + F.col("_earlier")).select(*df.columns, name)
+    return inside.join(totals.select("session", "_bucket", earlier.alias("_earlier")),
+        ["session", "_bucket"]).withColumn(name, F.col("_own") + F.col("_earlier")).select(*df.columns, name)

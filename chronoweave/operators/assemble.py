@@ -20,7 +20,8 @@ NO_CUE, NO_TRIAL, NO_TRIAL_TYPE = 255, 65535, "undefined"
 IDLE, REST, RUN = "idle", "rest", "run"
 FRAME = ["session", "frame"]
 #: Columns of the behavior table in their order (fixed names).
-BEHAVIOR = ["time_us", "elapsed_minutes", "brake", "screens", "torque_N_cm", "distance_cm", "speed_cm_s", "lick", "water_uL", "reward", "system_state"]
+BEHAVIOR = ["time_us", "elapsed_minutes", "brake", "screens", "torque_N_cm", "distance_cm", "speed_cm_s", "lick",
+    "water_uL", "reward", "system_state"]
 TIME = ["time_us", "elapsed_minutes"]
 
 
@@ -68,8 +69,10 @@ def present(df: DataFrame, order: list[str], absent: list[str] = ()) -> DataFram
 
 
 def behavior(
-    clock: DataFrame, states: DataFrame, lick: DataFrame, valve: DataFrame, *, labels: dict[int, str], encoder: DataFrame | None = None, screen: DataFrame | None = None, brake: DataFrame | None = None,
-    torque: DataFrame | None = None, encoder_states: tuple[str, ...] = (RUN,), minimum_torque: float = 0.0, window_us: int = 100_000, drop_time: bool = False, width: int | None = None,
+    clock: DataFrame, states: DataFrame, lick: DataFrame, valve: DataFrame, *, labels: dict[int, str],
+    encoder: DataFrame | None = None, screen: DataFrame | None = None, brake: DataFrame | None = None,
+    torque: DataFrame | None = None, encoder_states: tuple[str, ...] = (RUN,), minimum_torque: float = 0.0,
+    window_us: int = 100_000, drop_time: bool = False, width: int | None = None,
 ) -> DataFrame:
     """The behavior table, ``BEHAVIOR`` without the columns of absent streams.
 
@@ -78,7 +81,8 @@ def behavior(
     """
     ticks = clock.select(*FRAME, "time_us")
     own = lambda df, *columns: df.select("session", "time_us", F.col("seq").cast("bigint").alias("seq"), *columns)
-    sources = [(own(states, F.col("state").alias("_state")), ["_state"], "hold"), (own(valve, "volume", "tone_state"), ["volume", "tone_state"], "hold")]
+    sources = [(own(states, F.col("state").alias("_state")), ["_state"], "hold"),
+        (own(valve, "volume", "tone_state"), ["volume", "tone_state"], "hold")]
     if encoder is not None:
         fast = running_speed(own(encoder, "traveled_distance_cm"), window_us, "traveled_distance_cm")
         sources.append((fast, ["traveled_distance_cm", "speed"], "linear"))
@@ -95,10 +99,12 @@ def behavior(
     if torque is not None:
         held = held_at_start(own(torque, F.col("torque").cast("double").alias("torque")), ticks, "torque", width)
         inside = inside.unionByName(held.withColumn("_stream", F.lit("torque")))
-    found = inside.groupBy(*FRAME).agg(F.max((F.col("_stream") == "lick").cast("int")).alias("lick"), strongest("torque", F.col("_stream") == "torque").alias("torque"))
+    found = inside.groupBy(*FRAME).agg(F.max((F.col("_stream") == "lick").cast("int")).alias("lick"),
+        strongest("torque", F.col("_stream") == "torque").alias("torque"))
     joined = labelled(rows.join(found, FRAME, "left"), "_state", labels, "system_state", strict=True)
 
-    out = reward_classes(elapsed_minutes(joined)).withColumnsRenamed({"elapsed_min": "elapsed_minutes", "volume": "water_uL"}).withColumn("lick", F.coalesce("lick", F.lit(0)))
+    out = reward_classes(elapsed_minutes(joined)).withColumnsRenamed({"elapsed_min": "elapsed_minutes",
+            "volume": "water_uL"}).withColumn("lick", F.coalesce("lick", F.lit(0)))
     if brake is not None:
         out = out.withColumn("brake", brake_flag("brake_torque", minimum_torque))
     if torque is not None:
@@ -110,7 +116,8 @@ def behavior(
 
 
 def runtime(
-    clock: DataFrame, encoder: DataFrame, corridors: DataFrame, trials: DataFrame, cues: DataFrame, zones: DataFrame, runtime_states: DataFrame, *, trial_types: dict[int, str], state_labels: dict[int, str],
+    clock: DataFrame, encoder: DataFrame, corridors: DataFrame, trials: DataFrame, cues: DataFrame, zones: DataFrame,
+    runtime_states: DataFrame, *, trial_types: dict[int, str], state_labels: dict[int, str],
     reinforcing: DataFrame | None = None, aversive: DataFrame | None = None, width: int | None = None,
 ) -> DataFrame:
     """Trial number from 1 on, trial type, cue, trigger zone and runtime state of each sample, and guidance where it was recorded.
@@ -119,7 +126,8 @@ def runtime(
     sessions without encoder or corridors have no place and drop out.
     """
     travelled = encoder.select("session", "time_us", "seq", F.col("traveled_distance_cm").alias("distance"))
-    placed = corridor_distance(travelled, corridors, clock.select(*FRAME, "time_us"), width).withColumnRenamed("corridor_cm", "distance").filter("distance is not null")
+    placed = corridor_distance(travelled, corridors, clock.select(*FRAME, "time_us"),
+        width).withColumnRenamed("corridor_cm", "distance").filter("distance is not null")
     numbered = trials.select("session", "distance", "seq", "trial_type_index", F.row_number().over(in_order(order=["seq"])).alias("trial"))
     rows = align_all(placed, [(numbered, ["trial", "trial_type_index"], "hold"), (cues, ["cue"], "hold")], on="distance")
     rows = in_zones(rows, zones, "distance").withColumnRenamed("in_zone", "in_trigger_zone")
@@ -142,7 +150,8 @@ def video_table(clock: DataFrame, cameras: dict[str, DataFrame | None], pupil: D
     for name, df in there.items():
         values = {f"{name}_motion_energy": F.col("motion_energy").cast("double"), f"{name}_frame_luminance": F.col("frame_luminance").cast("double")}
         sources.append((df.select("session", "time_us", "seq", *[v.alias(k) for k, v in values.items()]), list(values), "linear"))
-        part = df.select("session", "time_us", F.col("seq").cast("bigint").alias("seq"), F.lit(name).alias("_camera"), F.col("motion_energy").cast("double").alias("_energy"))
+        part = df.select("session", "time_us", F.col("seq").cast("bigint").alias("seq"), F.lit(name).alias("_camera"),
+            F.col("motion_energy").cast("double").alias("_energy"))
         read = part if read is None else read.unionByName(part)
     if pupil is not None:
         flags = [c for c in pupil.columns if c in PUPIL_FLAGS]
@@ -156,7 +165,9 @@ def video_table(clock: DataFrame, cameras: dict[str, DataFrame | None], pupil: D
         most = [F.max(F.when((F.col("_camera") == name) & ~F.isnan("_energy"), F.col("_energy"))).alias(f"_most_{name}") for name in there]
         seen = [F.count_if(F.col("_camera") == name).alias(f"_seen_{name}") for name in there]
         rows = rows.join(in_windows(read, ticks, ["_camera", "_energy"], width).groupBy(*FRAME).agg(*most, *seen), FRAME, "left")
-        largest = {f"{name}_motion_energy": F.when(F.coalesce(F.col(f"_seen_{name}"), F.lit(0)) == 0, F.col(f"{name}_motion_energy")).otherwise(F.coalesce(f"_most_{name}", F.lit(float("nan")))) for name in there}
+        largest = {f"{name}_motion_energy": F.when(F.coalesce(F.col(f"_seen_{name}"), F.lit(0)) == 0,
+                F.col(f"{name}_motion_energy")).otherwise(F.coalesce(f"_most_{name}", F.lit(float("nan"))))
+            for name in there}
         rows = rows.withColumns(largest)
     return rows.select(*FRAME, *[c for _, values, _ in sources for c in values])
 
@@ -192,7 +203,8 @@ def camera_clock(frames: DataFrame, ranks: dict[str, int] | None = None) -> Data
     return own.select("session", F.row_number().over(in_order()).alias("frame"), "time_us")
 
 
-def experiment(frames: DataFrame, behavior_table: DataFrame, runtime_table: DataFrame, video: DataFrame, system_states: DataFrame, runtime_states: DataFrame) -> DataFrame:
+def experiment(frames: DataFrame, behavior_table: DataFrame, runtime_table: DataFrame, video: DataFrame,
+        system_states: DataFrame, runtime_states: DataFrame) -> DataFrame:
     """The imaging clock with its traces and all tables on it, masked, clipped and described. The behavior table has no times of its own."""
     return described(clipped(masked_outside_run(side_by_side(frames, behavior_table, runtime_table, video)), system_states, runtime_states))
 
@@ -214,20 +226,37 @@ PUPIL_FLAGS = ("blinking_state", "dilation_state")
 def _descriptions() -> dict[str, str]:
     px, axis = "in pixels of the face camera", {"x": "horizontal", "y": "vertical"}
     out = {
-        "session": "key of the session", "frame": "number of the sample on the reference clock", "time_us": "time of the sample in microseconds since 1970", "elapsed_minutes": "minutes since the first sample of the clock",
-        "brake": "1 while the wheel is held", "screens": "1 while the displays are lit", "torque_N_cm": "strongest torque since the sample before, with its sign; 0 while running", "distance_cm": "distance run so far",
-        "speed_cm_s": "running speed; 0 where the wheel is not read", "lick": "1 if a lick began since the sample before", "water_uL": "water given so far, in microlitres", "reward": "no without a tone, yes with a tone and water, else tone",
-        "system_state": "what the acquisition system was doing", "trial": "number of the trial from 1 on; 65535 outside runs", "trial_type": "name of the trial's type; undefined outside runs", "cue": "code of the wall cue; 255 outside runs",
-        "in_trigger_zone": "1 inside a trigger zone", "runtime_state": "stage of the experiment", "reinforcing_guided": "1 while rewards are guided", "aversive_guided": "1 while aversive stimuli are guided",
-        "pupil_diameter_px": f"mean of the two axes of the pupil's ellipse {px}", "pupil_area_px2": "area of the pupil's ellipse in square pixels", "pupil_fit_condition": "condition number of the pupil's fit, lower is better",
-        "pupil_fit_residual_px": f"distance of trusted points from the pupil's ellipse {px}", "eye_width_px": f"width of the eye's ellipse {px}", "eye_height_px": f"height of the eye's ellipse {px}", "eye_openness": "height of the eye over its width",
+        "session": "key of the session", "frame": "number of the sample on the reference clock",
+        "time_us": "time of the sample in microseconds since 1970",
+        "elapsed_minutes": "minutes since the first sample of the clock",
+        "brake": "1 while the wheel is held", "screens": "1 while the displays are lit",
+        "torque_N_cm": "strongest torque since the sample before, with its sign; 0 while running",
+        "distance_cm": "distance run so far",
+        "speed_cm_s": "running speed; 0 where the wheel is not read", "lick": "1 if a lick began since the sample before",
+        "water_uL": "water given so far, in microlitres",
+        "reward": "no without a tone, yes with a tone and water, else tone",
+        "system_state": "what the acquisition system was doing",
+        "trial": "number of the trial from 1 on; 65535 outside runs",
+        "trial_type": "name of the trial's type; undefined outside runs", "cue": "code of the wall cue; 255 outside runs",
+        "in_trigger_zone": "1 inside a trigger zone", "runtime_state": "stage of the experiment",
+        "reinforcing_guided": "1 while rewards are guided", "aversive_guided": "1 while aversive stimuli are guided",
+        "pupil_diameter_px": f"mean of the two axes of the pupil's ellipse {px}",
+        "pupil_area_px2": "area of the pupil's ellipse in square pixels",
+        "pupil_fit_condition": "condition number of the pupil's fit, lower is better",
+        "pupil_fit_residual_px": f"distance of trusted points from the pupil's ellipse {px}",
+        "eye_width_px": f"width of the eye's ellipse {px}", "eye_height_px": f"height of the eye's ellipse {px}",
+        "eye_openness": "height of the eye over its width",
         "blinking_state": "1 during a blink", "dilation_state": "1 where the pupil is wider than the eye shows",
     }
     for a, name in axis.items():
-        out |= {f"pupil_center_{a}_px": f"{name} place of the pupil {px}", f"eye_center_{a}_px": f"{name} place of the eye {px}", f"reflection_{a}_px": f"{name} place of the light's reflection {px}"}
-        out |= {f"pupil_reflection_offset_{a}_px": f"{name} way from the reflection to the pupil {px}", f"pupil_in_eye_{a}": f"{name} place of the pupil in the eye, in half axes of the eye"}
+        out |= {f"pupil_center_{a}_px": f"{name} place of the pupil {px}",
+            f"eye_center_{a}_px": f"{name} place of the eye {px}",
+            f"reflection_{a}_px": f"{name} place of the light's reflection {px}"}
+        out |= {f"pupil_reflection_offset_{a}_px": f"{name} way from the reflection to the pupil {px}",
+            f"pupil_in_eye_{a}": f"{name} place of the pupil in the eye, in half axes of the eye"}
     for camera in ("face", "body"):
-        out |= {f"{camera}_camera_motion_energy": f"largest change between pictures of the {camera} camera since the sample before", f"{camera}_camera_frame_luminance": f"mean grey level of the {camera} camera"}
+        out |= {f"{camera}_camera_motion_energy": f"largest change between pictures of the {camera} camera since the sample before",
+            f"{camera}_camera_frame_luminance": f"mean grey level of the {camera} camera"}
     for days, cells in {"single_day": "this session", "multi_day": "all sessions of the animal"}.items():
         for trace in ("cell_fluorescence", "neuropil_fluorescence", "subtracted_fluorescence", "spikes"):
             out[f"{days}_{trace}"] = f"{trace.replace('_', ' ')} of each cell found in {cells}"

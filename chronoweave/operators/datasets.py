@@ -16,11 +16,13 @@ def outstanding(sessions: DataFrame, policy: DataFrame, jobs: DataFrame) -> Data
     """
     keys = ["animal", "session"]
     have = jobs.groupBy(*keys, "pipeline").agg(F.count(F.lit(1)).alias("_all"), F.count_if(F.col("status") == SUCCEEDED).alias("_done"))
-    need = sessions.join(policy, "type").join(have, [*keys, "pipeline"], "left").withColumns({"_all": F.coalesce("_all", F.lit(0)), "_done": F.coalesce("_done", F.lit(0))})
+    need = sessions.join(policy, "type").join(have, [*keys, "pipeline"],
+        "left").withColumns({"_all": F.coalesce("_all", F.lit(0)), "_done": F.coalesce("_done", F.lit(0))})
     lacking = need.filter((F.col("_all") == 0) | (F.col("_done") < F.col("_all")))
     text = F.format_string("%s: %d of %d", "pipeline", "_done", "_all")
     listed = lacking.groupBy(*keys).agg(F.sort_array(F.collect_list(text)).alias("outstanding"))
-    refused = sessions.join(policy.select("type").distinct(), "type", "left_anti").select(*keys, F.lit(None).cast("array<string>").alias("outstanding"))
+    refused = sessions.join(policy.select("type").distinct(), "type", "left_anti").select(*keys,
+        F.lit(None).cast("array<string>").alias("outstanding"))
     return listed.unionByName(refused)
 
 
@@ -38,14 +40,16 @@ def resolved_names(requests: DataFrame, found: DataFrame) -> DataFrame:
     """D3: each requested name once, in first order, with its matches; one match is a resolution."""
     once = requests.groupBy("name").agg(F.min("position").alias("position"))
     matches = found.groupBy("name").agg(F.count(F.lit(1)).alias("matches"), F.min("path").alias("path"))
-    return once.join(matches, "name", "left").select("name", "position", F.coalesce("matches", F.lit(0)).alias("matches"), F.when(F.col("matches") == 1, F.col("path")).alias("path"))
+    return once.join(matches, "name", "left").select("name", "position", F.coalesce("matches", F.lit(0)).alias("matches"),
+        F.when(F.col("matches") == 1, F.col("path")).alias("path"))
 
 
 def membership_changes(current: DataFrame, wanted: DataFrame, frozen: DataFrame) -> DataFrame:
     """``animal, session, change``: rows to add, or refused because a frozen animal's sessions would change."""
     keys = ["animal", "session"]
     fresh = wanted.dropDuplicates(keys).join(current, keys, "left_anti")
-    return fresh.join(frozen.select("animal").distinct().withColumn("_frozen", F.lit(True)), "animal", "left").select(*keys, F.when(F.col("_frozen"), "refused").otherwise("add").alias("change"))
+    return fresh.join(frozen.select("animal").distinct().withColumn("_frozen", F.lit(True)), "animal",
+        "left").select(*keys, F.when(F.col("_frozen"), "refused").otherwise("add").alias("change"))
 
 
 def repeated(requests: DataFrame, column: str) -> DataFrame:
@@ -60,7 +64,8 @@ def latest_per_animal(sessions: DataFrame, name: str = "session") -> DataFrame:
 
 def universe(members: DataFrame) -> DataFrame:
     """Discovery for each animal, extraction and assembly for each session."""
-    discover = members.select("dataset", "animal").distinct().select("dataset", "animal", F.lit(None).cast(members.schema["session"].dataType).alias("session"), F.lit("discover").alias("job_name"))
+    discover = members.select("dataset", "animal").distinct().select("dataset", "animal",
+        F.lit(None).cast(members.schema["session"].dataType).alias("session"), F.lit("discover").alias("job_name"))
     each = members.select("dataset", "animal", "session", F.explode(F.array(F.lit("extract"), F.lit("assemble"))).alias("job_name"))
     return discover.unionByName(each)
 
@@ -100,8 +105,10 @@ def camera_jobs(cameras: DataFrame, archives: DataFrame, predictions: DataFrame)
 def merged_membership(current: DataFrame, resolved: DataFrame, rebuilt: DataFrame) -> DataFrame:
     """One row for each (animal, session) of old and new members, with whether the animal is built anew."""
     keys = ["animal", "session"]
-    fresh = resolved.join(current, keys, "left_anti").select("animal").unionByName(rebuilt.select("animal")).distinct().withColumn("_anew", F.lit(True))
-    return current.select(*keys).unionByName(resolved.select(*keys)).dropDuplicates(keys).join(fresh, "animal", "left").select(*keys, F.coalesce("_anew", F.lit(False)).alias("build"))
+    fresh = resolved.join(current, keys, "left_anti").select("animal").unionByName(
+        rebuilt.select("animal")).distinct().withColumn("_anew", F.lit(True))
+    return current.select(*keys).unionByName(resolved.select(*keys)).dropDuplicates(keys).join(fresh, "animal",
+        "left").select(*keys, F.coalesce("_anew", F.lit(False)).alias("build"))
 
 
 def first_in_order(files: DataFrame, keys: list[str]) -> DataFrame:

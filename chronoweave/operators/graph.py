@@ -26,8 +26,10 @@ def batch_document(units: DataFrame, state: DataFrame, plan: DataFrame) -> DataF
     open_jobs = tracked.filter("job_id is not null and status <> 'SUCCEEDED'").join(plan, ["unit", "job_id"], "left")
     lacking = open_jobs.groupBy("unit").agg(F.count_if(F.col("cores").isNull()).alias("unplanned"))
     reason = F.when(F.col("job_id").isNull(), "no job state").when(F.col("unplanned") > 0, "jobs without a plan")
-    missing = tracked.filter("job_id is null").select("unit", "job_id", "status", F.lit(None).cast("int").alias("cores"), F.lit(None).cast("bigint").alias("memory_mb"))
-    both = open_jobs.select("unit", "job_id", "status", F.col("cores").cast("int").alias("cores"), F.col("memory_mb").cast("bigint").alias("memory_mb")).unionByName(missing)
+    missing = tracked.filter("job_id is null").select("unit", "job_id", "status", F.lit(None).cast("int").alias("cores"),
+        F.lit(None).cast("bigint").alias("memory_mb"))
+    both = open_jobs.select("unit", "job_id", "status", F.col("cores").cast("int").alias("cores"),
+        F.col("memory_mb").cast("bigint").alias("memory_mb")).unionByName(missing)
     return both.join(lacking, "unit", "left").select("unit", "job_id", "status", "cores", "memory_mb", reason.alias("reason"))
 
 
@@ -75,7 +77,8 @@ def closure(edges: DataFrame) -> DataFrame:
     rounds, fresh = [step], step
     while True:
         known = together(rounds)
-        longer = fresh.select("job_id", F.col("after").alias("via")).join(step.select(F.col("job_id").alias("via"), "after"), "via").select("job_id", "after").distinct()
+        longer = fresh.select("job_id", F.col("after").alias("via")).join(step.select(F.col("job_id").alias("via"),
+                "after"), "via").select("job_id", "after").distinct()
         fresh = settled(longer.join(known, ["job_id", "after"], "left_anti"))
         if fresh.isEmpty():
             return known
@@ -84,7 +87,8 @@ def closure(edges: DataFrame) -> DataFrame:
 
 def downstream_weight(jobs: DataFrame, edges: DataFrame) -> DataFrame:
     """Cores of all distinct transitive dependents; 0 without any. A job on a cycle doesn't count itself."""
-    weights = closure(edges).filter("job_id <> after").join(jobs.select(F.col("job_id").alias("after"), "cores"), "after").groupBy("job_id").agg(F.sum("cores").alias("weight"))
+    weights = closure(edges).filter("job_id <> after").join(jobs.select(F.col("job_id").alias("after"), "cores"),
+        "after").groupBy("job_id").agg(F.sum("cores").alias("weight"))
     return jobs.join(weights, "job_id", "left").select("job_id", F.coalesce("weight", F.lit(0)).cast("bigint").alias("weight"))
 
 
@@ -112,7 +116,8 @@ def outcome(batch: DataFrame, edges: DataFrame) -> DataFrame:
     """
     failed = batch.filter("status = 'FAILED'").select(F.col("batch_id"), F.col("job_id").alias("needs"))
     behind = edges.join(failed, "needs").select("batch_id", "job_id").distinct().withColumn("_behind", F.lit(True))
-    kind = F.when(F.col("status") == SUCCEEDED, "succeeded").when(F.col("status") == "FAILED", "failed").when(F.col("_behind"), "blocked").otherwise("outstanding")
+    kind = F.when(F.col("status") == SUCCEEDED, "succeeded").when(F.col("status") == "FAILED",
+        "failed").when(F.col("_behind"), "blocked").otherwise("outstanding")
     rows = batch.join(behind, ["batch_id", "job_id"], "left").withColumn("kind", kind)
     bad = F.when(F.col("kind").isin("failed", "blocked"), F.col("job_id"))
     counts = [F.count_if(F.col("kind") == k).alias(k) for k in ("succeeded", "failed", "blocked", "outstanding")]
@@ -122,4 +127,5 @@ def outcome(batch: DataFrame, edges: DataFrame) -> DataFrame:
 
 def recorded_batches(documents: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Prepared and settled batches: all that have a document or an outcome."""
-    return documents.join(outcomes, "batch_id", "full").withColumn("state", F.when(F.col("complete"), "settled").when(F.col("complete").isNull(), "prepared").otherwise("running"))
+    return documents.join(outcomes, "batch_id", "full").withColumn("state",
+        F.when(F.col("complete"), "settled").when(F.col("complete").isNull(), "prepared").otherwise("running"))

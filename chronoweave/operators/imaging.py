@@ -53,9 +53,12 @@ def acquisition_sizes(frames: DataFrame) -> DataFrame:
     """
     own = frames.groupBy("session", "acquisition").agg(F.count(F.lit(1)).alias("size"))
     many = own.groupBy("session").agg((F.count(F.lit(1)) > 1).alias("_indexed"))
-    repeats = frames.groupBy("session", "number").agg(F.count(F.lit(1)).alias("_n")).join(many.filter("not _indexed").select("session"), "session", "left_semi")
-    peeled = repeats.select("session", F.explode(F.sequence(F.lit(1).cast("bigint"), "_n")).alias("_k")).groupBy("session", "_k").agg(F.count(F.lit(1)).alias("size"))
-    return own.join(many.filter("_indexed").select("session"), "session", "left_semi").select("session", "size").unionByName(peeled.select("session", "size"))
+    repeats = frames.groupBy("session", "number").agg(F.count(F.lit(1)).alias("_n")).join(many.filter("not _indexed")
+        .select("session"), "session", "left_semi")
+    peeled = repeats.select("session", F.explode(F.sequence(F.lit(1).cast("bigint"), "_n"))
+        .alias("_k")).groupBy("session", "_k").agg(F.count(F.lit(1)).alias("size"))
+    return own.join(many.filter("_indexed").select("session"), "session", "left_semi").select("session",
+        "size").unionByName(peeled.select("session", "size"))
 
 
 def best_spans(runs: list[int], sizes: list[int]) -> list[tuple[int, int]] | None:
@@ -102,7 +105,9 @@ def claimed_runs(runs: DataFrame, sizes: DataFrame) -> DataFrame:
 
     ``runs`` has ``session, run, pulses``, ``sizes`` ``session, size``. Sessions without a plan give no rows.
     """
-    both = runs.groupBy("session").agg(F.array_sort(F.collect_list(F.struct("run", "pulses"))).alias("runs")).join(sizes.groupBy("session").agg(F.reverse(F.array_sort(F.collect_list("size"))).alias("sizes")), "session")
+    both = runs.groupBy("session").agg(F.array_sort(F.collect_list(F.struct("run", "pulses")))
+        .alias("runs")).join(sizes.groupBy("session").agg(F.reverse(F.array_sort(F.collect_list("size"))).alias("sizes")),
+        "session")
 
     @F.pandas_udf(ArrayType(IntegerType()))
     def solve(of_runs: pd.Series, of_sizes: pd.Series) -> pd.Series:
@@ -139,32 +144,40 @@ def clock_offset(pulses: DataFrame, frames: DataFrame, tolerance_us: int = TOLER
     anchors = pulses.withColumn("anchor", F.row_number().over(in_order(order=["pulse_start"]))).filter(F.col("anchor") <= ANCHORS)
     start = frames.filter("place = 1").select("session", F.col("time_us").alias("_first"))
     offsets = anchors.join(start, "session").select("session", "anchor", (F.col("pulse_start") - F.col("_first")).alias("offset_us"))
-    shifted = frames.join(offsets, "session").select("session", "anchor", (F.col("time_us") + F.col("offset_us")).alias("time_us"), F.col("place").alias("seq"))
+    shifted = frames.join(offsets, "session").select("session", "anchor",
+        (F.col("time_us") + F.col("offset_us")).alias("time_us"), F.col("place").alias("seq"))
     targets = pulses.join(offsets.select("session", "anchor"), "session").select("session", "anchor", F.col("pulse_start").alias("time_us"))
     near = neighbours(shifted, targets, [], ["session", "anchor"])
     gap = F.least(F.col("time_us") - F.col("prev.time_us"), F.col("next.time_us") - F.col("time_us"))
     matched = near.groupBy("session", "anchor").agg(F.count_if(gap < tolerance_us).alias("matches"))
-    best = matched.join(offsets, ["session", "anchor"]).groupBy("session").agg(F.max_by(F.struct("offset_us", "matches"), F.struct("matches", -F.col("anchor"))).alias("b"))
+    best = matched.join(offsets, ["session", "anchor"]).groupBy("session").agg(F.max_by(F.struct("offset_us", "matches"),
+            F.struct("matches", -F.col("anchor"))).alias("b"))
     return best.select("session", "b.*")
 
 
 def align(pulses: DataFrame, frames: DataFrame, tolerance_us: int = TOLERANCE_US) -> DataFrame:
     """each pulse to its nearest frame on the shifted clock; per frame the closest pulse, the earliest on ties."""
-    moved = frames.join(clock_offset(pulses, frames, tolerance_us), "session").select("session", (F.col("time_us") + F.col("offset_us")).alias("time_us"), F.col("place").alias("seq"), "place")
+    moved = frames.join(clock_offset(pulses, frames, tolerance_us), "session").select("session",
+        (F.col("time_us") + F.col("offset_us")).alias("time_us"), F.col("place").alias("seq"), "place")
     near = neighbours(moved, pulses.withColumn("time_us", F.col("pulse_start")), ["place"])
     left, right = F.col("time_us") - F.col("prev.time_us"), F.col("next.time_us") - F.col("time_us")
-    pick = F.when(F.col("next").isNull() | (left < right), F.struct(F.col("prev.place").alias("place"), left.alias("distance_us"))).otherwise(F.struct(F.col("next.place").alias("place"), right.alias("distance_us")))
+    pick = F.when(F.col("next").isNull() | (left < right), F.struct(F.col("prev.place").alias("place"),
+            left.alias("distance_us"))).otherwise(F.struct(F.col("next.place").alias("place"),
+            right.alias("distance_us")))
     chosen = near.withColumn("_p", pick).select("session", "pulse_id", "pulse_start", "_p.*").filter(F.col("distance_us") < tolerance_us)
     rank = F.row_number().over(Window.partitionBy("session", "place").orderBy("distance_us", "pulse_start"))
-    return chosen.withColumn("_rank", rank).filter("_rank = 1").select("session", F.col("pulse_id").alias("frame"), F.col("pulse_start").alias("time_us"), "place")
+    return chosen.withColumn("_rank", rank).filter("_rank = 1").select("session", F.col("pulse_id").alias("frame"),
+        F.col("pulse_start").alias("time_us"), "place")
 
 
 def aligned_frames(band: DataFrame, pulses: DataFrame, frames: DataFrame, counts: DataFrame, tolerance_us: int = TOLERANCE_US) -> DataFrame:
     """the last pulses where there are too many, the nearest ones where there are too few; frames numbered from 1 on."""
-    have = counts.join(band.groupBy("session").agg(F.count(F.lit(1)).alias("_have")), "session", "left").withColumn("_have", F.coalesce("_have", F.lit(0)))
+    have = counts.join(band.groupBy("session").agg(F.count(F.lit(1)).alias("_have")), "session",
+        "left").withColumn("_have", F.coalesce("_have", F.lit(0)))
     enough = last_frames(band, have.filter("_have >= frame_count").select("session", "frame_count"))
     few = have.filter("_have < frame_count").select("session")
-    found = align(pulses.join(few, "session", "left_semi"), frames.join(few, "session", "left_semi"), tolerance_us).select("session", "frame", "time_us")
+    found = align(pulses.join(few, "session", "left_semi"), frames.join(few, "session", "left_semi"),
+        tolerance_us).select("session", "frame", "time_us")
     both = enough.select("session", "frame", "time_us").unionByName(found)
     return both.select("session", F.row_number().over(in_order(order=["frame"])).alias("frame"), "time_us")
 
@@ -176,7 +189,8 @@ def cells_only(traces: DataFrame, rois: DataFrame) -> DataFrame:
 
 def frame_arrays(traces: DataFrame, name: str = "values") -> DataFrame:
     """One array per frame, in the order of the regions."""
-    return traces.groupBy("session", "frame").agg(F.transform(F.array_sort(F.collect_list(F.struct("roi", "value"))), lambda x: x["value"]).alias(name))
+    return traces.groupBy("session", "frame").agg(F.transform(F.array_sort(F.collect_list(F.struct("roi", "value"))),
+            lambda x: x["value"]).alias(name))
 
 
 def attach_traces(frames: DataFrame, arrays: dict[str, DataFrame]) -> DataFrame:

@@ -52,12 +52,14 @@ def fit_ring(df: DataFrame, points: str, n: int, name: str) -> DataFrame:
     """Centre, semi-diameters, condition and residual of the ring in an array column ``points``; nulls without a fit."""
     weights = F.broadcast(ring_weights(df.sparkSession, n, name))
     out = df.withColumn(f"{name}_code", pattern(F.col(points), n)).join(weights, f"{name}_code", "left")
-    parts = {f"{name}_{part}{axis}": _dot(F.get(F.col(f"{name}_w"), k), F.col(points), axis) for k, part in enumerate(("c", "a", "b")) for axis in ("x", "y")}
+    parts = {f"{name}_{part}{axis}": _dot(F.get(F.col(f"{name}_w"), k), F.col(points), axis)
+        for k, part in enumerate(("c", "a", "b")) for axis in ("x", "y")}
     out = out.withColumns(parts)
     angles = F.array(*[F.lit(2 * np.pi * k / n) for k in range(n)])
 
     def squared(p: Column, angle: Column) -> Column:
-        of = lambda axis: F.pow(F.col(f"{name}_c{axis}") + F.cos(angle) * F.col(f"{name}_a{axis}") + F.sin(angle) * F.col(f"{name}_b{axis}") - p[axis], 2)
+        of = lambda axis: F.pow(F.col(f"{name}_c{axis}") + F.cos(angle) * F.col(f"{name}_a{axis}")
+            + F.sin(angle) * F.col(f"{name}_b{axis}") - p[axis], 2)
         return F.when(p["likelihood"] >= TRUSTED, of("x") + of("y")).otherwise(0.0)
 
     trusted = F.bit_count(F.col(f"{name}_code"))
@@ -80,7 +82,8 @@ def masked(value: Column, valid: Column) -> Column:
 def frame_points(predictions: DataFrame, reflection: str, pupil: list[str], eye: list[str]) -> DataFrame:
     """The long table of predictions as one row per frame; a missing body part is null."""
     one = lambda name: F.max(F.when(F.col("bodypart") == name, F.struct("x", "y", "likelihood")))
-    return predictions.groupBy("session", "frame").agg(one(reflection).alias("reflection"), F.array(*map(one, pupil)).alias("pupil"), F.array(*map(one, eye)).alias("eye"))
+    return predictions.groupBy("session", "frame").agg(one(reflection).alias("reflection"),
+        F.array(*map(one, pupil)).alias("pupil"), F.array(*map(one, eye)).alias("eye"))
 
 
 def pupil_metrics(frames: DataFrame) -> DataFrame:
@@ -95,13 +98,24 @@ def pupil_metrics(frames: DataFrame) -> DataFrame:
     closing = ~F.isnan("openness") & F.coalesce(F.col("openness") < BLINK_FRACTION * F.col("_base"), F.lit(False))
     flagged = seen.withColumn("blinking", (lost & ~F.col("p_valid")) | closing)
     measured = F.col("p_valid") & ~F.col("blinking")
-    inside = lambda axis, semi: masked(F.when(F.col(semi) >= LEAST_EXTENT, (F.col(f"p_c{axis}") - F.col(f"e_c{axis}")) / F.col(semi)).otherwise(NAN), measured & F.col("e_valid"))
+    inside = lambda axis, semi: masked(F.when(F.col(semi) >= LEAST_EXTENT,
+            (F.col(f"p_c{axis}") - F.col(f"e_c{axis}")) / F.col(semi)).otherwise(NAN), measured
+        & F.col("e_valid"))
     numbers = {
-        "pupil_center_x_px": masked(F.col("p_cx"), measured), "pupil_center_y_px": masked(F.col("p_cy"), measured), "pupil_diameter_px": masked(F.col("p_semi_a") + F.col("p_semi_b"), measured),
-        "pupil_area_px2": masked(F.col("p_area"), measured), "pupil_fit_condition": masked(F.col("p_condition"), measured), "pupil_fit_residual_px": masked(F.col("p_residual"), measured),
-        "eye_center_x_px": masked(F.col("e_cx"), F.col("e_valid")), "eye_center_y_px": masked(F.col("e_cy"), F.col("e_valid")), "eye_width_px": masked(2 * F.col("e_semi_a"), F.col("e_valid")),
-        "eye_height_px": masked(2 * F.col("e_semi_b"), F.col("e_valid")), "eye_openness": F.col("openness"), "reflection_x_px": masked(F.col("reflection.x"), mirror), "reflection_y_px": masked(F.col("reflection.y"), mirror),
-        "pupil_reflection_offset_x_px": masked(F.col("p_cx") - F.col("reflection.x"), measured & mirror), "pupil_reflection_offset_y_px": masked(F.col("p_cy") - F.col("reflection.y"), measured & mirror),
+        "pupil_center_x_px": masked(F.col("p_cx"), measured), "pupil_center_y_px": masked(F.col("p_cy"), measured),
+        "pupil_diameter_px": masked(F.col("p_semi_a") + F.col("p_semi_b"), measured),
+        "pupil_area_px2": masked(F.col("p_area"), measured), "pupil_fit_condition": masked(F.col("p_condition"),
+            measured), "pupil_fit_residual_px": masked(F.col("p_residual"), measured),
+        "eye_center_x_px": masked(F.col("e_cx"), F.col("e_valid")),
+        "eye_center_y_px": masked(F.col("e_cy"), F.col("e_valid")),
+        "eye_width_px": masked(2 * F.col("e_semi_a"), F.col("e_valid")),
+        "eye_height_px": masked(2 * F.col("e_semi_b"), F.col("e_valid")), "eye_openness": F.col("openness"),
+        "reflection_x_px": masked(F.col("reflection.x"), mirror),
+        "reflection_y_px": masked(F.col("reflection.y"), mirror),
+        "pupil_reflection_offset_x_px": masked(F.col("p_cx") - F.col("reflection.x"), measured & mirror),
+        "pupil_reflection_offset_y_px": masked(F.col("p_cy") - F.col("reflection.y"), measured & mirror),
         "pupil_in_eye_x": inside("x", "e_semi_a"), "pupil_in_eye_y": inside("y", "e_semi_b"),
     }
-    return flagged.select("session", "frame", F.col("blinking").cast("int").alias("blinking_state"), (~F.col("blinking") & ~measured).cast("int").alias("dilation_state"), *[v.cast("float").alias(k) for k, v in numbers.items()])
+    return flagged.select("session", "frame", F.col("blinking").cast("int").alias("blinking_state"),
+        (~F.col("blinking") & ~measured).cast("int").alias("dilation_state"),
+        *[v.cast("float").alias(k) for k, v in numbers.items()])

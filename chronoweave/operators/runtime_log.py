@@ -44,13 +44,17 @@ def _double_at_one(payload: pd.Series) -> pd.Series:
 
 def snapshots(messages: DataFrame) -> DataFrame:
     """L3: distance snapshots, a little-endian double behind the first byte."""
-    return routed(messages).filter(F.col("kind") == "distance_snapshot").select("session", "time_us", "seq", _double_at_one("payload").alias("distance_cm"))
+    return routed(messages).filter(F.col("kind") == "distance_snapshot").select("session", "time_us", "seq",
+        _double_at_one("payload").alias("distance_cm"))
 
 
 def corridor_starts(snapshot_rows: DataFrame) -> DataFrame:
     """L4: where each corridor starts: the total of the earlier snapshots, one more row than there are snapshots."""
-    own = snapshot_rows.select("session", F.row_number().over(in_order()).cast("bigint").alias("corridor"), F.coalesce(F.sum("distance_cm").over(before()), F.lit(0.0)).alias("start_cm"), "distance_cm")
-    tail = own.groupBy("session").agg(F.max_by(F.struct("corridor", "start_cm", "distance_cm"), "corridor").alias("l")).select("session", (F.col("l.corridor") + 1).alias("corridor"), (F.col("l.start_cm") + F.col("l.distance_cm")).alias("start_cm"))
+    own = snapshot_rows.select("session", F.row_number().over(in_order()).cast("bigint").alias("corridor"),
+        F.coalesce(F.sum("distance_cm").over(before()), F.lit(0.0)).alias("start_cm"), "distance_cm")
+    tail = own.groupBy("session").agg(F.max_by(F.struct("corridor", "start_cm", "distance_cm"), "corridor")
+        .alias("l")).select("session", (F.col("l.corridor") + 1).alias("corridor"),
+        (F.col("l.start_cm") + F.col("l.distance_cm")).alias("start_cm"))
     return own.drop("distance_cm").unionByName(tail)
 
 
@@ -97,7 +101,9 @@ def place_trials(trials: DataFrame, swaps: DataFrame) -> DataFrame:
     end = F.sum("_length").over(so_far(w, ["place"]))
     ranged = own.withColumn("end_cm", end).withColumn("start_cm", F.col("end_cm") - F.col("_length")).join(swaps, w, "left")
     kept = ranged.filter(F.col("swap_cm").isNull() | (F.col("start_cm") < F.col("swap_cm")))
-    return kept.select("session", "corridor", "place", "trial", "start_cm", F.coalesce(F.least("end_cm", "swap_cm"), "end_cm").alias("end_cm"), F.coalesce(F.col("end_cm") > F.col("swap_cm"), F.lit(False)).alias("truncated"))
+    return kept.select("session", "corridor", "place", "trial", "start_cm",
+        F.coalesce(F.least("end_cm", "swap_cm"), "end_cm").alias("end_cm"),
+        F.coalesce(F.col("end_cm") > F.col("swap_cm"), F.lit(False)).alias("truncated"))
 
 
 def check_sequences(counts: DataFrame) -> DataFrame:
@@ -111,14 +117,19 @@ def cue_onsets(placed: DataFrame) -> DataFrame:
     opened = placed.select("session", "corridor", "place", "start_cm", "end_cm", "truncated", F.posexplode("cues").alias("cue_place", "cue"))
     at = F.coalesce(F.sum("cue.length_cm").over(before(["session", "corridor", "place"], ["cue_place"])), F.lit(0.0))
     entered = opened.withColumn("_at", at).filter(~F.col("truncated") | (F.col("_at") < F.col("end_cm") - F.col("start_cm")))
-    return entered.select("session", "corridor", "place", "cue_place", F.col("cue.code").alias("cue"), (F.col("start_cm") + F.col("_at")).alias("distance_cm"))
+    return entered.select("session", "corridor", "place", "cue_place", F.col("cue.code").alias("cue"),
+        (F.col("start_cm") + F.col("_at")).alias("distance_cm"))
 
 
 def trigger_zones(placed: DataFrame, lead_cm: float = ZONE_LEAD_CM) -> DataFrame:
     """Zones in session distance, opened and closed early and late; dropped past the trial's end, cut at it."""
     length = F.col("end_cm") - F.col("start_cm")
-    zone = placed.withColumns({"_from": F.col("zone_start_cm") - lead_cm - F.col("entry_cm"), "_to": F.col("zone_end_cm") + lead_cm - F.col("entry_cm"), "_length": length})
-    return zone.filter("_from <= _length").select("session", "corridor", "place", (F.col("start_cm") + F.col("_from")).alias("start_cm"), F.when(F.col("_to") <= F.col("_length"), F.col("start_cm") + F.col("_to")).otherwise(F.col("end_cm")).alias("end_cm"))
+    zone = placed.withColumns({"_from": F.col("zone_start_cm") - lead_cm - F.col("entry_cm"), "_to": F.col("zone_end_cm")
+            + lead_cm - F.col("entry_cm"), "_length": length})
+    return zone.filter("_from <= _length").select("session", "corridor", "place",
+        (F.col("start_cm") + F.col("_from")).alias("start_cm"),
+        F.when(F.col("_to") <= F.col("_length"), F.col("start_cm") + F.col("_to")).otherwise(F.col("end_cm"))
+        .alias("end_cm"))
 
 
 def trial_table(placed: DataFrame) -> DataFrame:

@@ -22,7 +22,8 @@ _UNITS = {"K": 1024.0, "M": 1024.0**2, "G": 1024.0**3, "T": 1024.0**4, "P": 1024
 def allocation_of(executor: Column) -> Column:
     """Q1: the id behind ``slurm:``; another scheme, or none, gives an empty string."""
     at = F.instr(executor, ":")
-    return F.coalesce(F.when((at > 0) & (F.substring(executor, F.lit(1), at - 1) == "slurm"), F.substring(executor, at + 1, F.lit(1 << 30))), F.lit(""))
+    return F.coalesce(F.when((at > 0) & (F.substring(executor, F.lit(1), at - 1) == "slurm"),
+            F.substring(executor, at + 1, F.lit(1 << 30))), F.lit(""))
 
 
 def allocation_state(allocation: Column, status: Column, queued: Column, canceled: Column, unreadable: Column) -> Column:
@@ -54,7 +55,8 @@ def verdict(scheduler_state: Column, claim_state: Column, tracked: Column, execu
 def claims(submissions: DataFrame, state: DataFrame) -> DataFrame:
     """Q8: latest recorded status and executor of each submission, and the allocation that the executor names."""
     keys = ["unit", "job_id"]
-    latest = state.groupBy(*keys).agg(F.max_by(F.struct("status", "executor"), "at").alias("_s")).select(*keys, F.col("_s.status").alias("tracked"), F.col("_s.executor").alias("executor"))
+    latest = state.groupBy(*keys).agg(F.max_by(F.struct("status", "executor"), "at").alias("_s")).select(*keys,
+        F.col("_s.status").alias("tracked"), F.col("_s.executor").alias("executor"))
     return submissions.join(latest, keys, "left").withColumn("claim", allocation_of(F.col("executor")))
 
 
@@ -69,10 +71,13 @@ def resolved(claimed: DataFrame, reading: DataFrame, unreadable: bool = False) -
     ``claimed`` has ``batch_id, unit, job_id, allocation, tracked, executor, claim``; ``reading`` a row per allocation with
     ``status, queued, canceled``. An allocation may be claimed by many jobs; the reading is joined, not looked up.
     """
-    state = lambda c, p: allocation_state(F.col(c), F.col(f"{p}_status"), F.col(f"{p}_queued"), F.col(f"{p}_canceled"), F.lit(unreadable))
-    side = lambda c, p: reading.select(F.col("allocation").alias(c), F.col("status").alias(f"{p}_status"), F.col("queued").alias(f"{p}_queued"), F.col("canceled").alias(f"{p}_canceled"))
+    state = lambda c, p: allocation_state(F.col(c), F.col(f"{p}_status"), F.col(f"{p}_queued"), F.col(f"{p}_canceled"),
+        F.lit(unreadable))
+    side = lambda c, p: reading.select(F.col("allocation").alias(c), F.col("status").alias(f"{p}_status"),
+        F.col("queued").alias(f"{p}_queued"), F.col("canceled").alias(f"{p}_canceled"))
     both = claimed.join(side("allocation", "a"), "allocation", "left").join(side("claim", "c"), "claim", "left")
-    out = both.withColumns({"scheduler_state": state("allocation", "a"), "claim_state": F.when(F.col("claim") != "", state("claim", "c")).otherwise("")})
+    out = both.withColumns({"scheduler_state": state("allocation", "a"),
+            "claim_state": F.when(F.col("claim") != "", state("claim", "c")).otherwise("")})
     out = out.withColumn("verdict", verdict(F.col("scheduler_state"), F.col("claim_state"), F.col("tracked"), F.col("executor")))
     remedy = F.create_map(*[F.lit(x) for pair in REMEDIATION.items() for x in pair])
     return out.select(*claimed.columns, "scheduler_state", "claim_state", "verdict", remedy[F.col("verdict")].alias("remediation"))
@@ -82,7 +87,8 @@ def batch_verdicts(resolutions: DataFrame) -> DataFrame:
     """Q4: verdict of each batch with its counts."""
     counts = [F.count_if(F.col("verdict") == v).alias(v) for v in REMEDIATION]
     out = resolutions.groupBy("batch_id").agg(*counts, F.count_if(F.col("scheduler_state") == GONE).alias("_gone"))
-    return out.withColumn("batch_verdict", F.when(F.col(RUNNING) > 0, PROGRESSING).when(F.col("_gone") > 0, STALLED).otherwise(AWAITING_CLOSURE)).drop("_gone")
+    return out.withColumn("batch_verdict", F.when(F.col(RUNNING) > 0, PROGRESSING).when(F.col("_gone") > 0, STALLED)
+        .otherwise(AWAITING_CLOSURE)).drop("_gone")
 
 
 def live_allocations(resolutions: DataFrame) -> DataFrame:
@@ -121,7 +127,8 @@ def reconciled(resolutions: DataFrame, edges: DataFrame) -> DataFrame:
         fresh = settled(behind.join(free, "job_id", "left_semi").join(withheld, "job_id", "left_anti"))
         withheld = settled(withheld.unionByName(fresh))
     decided = rows.join(withheld.withColumn("_w", F.lit(True)), "job_id", "left")
-    return decided.select("job_id", F.when(F.col("adopted").isNotNull(), "adopted").when(F.col("_w"), "withheld").otherwise("dispatchable").alias("decision"), F.col("adopted").alias("allocation"))
+    return decided.select("job_id", F.when(F.col("adopted").isNotNull(), "adopted").when(F.col("_w"), "withheld")
+        .otherwise("dispatchable").alias("decision"), F.col("adopted").alias("allocation"))
 
 
 def size_bytes(text: Column) -> Column:
@@ -162,7 +169,8 @@ def merged_accounting(rows: DataFrame, sizes: list[str], durations: list[str], i
     own = rows.filter(~F.coalesce(F.col(identifier).contains("extern"), F.lit(False))).withColumn("_job", F.substring_index(identifier, ".", 1))
     fields = [c for c in rows.columns if c not in ("line", identifier)]
     # Figures are parsed once for each row, before the aggregate, which reads an ordering several times.
-    own = own.withColumns({f"_value_{c}": size_bytes(F.col(c)) if c in sizes else duration_seconds(F.col(c)) for c in fields if c in sizes or c in durations})
+    own = own.withColumns({f"_value_{c}": size_bytes(F.col(c)) if c in sizes else duration_seconds(F.col(c))
+            for c in fields if c in sizes or c in durations})
 
     def folded(c: str) -> Column:
         filled = F.when(F.col(c) != "", F.col(c))
@@ -187,12 +195,14 @@ def allocation_statuses(requested: DataFrame, accounting: DataFrame, blocked: Da
     rows = requested.distinct().join(own, "allocation", "left").withColumn("status", F.when(F.col("state").isNull(), "UNRESOLVED").otherwise(status))
     pending = F.broadcast(rows.agg(F.coalesce(F.bool_or(F.col("status") == "PENDING"), F.lit(False)).alias("_any")))
     never = blocked.select("allocation").distinct().withColumn("_never", F.lit(True))
-    return rows.join(never, "allocation", "left").crossJoin(pending).select("allocation", F.when(F.col("_any") & F.coalesce("_never", F.lit(False)), "BLOCKED").otherwise(F.col("status")).alias("status"))
+    return rows.join(never, "allocation", "left").crossJoin(pending).select("allocation",
+        F.when(F.col("_any") & F.coalesce("_never", F.lit(False)), "BLOCKED").otherwise(F.col("status")).alias("status"))
 
 
 def upsert(ledger: DataFrame, batch: DataFrame) -> DataFrame:
     """Q13: submissions after a batch is recorded: those of the same batch that weren't submitted again are carried in front."""
-    same = ledger.join(batch.select("batch_id").distinct(), "batch_id", "left_semi").join(batch.select("batch_id", "unit", "job_id"), ["batch_id", "unit", "job_id"], "left_anti")
+    same = ledger.join(batch.select("batch_id").distinct(), "batch_id",
+        "left_semi").join(batch.select("batch_id", "unit", "job_id"), ["batch_id", "unit", "job_id"], "left_anti")
     others = ledger.join(batch.select("batch_id").distinct(), "batch_id", "left_anti")
     order = lambda df, k: df.select(*ledger.columns, F.lit(k).alias("part"))
     return order(others, 0).unionByName(order(same, 1)).unionByName(order(batch, 2))

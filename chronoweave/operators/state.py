@@ -15,7 +15,8 @@ MOST_VALUES = 50
 def pipeline_rollup(jobs: DataFrame, pipelines: list[str], keys: list[str] | None = None) -> DataFrame:
     """M2: a 0/1 column for each pipeline: it has jobs and all succeeded. One aggregation, no pivot pass."""
     keys = keys or ["animal", "session"]
-    done = lambda p: F.coalesce(F.bool_and(F.when(F.col("pipeline") == p, F.col("status") == SUCCEEDED)), F.lit(False)).cast("int").alias(p)
+    done = lambda p: F.coalesce(F.bool_and(F.when(F.col("pipeline") == p, F.col("status") == SUCCEEDED)),
+        F.lit(False)).cast("int").alias(p)
     return jobs.groupBy(*keys).agg(*[done(p) for p in pipelines])
 
 
@@ -37,9 +38,11 @@ def job_rows(jobs: DataFrame, scopes: DataFrame, animals: DataFrame) -> DataFram
 
     ``scopes`` has ``job_name, scope``; ``animals`` maps ``session`` to ``animal``. The specifier names the session or the animal.
     """
-    scoped = jobs.join(scopes, "job_name", "left").join(animals.select(F.col("session").alias("specifier"), F.col("animal").alias("_animal")), "specifier", "left")
+    scoped = jobs.join(scopes, "job_name", "left").join(animals.select(F.col("session").alias("specifier"),
+            F.col("animal").alias("_animal")), "specifier", "left")
     by_animal = F.col("scope") == "animal"
-    return scoped.withColumns({"session": F.when(by_animal, None).otherwise(F.col("specifier")), "animal": F.when(by_animal, F.col("specifier")).otherwise(F.col("_animal"))}).drop("_animal")
+    return scoped.withColumns({"session": F.when(by_animal, None).otherwise(F.col("specifier")),
+            "animal": F.when(by_animal, F.col("specifier")).otherwise(F.col("_animal"))}).drop("_animal")
 
 
 def project_plan(plans: list[DataFrame], version: int) -> DataFrame:
@@ -62,13 +65,16 @@ def summary(table: DataFrame, flags: list[str], axes: list[str]) -> DataFrame:
     for flag in flags:
         counts += [(flag, "done", F.sum(F.col(flag).cast("bigint"))), (flag, "open", F.sum(1 - F.col(flag).cast("bigint")))]
     totals = table.agg(*[c.alias(f"c{k}") for k, (_, _, c) in enumerate(counts)])
-    long = totals.select(F.explode(F.array(*[F.struct(F.lit(a).alias("axis"), F.lit(v).alias("value"), F.coalesce(f"c{k}", F.lit(0)).cast("bigint").alias("count")) for k, (a, v, _) in enumerate(counts)])).alias("r")).select("r.*")
+    long = totals.select(F.explode(F.array(*[F.struct(F.lit(a).alias("axis"), F.lit(v).alias("value"),
+                        F.coalesce(f"c{k}", F.lit(0)).cast("bigint").alias("count"))
+                    for k, (a, v, _) in enumerate(counts)])).alias("r")).select("r.*")
     return long.unionByName(value_counts(table, axes))
 
 
 def value_counts(table: DataFrame, axes: list[str]) -> DataFrame:
     """``axis, value, count`` of every value of several columns, null as ``none``."""
-    pairs = table.select(F.explode(F.array(*[F.struct(F.lit(a).alias("axis"), F.coalesce(F.col(a).cast("string"), F.lit("none")).alias("value")) for a in axes])).alias("p"))
+    pairs = table.select(F.explode(F.array(*[F.struct(F.lit(a).alias("axis"),
+                        F.coalesce(F.col(a).cast("string"), F.lit("none")).alias("value")) for a in axes])).alias("p"))
     return pairs.groupBy("p.axis", "p.value").agg(F.count(F.lit(1)).alias("count"))
 
 
@@ -130,12 +136,14 @@ def batch_status(batch: DataFrame, state: DataFrame) -> DataFrame:
 def plan_totals(plan: DataFrame) -> DataFrame:
     """Jobs, sums and largest of both memory figures, widest cores; zeros if there are none."""
     figure = lambda f, c: F.coalesce(f(c), F.lit(0)).alias(f"{f.__name__}_{c}")
-    return plan.agg(F.count(F.lit(1)).alias("jobs"), *[figure(f, c) for c in ("memory_mb", "resident_mb") for f in (F.sum, F.max)], figure(F.max, "cores"))
+    return plan.agg(F.count(F.lit(1)).alias("jobs"), *[figure(f, c) for c in ("memory_mb", "resident_mb")
+            for f in (F.sum, F.max)], figure(F.max, "cores"))
 
 
 def plan_breakdown(plan: DataFrame) -> DataFrame:
     """The same by kind of unit and pipeline."""
-    return plan.groupBy("unit_kind", "pipeline").agg(F.count(F.lit(1)).alias("jobs"), F.sum("memory_mb").alias("memory_mb"), F.sum("resident_mb").alias("resident_mb"), F.max("cores").alias("cores"))
+    return plan.groupBy("unit_kind", "pipeline").agg(F.count(F.lit(1)).alias("jobs"),
+        F.sum("memory_mb").alias("memory_mb"), F.sum("resident_mb").alias("resident_mb"), F.max("cores").alias("cores"))
 
 
 def planned_units(units: DataFrame, plan: DataFrame) -> DataFrame:
@@ -183,6 +191,7 @@ def discovered_units(found: DataFrame) -> DataFrame:
     return found.select(F.col("kind").alias("unit_kind"), "dataset", "animal", "session", path.alias("unit_path"))
 
 
-def staged_read(table: DataFrame, axes: list[str], filters: dict[str, list] | None = None, order: list | None = None, start: int = 0, length: int = 200) -> tuple[DataFrame, DataFrame | None]:
+def staged_read(table: DataFrame, axes: list[str], filters: dict[str, list] | None = None, order: list | None = None,
+        start: int = 0, length: int = 200) -> tuple[DataFrame, DataFrame | None]:
     """How every listing is read: counts by axis for all rows, and a page once a filter is named."""
     return breakdown(table, axes), listing(table, filters, order or table.columns, start, length) if filters else None

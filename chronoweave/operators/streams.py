@@ -19,7 +19,8 @@ def of_code(events: DataFrame, code: int) -> DataFrame:
 
 
 #: Payload types and how their bytes are read, little endian (fixed values).
-_TYPES = {"uint8": "u1", "int8": "i1", "uint16": "<u2", "int16": "<i2", "uint32": "<u4", "int32": "<i4", "uint64": "<u8", "int64": "<i8", "float32": "<f4", "float64": "<f8", "bool": "?"}
+_TYPES = {"uint8": "u1", "int8": "i1", "uint16": "<u2", "int16": "<i2", "uint32": "<u4", "int32": "<i4", "uint64": "<u8",
+    "int64": "<i8", "float32": "<f4", "float64": "<f8", "bool": "?"}
 
 
 @F.pandas_udf(DoubleType())
@@ -60,8 +61,10 @@ def states(events: DataFrame, on: int, off: int) -> DataFrame:
 def with_missing_direction(events: DataFrame, value: str = "value") -> DataFrame:
     """A session with one direction only gets one zero sample of the other, at the first time + 1."""
     both = events.filter(F.col("event").isin(PRIMARY, SECONDARY))
-    seen = both.groupBy("session").agg(F.min("time_us").alias("time_us"), F.min_by("seq", F.struct("time_us", "seq")).alias("seq"), F.collect_set("event").alias("codes"))
-    lone = seen.filter(F.size("codes") == 1).select("session", (F.col("time_us") + 1).alias("time_us"), "seq", F.when(F.array_contains("codes", PRIMARY), SECONDARY).otherwise(PRIMARY).alias("event"), F.lit(0.0).alias(value))
+    seen = both.groupBy("session").agg(F.min("time_us").alias("time_us"),
+        F.min_by("seq", F.struct("time_us", "seq")).alias("seq"), F.collect_set("event").alias("codes"))
+    lone = seen.filter(F.size("codes") == 1).select("session", (F.col("time_us") + 1).alias("time_us"), "seq",
+        F.when(F.array_contains("codes", PRIMARY), SECONDARY).otherwise(PRIMARY).alias("event"), F.lit(0.0).alias(value))
     return both.select("session", "time_us", "seq", "event", value).unionByName(lone)
 
 
@@ -80,7 +83,8 @@ def ttl(events: DataFrame) -> DataFrame:
 
 def brake(events: DataFrame, maximum: float, minimum: float) -> DataFrame:
     """Engaged rows carry the largest torque, released rows the smallest."""
-    return states(events, PRIMARY, SECONDARY).select("session", "time_us", "seq", F.when(F.col("state") == 1, maximum).otherwise(minimum).alias("brake_torque"))
+    return states(events, PRIMARY, SECONDARY).select("session", "time_us", "seq",
+        F.when(F.col("state") == 1, maximum).otherwise(minimum).alias("brake_torque"))
 
 
 def pulses(train: DataFrame) -> DataFrame:
@@ -93,8 +97,10 @@ def valve_volume(events: DataFrame, scale: float, exponent: float) -> DataFrame:
     """Running dispensed volume, a power law of pulse lengths; a 0 row at the first time of the session."""
     train = states(events, PRIMARY, SECONDARY)
     done = pulses(train).filter("edge < 0 and pulse_us is not null")
-    volume = done.select("session", "time_us", "seq", F.bround(F.sum(scale * F.pow(F.col("pulse_us").cast("double"), F.lit(exponent))).over(so_far()), 8).alias("volume"))
-    seed = train.groupBy("session").agg(F.min("time_us").alias("time_us")).select("session", "time_us", F.lit(0).cast("bigint").alias("seq"), F.lit(0.0).alias("volume"))
+    volume = done.select("session", "time_us", "seq", F.bround(F.sum(scale * F.pow(F.col("pulse_us").cast("double"),
+                    F.lit(exponent))).over(so_far()), 8).alias("volume"))
+    seed = train.groupBy("session").agg(F.min("time_us").alias("time_us")).select("session", "time_us",
+        F.lit(0).cast("bigint").alias("seq"), F.lit(0.0).alias("volume"))
     return seed.unionByName(volume)
 
 
@@ -118,12 +124,14 @@ def gas_puffs(events: DataFrame) -> DataFrame:
     """State train with the running count of finished puffs."""
     train = states(events, PRIMARY, SECONDARY)
     fall = train.withColumn("_fall", (F.col("state") < F.lag("state").over(in_order())).cast("bigint"))
-    return fall.select("session", "time_us", "seq", F.col("state").alias("puff_state"), F.coalesce(F.sum("_fall").over(so_far()), F.lit(0)).alias("puff_count"))
+    return fall.select("session", "time_us", "seq", F.col("state").alias("puff_state"),
+        F.coalesce(F.sum("_fall").over(so_far()), F.lit(0)).alias("puff_count"))
 
 
 def lick(events: DataFrame, threshold: float) -> DataFrame:
     """Voltage and whether it reaches the threshold."""
-    return of_code(events, PRIMARY).select("session", "time_us", "seq", F.col("value").alias("voltage"), (F.col("value") >= threshold).cast("int").alias("lick_state"))
+    return of_code(events, PRIMARY).select("session", "time_us", "seq", F.col("value").alias("voltage"),
+        (F.col("value") >= threshold).cast("int").alias("lick_state"))
 
 
 def torque(events: DataFrame, per_unit: float) -> DataFrame:
@@ -140,7 +148,8 @@ def screen(events: DataFrame, initially_on: int = 0) -> DataFrame:
     train = states(events, PRIMARY, SECONDARY)
     rising = train.withColumn("_was", F.lag("state", 1, 0).over(in_order())).filter("state = 1 and _was = 0")
     flips = rising.select("session", "time_us", "seq", F.pmod(F.lit(initially_on) + F.row_number().over(in_order()), F.lit(2)).alias("screen_state"))
-    seed = train.groupBy("session").agg(F.min("time_us").alias("time_us")).select("session", "time_us", F.lit(0).cast("bigint").alias("seq"), F.lit(initially_on).alias("screen_state"))
+    seed = train.groupBy("session").agg(F.min("time_us").alias("time_us")).select("session", "time_us",
+        F.lit(0).cast("bigint").alias("seq"), F.lit(initially_on).alias("screen_state"))
     return seed.unionByName(flips)
 
 
@@ -169,9 +178,12 @@ def parse_jobs(modules: DataFrame, eligible: DataFrame, archives: DataFrame) ->
     """An extraction job for each controller with an eligible module, a parse job for each such module; ``possible`` if it has one archive."""
     fit = modules.join(eligible, ["session", "module"], "left_semi")
     count = archives.groupBy("session", "controller").agg(F.count(F.lit(1)).alias("_n"))
-    extract = fit.select("session", "controller").distinct().select("session", "controller", F.lit("extract").alias("job_name"), F.col("controller").cast("string").alias("specifier"))
-    parse = fit.select("session", "controller", F.lit("parse").alias("job_name"), F.concat_ws("-", F.col("controller").cast("string"), "module").alias("specifier"))
-    return extract.unionByName(parse).join(count, ["session", "controller"], "left").select("session", "controller", "job_name", "specifier", (F.coalesce("_n", F.lit(0)) == 1).alias("possible"))
+    extract = fit.select("session", "controller").distinct().select("session", "controller",
+        F.lit("extract").alias("job_name"), F.col("controller").cast("string").alias("specifier"))
+    parse = fit.select("session", "controller", F.lit("parse").alias("job_name"),
+        F.concat_ws("-", F.col("controller").cast("string"), "module").alias("specifier"))
+    return extract.unionByName(parse).join(count, ["session", "controller"], "left").select("session", "controller",
+        "job_name", "specifier", (F.coalesce("_n", F.lit(0)) == 1).alias("possible"))
 
 
 def extracted(messages: DataFrame, module_codes: DataFrame) -> DataFrame:

@@ -30,7 +30,8 @@ def chunked(frames: DataFrame, size: int = LEAST_CHUNK) -> DataFrame:
     """V4: ``chunk`` of each frame; the last frame of a chunk is also the priming frame of the next."""
     chunk = F.floor(F.col("frame") / size)
     last = F.col("frame") % size == size - 1
-    return frames.withColumn("chunk", F.explode(F.when(last, F.array(chunk, chunk + 1)).otherwise(F.array(chunk)))).withColumn("priming", F.floor(F.col("frame") / size) < F.col("chunk"))
+    return frames.withColumn("chunk", F.explode(F.when(last, F.array(chunk, chunk + 1))
+            .otherwise(F.array(chunk)))).withColumn("priming", F.floor(F.col("frame") / size) < F.col("chunk"))
 
 
 def motion_energy(frames: DataFrame, size: int = LEAST_CHUNK, block: int = BLOCK) -> DataFrame:
@@ -57,11 +58,14 @@ def motion_energy(frames: DataFrame, size: int = LEAST_CHUNK, block: int = BLOCK
                 same = np.array([keys[k] == keys[k - 1] for k in range(a + 1, b)], dtype=bool)
                 energy[a + 1 : b][same] = np.abs(np.diff(planes, axis=0)).mean(axis=(1, 2))[same]
                 earlier, key = planes[-1], keys[b - 1]
-            out = pa.RecordBatch.from_arrays([*(batch.column(k) for k in (0, 1, 3)), pa.array(energy), pa.array(light)], names=["session", "camera", "frame", "motion_energy", "frame_luminance"])
+            out = pa.RecordBatch.from_arrays([*(batch.column(k) for k in (0, 1, 3)), pa.array(energy), pa.array(light)],
+                names=["session", "camera", "frame", "motion_energy", "frame_luminance"])
             yield out.filter(pc.invert(batch.column(4)))
 
     kinds = dict(frames.dtypes)
-    return dealt.mapInArrow(measure, f"session {kinds['session']}, camera {kinds['camera']}, frame {kinds['frame']}, motion_energy double, frame_luminance double")
+    return dealt.mapInArrow(measure,
+        f"session {kinds['session']}, camera {kinds['camera']}, frame {kinds['frame']}, motion_energy double, "
+        f"frame_luminance double")
 
 
 def truncated_chunks(frames: DataFrame, measured: DataFrame, size: int = LEAST_CHUNK) -> DataFrame:

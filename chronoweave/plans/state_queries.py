@@ -26,27 +26,38 @@ def query(name: str, sql: str | None = None):
 PIPELINES = ["checksum", "runtime", "microcontroller", "video", "two_photon"]
 #: Jobs are order lines: the line number gives the pipeline, flag and status the job's status.
 JOBS = """jb AS (SELECT o_custkey AS animal, l_orderkey AS session, l_linenumber AS line, l_partkey AS part, l_suppkey AS unit_key, l_quantity, l_extendedprice,
- CASE l_linenumber % 5 WHEN 0 THEN 'checksum' WHEN 1 THEN 'runtime' WHEN 2 THEN 'microcontroller' WHEN 3 THEN 'video' ELSE 'two_photon' END AS pipeline,
- CASE WHEN l_returnflag = 'A' THEN 'FAILED' WHEN l_returnflag = 'R' AND l_linestatus = 'O' THEN 'RUNNING' WHEN l_returnflag = 'R' THEN 'SCHEDULED' ELSE 'SUCCEEDED' END AS status
+ CASE l_linenumber % 5 WHEN 0 THEN 'checksum' WHEN 1 THEN 'runtime' WHEN 2 THEN 'microcontroller' WHEN 3 THEN 'video'
+    ELSE 'two_photon' END AS pipeline,
+ CASE WHEN l_returnflag = 'A' THEN 'FAILED' WHEN l_returnflag = 'R' AND l_linestatus = 'O' THEN 'RUNNING'
+    WHEN l_returnflag = 'R' THEN 'SCHEDULED' ELSE 'SUCCEEDED' END AS status
  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 
 def _jobs(s, d):
     line, orders = read(s, d, "lineitem"), read(s, d, "orders").select("o_orderkey", "o_custkey")
     pipeline = F.get(F.array(*map(F.lit, PIPELINES)), F.col("l_linenumber") % 5)
-    status = F.when(F.col("l_returnflag") == "A", "FAILED").when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O"), "RUNNING").when(F.col("l_returnflag") == "R", "SCHEDULED").otherwise("SUCCEEDED")
+    status = F.when(F.col("l_returnflag") == "A", "FAILED").when((F.col("l_returnflag") == "R")
+        & (F.col("l_linestatus") == "O"), "RUNNING").when(F.col("l_returnflag") == "R",
+        "SCHEDULED").otherwise("SUCCEEDED")
     return line.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.col("o_custkey").alias("animal"), F.col("l_orderkey").alias("session"), F.col("l_linenumber").alias("line"), F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("unit_key"),
+        F.col("o_custkey").alias("animal"), F.col("l_orderkey").alias("session"), F.col("l_linenumber").alias("line"),
+        F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("unit_key"),
         "l_quantity", "l_extendedprice", pipeline.alias("pipeline"), status.alias("status"),
     )
 
 
 def _sessions(s, d):
-    return read(s, d, "orders").select(F.col("o_custkey").alias("animal"), F.col("o_orderkey").alias("session"), F.col("o_orderstatus").alias("type"), F.col("o_orderpriority").alias("system"), "o_totalprice")
+    return read(s, d, "orders").select(F.col("o_custkey").alias("animal"), F.col("o_orderkey").alias("session"),
+        F.col("o_orderstatus").alias("type"), F.col("o_orderpriority").alias("system"), "o_totalprice")
 
 
 ROLLUP = ", ".join(f"coalesce(CAST(bool_and(CASE WHEN pipeline = '{p}' THEN status = 'SUCCEEDED' END) AS INTEGER), 0) AS {p}" for p in PIPELINES)
-MANIFEST = "mf AS (SELECT o_custkey AS animal, o_orderkey AS session, o_orderstatus AS type, " + ", ".join(f"coalesce({p}, 0) AS {p}" for p in PIPELINES) + f" FROM orders LEFT JOIN (SELECT session, {ROLLUP} FROM jb GROUP BY session) r ON r.session = o_orderkey WHERE o_totalprice > 1000)"
+MANIFEST = (
+    "mf AS (SELECT o_custkey AS animal, o_orderkey AS session, o_orderstatus AS type, "
+    + ", ".join(f"coalesce({p}, 0) AS {p}" for p in PIPELINES)
+    + f" FROM orders LEFT JOIN (SELECT session, {ROLLUP} FROM jb GROUP BY session) r ON r.session = o_orderkey "
+    f"WHERE o_totalprice > 1000)"
+)
 
 
 def _manifest(s, d):
@@ -70,7 +81,10 @@ def _(s, d):
     return state.job_listing(rows, ["job_name", "session", "status", "name"], ["name", "job_name"]).drop("name")
 
 
-@query("m4_dataset_state", "SELECT CASE WHEN n_nationkey % 2 = 0 THEN 'discover' ELSE 'extract' END AS job_name, CASE WHEN n_nationkey % 2 = 0 THEN 'animal' ELSE 'session' END AS scope, CASE WHEN n_nationkey % 2 = 0 THEN n_name ELSE 'region' || n_regionkey END AS animal, CASE WHEN n_nationkey % 2 = 1 THEN n_name END AS session FROM nation")
+@query("m4_dataset_state",
+    "SELECT CASE WHEN n_nationkey % 2 = 0 THEN 'discover' ELSE 'extract' END AS job_name, CASE WHEN n_nationkey % 2 = 0 "
+    "THEN 'animal' ELSE 'session' END AS scope, CASE WHEN n_nationkey % 2 = 0 THEN n_name "
+    "ELSE 'region' || n_regionkey END AS animal, CASE WHEN n_nationkey % 2 = 1 THEN n_name END AS session FROM nation")
 def _(s, d):
     nation = read(s, d, "nation")
     jobs = nation.select(F.when(F.col("n_nationkey") % 2 == 0, "discover").otherwise("extract").alias("job_name"), F.col("n_name").alias("specifier"))
@@ -84,13 +98,18 @@ def _(s, d):
     return natural_places(read(s, d, "customer").select(F.concat(F.lit("c"), "c_custkey").alias("name")), "name")
 
 
-MARKERS = "mk AS (SELECT 'dataset' AS kind, 'd' || n_nationkey AS dataset, NULL AS animal, NULL AS session FROM nation WHERE n_nationkey % 5 = 0 UNION ALL SELECT 'session', NULL, 'd' || (c_custkey % 25), 's' || c_custkey FROM customer WHERE c_custkey % 25 % 5 <> 0)"
+MARKERS = (
+    "mk AS (SELECT 'dataset' AS kind, 'd' || n_nationkey AS dataset, NULL AS animal, NULL AS session FROM nation "
+    "WHERE n_nationkey % 5 = 0 UNION ALL SELECT 'session', NULL, 'd' || (c_custkey % 25), 's' || c_custkey FROM customer "
+    "WHERE c_custkey % 25 % 5 <> 0)"
+)
 
 
 def _markers(s, d):
     """Every fifth nation is a dataset; customers are sessions below animals, those below a dataset drop out."""
     sets = read(s, d, "nation").filter("n_nationkey % 5 = 0").select(F.concat(F.lit("d"), "n_nationkey", F.lit("/dataset.yaml")).alias("path"))
-    runs = read(s, d, "customer").select(F.concat(F.lit("d"), F.col("c_custkey") % 25, F.lit("/s"), "c_custkey", F.lit("/raw/session.yaml")).alias("path"))
+    runs = read(s, d, "customer").select(F.concat(F.lit("d"), F.col("c_custkey") % 25, F.lit("/s"), "c_custkey",
+            F.lit("/raw/session.yaml")).alias("path"))
     return ingest.markers(sets.union(runs), "dataset.yaml", "session.yaml")
 
 
@@ -99,10 +118,16 @@ def _(s, d):
     return datasets.existing(_markers(s, d))
 
 
-UNITS = "ut AS (SELECT kind AS unit_kind, dataset, animal, session, CASE WHEN kind = 'dataset' THEN dataset ELSE animal || '/' || session END AS unit_path FROM mk)"
+UNITS = (
+    "ut AS (SELECT kind AS unit_kind, dataset, animal, session, CASE WHEN kind = 'dataset' THEN dataset "
+    "ELSE animal || '/' || session END AS unit_path FROM mk)"
+)
 
 
-@query("m26_discovery_counts", with_(MARKERS, UNITS) + "SELECT 'unit_kind' AS axis, unit_kind AS value, count(*) AS count FROM ut GROUP BY 2 UNION ALL SELECT 'animal', coalesce(animal, 'none'), count(*) FROM ut GROUP BY 2 UNION ALL SELECT 'dataset', coalesce(dataset, 'none'), count(*) FROM ut GROUP BY 2")
+@query("m26_discovery_counts", with_(MARKERS, UNITS)
+    + "SELECT 'unit_kind' AS axis, unit_kind AS value, count(*) AS count FROM ut GROUP BY 2 UNION ALL "
+    "SELECT 'animal', coalesce(animal, 'none'), count(*) FROM ut GROUP BY 2 UNION ALL "
+    "SELECT 'dataset', coalesce(dataset, 'none'), count(*) FROM ut GROUP BY 2")
 def _(s, d):
     return state.staged_read(state.discovered_units(_markers(s, d)), ["unit_kind", "animal", "dataset"])[0]
 
@@ -112,15 +137,20 @@ def _(s, d):
     return state.staged_read(state.discovered_units(_markers(s, d)), ["unit_kind"], {"animal": ["d1", "d2", "d3"]}, ["unit_path"], length=0)[1]
 
 
-PLAN = """pn AS (SELECT CASE WHEN l_linestatus = 'F' THEN 'session' ELSE 'dataset' END AS unit_kind, CASE l_linenumber % 5 WHEN 0 THEN 'checksum' WHEN 1 THEN 'runtime' WHEN 2 THEN 'microcontroller' WHEN 3 THEN 'video' ELSE 'two_photon' END AS pipeline,
- l_suppkey AS unit, CAST(l_quantity AS BIGINT) AS cores, CAST(floor(l_extendedprice) AS BIGINT) AS memory_mb, CAST(floor(l_extendedprice / 2) AS BIGINT) AS resident_mb, l_partkey % 3 AS model_version FROM lineitem)"""
+PLAN = """pn AS (SELECT CASE WHEN l_linestatus = 'F' THEN 'session' ELSE 'dataset' END AS unit_kind, CASE l_linenumber % 5
+    WHEN 0 THEN 'checksum' WHEN 1 THEN 'runtime' WHEN 2 THEN 'microcontroller' WHEN 3 THEN 'video' ELSE 'two_photon' END AS pipeline,
+ l_suppkey AS unit, CAST(l_quantity AS BIGINT) AS cores, CAST(floor(l_extendedprice) AS BIGINT) AS memory_mb,
+    CAST(floor(l_extendedprice / 2) AS BIGINT) AS resident_mb, l_partkey % 3 AS model_version FROM lineitem)"""
 
 
 def _plan(s, d):
     line = read(s, d, "lineitem")
     return line.select(
-        F.when(F.col("l_linestatus") == "F", "session").otherwise("dataset").alias("unit_kind"), F.get(F.array(*map(F.lit, PIPELINES)), F.col("l_linenumber") % 5).alias("pipeline"), F.col("l_suppkey").alias("unit"),
-        F.col("l_quantity").cast("bigint").alias("cores"), F.floor("l_extendedprice").alias("memory_mb"), F.floor(F.col("l_extendedprice") / 2).alias("resident_mb"), (F.col("l_partkey") % 3).alias("model_version"),
+        F.when(F.col("l_linestatus") == "F", "session").otherwise("dataset").alias("unit_kind"),
+        F.get(F.array(*map(F.lit, PIPELINES)), F.col("l_linenumber") % 5).alias("pipeline"),
+        F.col("l_suppkey").alias("unit"),
+        F.col("l_quantity").cast("bigint").alias("cores"), F.floor("l_extendedprice").alias("memory_mb"),
+        F.floor(F.col("l_extendedprice") / 2).alias("resident_mb"), (F.col("l_partkey") % 3).alias("model_version"),
     )
 
 
@@ -148,14 +178,19 @@ def _(s, d):
 
 @query(
     "m10_summary",
-    with_(JOBS, MANIFEST) + "SELECT 'rows' AS axis, 'all' AS value, count(*) AS count FROM mf UNION ALL SELECT 'animals', 'distinct', count(DISTINCT animal) FROM mf UNION ALL SELECT 'type', type, count(*) FROM mf GROUP BY type"
-    + "".join(f" UNION ALL SELECT '{p}', 'done', CAST(sum({p}) AS BIGINT) FROM mf UNION ALL SELECT '{p}', 'open', CAST(sum(1 - {p}) AS BIGINT) FROM mf" for p in PIPELINES),
+    with_(JOBS, MANIFEST) + "SELECT 'rows' AS axis, 'all' AS value, count(*) AS count FROM mf UNION ALL "
+    "SELECT 'animals', 'distinct', count(DISTINCT animal) FROM mf UNION ALL SELECT 'type', type, count(*) FROM mf "
+    "GROUP BY type"
+    + "".join(f" UNION ALL SELECT '{p}', 'done', CAST(sum({p}) AS BIGINT) FROM mf UNION ALL "
+        f"SELECT '{p}', 'open', CAST(sum(1 - {p}) AS BIGINT) FROM mf" for p in PIPELINES),
 )
 def _(s, d):
     return state.summary(_manifest(s, d), PIPELINES, ["type"])
 
 
-@query("m11_session_index", "SELECT o_custkey AS animal, o_orderkey AS session, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS index FROM orders")
+@query("m11_session_index",
+    "SELECT o_custkey AS animal, o_orderkey AS session, row_number() OVER (PARTITION BY o_custkey "
+    "ORDER BY o_orderkey) AS index FROM orders")
 def _(s, d):
     rows = _sessions(s, d).select("animal", "session", F.concat(F.lit("s"), "session").alias("name"))
     return state.ranked(rows, "name", ["animal"]).drop("name")
@@ -166,12 +201,17 @@ def _(s, d):
     return state.view(_manifest(s, d), 10, ["session", "type", "video"])
 
 
-@query("m13_breakdown", with_(JOBS) + "SELECT 'pipeline' AS axis, pipeline AS value, count(*) AS count FROM jb GROUP BY pipeline UNION ALL SELECT 'status', status, count(*) FROM jb GROUP BY status UNION ALL SELECT 'animal', NULL, count(DISTINCT animal) FROM jb")
+@query("m13_breakdown", with_(JOBS)
+    + "SELECT 'pipeline' AS axis, pipeline AS value, count(*) AS count FROM jb GROUP BY pipeline UNION ALL "
+    "SELECT 'status', status, count(*) FROM jb GROUP BY status UNION ALL SELECT 'animal', NULL, count(DISTINCT animal) "
+    "FROM jb")
 def _(s, d):
     return state.breakdown(_jobs(s, d), ["pipeline", "status", "animal"])
 
 
-@query("m14_unknown_values", "SELECT v AS value, (SELECT list(DISTINCT o_orderstatus ORDER BY o_orderstatus) FROM orders) AS known FROM (VALUES ('X'), ('Y')) t(v)")
+@query("m14_unknown_values",
+    "SELECT v AS value, (SELECT list(DISTINCT o_orderstatus ORDER BY o_orderstatus) FROM orders) AS known "
+    "FROM (VALUES ('X'), ('Y')) t(v)")
 def _(s, d):
     return state.unknown_values(_sessions(s, d), "type", ["F", "X", "Y"])
 
@@ -182,24 +222,35 @@ def _(s, d):
     return state.page(_sessions(s, d).select("session"), ["session"], 100, 50)
 
 
-@query("m16_manifest_jobs", with_(JOBS, MANIFEST) + "SELECT mf.session, mf.type, pipeline, status, count(*) AS jobs FROM mf JOIN jb ON mf.animal = jb.animal AND mf.session = jb.session GROUP BY ALL")
+@query("m16_manifest_jobs", with_(JOBS, MANIFEST)
+    + "SELECT mf.session, mf.type, pipeline, status, count(*) AS jobs FROM mf JOIN jb ON mf.animal = jb.animal "
+    "AND mf.session = jb.session GROUP BY ALL")
 def _(s, d):
-    return state.with_jobs(_manifest(s, d).select("animal", "session", "type"), _jobs(s, d)).groupBy("session", "type", "pipeline", "status").agg(F.count(F.lit(1)).alias("jobs"))
+    return state.with_jobs(_manifest(s, d).select("animal", "session", "type"), _jobs(s, d)).groupBy("session", "type",
+        "pipeline", "status").agg(F.count(F.lit(1)).alias("jobs"))
 
 
-@query("m17_without_empty", "SELECT CASE WHEN n_nationkey % 2 = 0 THEN '{\"key\":' || n_nationkey || ',\"name\":\"' || n_name || '\"}' ELSE '{\"key\":' || n_nationkey || '}' END AS record FROM nation")
+@query("m17_without_empty",
+    "SELECT CASE WHEN n_nationkey % 2 = 0 THEN '{\"key\":' || n_nationkey || ',\"name\":\"' || n_name || '\"}' "
+    "ELSE '{\"key\":' || n_nationkey || '}' END AS record FROM nation")
 def _(s, d):
-    return state.without_empty(read(s, d, "nation").select(F.col("n_nationkey").alias("key"), F.when(F.col("n_nationkey") % 2 == 0, F.col("n_name")).otherwise("").alias("name")))
+    return state.without_empty(read(s, d, "nation").select(F.col("n_nationkey").alias("key"),
+            F.when(F.col("n_nationkey") % 2 == 0, F.col("n_name")).otherwise("").alias("name")))
 
 
-@query("m18_filtered_listing", with_(JOBS) + "SELECT session, line, pipeline, status FROM jb WHERE status IN ('FAILED', 'RUNNING') AND pipeline = 'video'")
+@query("m18_filtered_listing", with_(JOBS)
+    + "SELECT session, line, pipeline, status FROM jb WHERE status IN ('FAILED', 'RUNNING') AND pipeline = 'video'")
 def _(s, d):
-    return state.listing(_jobs(s, d).select("session", "line", "pipeline", "status"), {"status": ["FAILED", "RUNNING"], "pipeline": ["video"]}, ["session", "line"], 0, 0)
+    return state.listing(_jobs(s, d).select("session", "line", "pipeline", "status"),
+        {"status": ["FAILED", "RUNNING"], "pipeline": ["video"]}, ["session", "line"], 0, 0)
 
 
-@query("m19_dataset_listing", "SELECT l_suppkey AS dataset, count(DISTINCT l_orderkey) AS sessions, count(DISTINCT l_orderkey % 97) AS animals FROM lineitem WHERE l_suppkey IN (SELECT l_suppkey FROM lineitem WHERE l_orderkey % 97 = 5) GROUP BY 1")
+@query("m19_dataset_listing",
+    "SELECT l_suppkey AS dataset, count(DISTINCT l_orderkey) AS sessions, count(DISTINCT l_orderkey % 97) AS animals "
+    "FROM lineitem WHERE l_suppkey IN (SELECT l_suppkey FROM lineitem WHERE l_orderkey % 97 = 5) GROUP BY 1")
 def _(s, d):
-    members = read(s, d, "lineitem").select(F.col("l_suppkey").alias("dataset"), (F.col("l_orderkey") % 97).alias("animal"), F.col("l_orderkey").alias("session"))
+    members = read(s, d, "lineitem").select(F.col("l_suppkey").alias("dataset"),
+        (F.col("l_orderkey") % 97).alias("animal"), F.col("l_orderkey").alias("session"))
     return state.dataset_listing(members, animal=5)
 
 
@@ -209,65 +260,96 @@ def _(s, d):
     return read(s, d, "orders").select(F.col("o_orderkey").alias("session"), state.session_date(name).cast("timestamp_ntz").alias("date"))
 
 
-@query("m21_elapsed_seconds", "SELECT event_id, CASE WHEN event_id % 5 = 0 THEN NULL ELSE round_even((CASE WHEN event_id % 3 = 0 THEN 1800000000000000 ELSE epoch_us(ts) + event_id * 1000 END - epoch_us(ts)) / 1e6, 3) END AS seconds FROM events")
+@query("m21_elapsed_seconds",
+    "SELECT event_id, CASE WHEN event_id % 5 = 0 THEN NULL ELSE round_even((CASE WHEN event_id % 3 = 0 "
+    "THEN 1800000000000000 ELSE epoch_us(ts) + event_id * 1000 END - epoch_us(ts)) / 1e6, 3) END AS seconds FROM events")
 def _(s, d):
     from chronoweave.plans.tables import micros
 
-    rows = read(s, d, "events").select("event_id", F.when(F.col("event_id") % 5 != 0, micros("ts")).alias("a"), F.when(F.col("event_id") % 3 != 0, micros("ts") + F.col("event_id") * 1000).alias("b"))
+    rows = read(s, d, "events").select("event_id", F.when(F.col("event_id") % 5 != 0, micros("ts")).alias("a"),
+        F.when(F.col("event_id") % 3 != 0, micros("ts") + F.col("event_id") * 1000).alias("b"))
     return rows.select("event_id", state.elapsed_seconds(F.col("a"), F.col("b"), 1_800_000_000_000_000).alias("seconds"))
 
 
-@query("m22_batch_status", "SELECT o_custkey % 20 AS batch_id, coalesce(CASE WHEN o_orderkey % 3 > 0 THEN o_orderstatus END, 'SCHEDULED') AS status, count(*) AS jobs FROM orders GROUP BY ALL")
+@query("m22_batch_status", "SELECT o_custkey % 20 AS batch_id, coalesce(CASE WHEN o_orderkey % 3 > 0 "
+    "THEN o_orderstatus END, 'SCHEDULED') AS status, count(*) AS jobs FROM orders GROUP BY ALL")
 def _(s, d):
-    orders = read(s, d, "orders").select((F.col("o_custkey") % 20).alias("batch_id"), F.col("o_orderkey").alias("job_id"), F.col("o_orderstatus").alias("status"))
-    return state.batch_status(orders.drop("status"), orders.filter("job_id % 3 > 0")).groupBy("batch_id", "status").agg(F.count(F.lit(1)).alias("jobs"))
+    orders = read(s, d, "orders").select((F.col("o_custkey") % 20).alias("batch_id"), F.col("o_orderkey").alias("job_id"),
+        F.col("o_orderstatus").alias("status"))
+    return state.batch_status(orders.drop("status"), orders.filter("job_id % 3 > 0")).groupBy("batch_id",
+        "status").agg(F.count(F.lit(1)).alias("jobs"))
 
 
-@query("m23_plan_totals", with_(PLAN) + "SELECT count(*) AS jobs, CAST(sum(memory_mb) AS BIGINT) AS sum_memory_mb, max(memory_mb) AS max_memory_mb, CAST(sum(resident_mb) AS BIGINT) AS sum_resident_mb, max(resident_mb) AS max_resident_mb, max(cores) AS max_cores FROM pn")
+@query("m23_plan_totals", with_(PLAN)
+    + "SELECT count(*) AS jobs, CAST(sum(memory_mb) AS BIGINT) AS sum_memory_mb, max(memory_mb) AS max_memory_mb, "
+    "CAST(sum(resident_mb) AS BIGINT) AS sum_resident_mb, max(resident_mb) AS max_resident_mb, max(cores) AS max_cores "
+    "FROM pn")
 def _(s, d):
     return state.plan_totals(_plan(s, d))
 
 
-@query("m24_plan_breakdown", with_(PLAN) + "SELECT unit_kind, pipeline, count(*) AS jobs, CAST(sum(memory_mb) AS BIGINT) AS memory_mb, CAST(sum(resident_mb) AS BIGINT) AS resident_mb, max(cores) AS cores FROM pn GROUP BY ALL")
+@query("m24_plan_breakdown", with_(PLAN)
+    + "SELECT unit_kind, pipeline, count(*) AS jobs, CAST(sum(memory_mb) AS BIGINT) AS memory_mb, CAST(sum(resident_mb) AS "
+    "BIGINT) AS resident_mb, max(cores) AS cores FROM pn GROUP BY ALL")
 def _(s, d):
     return state.plan_breakdown(_plan(s, d))
 
 
-@query("m25_planned_units", with_(PLAN) + "SELECT p_partkey AS unit, jobs, memory_mb, resident_mb, CASE WHEN jobs IS NULL THEN 'no job is planned for this unit' END AS reason FROM part LEFT JOIN (SELECT unit, count(*) AS jobs, CAST(sum(memory_mb) AS BIGINT) AS memory_mb, CAST(sum(resident_mb) AS BIGINT) AS resident_mb FROM pn GROUP BY unit) ON unit = p_partkey")
+@query("m25_planned_units", with_(PLAN)
+    + "SELECT p_partkey AS unit, jobs, memory_mb, resident_mb, CASE WHEN jobs IS NULL "
+    "THEN 'no job is planned for this unit' END AS reason FROM part LEFT "
+    "JOIN (SELECT unit, count(*) AS jobs, CAST(sum(memory_mb) AS BIGINT) AS memory_mb, CAST(sum(resident_mb) AS BIGINT) "
+    "AS resident_mb FROM pn GROUP BY unit) ON unit = p_partkey")
 def _(s, d):
     return state.planned_units(read(s, d, "part").select(F.col("p_partkey").alias("unit")), _plan(s, d))
 
 
 POLICY = [("F", "video"), ("F", "runtime"), ("O", "checksum")]
 NEED = """po AS (SELECT * FROM (VALUES ('F', 'video'), ('F', 'runtime'), ('O', 'checksum')) t(type, pipeline)),
- ne AS (SELECT o_custkey AS animal, o_orderkey AS session, po.pipeline, (SELECT count(*) FROM jb WHERE jb.session = o_orderkey AND jb.pipeline = po.pipeline) AS n, (SELECT count(*) FROM jb WHERE jb.session = o_orderkey AND jb.pipeline = po.pipeline AND status = 'SUCCEEDED') AS k FROM orders JOIN po ON po.type = o_orderstatus),
- ou AS (SELECT animal, session, list(pipeline || ': ' || k || ' of ' || n ORDER BY pipeline) AS outstanding FROM ne WHERE n = 0 OR k < n GROUP BY ALL UNION ALL SELECT o_custkey, o_orderkey, NULL FROM orders WHERE o_orderstatus NOT IN ('F', 'O'))"""
+ ne AS (SELECT o_custkey AS animal, o_orderkey AS session, po.pipeline, (SELECT count(*) FROM jb
+    WHERE jb.session = o_orderkey AND jb.pipeline = po.pipeline) AS n, (SELECT count(*) FROM jb WHERE jb.session = o_orderkey
+    AND jb.pipeline = po.pipeline AND status = 'SUCCEEDED') AS k FROM orders JOIN po ON po.type = o_orderstatus),
+ ou AS (SELECT animal, session, list(pipeline || ': ' || k || ' of ' || n ORDER BY pipeline) AS outstanding FROM ne
+    WHERE n = 0 OR k < n GROUP BY ALL UNION ALL SELECT o_custkey, o_orderkey, NULL FROM orders WHERE o_orderstatus NOT IN ('F', 'O'))"""
 
 
 @query("d1_admission", with_(JOBS, NEED) + "SELECT * FROM ou")
 def _(s, d):
-    return datasets.outstanding(_sessions(s, d).select("animal", "session", "type"), s.createDataFrame(POLICY, "type string, pipeline string"), _jobs(s, d))
+    return datasets.outstanding(_sessions(s, d).select("animal", "session", "type"),
+        s.createDataFrame(POLICY, "type string, pipeline string"), _jobs(s, d))
 
 
-@query("d1_admitted", with_(JOBS, NEED) + "SELECT o_custkey AS animal, o_orderkey AS session, o_orderstatus AS type FROM orders WHERE o_orderkey NOT IN (SELECT session FROM ou)")
+@query("d1_admitted", with_(JOBS, NEED)
+    + "SELECT o_custkey AS animal, o_orderkey AS session, o_orderstatus AS type FROM orders "
+    "WHERE o_orderkey NOT IN (SELECT session FROM ou)")
 def _(s, d):
-    return datasets.admitted(_sessions(s, d).select("animal", "session", "type"), s.createDataFrame(POLICY, "type string, pipeline string"), _jobs(s, d))
+    return datasets.admitted(_sessions(s, d).select("animal", "session", "type"),
+        s.createDataFrame(POLICY, "type string, pipeline string"), _jobs(s, d))
 
 
-@query("d2_homogeneous", "WITH m AS (SELECT o_custkey AS dataset, o_orderkey AS session, o_orderstatus AS type, o_orderpriority AS system FROM orders), f AS (SELECT dataset, arg_min(type, session) AS t, arg_min(system, session) AS s FROM m GROUP BY 1) SELECT m.dataset, session, type, system FROM m JOIN f USING (dataset) WHERE type <> t OR system <> s")
+@query("d2_homogeneous", "WITH m AS (SELECT o_custkey AS dataset, o_orderkey AS session, o_orderstatus AS type, o_orderpriority AS system "
+    "FROM orders), f AS (SELECT dataset, arg_min(type, session) AS t, arg_min(system, session) AS s FROM m GROUP BY 1) "
+    "SELECT m.dataset, session, type, system FROM m JOIN f USING (dataset) WHERE type <> t OR system <> s")
 def _(s, d):
     members = _sessions(s, d).select(F.col("animal").alias("dataset"), "session", "type", "system", F.col("session").alias("position"))
     return datasets.unlike_first(members).drop("position")
 
 
-@query("d3_name_resolution", "WITH r AS (SELECT 'p' || (l_partkey % 500) AS name, min(l_orderkey * 10 + l_linenumber) AS position FROM lineitem GROUP BY 1), f AS (SELECT 'p' || (p_partkey % 700) AS name, count(*) AS n, min(p_name) AS path FROM part GROUP BY 1) SELECT name, position, coalesce(n, 0) AS matches, CASE WHEN n = 1 THEN path END AS path FROM r LEFT JOIN f USING (name)")
+@query("d3_name_resolution",
+    "WITH r AS (SELECT 'p' || (l_partkey % 500) AS name, min(l_orderkey * 10 + l_linenumber) AS position FROM lineitem "
+    "GROUP BY 1), f AS (SELECT 'p' || (p_partkey % 700) AS name, count(*) AS n, min(p_name) AS path FROM part "
+    "GROUP BY 1) SELECT name, position, coalesce(n, 0) AS matches, CASE WHEN n = 1 THEN path END AS path FROM r LEFT "
+    "JOIN f USING (name)")
 def _(s, d):
-    requests = read(s, d, "lineitem").select(F.concat(F.lit("p"), F.col("l_partkey") % 500).alias("name"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("position"))
+    requests = read(s, d, "lineitem").select(F.concat(F.lit("p"), F.col("l_partkey") % 500).alias("name"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("position"))
     found = read(s, d, "part").select(F.concat(F.lit("p"), F.col("p_partkey") % 700).alias("name"), F.col("p_name").alias("path"))
     return datasets.resolved_names(requests, found)
 
 
-@query("d4_membership_changes", "SELECT o_custkey AS animal, o_orderkey AS session, CASE WHEN o_custkey % 4 = 0 THEN 'refused' ELSE 'add' END AS change FROM orders WHERE o_orderkey % 3 <> 0")
+@query("d4_membership_changes",
+    "SELECT o_custkey AS animal, o_orderkey AS session, CASE WHEN o_custkey % 4 = 0 THEN 'refused' "
+    "ELSE 'add' END AS change FROM orders WHERE o_orderkey % 3 <> 0")
 def _(s, d):
     sessions = _sessions(s, d).select("animal", "session")
     return datasets.membership_changes(sessions.filter("session % 3 = 0"), sessions, sessions.filter("animal % 4 = 0"))
@@ -283,8 +365,14 @@ def _(s, d):
     return datasets.latest_per_animal(_sessions(s, d).select("animal", F.concat(F.lit("s"), "session").alias("session")))
 
 
-MEMBERS = "mb AS (SELECT DISTINCT l_suppkey AS dataset, o_custkey AS animal, l_orderkey AS session FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"
-UNIVERSE = "un AS (SELECT DISTINCT dataset, animal, CAST(NULL AS BIGINT) AS session, 'discover' AS job_name FROM mb UNION ALL SELECT dataset, animal, session, unnest(['extract', 'assemble']) FROM mb)"
+MEMBERS = (
+    "mb AS (SELECT DISTINCT l_suppkey AS dataset, o_custkey AS animal, l_orderkey AS session FROM lineitem "
+    "JOIN orders ON l_orderkey = o_orderkey)"
+)
+UNIVERSE = (
+    "un AS (SELECT DISTINCT dataset, animal, CAST(NULL AS BIGINT) AS session, 'discover' AS job_name FROM mb UNION ALL "
+    "SELECT dataset, animal, session, unnest(['extract', 'assemble']) FROM mb)"
+)
 
 
 def _members(s, d):
@@ -296,12 +384,16 @@ def _(s, d):
     return datasets.universe(_members(s, d))
 
 
-@query("d7_job_edges", with_(MEMBERS, UNIVERSE) + "SELECT dataset, animal, session, job_name, CASE job_name WHEN 'extract' THEN 'discover' ELSE 'extract' END AS needs FROM un WHERE job_name <> 'discover'")
+@query("d7_job_edges", with_(MEMBERS, UNIVERSE)
+    + "SELECT dataset, animal, session, job_name, CASE job_name WHEN 'extract' THEN 'discover' ELSE 'extract' END AS needs "
+    "FROM un WHERE job_name <> 'discover'")
 def _(s, d):
     return datasets.job_edges(datasets.universe(_members(s, d))).select("dataset", "animal", "session", "job_name", "needs")
 
 
-@query("d8_outstanding_jobs", with_(JOBS) + "SELECT DISTINCT session, line FROM jb WHERE (session, line) NOT IN (SELECT (session, line) FROM jb WHERE status = 'SUCCEEDED')")
+@query("d8_outstanding_jobs", with_(JOBS)
+    + "SELECT DISTINCT session, line FROM jb WHERE (session, line) NOT IN (SELECT (session, line) FROM jb "
+    "WHERE status = 'SUCCEEDED')")
 def _(s, d):
     jobs = _jobs(s, d)
     return datasets.not_succeeded(jobs.select("session", "line").distinct(), jobs, ["session", "line"])
@@ -313,13 +405,21 @@ def _(s, d):
     return datasets.reset(jobs, jobs.filter("animal % 10 = 0"), ["animal"]).select("session", "line", "part", "status")
 
 
-@query("d11_camera_jobs", "WITH c AS (SELECT DISTINCT l_orderkey AS session, l_linenumber AS camera FROM lineitem), a AS (SELECT l_orderkey AS session, l_linenumber AS camera, count(*) AS n FROM lineitem WHERE l_returnflag <> 'A' GROUP BY ALL), p AS (SELECT DISTINCT l_orderkey AS session, l_linenumber AS camera FROM lineitem WHERE l_linestatus = 'F') SELECT c.session, c.camera, 'clock' AS job_name, coalesce(n, 0) = 1 AS possible FROM c LEFT JOIN a USING (session, camera) UNION ALL SELECT c.session, c.camera, 'pose', p.session IS NOT NULL FROM c LEFT JOIN p USING (session, camera)")
+@query("d11_camera_jobs", "WITH c AS (SELECT DISTINCT l_orderkey AS session, l_linenumber AS camera "
+    "FROM lineitem), a AS (SELECT l_orderkey AS session, l_linenumber AS camera, count(*) AS n FROM lineitem "
+    "WHERE l_returnflag <> 'A' GROUP BY ALL), p AS (SELECT DISTINCT l_orderkey AS session, l_linenumber AS camera "
+    "FROM lineitem WHERE l_linestatus = 'F') SELECT c.session, c.camera, 'clock' AS job_name, coalesce(n, 0) = 1 AS "
+    "possible FROM c LEFT JOIN a USING (session, camera) UNION ALL "
+    "SELECT c.session, c.camera, 'pose', p.session IS NOT NULL FROM c LEFT JOIN p USING (session, camera)")
 def _(s, d):
     line = read(s, d, "lineitem").select(F.col("l_orderkey").alias("session"), F.col("l_linenumber").alias("camera"), "l_returnflag", "l_linestatus")
     return datasets.camera_jobs(line.select("session", "camera").distinct(), line.filter("l_returnflag <> 'A'"), line.filter("l_linestatus = 'F'"))
 
 
-@query("d12_merged_membership", "SELECT o_custkey AS animal, o_orderkey AS session, o_custkey IN (SELECT o_custkey FROM orders WHERE o_orderkey % 5 = 1 UNION SELECT o_custkey FROM orders WHERE o_orderkey % 50 = 2) AS build FROM orders WHERE o_orderkey % 5 IN (0, 1)")
+@query("d12_merged_membership",
+    "SELECT o_custkey AS animal, o_orderkey AS session, o_custkey IN (SELECT o_custkey FROM orders "
+    "WHERE o_orderkey % 5 = 1 UNION SELECT o_custkey FROM orders WHERE o_orderkey % 50 = 2) AS build FROM orders "
+    "WHERE o_orderkey % 5 IN (0, 1)")
 def _(s, d):
     rows = _sessions(s, d).select("animal", "session")
     return datasets.merged_membership(rows.filter("session % 5 = 0"), rows.filter("session % 5 in (0, 1)"), rows.filter("session % 50 = 2"))
@@ -331,23 +431,33 @@ def _(s, d):
 
 
 # Job n of an order needs the jobs n - 1 and n - 2.
-LINES = "ln AS (SELECT l_orderkey * 10 + l_linenumber AS job_id, l_orderkey AS unit, min(l_linenumber) AS line, max(CASE WHEN l_returnflag = 'N' THEN 'SUCCEEDED' WHEN l_returnflag = 'A' THEN 'FAILED' ELSE 'SCHEDULED' END) AS status, CAST(sum(l_quantity) AS BIGINT) AS cores FROM lineitem GROUP BY ALL)"
+LINES = (
+    "ln AS (SELECT l_orderkey * 10 + l_linenumber AS job_id, l_orderkey AS unit, min(l_linenumber) AS line, max(CASE "
+    "WHEN l_returnflag = 'N' THEN 'SUCCEEDED' WHEN l_returnflag = 'A' THEN 'FAILED' "
+    "ELSE 'SCHEDULED' END) AS status, CAST(sum(l_quantity) AS BIGINT) AS cores FROM lineitem GROUP BY ALL)"
+)
 EDGES = "ed AS (SELECT job_id, job_id - k AS needs FROM ln, (VALUES (1), (2)) t(k) WHERE line - k >= 1)"
 
 
 def _lines(s, d):
     status = F.when(F.col("l_returnflag") == "N", "SUCCEEDED").when(F.col("l_returnflag") == "A", "FAILED").otherwise("SCHEDULED")
     rows = read(s, d, "lineitem")
-    return rows.groupBy((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("job_id"), F.col("l_orderkey").alias("unit")).agg(F.min("l_linenumber").alias("line"), F.max(status).alias("status"), F.sum("l_quantity").cast("bigint").alias("cores"))
+    return rows.groupBy((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("job_id"),
+        F.col("l_orderkey").alias("unit")).agg(F.min("l_linenumber").alias("line"), F.max(status).alias("status"),
+        F.sum("l_quantity").cast("bigint").alias("cores"))
 
 
 def _edges(jobs):
-    return jobs.select("job_id", "line", F.explode(F.array(F.lit(1), F.lit(2))).alias("k")).filter("line - k >= 1").select("job_id", (F.col("job_id") - F.col("k")).alias("needs"))
+    return jobs.select("job_id", "line", F.explode(F.array(F.lit(1), F.lit(2)))
+        .alias("k")).filter("line - k >= 1").select("job_id", (F.col("job_id") - F.col("k")).alias("needs"))
 
 
 @query(
     "g1_batch_document",
-    with_(LINES) + """, u AS (SELECT DISTINCT o_orderkey AS unit FROM orders), t AS (SELECT u.unit, job_id, status FROM u LEFT JOIN ln USING (unit)), op AS (SELECT t.unit, t.job_id, t.status, CASE WHEN ln.line <= 4 THEN CAST(ln.cores AS INTEGER) END AS cores, CASE WHEN ln.line <= 4 THEN ln.cores * 100 END AS memory_mb FROM t JOIN ln ON t.job_id = ln.job_id WHERE t.status <> 'SUCCEEDED'),
+    with_(LINES) + """, u AS (SELECT DISTINCT o_orderkey AS unit FROM orders), t AS (SELECT u.unit, job_id, status FROM u
+    LEFT JOIN ln USING (unit)), op AS (SELECT t.unit, t.job_id, t.status, CASE WHEN ln.line <= 4 THEN
+    CAST(ln.cores AS INTEGER) END AS cores, CASE WHEN ln.line <= 4 THEN ln.cores * 100 END AS memory_mb FROM t
+    JOIN ln ON t.job_id = ln.job_id WHERE t.status <> 'SUCCEEDED'),
  un AS (SELECT unit, count(*) FILTER (WHERE cores IS NULL) AS n FROM op GROUP BY unit)
  SELECT op.*, CASE WHEN n > 0 THEN 'jobs without a plan' END AS reason FROM op JOIN un USING (unit) UNION ALL SELECT unit, NULL, NULL, NULL, NULL, 'no job state' FROM t WHERE job_id IS NULL""",
 )
@@ -358,30 +468,42 @@ def _(s, d):
     return graph.batch_document(units, jobs.select("unit", "job_id", "status"), plan)
 
 
-@query("g2_narrowed_edges", with_(LINES, EDGES) + "SELECT unit, ln.job_id, coalesce((SELECT list(needs ORDER BY needs) FROM ed WHERE ed.job_id = ln.job_id AND needs IN (SELECT job_id FROM ln)), []) AS prerequisites FROM ln")
+@query("g2_narrowed_edges", with_(LINES, EDGES)
+    + "SELECT unit, ln.job_id, coalesce((SELECT list(needs ORDER BY needs) FROM ed WHERE ed.job_id = ln.job_id "
+    "AND needs IN (SELECT job_id FROM ln)), []) AS prerequisites FROM ln")
 def _(s, d):
     jobs = _lines(s, d)
     return graph.narrowed(jobs.select("unit", "job_id", F.array(F.col("job_id") - 1, F.col("job_id") - 2).alias("prerequisites")))
 
 
 HERE = "hr AS (SELECT *, status <> 'FAILED' AND line < 7 AS here FROM ln)"
-BLOCKED = """RECURSIVE_MARK bk(job_id) AS (SELECT ed.job_id FROM ed JOIN hr ON hr.job_id = ed.job_id AND hr.here LEFT JOIN hr n ON n.job_id = needs WHERE n.job_id IS NULL OR (NOT n.here AND n.status <> 'SUCCEEDED')
+BLOCKED = """RECURSIVE_MARK bk(job_id) AS (SELECT ed.job_id FROM ed JOIN hr ON hr.job_id = ed.job_id AND hr.here LEFT
+    JOIN hr n ON n.job_id = needs WHERE n.job_id IS NULL OR (NOT n.here AND n.status <> 'SUCCEEDED')
  UNION SELECT ed.job_id FROM bk JOIN ed ON ed.needs = bk.job_id JOIN hr ON hr.job_id = ed.job_id AND hr.here)"""
 
 
-@query("g3_blocked_jobs", ("WITH RECURSIVE " + ",\n".join([LINES, EDGES, HERE, BLOCKED.replace("RECURSIVE_MARK ", "")])) + " SELECT DISTINCT job_id FROM bk")
+@query("g3_blocked_jobs", ("WITH RECURSIVE " + ",\n".join([LINES, EDGES, HERE, BLOCKED.replace("RECURSIVE_MARK ", "")]))
+    + " SELECT DISTINCT job_id FROM bk")
 def _(s, d):
     jobs = settled(_lines(s, d))
     return graph.blocked(jobs.withColumn("here", (F.col("status") != "FAILED") & (F.col("line") < 7)), _edges(jobs)).select("job_id")
 
 
-@query("g4_downstream_weight", "WITH RECURSIVE " + ",\n".join([LINES, EDGES, "cl(job_id, behind) AS (SELECT needs, job_id FROM ed UNION SELECT cl.job_id, ed.job_id FROM cl JOIN ed ON ed.needs = cl.behind)"]) + " SELECT ln.job_id, CAST(coalesce((SELECT sum(b.cores) FROM cl JOIN ln b ON b.job_id = behind WHERE cl.job_id = ln.job_id), 0) AS BIGINT) AS weight FROM ln")
+@query("g4_downstream_weight", "WITH RECURSIVE " + ",\n".join([LINES, EDGES,
+            "cl(job_id, behind) AS (SELECT needs, job_id FROM ed UNION SELECT cl.job_id, ed.job_id FROM cl "
+            "JOIN ed ON ed.needs = cl.behind)"])
+    + " SELECT ln.job_id, CAST(coalesce((SELECT sum(b.cores) FROM cl JOIN ln b ON b.job_id = behind "
+    "WHERE cl.job_id = ln.job_id), 0) AS BIGINT) AS weight FROM ln")
 def _(s, d):
     jobs = settled(_lines(s, d))
     return graph.downstream_weight(jobs, _edges(jobs))
 
 
-@query("g5_depth_order", "WITH RECURSIVE " + ",\n".join([LINES, EDGES, "inn AS (SELECT * FROM ed WHERE needs IN (SELECT job_id FROM ln))", "dp(job_id, depth) AS (SELECT job_id, 0 FROM ln UNION SELECT inn.job_id, depth + 1 FROM dp JOIN inn ON inn.needs = dp.job_id)"]) + " SELECT job_id, CAST(max(depth) AS BIGINT) AS depth FROM dp GROUP BY job_id")
+@query("g5_depth_order", "WITH RECURSIVE " + ",\n".join([LINES, EDGES,
+            "inn AS (SELECT * FROM ed WHERE needs IN (SELECT job_id FROM ln))",
+            "dp(job_id, depth) AS (SELECT job_id, 0 FROM ln UNION SELECT inn.job_id, depth + 1 FROM dp "
+            "JOIN inn ON inn.needs = dp.job_id)"])
+    + " SELECT job_id, CAST(max(depth) AS BIGINT) AS depth FROM dp GROUP BY job_id")
 def _(s, d):
     jobs = settled(_lines(s, d))
     return graph.submission_order(jobs, _edges(jobs))
@@ -389,43 +511,71 @@ def _(s, d):
 
 @query(
     "g6_batch_outcome",
-    with_(LINES, EDGES, "kd AS (SELECT unit % 70 AS batch_id, ln.job_id, CASE WHEN status = 'SUCCEEDED' THEN 'succeeded' WHEN status = 'FAILED' THEN 'failed' WHEN EXISTS (SELECT 1 FROM ed JOIN ln f ON f.job_id = needs AND f.status = 'FAILED' AND f.unit % 70 = ln.unit % 70 WHERE ed.job_id = ln.job_id) THEN 'blocked' ELSE 'outstanding' END AS kind FROM ln)")
-    + "SELECT batch_id, count(*) FILTER (WHERE kind = 'succeeded') AS succeeded, count(*) FILTER (WHERE kind = 'failed') AS failed, count(*) FILTER (WHERE kind = 'blocked') AS blocked, count(*) FILTER (WHERE kind = 'outstanding') AS outstanding, coalesce(list(job_id ORDER BY job_id) FILTER (WHERE kind IN ('failed', 'blocked')), [])[1:50] AS listed, count(*) FILTER (WHERE kind = 'outstanding') = 0 AS complete FROM kd GROUP BY batch_id",
+    with_(LINES, EDGES, "kd AS (SELECT unit % 70 AS batch_id, ln.job_id, CASE WHEN status = 'SUCCEEDED' "
+        "THEN 'succeeded' WHEN status = 'FAILED' THEN 'failed' WHEN EXISTS (SELECT 1 FROM ed "
+        "JOIN ln f ON f.job_id = needs AND f.status = 'FAILED' AND f.unit % 70 = ln.unit % 70 "
+        "WHERE ed.job_id = ln.job_id) THEN 'blocked' ELSE 'outstanding' END AS kind FROM ln)")
+    + "SELECT batch_id, count(*) FILTER (WHERE kind = 'succeeded') AS succeeded, count(*) FILTER (WHERE kind = 'failed') "
+    "AS failed, count(*) FILTER (WHERE kind = 'blocked') AS blocked, count(*) FILTER (WHERE kind = 'outstanding') AS "
+    "outstanding, coalesce(list(job_id ORDER BY job_id) FILTER (WHERE kind IN ('failed', 'blocked')), [])[1:50] AS "
+    "listed, count(*) FILTER (WHERE kind = 'outstanding') = 0 AS complete FROM kd GROUP BY batch_id",
 )
 def _(s, d):
     jobs = _lines(s, d)
     return graph.outcome(jobs.select((F.col("unit") % 70).alias("batch_id"), "job_id", "status"), _edges(jobs))
 
 
-@query("g7_recorded_batches", "WITH a AS (SELECT o_custkey % 100 AS batch_id, count(*) AS jobs FROM orders WHERE o_custkey % 100 > 20 GROUP BY 1), b AS (SELECT o_custkey % 100 AS batch_id, bool_and(o_totalprice < 499000) AS complete FROM orders WHERE o_custkey % 100 < 60 GROUP BY 1) SELECT batch_id, jobs, complete, CASE WHEN complete THEN 'settled' WHEN complete IS NULL THEN 'prepared' ELSE 'running' END AS state FROM a FULL JOIN b USING (batch_id)")
+@query("g7_recorded_batches",
+    "WITH a AS (SELECT o_custkey % 100 AS batch_id, count(*) AS jobs FROM orders WHERE o_custkey % 100 > 20 "
+    "GROUP BY 1), b AS (SELECT o_custkey % 100 AS batch_id, bool_and(o_totalprice < 499000) AS complete FROM orders "
+    "WHERE o_custkey % 100 < 60 GROUP BY 1) SELECT batch_id, jobs, complete, CASE WHEN complete "
+    "THEN 'settled' WHEN complete IS NULL THEN 'prepared' ELSE 'running' END AS state FROM a FULL JOIN b USING (batch_id)")
 def _(s, d):
     rows = _sessions(s, d).withColumn("batch_id", F.col("animal") % 100)
-    return graph.recorded_batches(rows.filter("batch_id > 20").groupBy("batch_id").agg(F.count(F.lit(1)).alias("jobs")), rows.filter("batch_id < 60").groupBy("batch_id").agg(F.bool_and(F.col("o_totalprice") < 499000).alias("complete")))
+    return graph.recorded_batches(rows.filter("batch_id > 20").groupBy("batch_id").agg(F.count(F.lit(1)).alias("jobs")),
+        rows.filter("batch_id < 60").groupBy("batch_id").agg(F.bool_and(F.col("o_totalprice") < 499000)
+            .alias("complete")))
 
 
 # Submissions: orders; executors and scheduler states by remainders.
-SUBS = """sb AS (SELECT o_custkey AS batch_id, o_orderkey AS job_id, 'u' || o_custkey AS unit, CASE WHEN o_orderkey % 11 = 0 THEN '' ELSE 'a' || (o_orderkey % 5000) END AS allocation,
- CASE WHEN o_orderkey % 13 > 0 THEN CASE o_orderstatus WHEN 'F' THEN 'RUNNING' WHEN 'O' THEN 'SUCCEEDED' ELSE 'FAILED' END END AS tracked, CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderkey % 3 = 0 THEN 'slurm:a' || (o_orderkey % 4000) WHEN o_orderkey % 3 = 1 THEN 'host:1' ELSE '' END AS executor FROM orders),
+SUBS = """sb AS (SELECT o_custkey AS batch_id, o_orderkey AS job_id, 'u' || o_custkey AS unit, CASE WHEN o_orderkey % 11 = 0
+    THEN '' ELSE 'a' || (o_orderkey % 5000) END AS allocation,
+ CASE WHEN o_orderkey % 13 > 0 THEN CASE o_orderstatus WHEN 'F' THEN 'RUNNING' WHEN 'O' THEN 'SUCCEEDED'
+    ELSE 'FAILED' END END AS tracked, CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderkey % 3 = 0
+    THEN 'slurm:a' || (o_orderkey % 4000) WHEN o_orderkey % 3 = 1 THEN 'host:1' ELSE '' END AS executor FROM orders),
  sc AS (SELECT *, CASE WHEN executor LIKE 'slurm:%' THEN substr(executor, 7) ELSE '' END AS claim FROM sb),
- rd AS (SELECT 'a' || k AS allocation, CASE k % 4 WHEN 0 THEN 'COMPLETED' WHEN 1 THEN 'PENDING' WHEN 2 THEN 'UNRESOLVED' ELSE 'BLOCKED' END AS status, k % 9 = 2 AS queued, k % 31 = 0 AS canceled FROM (SELECT unnest(generate_series(0, 4499)) AS k)),
- ss AS (SELECT sc.*, {A} AS scheduler_state, CASE WHEN claim = '' THEN '' ELSE {C} END AS claim_state FROM sc LEFT JOIN rd a ON a.allocation = sc.allocation LEFT JOIN rd c ON c.allocation = sc.claim),
- rs AS (SELECT *, CASE WHEN scheduler_state = 'held' OR claim_state = 'held' THEN 'running' WHEN tracked = 'SUCCEEDED' THEN 'finished' WHEN tracked = 'FAILED' THEN 'failed' WHEN tracked = 'RUNNING' THEN CASE WHEN executor <> '' AND claim = '' THEN 'running' ELSE 'stranded' END ELSE 'abandoned' END AS verdict FROM ss)"""
-_STATE = "CASE WHEN sc.{n} = '' THEN 'gone' WHEN {t}.canceled THEN 'settled' WHEN {t}.status = 'BLOCKED' THEN 'settled' WHEN {t}.queued THEN 'held' WHEN coalesce({t}.status, 'UNRESOLVED') = 'UNRESOLVED' THEN 'gone' WHEN {t}.status = 'COMPLETED' THEN 'settled' ELSE 'held' END"
+ rd AS (SELECT 'a' || k AS allocation, CASE k % 4 WHEN 0 THEN 'COMPLETED' WHEN 1 THEN 'PENDING' WHEN 2 THEN 'UNRESOLVED'
+    ELSE 'BLOCKED' END AS status, k % 9 = 2 AS queued, k % 31 = 0 AS canceled FROM (SELECT unnest(generate_series(0, 4499)) AS k)),
+ ss AS (SELECT sc.*, {A} AS scheduler_state, CASE WHEN claim = '' THEN '' ELSE {C} END AS claim_state FROM sc LEFT
+    JOIN rd a ON a.allocation = sc.allocation LEFT JOIN rd c ON c.allocation = sc.claim),
+ rs AS (SELECT *, CASE WHEN scheduler_state = 'held' OR claim_state = 'held' THEN 'running' WHEN tracked = 'SUCCEEDED'
+    THEN 'finished' WHEN tracked = 'FAILED' THEN 'failed' WHEN tracked = 'RUNNING' THEN CASE WHEN executor <> ''
+    AND claim = '' THEN 'running' ELSE 'stranded' END ELSE 'abandoned' END AS verdict FROM ss)"""
+_STATE = (
+    "CASE WHEN sc.{n} = '' THEN 'gone' WHEN {t}.canceled THEN 'settled' WHEN {t}.status = 'BLOCKED' "
+    "THEN 'settled' WHEN {t}.queued THEN 'held' WHEN coalesce({t}.status, 'UNRESOLVED') = 'UNRESOLVED' "
+    "THEN 'gone' WHEN {t}.status = 'COMPLETED' THEN 'settled' ELSE 'held' END"
+)
 SUBS = SUBS.replace("{A}", _STATE.format(n="allocation", t="a")).replace("{C}", _STATE.format(n="claim", t="c"))
 
 
 def _claimed(s, d):
     o, k = read(s, d, "orders"), F.col("o_orderkey")
-    submissions = o.select(F.col("o_custkey").alias("batch_id"), k.alias("job_id"), F.concat(F.lit("u"), "o_custkey").alias("unit"), F.when(k % 11 == 0, "").otherwise(F.concat(F.lit("a"), k % 5000)).alias("allocation"))
+    submissions = o.select(F.col("o_custkey").alias("batch_id"), k.alias("job_id"),
+        F.concat(F.lit("u"), "o_custkey").alias("unit"), F.when(k % 11 == 0, "").otherwise(F.concat(F.lit("a"), k % 5000))
+        .alias("allocation"))
     status = F.when(F.col("o_orderstatus") == "F", "RUNNING").when(F.col("o_orderstatus") == "O", "SUCCEEDED").otherwise("FAILED")
-    tracked = o.filter(k % 13 > 0).select(k.alias("job_id"), F.concat(F.lit("u"), "o_custkey").alias("unit"), status.alias("status"), F.when(k % 3 == 0, F.concat(F.lit("slurm:a"), k % 4000)).when(k % 3 == 1, "host:1").otherwise("").alias("executor"), F.lit(1).alias("at"))
+    tracked = o.filter(k % 13 > 0).select(k.alias("job_id"), F.concat(F.lit("u"), "o_custkey").alias("unit"),
+        status.alias("status"), F.when(k % 3 == 0, F.concat(F.lit("slurm:a"), k % 4000)).when(k % 3 == 1, "host:1")
+        .otherwise("").alias("executor"), F.lit(1).alias("at"))
     return scheduler.claims(submissions, tracked)
 
 
 def _reading(s):
     k = F.col("k")
     status = F.get(F.array(*map(F.lit, ["COMPLETED", "PENDING", "UNRESOLVED", "BLOCKED"])), (k % 4).cast("int"))
-    return s.range(4500).withColumnRenamed("id", "k").select(F.concat(F.lit("a"), k).alias("allocation"), status.alias("status"), (k % 9 == 2).alias("queued"), (k % 31 == 0).alias("canceled"))
+    return s.range(4500).withColumnRenamed("id", "k").select(F.concat(F.lit("a"), k).alias("allocation"),
+        status.alias("status"), (k % 9 == 2).alias("queued"), (k % 31 == 0).alias("canceled"))
 
 
 def _resolved(s, d):
@@ -442,22 +592,30 @@ def _(s, d):
     return scheduler.queried(_claimed(s, d))
 
 
-@query("q2_q3_verdicts", with_(SUBS) + "SELECT job_id, scheduler_state, claim_state, verdict, CASE verdict WHEN 'running' THEN 'none' WHEN 'stranded' THEN 'reset_and_drop' ELSE 'drop' END AS remediation FROM rs")
+@query("q2_q3_verdicts", with_(SUBS)
+    + "SELECT job_id, scheduler_state, claim_state, verdict, CASE verdict WHEN 'running' THEN 'none' WHEN 'stranded' "
+    "THEN 'reset_and_drop' ELSE 'drop' END AS remediation FROM rs")
 def _(s, d):
     return _resolved(s, d).select("job_id", "scheduler_state", "claim_state", "verdict", "remediation")
 
 
-@query("q4_batch_verdicts", with_(SUBS) + "SELECT batch_id, " + ", ".join(f"count(*) FILTER (WHERE verdict = '{v}') AS {v}" for v in scheduler.REMEDIATION) + ", CASE WHEN bool_or(verdict = 'running') THEN 'progressing' WHEN bool_or(scheduler_state = 'gone') THEN 'stalled' ELSE 'awaiting_closure' END AS batch_verdict FROM rs GROUP BY batch_id")
+@query("q4_batch_verdicts", with_(SUBS) + "SELECT batch_id, " + ", ".join(
+        f"count(*) FILTER (WHERE verdict = '{v}') AS {v}" for v in scheduler.REMEDIATION)
+    + ", CASE WHEN bool_or(verdict = 'running') THEN 'progressing' WHEN bool_or(scheduler_state = 'gone') THEN 'stalled' "
+    "ELSE 'awaiting_closure' END AS batch_verdict FROM rs GROUP BY batch_id")
 def _(s, d):
     return scheduler.batch_verdicts(_resolved(s, d))
 
 
-@query("q5_live_allocations", with_(SUBS) + "SELECT allocation FROM rs WHERE scheduler_state = 'held' UNION SELECT claim FROM rs WHERE claim_state = 'held'")
+@query("q5_live_allocations", with_(SUBS)
+    + "SELECT allocation FROM rs WHERE scheduler_state = 'held' UNION SELECT claim FROM rs WHERE claim_state = 'held'")
 def _(s, d):
     return scheduler.live_allocations(_resolved(s, d))
 
 
-@query("q6_closable_batches", with_(SUBS) + "SELECT c_custkey AS batch_id FROM customer WHERE c_custkey NOT IN (SELECT batch_id FROM rs WHERE verdict IN ('running', 'stranded'))")
+@query("q6_closable_batches", with_(SUBS)
+    + "SELECT c_custkey AS batch_id FROM customer WHERE c_custkey NOT IN (SELECT batch_id FROM rs "
+    "WHERE verdict IN ('running', 'stranded'))")
 def _(s, d):
     return scheduler.closable(read(s, d, "customer").select(F.col("c_custkey").alias("batch_id")), _resolved(s, d))
 
@@ -469,8 +627,11 @@ def _(s, d):
 
 @query(
     "q9_reconcile",
-    "WITH RECURSIVE " + SUBS + """, de AS (SELECT job_id, CASE WHEN verdict = 'running' THEN CASE WHEN claim_state = 'held' THEN claim WHEN scheduler_state = 'held' THEN allocation END END AS adopted, verdict = 'running' AND NOT (claim_state = 'held' OR scheduler_state = 'held') AS lost FROM rs),
- wh(job_id) AS (SELECT job_id FROM de WHERE lost UNION SELECT de.job_id FROM wh JOIN de ON de.job_id = wh.job_id + 1 AND de.job_id % 10 > 0 AND de.adopted IS NULL)
+    "WITH RECURSIVE " + SUBS + """, de AS (SELECT job_id, CASE WHEN verdict = 'running' THEN CASE WHEN claim_state = 'held'
+    THEN claim WHEN scheduler_state = 'held' THEN allocation END END AS adopted, verdict = 'running'
+    AND NOT (claim_state = 'held' OR scheduler_state = 'held') AS lost FROM rs),
+ wh(job_id) AS (SELECT job_id FROM de WHERE lost UNION SELECT de.job_id FROM wh JOIN de ON de.job_id = wh.job_id + 1
+    AND de.job_id % 10 > 0 AND de.adopted IS NULL)
  SELECT job_id, CASE WHEN adopted IS NOT NULL THEN 'adopted' WHEN job_id IN (SELECT job_id FROM wh) THEN 'withheld' ELSE 'dispatchable' END AS decision, adopted AS allocation FROM de""",
 )
 def _(s, d):
@@ -479,15 +640,21 @@ def _(s, d):
     return scheduler.reconciled(rows, rows.filter("job_id % 10 > 0").select("job_id", (F.col("job_id") - 1).alias("needs")))
 
 
-ACCOUNTING = """ac AS (SELECT l_orderkey * 10 + l_linenumber AS line, l_orderkey || CASE WHEN l_linenumber = 1 THEN '' WHEN l_linenumber = 2 THEN '.extern' ELSE '.' || l_linenumber END AS job_id,
- CASE WHEN l_partkey % 7 = 0 THEN '' ELSE (l_partkey % 90) || '.50' || CASE l_suppkey % 3 WHEN 0 THEN 'K' WHEN 1 THEN 'M' ELSE 'G' END END AS max_rss, CASE WHEN l_linenumber % 2 = 0 THEN (l_partkey % 3) || '-' ELSE '' END || lpad(CAST(l_partkey % 24 AS VARCHAR), 2, '0') || ':05:00' AS elapsed, CASE WHEN l_linenumber > 1 THEN '' ELSE l_returnflag END AS state, l_partkey, l_suppkey, l_linenumber FROM lineitem)"""
+ACCOUNTING = """ac AS (SELECT l_orderkey * 10 + l_linenumber AS line, l_orderkey || CASE WHEN l_linenumber = 1 THEN ''
+    WHEN l_linenumber = 2 THEN '.extern' ELSE '.' || l_linenumber END AS job_id,
+ CASE WHEN l_partkey % 7 = 0 THEN '' ELSE (l_partkey % 90) || '.50' || CASE l_suppkey % 3 WHEN 0 THEN 'K' WHEN 1 THEN 'M'
+    ELSE 'G' END END AS max_rss, CASE WHEN l_linenumber % 2 = 0 THEN (l_partkey % 3) || '-'
+    ELSE '' END || lpad(CAST(l_partkey % 24 AS VARCHAR), 2, '0') || ':05:00' AS elapsed, CASE WHEN l_linenumber > 1 THEN ''
+    ELSE l_returnflag END AS state, l_partkey, l_suppkey, l_linenumber FROM lineitem)"""
 
 
 def _accounting(s, d):
     line, k = read(s, d, "lineitem"), F.col("l_linenumber")
     step = F.when(k == 1, "").when(k == 2, ".extern").otherwise(F.concat(F.lit("."), k))
-    rss = F.when(F.col("l_partkey") % 7 == 0, "").otherwise(F.concat(F.col("l_partkey") % 90, F.lit(".50"), F.get(F.array(F.lit("K"), F.lit("M"), F.lit("G")), (F.col("l_suppkey") % 3).cast("int"))))
-    elapsed = F.concat(F.when(k % 2 == 0, F.concat(F.col("l_partkey") % 3, F.lit("-"))).otherwise(""), F.lpad((F.col("l_partkey") % 24).cast("string"), 2, "0"), F.lit(":05:00"))
+    rss = F.when(F.col("l_partkey") % 7 == 0, "").otherwise(F.concat(F.col("l_partkey") % 90, F.lit(".50"),
+            F.get(F.array(F.lit("K"), F.lit("M"), F.lit("G")), (F.col("l_suppkey") % 3).cast("int"))))
+    elapsed = F.concat(F.when(k % 2 == 0, F.concat(F.col("l_partkey") % 3, F.lit("-"))).otherwise(""),
+        F.lpad((F.col("l_partkey") % 24).cast("string"), 2, "0"), F.lit(":05:00"))
     fields = F.concat_ws("|", F.concat("l_orderkey", step), rss, elapsed, F.when(k > 1, "").otherwise(F.col("l_returnflag")))
     lines = line.select((F.col("l_orderkey") * 10 + k).alias("line"), fields.alias("value"))
     return scheduler.accounting_rows(lines, ["job_id", "max_rss", "elapsed", "state"])
@@ -498,25 +665,37 @@ def _(s, d):
     return _accounting(s, d)
 
 
-@query("q11_sizes_and_durations", with_(ACCOUNTING) + "SELECT line, max_rss, CASE WHEN l_partkey % 7 <> 0 THEN (l_partkey % 90 + 0.5)::DOUBLE * CASE l_suppkey % 3 WHEN 0 THEN 1024 WHEN 1 THEN 1048576 ELSE 1073741824 END END AS bytes, CASE WHEN l_linenumber % 2 = 0 THEN (l_partkey % 3) * 86400.0 ELSE 0.0 END + (l_partkey % 24) * 3600.0 + 300.0 AS seconds FROM ac")
+@query("q11_sizes_and_durations", with_(ACCOUNTING)
+    + "SELECT line, max_rss, CASE WHEN l_partkey % 7 <> 0 THEN (l_partkey % 90 + 0.5)::DOUBLE * CASE l_suppkey % 3 WHEN 0 "
+    "THEN 1024 WHEN 1 THEN 1048576 ELSE 1073741824 END END AS bytes, CASE WHEN l_linenumber % 2 = 0 "
+    "THEN (l_partkey % 3) * 86400.0 ELSE 0.0 END + (l_partkey % 24) * 3600.0 + 300.0 AS seconds FROM ac")
 def _(s, d):
-    return _accounting(s, d).select("line", "max_rss", scheduler.size_bytes(F.col("max_rss")).alias("bytes"), scheduler.duration_seconds(F.col("elapsed")).alias("seconds"))
+    return _accounting(s, d).select("line", "max_rss", scheduler.size_bytes(F.col("max_rss")).alias("bytes"),
+        scheduler.duration_seconds(F.col("elapsed")).alias("seconds"))
 
 
 @query(
     "q10_accounting_merge",
-    with_(ACCOUNTING, "p AS (SELECT *, split_part(job_id, '.', 1) AS j, CASE WHEN l_partkey % 7 <> 0 THEN (l_partkey % 90 + 0.5)::DOUBLE * CASE l_suppkey % 3 WHEN 0 THEN 1024 WHEN 1 THEN 1048576 ELSE 1073741824 END END AS b, CASE WHEN l_linenumber % 2 = 0 THEN (l_partkey % 3) * 86400.0 ELSE 0.0 END + (l_partkey % 24) * 3600.0 AS sec FROM ac WHERE l_linenumber <> 2)",
+    with_(ACCOUNTING, "p AS (SELECT *, split_part(job_id, '.', 1) AS j, CASE WHEN l_partkey % 7 <> 0 "
+        "THEN (l_partkey % 90 + 0.5)::DOUBLE * CASE l_suppkey % 3 WHEN 0 THEN 1024 WHEN 1 THEN 1048576 "
+        "ELSE 1073741824 END END AS b, CASE WHEN l_linenumber % 2 = 0 THEN (l_partkey % 3) * 86400.0 "
+        "ELSE 0.0 END + (l_partkey % 24) * 3600.0 AS sec FROM ac WHERE l_linenumber <> 2)",
           "u AS (SELECT *, row_number() OVER (PARTITION BY line ORDER BY l_partkey) AS rn FROM p)")
-    + "SELECT j AS job_id, max(b) AS bytes, max(sec) + 300.0 AS seconds, coalesce(min(CASE WHEN state <> '' THEN state END), '') AS state FROM p GROUP BY j",
+    + "SELECT j AS job_id, max(b) AS bytes, max(sec) + 300.0 AS seconds, coalesce(min(CASE WHEN state <> '' "
+    "THEN state END), '') AS state FROM p GROUP BY j",
 )
 def _(s, d):
     merged = scheduler.merged_accounting(_accounting(s, d), ["max_rss"], ["elapsed"])
-    return merged.select("job_id", scheduler.size_bytes(F.col("max_rss")).alias("bytes"), scheduler.duration_seconds(F.col("elapsed")).alias("seconds"), "state")
+    return merged.select("job_id", scheduler.size_bytes(F.col("max_rss")).alias("bytes"),
+        scheduler.duration_seconds(F.col("elapsed")).alias("seconds"), "state")
 
 
 @query(
     "q12_allocation_status",
-    "SELECT CAST(c_custkey AS VARCHAR) AS allocation, CASE WHEN c_custkey % 20 = 0 AND c_custkey % 3 < 2 THEN 'BLOCKED' WHEN c_custkey % 3 = 2 THEN 'UNRESOLVED' WHEN c_custkey % 20 = 0 THEN 'BLOCKED' WHEN c_custkey % 5 = 0 THEN 'CANCELLED' WHEN c_custkey % 5 = 1 THEN 'PENDING' WHEN c_custkey % 5 = 2 THEN 'UNKNOWN' ELSE 'COMPLETED' END AS status FROM customer WHERE NOT (c_custkey % 20 = 0 AND c_custkey % 3 = 2)",
+    "SELECT CAST(c_custkey AS VARCHAR) AS allocation, CASE WHEN c_custkey % 20 = 0 AND c_custkey % 3 < 2 "
+    "THEN 'BLOCKED' WHEN c_custkey % 3 = 2 THEN 'UNRESOLVED' WHEN c_custkey % 20 = 0 "
+    "THEN 'BLOCKED' WHEN c_custkey % 5 = 0 THEN 'CANCELLED' WHEN c_custkey % 5 = 1 THEN 'PENDING' WHEN c_custkey % 5 = 2 "
+    "THEN 'UNKNOWN' ELSE 'COMPLETED' END AS status FROM customer WHERE NOT (c_custkey % 20 = 0 AND c_custkey % 3 = 2)",
 )
 def _(s, d):
     k = F.col("c_custkey")
@@ -524,12 +703,16 @@ def _(s, d):
     customers = read(s, d, "customer").filter(~((k % 20 == 0) & (k % 3 == 2)))
     rows = customers.filter(k % 3 < 2).select(k.cast("string").alias("job_id"), state_of.alias("state"), k.alias("line"))
     steps = rows.withColumn("job_id", F.concat("job_id", F.lit(".0")))
-    return scheduler.allocation_statuses(customers.select(k.cast("string").alias("allocation")), rows.unionByName(steps), customers.filter(k % 20 == 0).select(k.cast("string").alias("allocation")))
+    return scheduler.allocation_statuses(customers.select(k.cast("string").alias("allocation")), rows.unionByName(steps),
+        customers.filter(k % 20 == 0).select(k.cast("string").alias("allocation")))
 
 
-@query("q13_ledger_upsert", "SELECT o_custkey AS batch_id, 'u' || (o_orderkey % 9) AS unit, o_orderkey AS job_id, CASE WHEN o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey % 4 = 0 AND o_orderkey % 2 = 0) THEN 0 WHEN o_orderkey % 2 = 1 THEN 1 ELSE 2 END AS part FROM orders")
+@query("q13_ledger_upsert", "SELECT o_custkey AS batch_id, 'u' || (o_orderkey % 9) AS unit, o_orderkey AS job_id, "
+    "CASE WHEN o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey % 4 = 0 AND o_orderkey % 2 = 0) "
+    "THEN 0 WHEN o_orderkey % 2 = 1 THEN 1 ELSE 2 END AS part FROM orders")
 def _(s, d):
-    rows = _sessions(s, d).select(F.col("animal").alias("batch_id"), F.concat(F.lit("u"), F.col("session") % 9).alias("unit"), F.col("session").alias("job_id"))
+    rows = _sessions(s, d).select(F.col("animal").alias("batch_id"),
+        F.concat(F.lit("u"), F.col("session") % 9).alias("unit"), F.col("session").alias("job_id"))
     return scheduler.upsert(rows, rows.filter("batch_id % 4 = 0 and job_id % 2 = 0"))
 
 
@@ -539,6 +722,9 @@ def _(s, d):
     return scheduler.dropped(rows, rows.filter("batch_id % 4 = 0").select("batch_id").distinct())
 
 
-@query("q14_allocation_listing", with_(SUBS) + "SELECT batch_id, job_id, allocation, verdict FROM rs WHERE verdict IN ('stranded', 'failed') AND scheduler_state = 'gone'")
+@query("q14_allocation_listing", with_(SUBS)
+    + "SELECT batch_id, job_id, allocation, verdict FROM rs WHERE verdict IN ('stranded', 'failed') "
+    "AND scheduler_state = 'gone'")
 def _(s, d):
-    return scheduler.allocation_listing(_resolved(s, d), {"verdict": ["stranded", "failed"], "scheduler_state": ["gone"]}).select("batch_id", "job_id", "allocation", "verdict")
+    return scheduler.allocation_listing(_resolved(s, d), {"verdict": ["stranded", "failed"],
+            "scheduler_state": ["gone"]}).select("batch_id", "job_id", "allocation", "verdict")

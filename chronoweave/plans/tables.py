@@ -20,8 +20,10 @@ def micros(ts: str):
 
 def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as module messages: a user is a session, event types are codes."""
-    code = F.when(F.col("event_type") == "click", 51).when(F.col("event_type") == "view", 52).when(F.col("event_type") == "signup", 54).when(F.col("event_type") == "error", 55).otherwise(60)
-    return read(spark, sf_dir, "events").select(F.col("user_id").alias("session"), micros("ts").alias("time_us"), F.col("event_id").alias("seq"), code.alias("event"), "value")
+    code = F.when(F.col("event_type") == "click", 51).when(F.col("event_type") == "view",
+        52).when(F.col("event_type") == "signup", 54).when(F.col("event_type") == "error", 55).otherwise(60)
+    return read(spark, sf_dir, "events").select(F.col("user_id").alias("session"), micros("ts").alias("time_us"),
+        F.col("event_id").alias("seq"), code.alias("event"), "value")
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:

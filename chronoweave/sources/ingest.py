@@ -64,7 +64,8 @@ def archives(spark: SparkSession, folder: str, pattern: str = "*.log") -> DataFr
 
 def clock_spans(clocks: DataFrame, keys: list[str]) -> DataFrame:
     """First and last time and height of each clock, from one pruned column."""
-    return clocks.groupBy(*keys).agg(F.min_by("time_us", "seq").alias("first_us"), F.max_by("time_us", "seq").alias("last_us"), F.count(F.lit(1)).alias("samples"))
+    return clocks.groupBy(*keys).agg(F.min_by("time_us", "seq").alias("first_us"),
+        F.max_by("time_us", "seq").alias("last_us"), F.count(F.lit(1)).alias("samples"))
 
 
 def row_counts(table: DataFrame, keys: list[str]) -> DataFrame:
@@ -85,7 +86,9 @@ def markers(paths: DataFrame, dataset_marker: str, session_marker: str) -> DataF
     runs = rows.filter((F.col("n") == 4) & (F.get("p", 3) == session_marker)).select(F.get("p", 0).alias("animal"), F.get("p", 1).alias("session"))
     own = runs.join(sets.withColumnRenamed("dataset", "animal"), "animal", "left_anti")
     none = F.lit(None).cast("string")
-    return sets.select(F.lit("dataset").alias("kind"), "dataset", none.alias("animal"), none.alias("session")).unionByName(own.select(F.lit("session").alias("kind"), none.alias("dataset"), "animal", "session"))
+    return sets.select(F.lit("dataset").alias("kind"), "dataset", none.alias("animal"),
+        none.alias("session")).unionByName(own.select(F.lit("session").alias("kind"), none.alias("dataset"), "animal",
+            "session"))
 
 
 def named_clocks(clocks: DataFrame, cameras: DataFrame) -> DataFrame:
@@ -99,7 +102,8 @@ def name_collisions(cameras: DataFrame) -> DataFrame:
     first = violations(shared, "canonical names differ", F.lit(True), F.concat_ws("/", "session", "name"), F.format_string("%d cameras", "_n"))
     other = cameras.select("session", F.col("parsed").alias("name"), F.col("source_id").alias("_other"))
     taken = cameras.join(other, ["session", "name"]).filter("source_id <> _other")
-    return first.unionByName(violations(taken, "no camera takes another's parsed name", F.lit(True), F.concat_ws("/", "session", "name"), F.format_string("source %s", F.col("_other").cast("string"))))
+    return first.unionByName(violations(taken, "no camera takes another's parsed name", F.lit(True),
+            F.concat_ws("/", "session", "name"), F.format_string("source %s", F.col("_other").cast("string"))))
 
 
 #: Hex digits of a path's hash that name its group: 4096 groups to a session (fixed value of the digest).
@@ -114,11 +118,14 @@ def session_digests(files: DataFrame, excluded: list[str]) -> DataFrame:
     at most 4096 lines.
     """
     digest = F.sha2("content", 256)
-    own = files.filter(~F.col("name").isin(excluded)).select("session", F.substring(F.sha2("path", 256), 1, GROUP_DIGITS).alias("_group"), F.struct("path", digest.alias("digest")).alias("file"))
+    own = files.filter(~F.col("name").isin(excluded)).select("session",
+        F.substring(F.sha2("path", 256), 1, GROUP_DIGITS).alias("_group"),
+        F.struct("path", digest.alias("digest")).alias("file"))
     line = lambda f: F.concat_ws(" ", f["path"], f["digest"])
     joined = lambda rows: F.sha2(F.array_join(rows, "\n"), 256)
     groups = own.groupBy("session", "_group").agg(joined(F.transform(F.array_sort(F.collect_list("file")), line)).alias("digest"))
-    return groups.groupBy("session").agg(joined(F.transform(F.array_sort(F.collect_list(F.struct("_group", "digest"))), lambda g: F.concat_ws(" ", g["_group"], g["digest"]))).alias("digest"))
+    return groups.groupBy("session").agg(joined(F.transform(F.array_sort(F.collect_list(F.struct("_group", "digest"))),
+                lambda g: F.concat_ws(" ", g["_group"], g["digest"]))).alias("digest"))
 
 
 def has_data(files: DataFrame, excluded: list[str]) -> DataFrame:
@@ -147,7 +154,8 @@ def publish(table: DataFrame, path: str) -> None:
 
 def write_sessions(table: DataFrame, path: str) -> None:
     """One folder for each animal and session; only the ones in ``table`` are replaced."""
-    table.repartition("animal", "session").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("animal", "session").parquet(path)
+    table.repartition("animal", "session").write.mode("overwrite").option("partitionOverwriteMode",
+        "dynamic").partitionBy("animal", "session").parquet(path)
 
 
 def read_sessions(spark: SparkSession, path: str, order: Column | None = None) -> DataFrame:

@@ -109,7 +109,8 @@ def test_running_speed_equals_brute_force(spark, window):
 def test_a_long_session_is_filled_in_one_pass(spark):
     """What comes next is filled by a frame that ends at the current row: one that begins there is read to its end for every row."""
     source, targets = series(spark, [1], [1.0]), ticks(spark, [1])
-    for df in (asof.linear(source, targets, ["value"]), asof.linear(source, targets, ["value"], width=5), asof.align_all(targets, [(source, ["value"], "linear")])):
+    for df in (asof.linear(source, targets, ["value"]), asof.linear(source, targets, ["value"], width=5),
+            asof.align_all(targets, [(source, ["value"], "linear")])):
         plan = df._jdf.queryExecution().analyzed().toString()
         assert "currentrow$()" in plan and "unboundedfollowing$()" not in plan
 
@@ -136,7 +137,8 @@ def test_all_streams_at_once(spark):
 def events_of(spark, **codes):
     names = {"opened": 51, "closed": 52, "on": 54, "off": 55}
     rows = sorted((t, names[name]) for name, times in codes.items() for t in times)
-    return spark.createDataFrame([(1, t, i, c, 0.0) for i, (t, c) in enumerate(rows)], "session int, time_us bigint, seq bigint, event int, value double")
+    return spark.createDataFrame([(1, t, i, c, 0.0) for i, (t, c) in enumerate(rows)],
+        "session int, time_us bigint, seq bigint, event int, value double")
 
 
 @pytest.mark.parametrize("seed", range(3))
@@ -231,12 +233,14 @@ def test_ring_fit_against_least_squares(spark):
 def test_motion_energy_is_the_same_for_any_chunk(spark):
     rng = np.random.default_rng(4)
     planes = rng.integers(0, 256, size=(30, 7, 8), dtype=np.uint8)
-    df = spark.createDataFrame([(1, 0, i, 7, 8, p.tobytes()) for i, p in enumerate(planes)], "session int, camera int, frame bigint, height int, width int, pixels binary")
+    df = spark.createDataFrame([(1, 0, i, 7, 8, p.tobytes()) for i, p in enumerate(planes)],
+        "session int, camera int, frame bigint, height int, width int, pixels binary")
     means = np.stack([video.block_means(p) for p in planes])
     want = [np.nan, *np.abs(np.diff(means, axis=0)).mean(axis=(1, 2))]
     for size in (3, 7, 100):
         got = video.motion_energy(df, size)
-        assert np.allclose(column(got, "motion_energy"), want, equal_nan=True) and np.allclose(column(got, "frame_luminance"), means.mean(axis=(1, 2)))
+        assert np.allclose(column(got, "motion_energy"), want,
+            equal_nan=True) and np.allclose(column(got, "frame_luminance"), means.mean(axis=(1, 2)))
 
 
 def test_graph_with_a_diamond_and_a_cycle(spark):
@@ -256,14 +260,18 @@ def test_scheduler_sizes_and_durations(spark):
             text = f"{days}-{hours:02}:{minutes:02}:{seconds:02}" if days else f"{hours:02}:{minutes:02}:{seconds:02}"
             rows.append((f"{number}{unit}", text, number * 1024.0**power, days * 86400.0 + hours * 3600 + minutes * 60 + seconds))
     rows += [("none", "a:b", None, None), ("", "07:09", None, 429.0)]
-    got = spark.createDataFrame(rows, "size string, time string, b double, s double").select("b", "s", scheduler.size_bytes(F.col("size")).alias("gb"), scheduler.duration_seconds(F.col("time")).alias("gs"))
+    got = spark.createDataFrame(rows, "size string, time string, b double, s double").select("b", "s",
+        scheduler.size_bytes(F.col("size")).alias("gb"), scheduler.duration_seconds(F.col("time")).alias("gs"))
     for r in got.collect():
         assert (r["gb"] is None) == (r["b"] is None) and (r["b"] is None or abs(r["gb"] - r["b"]) <= 1) and r["gs"] == r["s"]
 
 
 def test_accounting_steps_fold_into_their_job(spark):
-    steps = spark.createDataFrame([(1, "77", "", "COMPLETED"), (2, "77.0", "3.00G", ""), (3, "77.1", "900.00M", "X"), (4, "77.extern", "40.00G", ""), (5, "78", "", "FAILED"), (6, "78.batch", "1.00K", "")], "line int, job_id string, rss string, state string")
-    assert sorted(tuple(r) for r in scheduler.merged_accounting(steps, ["rss"], []).collect()) == [("77", "3.00G", "COMPLETED"), ("78", "1.00K", "FAILED")]
+    steps = spark.createDataFrame([(1, "77", "", "COMPLETED"), (2, "77.0", "3.00G", ""), (3, "77.1", "900.00M", "X"),
+            (4, "77.extern", "40.00G", ""), (5, "78", "", "FAILED"), (6, "78.batch", "1.00K", "")],
+        "line int, job_id string, rss string, state string")
+    assert sorted(tuple(r) for r in scheduler.merged_accounting(steps, ["rss"], []).collect()) == [("77", "3.00G",
+            "COMPLETED"), ("78", "1.00K", "FAILED")]
     names = spark.createDataFrame([("slurm:9:1",), ("box:4",), ("",), (None,)], "executor string")
     assert [r[0] for r in names.select(scheduler.allocation_of(F.col("executor"))).collect()] == ["9:1", "", "", ""]
 
@@ -280,7 +288,8 @@ def test_natural_order_and_places(spark):
 def test_archive_round_trip(spark):
     content = ingest.pack_archive([(0, 1000, b""), (3, 5, b"ab"), (4, 7, b"")])
     files = spark.createDataFrame([("p", bytearray(content)), ("empty", bytearray(b""))], "path string, content binary")
-    assert [(r["source"], r["time_us"], bytes(r["payload"])) for r in ingest.messages(files).orderBy("seq").collect()] == [(3, 1005, b"ab"), (4, 1007, b"")]
+    assert [(r["source"], r["time_us"], bytes(r["payload"])) for r in ingest.messages(files).orderBy("seq")
+        .collect()] == [(3, 1005, b"ab"), (4, 1007, b"")]
 
 
 def test_publish_and_session_folders(spark, tmp_path):
@@ -315,7 +324,8 @@ def test_rewards_of_empty_table(spark):
 
 
 def test_session_digests_in_two_levels(spark):
-    rows = [(f"s{i % 3}" if i % 4 else None, f"p{i * 7919 % 1000}", "skip" if i % 10 == 0 else "data", str(i % 50).encode()) for i in range(900)] + [("only", "p", "skip", b"x")]
+    rows = [(f"s{i % 3}" if i % 4 else None, f"p{i * 7919 % 1000}", "skip" if i % 10 == 0 else "data",
+            str(i % 50).encode()) for i in range(900)] + [("only", "p", "skip", b"x")]
     files = spark.createDataFrame(rows, "session string, path string, name string, content binary").repartition(7)
     sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
     groups = {}
@@ -330,10 +340,15 @@ def test_session_digests_in_two_levels(spark):
 
 def test_every_assembled_column_is_described(spark):
     """The names of all streams together; a table of all columns lists a meaning for each."""
-    columns = [*assemble.FRAME, *assemble.BEHAVIOR, "trial", "trial_type", "cue", "in_trigger_zone", "runtime_state", "reinforcing_guided", "aversive_guided"]
-    columns += [f"{c}_camera_{n}" for c in ("face", "body") for n in ("motion_energy", "frame_luminance")] + [f"{d}_day_{t}" for d in ("single", "multi") for t in ("cell_fluorescence", "neuropil_fluorescence", "subtracted_fluorescence", "spikes")]
+    columns = [*assemble.FRAME, *assemble.BEHAVIOR, "trial", "trial_type", "cue", "in_trigger_zone", "runtime_state",
+        "reinforcing_guided", "aversive_guided"]
+    columns += [f"{c}_camera_{n}" for c in ("face", "body") for n in ("motion_energy",
+            "frame_luminance")] + [f"{d}_day_{t}" for d in ("single", "multi")
+        for t in ("cell_fluorescence", "neuropil_fluorescence", "subtracted_fluorescence", "spikes")]
     points = "array<struct<x: double, y: double, likelihood: double>>"
-    columns += pose.pupil_metrics(spark.createDataFrame([], f"session int, frame int, reflection struct<x: double, y: double, likelihood: double>, pupil {points}, eye {points}")).columns
+    columns += pose.pupil_metrics(spark.createDataFrame([],
+            f"session int, frame int, reflection struct<x: double, y: double, likelihood: double>, pupil {points}, eye "
+            f"{points}")).columns
     wide = spark.range(0).select(*[F.lit(None).alias(c) for c in dict.fromkeys(columns)])
     assert not expect.undescribed(wide, set(assemble.DESCRIPTIONS))
     table = {r["column"]: r["description"] for r in assemble.description_table(assemble.described(wide)).collect()}
@@ -355,13 +370,17 @@ def test_optional_streams_and_columns(spark):
     plain = assemble.behavior(*tables, labels={1: "rest", 2: "run"})
     assert plain.columns == ["session", "frame", "time_us", "elapsed_minutes", "lick", "water_uL", "reward", "system_state"]
     assert column(plain, "reward") == ["yes"] * 3 and column(plain, "lick") == [0, 0, 1] and column(plain, "system_state") == ["rest", "rest", "run"]
-    whole = assemble.behavior(*tables, labels={1: "rest", 2: "run"}, encoder=one("traveled_distance_cm", [0.0, 4.0]), torque=one("torque", [3.0, -5.0]), brake=one("brake_torque", [0.0, 9.0]), screen=one("screen_state", [0, 1]), minimum_torque=1.0, drop_time=True)
-    assert whole.columns == ["session", "frame", "brake", "screens", "torque_N_cm", "distance_cm", "speed_cm_s", "lick", "water_uL", "reward", "system_state"]
+    whole = assemble.behavior(*tables, labels={1: "rest", 2: "run"}, encoder=one("traveled_distance_cm", [0.0, 4.0]),
+        torque=one("torque", [3.0, -5.0]), brake=one("brake_torque", [0.0, 9.0]), screen=one("screen_state", [0, 1]),
+        minimum_torque=1.0, drop_time=True)
+    assert whole.columns == ["session", "frame", "brake", "screens", "torque_N_cm", "distance_cm", "speed_cm_s", "lick",
+        "water_uL", "reward", "system_state"]
     assert column(whole, "torque_N_cm") == [3, 3, 0] and column(whole, "brake") == [0, 0, 1] and column(whole, "distance_cm") == [0, 0, 4]
     wide = assemble.behavior(*tables, labels={1: "rest", 2: "run"}, torque=one("torque", [3.0, -5.0]), width=7)
     assert column(wide, "torque_N_cm") == [3, 3, 0] and column(wide, "water_uL") == [0, 0, 2]
     assert assemble.video_table(clock, {"face_camera": None}).columns == ["session", "frame"]
-    frames = spark.createDataFrame([(1, t, t, c) for c, times in (("a", [0, 10, 20]), ("b", [0, 20])) for t in times], "session int, time_us bigint, seq bigint, camera string")
+    frames = spark.createDataFrame([(1, t, t, c) for c, times in (("a", [0, 10, 20]), ("b", [0, 20])) for t in times],
+        "session int, time_us bigint, seq bigint, camera string")
     assert column(assemble.camera_clock(frames), "time_us") == [0, 20]
 
 
