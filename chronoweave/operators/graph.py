@@ -8,7 +8,7 @@ from __future__ import annotations
 from functools import reduce
 from itertools import count
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronoweave.functions.shared import settled
@@ -34,9 +34,14 @@ def batch_document(units: DataFrame, state: DataFrame, plan: DataFrame) -> DataF
 
 
 def narrowed(jobs: DataFrame) -> DataFrame:
-    """Prerequisites of each unit's jobs limited to the jobs that are tracked."""
-    tracked = jobs.groupBy("unit").agg(F.collect_set("job_id").alias("_tracked"))
-    return jobs.join(tracked, "unit").withColumn("prerequisites", F.sort_array(F.array_intersect("prerequisites", "_tracked"))).drop("_tracked")
+    """Prerequisites of each unit's jobs limited to the jobs that are tracked; a unit is never gathered, however many jobs it has."""
+    asked = jobs.select("unit", "prerequisites", F.explode(F.array_distinct("prerequisites")).alias("job_id"))
+    there = asked.join(jobs.select("unit", "job_id").distinct(), ["unit", "job_id"], "left_semi")
+    inside = there.groupBy("unit", "prerequisites").agg(F.sort_array(F.collect_set("job_id")).alias("_inside"))
+    none = F.slice("prerequisites", 1, 0)
+    kept = F.when(F.col("prerequisites").isNotNull(), F.coalesce("_inside", none))
+    columns = [kept.alias(c) if c == "prerequisites" else F.col(c) for c in jobs.columns]
+    return jobs.join(inside, ["unit", "prerequisites"], "left").select(*columns)
 
 
 def together(rounds: list[DataFrame]) -> DataFrame:
@@ -119,10 +124,16 @@ def outcome(batch: DataFrame, edges: DataFrame) -> DataFrame:
     kind = F.when(F.col("status") == SUCCEEDED, "succeeded").when(F.col("status") == "FAILED",
         "failed").when(F.col("_behind"), "blocked").otherwise("outstanding")
     rows = batch.join(behind, ["batch_id", "job_id"], "left").withColumn("kind", kind)
-    bad = F.when(F.col("kind").isin("failed", "blocked"), F.col("job_id"))
     counts = [F.count_if(F.col("kind") == k).alias(k) for k in ("succeeded", "failed", "blocked", "outstanding")]
-    out = rows.groupBy("batch_id").agg(*counts, F.slice(F.sort_array(F.collect_list(bad)), 1, MOST_LISTED).alias("listed"))
-    return out.withColumn("complete", F.col("outstanding") == 0)
+    out = rows.groupBy("batch_id").agg(*counts).withColumn("complete", F.col("outstanding") == 0)
+    # Spark keeps the first of each batch before it shuffles, so a large batch is not gathered.
+    bad = rows.filter(F.col("kind").isin("failed", "blocked") & F.col("job_id").isNotNull())
+    place = F.row_number().over(Window.partitionBy("batch_id").orderBy("job_id"))
+    first = bad.select(F.col("batch_id").alias("_batch"), "job_id", place.alias("_place")).filter(F.col("_place") <= MOST_LISTED)
+    first = first.groupBy("_batch").agg(F.sort_array(F.collect_list("job_id")).alias("listed"))
+    none = F.array().cast(first.schema["listed"].dataType)
+    listed = out.join(first, F.col("batch_id").eqNullSafe(F.col("_batch")), "left").withColumn("listed", F.coalesce("listed", none))
+    return listed.drop("_batch")
 
 
 def recorded_batches(documents: DataFrame, outcomes: DataFrame) -> DataFrame:

@@ -391,3 +391,32 @@ def test_archives_are_bounded(spark, monkeypatch):
     got = QUERIES["s5_log_archives"](spark, SF).toPandas()
     assert not difference(got, oracle(ORACLE_SQL["s5_log_archives"], SF))
     assert sizes == [8 * 13]
+
+
+def test_prerequisites_narrowed_to_tracked_jobs(spark):
+    jobs = [("u", 1, [3, 2, 2, 9]), ("u", 2, []), ("u", 2, []), ("u", 3, None), ("v", 2, [1, None]), (None, 4, [4])]
+    df = spark.createDataFrame([(*j, "x") for j in jobs], "unit string, job_id int, prerequisites array<int>, note string")
+    got = graph.narrowed(df)
+    assert got.columns == df.columns
+    tracked = {u: {j for w, j, _ in jobs if w == u} for u, *_ in jobs if u is not None}
+    want = [(u, j, None if p is None else sorted({x for x in p if x in tracked.get(u, ())}), "x") for u, j, p in jobs]
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
+    assert graph.narrowed(df.limit(0)).count() == 0
+
+
+def test_outcome_lists_the_first_of_large_batches(spark):
+    states = ["SUCCEEDED", "FAILED", "SCHEDULED"]
+    rows = [(None if k % 7 == 0 else "b", k, states[k % 3]) for k in range(300)] + [("done", 1000, "SUCCEEDED")]
+    links = [(k, k - 1) for k in range(1, 300, 2)]
+    batch = spark.createDataFrame(rows, "batch_id string, job_id int, status string")
+    got = {r["batch_id"]: r for r in graph.outcome(batch, spark.createDataFrame(links, "job_id int, needs int")).collect()}
+    status = {(b, k): s for b, k, s in rows}
+    for name in ("b", None, "done"):
+        own = [(k, s) for b, k, s in rows if b == name]
+        behind = {j for j, n in links if name is not None and status.get((name, n)) == "FAILED"}
+        failed = [k for k, s in own if s == "FAILED"]
+        blocked = [k for k, s in own if s == "SCHEDULED" and k in behind]
+        r = got[name]
+        assert (r["failed"], r["blocked"]) == (len(failed), len(blocked))
+        assert r["listed"] == sorted(failed + blocked)[: graph.MOST_LISTED]
+        assert r["complete"] == (r["outstanding"] == 0) and sum(r[c] for c in ("succeeded", "failed", "blocked", "outstanding")) == len(own)
