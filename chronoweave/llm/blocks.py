@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 #: Bytes of text that are handled at once; a longer document is a block of its own.
 BLOCK_BYTES = 4 << 20
@@ -26,6 +27,12 @@ _LEADS[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
+#: Seed and factor of the chains of ``span_keys``, the factor of ``joined``, and masks of the first 0 to 8 bytes of a lane.
+_CHAINS = [(np.uint64(0x2D358DCCAA6C78A5), np.uint64(0x8BB84B93962EACC9)), (np.uint64(0x4B33A62ED433D4A3), np.uint64(0xAAAAAAAAAAAAAAAB))]
+_JOIN = np.uint64(0x9FB21C651E98DF25)
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
+#: Longest span that is read eight bytes at a time.
+LONG_SPAN = 256
 _BYTE_VALUE = np.random.Generator(np.random.PCG64(20240611)).integers(1, 1 << 63, size=256, dtype=np.uint64) | np.uint64(1)
 
 
@@ -90,7 +97,10 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, segment: int = 1 << 20) -> np.ndarray:
-    """A 64-bit polynomial hash of each span; spans ascend and don't overlap. Memory is bounded by a segment or the longest word."""
+    """A 64-bit polynomial hash of each span; spans ascend and don't overlap. Memory is bounded by a segment or the longest word.
+
+    For features of classifiers only: some unlike words of over 1,000 letters share a hash, whatever the base. ``span_keys`` has no such pairs.
+    """
     out = np.empty(len(starts), dtype=np.uint64)
     at = 0
     while at < len(starts):
@@ -107,23 +117,74 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, segment:
     return mix(out)
 
 
+def _lanes(padded: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place of a buffer on, as one number each; nothing is copied."""
+    return np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))
+
+
+def padded(data: np.ndarray) -> np.ndarray:
+    """A copy with eight zero bytes behind it, so that eight bytes can be read from every place."""
+    return np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+
+
+def span_keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, chain: int = 0) -> np.ndarray:
+    """A 64-bit key of the bytes of each span; the two chains are independent of each other from the bytes on.
+
+    Eight bytes at a time go through a mixing step, so that no two spans are equal by the structure of their letters; spans of over
+    ``LONG_SPAN`` bytes get the halves of a 128-bit xxh3.
+    """
+    seed, factor = _CHAINS[chain]
+    lengths = ends - starts
+    whole = padded(data)
+    lanes = _lanes(whole)
+    keys = mix((lanes[starts] & _KEEP[np.minimum(lengths, 8)]) * factor + (lengths.astype(np.uint64) ^ seed))
+    rest, at = np.flatnonzero(lengths > 8), 8
+    while len(rest) and at < LONG_SPAN:
+        keys[rest] = mix((keys[rest] ^ (lanes[starts[rest] + at] & _KEEP[np.minimum(lengths[rest] - at, 8)])) * factor + seed)
+        at += 8
+        rest = rest[lengths[rest] > at]
+    for i in np.flatnonzero(lengths > LONG_SPAN).tolist():
+        digest = xxhash.xxh3_128_intdigest(data[starts[i] : ends[i]].tobytes())
+        keys[i] = (digest >> (64 * chain)) & _MASK
+    return keys
+
+
+def same_spans(a: np.ndarray, a_starts: np.ndarray, b: np.ndarray, b_starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Whether spans of two padded buffers, each pair of one length, hold the same bytes."""
+    one, other = _lanes(a), _lanes(b)
+    same = ((one[a_starts] ^ other[b_starts]) & _KEEP[np.minimum(lengths, 8)]) == 0
+    rest, at = np.flatnonzero(same & (lengths > 8)), 8
+    while len(rest) and at < LONG_SPAN:
+        differs = (one[a_starts[rest] + at] ^ other[b_starts[rest] + at]) & _KEEP[np.minimum(lengths[rest] - at, 8)]
+        same[rest[differs != 0]] = False
+        at += 8
+        rest = rest[(differs == 0) & (lengths[rest] > at)]
+    for i in rest.tolist():
+        same[i] = np.array_equal(a[a_starts[i] : a_starts[i] + lengths[i]], b[b_starts[i] : b_starts[i] + lengths[i]])
+    return same
+
+
+def joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """A hash of two hashes in this order."""
+    return mix(left * _JOIN + right)
+
+
 def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
     """Hash of every run of ``width`` consecutive items, order included (``len - width + 1`` values)."""
     n = len(words) - width + 1
     if n <= 0:
         return np.zeros(0, dtype=np.uint64)
-    total = np.zeros(n, dtype=np.uint64)
     # Doubling: hashes of runs of 1, 2, 4 ... items are joined to the wanted width.
-    part, size, done = words, 1, 0
-    rest = width
+    total, part, size, done, rest = None, words, 1, 0, width
     while True:
         if rest & 1:
-            total = total * np.uint64(pow(_BASE, size, 1 << 64)) + part[done : done + n]
+            piece = part[done : done + n]
+            total = piece if total is None else joined(total, piece)
             done += size
         rest >>= 1
         if not rest:
             return mix(total)
-        part = part[:-size] * np.uint64(pow(_BASE, size, 1 << 64)) + part[size:]
+        part = joined(part[:-size], part[size:])
         size *= 2
 
 
@@ -151,13 +212,22 @@ def chunk_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def distinct_chunks(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Index of each chunk among the distinct ones, their 64-bit hashes, and where each of them occurs first."""
-    hashes = word_hashes(data, bounds[:-1], bounds[1:])
-    coded = pa.array(hashes).dictionary_encode()
+    """Index of each chunk among the distinct ones, their 64-bit keys, and where each of them occurs first. Bytes are compared."""
+    starts, lengths = bounds[:-1], np.diff(bounds)
+    keys = span_keys(data, starts, bounds[1:])
+    coded = pa.array(keys).dictionary_encode()
     index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     first = np.empty(len(coded.dictionary), dtype=np.int64)
     first[index[::-1]] = np.arange(len(index) - 1, -1, -1)
-    return index, coded.dictionary.to_numpy(zero_copy_only=False), first
+    peer, whole = first[index], padded(data)
+    wrong = np.flatnonzero((lengths != lengths[peer]) | ~same_spans(whole, starts, whole, starts[peer], np.minimum(lengths, lengths[peer])))
+    if len(wrong):  # unlike chunks with one key
+        more: dict[bytes, int] = {}
+        for i in wrong.tolist():
+            index[i] = more.setdefault(data[bounds[i] : bounds[i + 1]].tobytes(), len(first) + len(more))
+        _, at = np.unique(index[wrong], return_index=True)
+        first = np.concatenate([first, wrong[at]])
+    return index, keys[first], first
 
 
 def ragged_take(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -198,7 +268,8 @@ def lean(function: Callable, resident: bool = False) -> Callable:
 class ChunkCache:
     """Ids of chunks, encoded when first met and kept for the next blocks of the Python worker, at most ``keep`` chunks.
 
-    A subclass has ``encode_new(list of bytes) -> (flat ids, lengths)``. Chunks are known by their hash, in one sorted array.
+    A subclass has ``encode_new(list of bytes) -> (flat ids, lengths)``. Chunks are found by their key, in one sorted array, and their bytes
+    are compared.
     """
 
     def __init__(self, keep: int = 600_000) -> None:
@@ -208,6 +279,8 @@ class ChunkCache:
         self.flat = np.zeros(1 << 16, dtype=np.int32)
         self.ends = np.zeros(1 << 14, dtype=np.int64)
         self.slots = 0
+        self.text = np.zeros(8, dtype=np.uint8)  # bytes of the kept chunks, padded
+        self.text_bounds = np.zeros(1, dtype=np.int64)
 
     @classmethod
     def load(cls, *arguments) -> "ChunkCache":
@@ -239,7 +312,12 @@ class ChunkCache:
         if len(self.keys):
             ordered = hashes[order]
             at = np.minimum(np.searchsorted(self.keys, ordered), len(self.keys) - 1)
-            slots[order] = np.where(self.keys[at] == ordered, self.places[at], -1)
+            hit = np.flatnonzero(self.keys[at] == ordered)
+            here, slot = first[order[hit]], self.places[at[hit]].astype(np.int64)
+            sizes = bounds[here + 1] - bounds[here]
+            known = self.text_bounds[slot + 1] - self.text_bounds[slot]
+            same = (sizes == known) & same_spans(padded(data), bounds[here], self.text, self.text_bounds[slot], np.minimum(sizes, known))
+            slots[order[hit[same]]] = slot[same]
         new = np.flatnonzero(slots < 0)
         for part in range(0, len(new), 1 << 14):
             some = new[part : part + (1 << 14)]
@@ -248,6 +326,9 @@ class ChunkCache:
             self._append(*self.encode_new([data[b:e].tobytes() for b, e in zip(bounds[at].tolist(), bounds[at + 1].tolist(), strict=True)]))
         kept = new[: self.keep - len(self.keys)]
         if len(kept):
+            sizes = bounds[first[kept] + 1] - bounds[first[kept]]
+            self.text = padded(np.concatenate([self.text[:-8], ragged_take(data, bounds[first[kept]], sizes)]))
+            self.text_bounds = np.concatenate([self.text_bounds, self.text_bounds[-1] + np.cumsum(sizes)])
             keys = np.concatenate([self.keys, hashes[kept]])
             order = np.argsort(keys, kind="stable")
             self.keys, self.places = keys[order], np.concatenate([self.places, slots[kept].astype(np.int32)])[order]

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoweave.llm.blocks import lean, mix, ragged_take
+from chronoweave.llm.blocks import lean, ragged_take
 from chronoweave.llm.common import small_batches, stored, table
 from chronoweave.llm.components import components
 from chronoweave.llm.superminhash import band_hashes, shingle_sets, signatures
@@ -37,14 +37,10 @@ from chronoweave.llm.superminhash import band_hashes, shingle_sets, signatures
 UNIT = 1024
 #: Most ids of candidates that are broadcast (16 MB); beyond, texts are joined by shuffle.
 BROADCAST_IDS = 2_000_000
-_OTHER = np.uint64(0xA5A3564E27F8A1D3)
 
 
-def _set_ids(sets: list[np.ndarray]) -> list[pa.Array]:
-    """Two independent hashes of each set, whatever the order of its values."""
-    pairs = np.array([(np.bitwise_xor.reduce(mix(s)), mix(s ^ _OTHER).sum(dtype=np.uint64)) if len(s) else (0, 0)
-            for s in sets], dtype=np.uint64).reshape(-1, 2)
-    return [pa.array(np.ascontiguousarray(pairs[:, k]).view(np.int64)) for k in (0, 1)]
+def _set_ids(ids: np.ndarray) -> list[pa.Array]:
+    return [pa.array(np.ascontiguousarray(ids[:, k]).view(np.int64)) for k in (0, 1)]
 
 
 def _long_lists(parts: list[np.ndarray]) -> pa.Array:
@@ -55,11 +51,11 @@ def _long_lists(parts: list[np.ndarray]) -> pa.Array:
 def _sketches(shingle: int, bands: int, rows: int):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin, end, sets in shingle_sets(batch.column(2), shingle):
+            for begin, end, sets, ids in shingle_sets(batch.column(2), shingle):
                 hashes = band_hashes(signatures(sets, bands * rows), bands, rows)
                 sizes = np.array([len(s) for s in sets], dtype=np.int64)
                 columns = [batch.column(0).slice(begin, end - begin), batch.column(1).slice(begin, end - begin), pa.array(sizes)]
-                columns += [*_set_ids(sets), _long_lists([h if len(s) else h[:0] for h, s in zip(hashes, sets, strict=True)])]
+                columns += [*_set_ids(ids), _long_lists([h if len(s) else h[:0] for h, s in zip(hashes, sets, strict=True)])]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "n_shingles", "set_a", "set_b", "bands"])
 
     return sketch
@@ -68,8 +64,8 @@ def _sketches(shingle: int, bands: int, rows: int):
 def _full_sets(shingle: int):
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, sets in shingle_sets(batch.column(0), shingle):
-                yield pa.RecordBatch.from_arrays([*_set_ids(sets), _long_lists(sets)], names=["set_a", "set_b", "shingles"])
+            for _, _, sets, ids in shingle_sets(batch.column(0), shingle):
+                yield pa.RecordBatch.from_arrays([*_set_ids(ids), _long_lists(sets)], names=["set_a", "set_b", "shingles"])
 
     return collect
 

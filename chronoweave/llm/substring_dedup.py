@@ -13,10 +13,10 @@ many documents costs a row a block, not a row a document; lists are bounded by t
 again block by block, where spans are merged for each document. Keys of any size are counted before they are shuffled.
 
 Words are ``[^\\x20\\x09-\\x0D]+``. A run is known by the hashes of its anchor and of its context, a window by that of its anchor and its own:
-128 bits. Null, empty and short texts have no windows and stay as they are. Rows that repeat are repeats of each other. If ``doc_id`` is
-null somewhere or stands twice, rows are told apart by a hash of id and text. An empty table gives an empty result. Extra columns
-pass through ``remove_repeats``, but for those named like its own three, which take their place; names that start with ``__cw_`` are taken.
-A task holds the words of the longest text as Python objects.
+128 bits, in two halves that are independent of each other from the bytes on. Null, empty and short texts have no windows and stay as
+they are. Rows that repeat are repeats of each other. If ``doc_id`` is null somewhere or stands twice, rows are told apart by a hash of id
+and text. An empty table gives an empty result. Extra columns pass through ``remove_repeats``, but for those named like its own three, which
+take their place; names that start with ``__cw_`` are taken. A task holds the words of the longest text as Python objects.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
-from chronoweave.llm.blocks import _powers, lean, mix, text_blocks, window_hashes, word_hashes, word_spans
+from chronoweave.llm.blocks import joined, lean, span_keys, text_blocks, window_hashes, word_spans
 from chronoweave.llm.common import discard, small_batches, stored, table
 
 WINDOW = 35
@@ -55,16 +55,12 @@ def sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
     return best[:n]
 
 
-def span_hashes(words: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Hash of runs of words of any lengths."""
-    up, down = _powers(len(words) + 1)
-    sums = np.zeros(len(words) + 1, dtype=np.uint64)
-    np.cumsum(words * up[: len(words)], out=sums[1:])
-    return mix((sums[starts + lengths] - sums[starts]) * down[starts] + lengths.astype(np.uint64))
+def anchor_runs(words: np.ndarray, others: np.ndarray, first: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, ...]:
+    """Runs of windows of a block with the same anchor: document, first window, windows, anchor hash, context hash.
 
-
-def anchor_runs(words: np.ndarray, first: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Runs of windows of a block with the same anchor: document, first window, windows, anchor hash, context hash."""
+    Anchors come from one chain of word keys, contexts from the other. A run has at most ``window`` windows, so its first and its last one
+    cover its context.
+    """
     windows = np.maximum(np.diff(first) - window + 1, 0)
     if not windows.sum():
         empty = np.zeros(0, dtype=np.int64)
@@ -77,7 +73,8 @@ def anchor_runs(words: np.ndarray, first: np.ndarray, window: int, gram: int) ->
     at = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (document[1:] != document[:-1])]))
     n = np.diff(np.append(at, len(document)))
     begins, owner = start[at], document[at]
-    return owner, begins - first[owner], n, grams[place[at]], span_hashes(words, begins, n + window - 1)
+    own = window_hashes(others, window)
+    return owner, begins - first[owner], n, grams[place[at]], joined(own[begins], own[begins + n - 1]) + n.astype(np.uint64)
 
 
 def _long(values: np.ndarray) -> pa.Array:
@@ -112,7 +109,8 @@ def _seeds(window: int, gram: int):
         for batch in batches:
             for begin, end, data, offsets in text_blocks(batch.column(1), _BLOCK):
                 starts, ends, first = word_spans(data, offsets)
-                owner, at, n, anchor, context = anchor_runs(word_hashes(data, starts, ends), first, window, gram)
+                words, others = span_keys(data, starts, ends), span_keys(data, starts, ends, 1)
+                owner, at, n, anchor, context = anchor_runs(words, others, first, window, gram)
                 one, columns = _grouped(anchor, context, batch.column(0).slice(begin, end - begin).take(pa.array(owner)), at)
                 block = pa.array(np.full(len(one), _block_number(blocks, 0)))
                 blocks += 1
@@ -132,7 +130,7 @@ def _windows(window: int):
             begins, counts, anchors = (runs.values.field(k).to_numpy(zero_copy_only=False) for k in range(3))
             for begin, end, data, offsets in text_blocks(batch.column(1), _BLOCK):
                 starts, ends, first = word_spans(data, offsets)
-                hashes = window_hashes(word_hashes(data, starts, ends), window)
+                hashes = window_hashes(span_keys(data, starts, ends, 1), window)
                 lo, hi = bounds[begin], bounds[end]
                 n = counts[lo:hi].astype(np.int64)
                 inside = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)

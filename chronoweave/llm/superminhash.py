@@ -4,32 +4,40 @@ from __future__ import annotations
 
 import numpy as np
 
-from chronoweave.llm.blocks import mix, text_blocks, window_hashes, word_hashes, word_spans
+from chronoweave.llm.blocks import mix, span_keys, text_blocks, window_hashes, word_spans
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _STEP = np.uint64(0xD1B54A32D192ED03)
 
 
+def _distinct(words: np.ndarray, first: np.ndarray, shingle: int) -> list[np.ndarray]:
+    """The sorted distinct shingles of each document of a block of words."""
+    grams, sets = window_hashes(words, shingle), []
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        if b - a >= shingle:
+            sets.append(np.unique(grams[a : b - shingle + 1]))
+        elif b > a:
+            sets.append(window_hashes(words[a:b], b - a) ^ np.uint64(b - a))
+        else:
+            sets.append(grams[:0])
+    return sets
+
+
 def shingle_sets(column, shingle: int, block: int = 4 << 20):
-    """Yield ``(first row, end row, sets)``: for each row its sorted distinct shingle hashes.
+    """Yield ``(first row, end row, sets, ids)``: for each row its sorted distinct shingle hashes, and 128 bits that know the set.
 
     Letters A-Z are lower-cased. A text with fewer words than a shingle has its whole sequence as one; one without words has none.
+    The two halves of ``ids`` come from hashes that are independent of each other from the bytes on; empty sets have zeros.
     """
     for begin, end, data, offsets in text_blocks(column, block):
         data = _LOWER[data]
         starts, ends, first = word_spans(data, offsets)
-        words = word_hashes(data, starts, ends)
-        grams = window_hashes(words, shingle)
-        sets = []
-        for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
-            if b - a >= shingle:
-                sets.append(np.unique(grams[a : b - shingle + 1]))
-            elif b > a:
-                sets.append(window_hashes(words[a:b], b - a) ^ np.uint64(b - a))
-            else:
-                sets.append(grams[:0])
-        yield begin, end, sets
+        sets = _distinct(span_keys(data, starts, ends), first, shingle)
+        others = _distinct(span_keys(data, starts, ends, 1), first, shingle)
+        ids = np.array([(np.bitwise_xor.reduce(mix(s)), mix(o).sum(dtype=np.uint64)) if len(s) else (0, 0)
+                for s, o in zip(sets, others, strict=True)], dtype=np.uint64).reshape(-1, 2)
+        yield begin, end, sets, ids
 
 
 def signatures(sets: list[np.ndarray], slots: int) -> np.ndarray:

@@ -9,7 +9,8 @@ products, and their best rows are merged.
 Components become ``floor(64 x)``; vectors that are null or hold null or non-finite components, and rows without id, take no part. Every
 other row is a candidate, and a query's own row alone is not: rows that share an id are candidates each, and queries each, with ranks of
 their own. Missing trailing components of shorter vectors count as 0. Ties go to the smaller id. An empty table gives an empty
-result. Other columns are ignored. Products are exact: in doubles below 2**53, else in integers of 64 bits, which scores must fit.
+result. Other columns are ignored. Products are exact: in doubles below 2**53, else in integers of 64 bits, which scores must fit;
+components beyond 64 bits become the nearest integer of 64 bits. A vector of any length is one row of one task.
 """
 
 from __future__ import annotations
@@ -86,12 +87,15 @@ def _assign(pivots: np.ndarray):
 def _reach(pivots: np.ndarray, cells: np.ndarray, radii: np.ndarray):
     def reach(batches):
         """The groups that a query needs, by its bound and the score it is sure of."""
+        lengths = np.sqrt((pivots[cells] ** 2).sum(axis=1))
         for batch in _slices(batches, len(pivots)):
             q = _matrix(batch.column(2), pivots.shape[1])
             sure = batch.column(3).to_numpy(zero_copy_only=False).astype(float)
-            # The slack covers rounding of the square roots.
-            bound = q @ pivots[cells].T + np.sqrt((q**2).sum(axis=1))[:, None] * radii[None, :] * (1 + 1e-9) + 1e-6
-            needed = ~(bound < sure[:, None])
+            norm = np.sqrt((q**2).sum(axis=1))[:, None]
+            bound = q @ pivots[cells].T + norm * radii[None, :]
+            # Rounding of the products, the norms, the radius and of components beyond 2**53 grows with their size and the width.
+            slack = (8 * pivots.shape[1] + 64) * np.finfo(float).eps * norm * (2 * lengths + radii)[None, :] + 1e-6
+            needed = ~(bound + slack < sure[:, None] - 4 * np.finfo(float).eps * np.abs(sure)[:, None])
             row, column = np.nonzero(needed)
             columns = [c.take(pa.array(row)) for c in batch.columns] + [pa.array(cells[column].astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, names=["query_row", "query_id", "q", "sure", "cell"])
