@@ -59,4 +59,69 @@ WITH h AS (SELECT page_id, url, coalesce(CASE WHEN strpos(url, '://') > 0
 SELECT page_id, host, path, fit.rule AS rule, coalesce(fit.verdict, CASE WHEN pattern IS NULL THEN 'allow'
     ELSE 'block' END) AS verdict, pattern FROM m"""
 
-ORACLE_SQL = {"op1_substring_dedup": SUBSTRING_DEDUP, "op6_url_filters": URL_FILTERS, "op9_near_dedup": NEAR_DEDUP, "op10_top_k": TOP_K}
+
+def _step(best: str, cost: str, letter: str, line: str = "''") -> str:
+    """A way to edit that goes on from another one: costs and audits add up, repaired lines too."""
+    return f"CASE WHEN {best} IS NULL THEN NULL ELSE {{'c': {best}.c + {cost}, 'a': {best}.a || '{letter}', 't': {best}.t || {line}}} END"
+
+
+def _least(*ways: str) -> str:
+    return f"list_aggregate([{', '.join(ways)}], 'min')"
+
+
+_USER, _ASSISTANT = r"chr(10) || 'user:'", r"chr(10) || 'assistant:'"
+_TO_USER = ("b0", "b1", "b3")
+
+
+def _edited(state: int) -> str:
+    """The best way to a state after one more row, from those before it with inserts done."""
+    ways = [_step(f"b{state}", "2", "D")]
+    keep = {1: ("s", ["b0"]), 2: ("u", list(_TO_USER)), 3: ("a", ["b2"])}.get(state)
+    if keep:
+        ways += [f"CASE WHEN NOT must AND initial = '{keep[0]}' THEN {_step(b, '5 * cut', 'K', 'line')} END" for b in keep[1]]
+    if state in (2, 3):
+        line = f"{_USER if state == 2 else _ASSISTANT} || text"
+        ways += [f"CASE WHEN NOT must THEN {_step(b, '1 + 5 * cut', 'R', line)} END" for b in (_TO_USER if state == 2 else ("b2",))]
+    return _least(*ways)
+
+
+def _inserted(prefix: str) -> str:
+    """The four states after inserts."""
+    user = _least(f"{prefix}2", *[_step(f"{prefix}{q}", "5", "I", _USER) for q in (0, 1, 3)])
+    return (f"{prefix}0 AS b0, {prefix}1 AS b1, {user} AS b2, "
+        + _least(f"{prefix}3", _step(f"({user})", "5", "I", _ASSISTANT)) + " AS b3")
+
+
+CONVERSATION_REPAIR = rf"""
+WITH RECURSIVE z AS (SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+    lambda c, k: xor(c >> 1, CAST(3988292384 AS BIGINT) * (c & 1)))) AS t),
+ k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' ||
+      coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda c, b: xor(c >> 8, z.t[(xor(c, b) & 255) + 1])), CAST(4294967295 AS BIGINT)) % 20 AS kind FROM conversations, z),
+ d AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM k, LATERAL (SELECT unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy) WHERE kind <> 0),
+ n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS pos FROM d),
+ f AS (SELECT *, left(role, 1) AS initial, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 AS again,
+    NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS open, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS before FROM n),
+ i AS (SELECT *, blank OR again AS must, CAST(NOT blank AND NOT again AND open AS INTEGER) AS cut,
+    chr(10) || role || ':' || text AS line FROM f),
+ c AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(blank) AS blank,
+    count_if(again AND NOT blank) AS duplicate, sum(cut) AS truncated,
+    count_if(before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM i GROUP BY conv_id),
+ p AS (SELECT conv_id, CAST(0 AS BIGINT) AS pos, {{'c': 0, 'a': '', 't': ''}} AS s0, CAST(NULL AS STRUCT(c INTEGER, a VARCHAR, t VARCHAR)) AS s1,
+    CAST(NULL AS STRUCT(c INTEGER, a VARCHAR, t VARCHAR)) AS s2, CAST(NULL AS STRUCT(c INTEGER, a VARCHAR, t VARCHAR)) AS s3 FROM c
+  UNION ALL SELECT i.conv_id, i.pos, {_edited(0)}, {_edited(1)}, {_edited(2)}, {_edited(3)}
+  FROM (SELECT conv_id, pos, {_inserted("s")} FROM p) q JOIN i ON i.conv_id IS NOT DISTINCT FROM q.conv_id AND i.pos = q.pos + 1),
+ e AS (SELECT conv_id, pos, {_least("b0", "b3")} AS best FROM (SELECT conv_id, pos, {_inserted("s")} FROM p))
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+  CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+  CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(best.c, 0) AS BIGINT) AS cost, coalesce(best.a, '') AS audit,
+  sha256(coalesce(substr(best.t, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN e ON e.conv_id IS NOT DISTINCT FROM o.conv_id AND e.pos = c.n"""
+
+ORACLE_SQL = {"op1_substring_dedup": SUBSTRING_DEDUP, "op6_url_filters": URL_FILTERS, "op9_near_dedup": NEAR_DEDUP, "op10_top_k": TOP_K,
+    "op11_conversation_repair": CONVERSATION_REPAIR}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from chronoweave.llm.byte_bpe import op2_byte_bpe
+from chronoweave.llm.conversations import op11_conversation_repair
 from chronoweave.llm.fingerprints import op5_order_minhash
 from chronoweave.llm.near_dedup import op9_near_dedup
 from chronoweave.llm.oracles import ORACLE_SQL
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_near_dedup": op9_near_dedup,
     "op10_top_k": op10_top_k,
+    "op11_conversation_repair": op11_conversation_repair,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
