@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from chronoweave.llm.alignment import op12_tokenizer_alignment
 from chronoweave.llm.byte_bpe import op2_byte_bpe
 from chronoweave.llm.conversations import op11_conversation_repair
 from chronoweave.llm.fingerprints import op5_order_minhash
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_near_dedup": op9_near_dedup,
     "op10_top_k": op10_top_k,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
