@@ -17,19 +17,24 @@ WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''),
 SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) -
     coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN l USING (doc_id)"""
 
-NEAR_DEDUP = rf"""
+def _near(shingle: int, percent: int) -> str:
+    return rf"""
 WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_BLANKS}'), lambda x: x <> '') AS ws
     FROM documents),
- s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 2], ' ') AS g
-    FROM (SELECT doc_id, ws, unnest(generate_series(1, greatest(len(ws) - 2, CASE WHEN len(ws) > 0 THEN 1 ELSE 0 END))) AS i FROM w)),
+ s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + {shingle - 1}], ' ') AS g
+    FROM (SELECT doc_id, ws, unnest(generate_series(1, greatest(len(ws) - {shingle - 1}, CASE WHEN len(ws) > 0 THEN 1 ELSE 0 END))) AS i FROM w)),
  n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
  p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
- e AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * common >= 85 * (a.n + b.n - common)),
+ e AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * common >= {percent} * (a.n + b.n - common)),
  u AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
  t(node, seen) AS (SELECT doc_id, doc_id FROM documents UNION SELECT t.node, u.y FROM t JOIN u ON u.x = t.seen)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id, d.doc_id = m.component_id AS kept
 FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT node AS doc_id, min(seen) AS component_id FROM t GROUP BY node) m USING (doc_id)"""
 
+
+NEAR_DEDUP = _near(3, 85)
+NGRAM_JOIN = f"SELECT doc_id, n_shingles, component_id FROM ({_near(5, 80)})"
+
 TOP_K = """
 WITH v AS MATERIALIZED (SELECT row_number() OVER () AS id, vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v
  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
@@ -124,4 +129,4 @@ FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN c ON c.conv_id IS
 LEFT JOIN e ON e.conv_id IS NOT DISTINCT FROM o.conv_id AND e.pos = c.n"""
 
 ORACLE_SQL = {"op1_substring_dedup": SUBSTRING_DEDUP, "op6_url_filters": URL_FILTERS, "op9_near_dedup": NEAR_DEDUP, "op10_top_k": TOP_K,
-    "op11_conversation_repair": CONVERSATION_REPAIR}
+    "op11_conversation_repair": CONVERSATION_REPAIR, "op13_ngram_join": NGRAM_JOIN}

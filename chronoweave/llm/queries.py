@@ -6,6 +6,7 @@ from chronoweave.llm.alignment import op12_tokenizer_alignment
 from chronoweave.llm.byte_bpe import op2_byte_bpe
 from chronoweave.llm.conversations import op11_conversation_repair
 from chronoweave.llm.fingerprints import op5_order_minhash
+from chronoweave.llm.jaccard_join import op13_ngram_join
 from chronoweave.llm.near_dedup import op9_near_dedup
 from chronoweave.llm.oracles import ORACLE_SQL
 from chronoweave.llm.packing import op7_best_fit_packing
@@ -29,6 +30,7 @@ QUERIES = {
     "op10_top_k": op10_top_k,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_tokenizer_alignment": op12_tokenizer_alignment,
+    "op13_ngram_join": op13_ngram_join,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
