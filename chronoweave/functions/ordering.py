@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from chronoweave.functions.scans import previous, scanned, total
 from chronoweave.functions.shared import settled
 
 SESSION = ["session"]
@@ -25,19 +26,14 @@ def before(keys: list[str] | None = None, order: list | None = None) -> WindowSp
     return in_order(keys, order).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def changed(value: Column, window: WindowSpec, first: bool = True) -> Column:
-    """Whether a value differs from the one before; ``first`` is the answer for the first row."""
-    return F.when(F.row_number().over(window) == 1, F.lit(first)).otherwise(~value.eqNullSafe(F.lag(value).over(window)))
-
-
-def run_id(value: Column, keys: list[str] | None = None, order: list | None = None) -> Column:
-    """Number of the run of equal values that a row stands in, from 1 on. The change flag must be a column of its own."""
-    return F.sum(value.cast("int")).over(so_far(keys, order))
-
-
-def with_runs(df: DataFrame, value: str, name: str = "run", keys: list[str] | None = None, order: list | None = None) -> DataFrame:
-    flagged = df.withColumn("_changed", changed(F.col(value), in_order(keys, order)))
-    return flagged.withColumn(name, run_id(F.col("_changed"), keys, order)).drop("_changed")
+def with_runs(df: DataFrame, value: str, name: str = "run", keys: list[str] | None = None, order: list | None = None,
+        width: float | None = None, at: str | None = None) -> DataFrame:
+    """Number of the run of equal values that a row stands in, from 1 on. ``width`` cuts long sessions, see ``scans``."""
+    order = order or ORDER
+    before = scanned(df, {"_before": previous(F.col(value))}, order, width, at, keys)
+    changed = F.when(F.col("_before").isNull(), 1).otherwise((~F.col(value).eqNullSafe(F.col("_before.v"))).cast("int"))
+    flagged = before.withColumn("_changed", changed).drop("_before")
+    return scanned(flagged, {name: total(F.col("_changed"))}, order, width, at, keys).drop("_changed")
 
 
 def no_negative_zero(value: Column) -> Column:
@@ -60,9 +56,15 @@ def close_open_end(df: DataFrame, value: str, off: object = 0, keys: list[str] |
 
 
 def natural_key(name: Column) -> Column:
-    """Sort key that puts 2 before 10: digits padded, other text as it is."""
+    """Sort key that puts 2 before 10, for runs of digits of any length: how many digits, in ten places, and the digits without leading
+    zeros; other text as it is. Names that differ in leading zeros alone have one key."""
     parts = F.regexp_extract_all(name, F.lit(r"(\d+|\D+)"), F.lit(1))
-    return F.transform(parts, lambda p: F.when(p.rlike(r"^\d"), F.concat(F.lit("0"), F.lpad(p, 20, "0"))).otherwise(F.concat(F.lit("1"), p)))
+
+    def number(run: Column) -> Column:
+        digits = F.regexp_replace(run, "^0+", "")
+        return F.concat(F.lit("0"), F.lpad(F.length(digits).cast("string"), 10, "0"), digits)
+
+    return F.transform(parts, lambda p: F.when(p.rlike(r"^\d"), number(p)).otherwise(F.concat(F.lit("1"), p)))
 
 
 def natural_sort(df: DataFrame, *names: str, nulls_last: bool = True) -> DataFrame:

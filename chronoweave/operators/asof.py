@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronoweave.functions.ordering import in_order, so_far
+from chronoweave.functions.ordering import in_order
+from chronoweave.functions.scans import following, previous, scanned, total
 
 
 def _filled(both: DataFrame, keys: list[str], points: list[str], width: int | None) -> DataFrame:
@@ -105,30 +106,30 @@ def align_all(targets: DataFrame, sources: list[tuple[DataFrame, list[str], str]
     return filled.select("_row.*", *out)
 
 
-def window_starts(clock: DataFrame) -> DataFrame:
+def window_starts(clock: DataFrame, width: int | None = None) -> DataFrame:
     """A3: frame i covers ``(start_us, time_us]``; the first opens one interval early, or 1 us for a single frame."""
-    w = in_order(order=["frame"])
     t = F.col("time_us")
-    return clock.withColumn("start_us", F.coalesce(F.lag(t).over(w), 2 * t - F.lead(t).over(w), t - 1))
+    near = scanned(clock, {"_before": previous(t), "_behind": following(t)}, ["frame"], width, "time_us")
+    return near.withColumn("start_us", F.coalesce("_before.v", 2 * t - F.col("_behind.v"), t - 1)).drop("_before", "_behind")
 
 
 def in_windows(source: DataFrame, clock: DataFrame, values: list[str], width: int | None = None) -> DataFrame:
     """``session, frame, time_us, seq`` and values of the source rows that fall in the window of some frame."""
-    bounded = window_starts(clock).withColumn("seq", F.lit(0).cast("bigint"))
+    bounded = window_starts(clock, width).withColumn("seq", F.lit(0).cast("bigint"))
     near = neighbours(bounded, source, ["frame", "start_us"], width=width)
     inside = near.filter(F.col("next").isNotNull() & (F.col("time_us") > F.col("next.start_us")))
     return inside.select("session", F.col("next.frame").alias("frame"), "time_us", "seq", *values)
 
 
-def onsets_of(source: DataFrame, state: str = "state") -> DataFrame:
+def onsets_of(source: DataFrame, state: str = "state", width: int | None = None) -> DataFrame:
     """The engaged readings that follow a disengaged one, or none."""
-    engaged = source.withColumn("_on", F.col(state) > 0)
-    return engaged.withColumn("_was", F.lag("_on", 1, False).over(in_order())).filter("_on and not _was").drop("_on", "_was")
+    near = scanned(source, {"_was": previous(F.col(state) > 0)}, ["time_us", "seq"], width)
+    return near.filter((F.col(state) > 0) & ~F.coalesce(F.col("_was.v"), F.col("_was").isNotNull())).drop("_was")
 
 
 def held_at_start(source: DataFrame, clock: DataFrame, value: str, width: int | None = None) -> DataFrame:
     """The value that each frame's window begins with, as a reading before all others."""
-    starts = window_starts(clock).select("session", "frame", F.col("start_us").alias("time_us"))
+    starts = window_starts(clock, width).select("session", "frame", F.col("start_us").alias("time_us"))
     return hold(source, starts, [value], width=width).select("session", "frame", F.lit(-(1 << 62)).alias("time_us"),
         F.lit(0).cast("bigint").alias("seq"), value)
 
@@ -141,7 +142,7 @@ def strongest(value: str, of: Column | None = None) -> Column:
 
 def window_onsets(source: DataFrame, clock: DataFrame, state: str = "state", width: int | None = None) -> DataFrame:
     """A4: 1 where an engaged reading that follows a disengaged one falls in the frame's window."""
-    hit = in_windows(onsets_of(source, state), clock, [], width).select("session", "frame").distinct().withColumn("onset", F.lit(1))
+    hit = in_windows(onsets_of(source, state, width), clock, [], width).select("session", "frame").distinct().withColumn("onset", F.lit(1))
     return clock.join(hit, ["session", "frame"], "left").withColumn("onset", F.coalesce("onset", F.lit(0)))
 
 
@@ -205,13 +206,18 @@ def in_zones(targets: DataFrame, zones: DataFrame, on: str = "distance", width:
     return near.select(*targets.columns, F.coalesce((F.col("prev.end_cm") >= F.col(on)).cast("int"), F.lit(0)).alias("in_zone"))
 
 
-def running_speed(df: DataFrame, window_us: int = 100_000, distance: str = "distance") -> DataFrame:
-    """Speed from the earliest sample of the last window; backward motion and a missing earlier sample give 0. Distance per second."""
-    frame = Window.partitionBy("session").orderBy("time_us").rangeBetween(-window_us, 0)
-    first = F.min_by(F.struct("time_us", distance), F.struct("time_us", "seq")).over(frame)
-    out = df.withColumn("_first", first)
-    rise, span = F.col(distance) - F.col(f"_first.{distance}"), F.col("time_us") - F.col("_first.time_us")
-    return out.withColumn("speed", F.when((span > 0) & (rise > 0), rise / span * 1e6).otherwise(0.0)).drop("_first")
+def running_speed(df: DataFrame, window_us: int = 100_000, distance: str = "distance", width: int | None = None) -> DataFrame:
+    """Speed from the earliest sample of the last window; backward motion and a missing earlier sample give 0. Distance per second.
+
+    The start of a row's window is the first sample at or behind its time less the window: the series merged with its own times, moved
+    back, one pass over both whatever the number of samples in a window. Of samples of one time the first stands for all.
+    """
+    firsts = df.groupBy("session", "time_us").agg(F.min_by(distance, "seq").alias("_begun"), F.min("seq").alias("seq"))
+    begins = firsts.select("session", (F.col("time_us")).alias("_at_us"), "seq", "_begun", F.col("time_us").alias("_from"))
+    targets = df.withColumn("_at_us", F.col("time_us") - window_us)
+    near = neighbours(begins, targets, ["_begun", "_from"], on="_at_us", width=width)
+    rise, span = F.col(distance) - F.col("next._begun"), F.col("time_us") - F.col("next._from")
+    return near.select(*df.columns, F.when((span > 0) & (rise > 0), rise / span * 1e6).otherwise(0.0).alias("speed"))
 
 
 def clock_heights(clocks: DataFrame, keys: list[str]) -> DataFrame:
@@ -231,20 +237,13 @@ def slowest_clock(clocks: DataFrame, ranks: dict[str, int] | None = None) -> Dat
         .alias("_c")).select("session", "_c.*")
 
 
-def elapsed_minutes(df: DataFrame) -> DataFrame:
-    """Minutes since the session's first sample, to two places."""
-    start = F.min("time_us").over(Window.partitionBy("session"))
-    return df.withColumn("elapsed_min", F.bround((F.col("time_us") - start) / 6e7, 2))
+def elapsed_minutes(df: DataFrame, clock: DataFrame | None = None) -> DataFrame:
+    """Minutes since the session's first sample, to two places. ``clock`` has the same times, where ``df`` is dear to compute."""
+    first = (df if clock is None else clock).groupBy("session").agg(F.min("time_us").alias("_start"))
+    started = df.join(first, "session")
+    return started.withColumn("elapsed_min", F.bround((F.col("time_us") - F.col("_start")) / 6e7, 2)).select(*df.columns, "elapsed_min")
 
 
 def running_total(df: DataFrame, value: str, name: str, width: int | None = None) -> DataFrame:
     """Running sum per session; with ``width`` computed inside time buckets and shifted by the totals of earlier ones."""
-    if width is None:
-        return df.withColumn(name, F.sum(value).over(so_far()))
-    cut = df.withColumn("_bucket", F.floor(F.col("time_us") / width))
-    totals = cut.groupBy("session", "_bucket").agg(F.sum(value).alias("_total"))
-    earlier = F.coalesce(F.sum("_total").over(Window.partitionBy("session").orderBy("_bucket")
-            .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    inside = cut.withColumn("_own", F.sum(value).over(so_far(["session", "_bucket"])))
-    return inside.join(totals.select("session", "_bucket", earlier.alias("_earlier")),
-        ["session", "_bucket"]).withColumn(name, F.col("_own") + F.col("_earlier")).select(*df.columns, name)
+    return scanned(df, {name: total(F.col(value))}, ["time_us", "seq"], width)

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronoweave.functions.ordering import in_order, so_far, with_runs
+from chronoweave.functions.ordering import in_order
+from chronoweave.functions.scans import latest, over_runs, previous, scanned, total
 from chronoweave.operators.asof import align_all, corridor_distance, elapsed_minutes, held_at_start, in_windows, in_zones, onsets_of, running_speed, slowest_clock, strongest
 from chronoweave.operators.imaging import aligned_frames, attach_traces
 
@@ -33,17 +34,17 @@ def labelled(df: DataFrame, code: str, labels: dict[int, str], name: str, strict
     return df.withColumn(name, F.when(F.col(code).isNotNull() & found.isNull(), unknown).otherwise(found) if strict else found)
 
 
-def increments(total: str, name: str = "delta") -> dict[str, Column]:
-    """Difference to the previous sample, 0 for the first."""
-    return {name: F.coalesce(F.col(total) - F.lag(total).over(in_order(order=["frame"])), F.lit(0.0))}
-
-
-def reward_classes(df: DataFrame, tone: str = "tone_state", total: str = "volume") -> DataFrame:
-    """Runs of the tone, water of each run, and ``no``, ``tone`` or ``yes`` for each sample."""
-    rows = with_runs(df.withColumn("_tone", F.col(tone) > 0), "_tone", "run", order=["frame"]).withColumns(increments(total))
-    summed = rows.withColumn("run_volume", F.sum("delta").over(Window.partitionBy("session", "run")))
-    kind = F.when(~F.col("_tone"), "no").when(F.col("run_volume") > 0, "yes").otherwise("tone")
-    return summed.withColumn("reward", kind).drop("_tone")
+def reward_classes(df: DataFrame, tone: str = "tone_state", total_of: str = "volume", width: int | None = None) -> DataFrame:
+    """Runs of the tone, increments of the volume (``delta``, 0 for the first sample), water of each run, and ``no``, ``tone``
+    or ``yes`` for each sample. ``width`` cuts long sessions by ``time_us``."""
+    order = ["frame"]
+    near = scanned(df, {"_tone_before": previous(F.col(tone) > 0), "_before": previous(F.col(total_of))}, order, width, "time_us")
+    changed = F.when(F.col("_tone_before").isNull(), 1).otherwise((~(F.col(tone) > 0).eqNullSafe(F.col("_tone_before.v"))).cast("int"))
+    rows = near.select(*df.columns, changed.alias("_changed"), F.coalesce(F.col(total_of) - F.col("_before.v"), F.lit(0.0)).alias("delta"))
+    rows = scanned(rows, {"run": total(F.col("_changed"))}, order, width, "time_us").drop("_changed")
+    summed = over_runs(rows, "run", F.col("delta"), "run_volume", width)
+    kind = F.when(~(F.col(tone) > 0), "no").when(F.col("run_volume") > 0, "yes").otherwise("tone")
+    return summed.withColumn("reward", kind)
 
 
 def gated(value: str, states: list[str], state: str = "system_state") -> Column:
@@ -51,11 +52,11 @@ def gated(value: str, states: list[str], state: str = "system_state") -> Column:
     return F.when(F.col(state).isin(states), F.col(value)).otherwise(0.0)
 
 
-def gated_fill(value: str, states: list[str], state: str = "system_state") -> Column:
-    """Kept in some states, held across the others; 0 before the first sample that isn't idle."""
-    own = F.when(F.col(state).isin(states), F.col(value))
-    begun = F.count(F.when(F.col(state) != IDLE, 1)).over(so_far(order=["frame"])) > 0
-    return F.when(begun, F.coalesce(F.last(own, ignorenulls=True).over(so_far(order=["frame"])), F.lit(0.0))).otherwise(0.0)
+def gated_fill(df: DataFrame, name: str, value: str, states: list[str], state: str = "system_state", width: int | None = None) -> DataFrame:
+    """``name`` is a value in some states, held across the others; 0 before the first sample that isn't idle."""
+    scans = {"_held": latest(F.when(F.col(state).isin(states), F.col(value))), "_begun": total(F.when(F.col(state) != IDLE, 1))}
+    near = scanned(df, scans, ["frame"], width, "time_us")
+    return near.withColumn(name, F.when(F.col("_begun") > 0, F.coalesce("_held", F.lit(0.0))).otherwise(0.0)).drop("_held", "_begun")
 
 
 def brake_flag(torque: str, minimum: float) -> Column:
@@ -84,7 +85,7 @@ def behavior(
     sources = [(own(states, F.col("state").alias("_state")), ["_state"], "hold"),
         (own(valve, "volume", "tone_state"), ["volume", "tone_state"], "hold")]
     if encoder is not None:
-        fast = running_speed(own(encoder, "traveled_distance_cm"), window_us, "traveled_distance_cm")
+        fast = running_speed(own(encoder, "traveled_distance_cm"), window_us, "traveled_distance_cm", width)
         sources.append((fast, ["traveled_distance_cm", "speed"], "linear"))
     if screen is not None:
         sources.append((own(screen, F.col("screen_state").alias("screens")), ["screens"], "hold"))
@@ -92,7 +93,7 @@ def behavior(
         sources.append((own(brake, "brake_torque"), ["brake_torque"], "hold"))
     rows = align_all(ticks, sources, width=width)
 
-    read = own(onsets_of(lick, "lick_state"), F.lit("lick").alias("_stream"), F.lit(None).cast("double").alias("torque"))
+    read = own(onsets_of(lick, "lick_state", width), F.lit("lick").alias("_stream"), F.lit(None).cast("double").alias("torque"))
     if torque is not None:
         read = read.unionByName(own(torque, F.lit("torque").alias("_stream"), F.col("torque").cast("double").alias("torque")))
     inside = in_windows(read, ticks, ["_stream", "torque"], width)
@@ -103,7 +104,7 @@ def behavior(
         strongest("torque", F.col("_stream") == "torque").alias("torque"))
     joined = labelled(rows.join(found, FRAME, "left"), "_state", labels, "system_state", strict=True)
 
-    out = reward_classes(elapsed_minutes(joined)).withColumnsRenamed({"elapsed_min": "elapsed_minutes",
+    out = reward_classes(elapsed_minutes(joined, ticks), width=width).withColumnsRenamed({"elapsed_min": "elapsed_minutes",
             "volume": "water_uL"}).withColumn("lick", F.coalesce("lick", F.lit(0)))
     if brake is not None:
         out = out.withColumn("brake", brake_flag("brake_torque", minimum_torque))
@@ -111,26 +112,26 @@ def behavior(
         out = out.withColumn("torque_N_cm", F.when(F.col("system_state") == RUN, 0.0).otherwise(F.col("torque")))
     if encoder is not None:
         active = list(encoder_states)
-        out = out.withColumns({"distance_cm": gated_fill("traveled_distance_cm", active), "speed_cm_s": gated("speed", active)})
+        out = gated_fill(out, "distance_cm", "traveled_distance_cm", active, width=width).withColumn("speed_cm_s", gated("speed", active))
     return present(out, [*FRAME, *BEHAVIOR], TIME if drop_time else [])
 
 
 def runtime(
     clock: DataFrame, encoder: DataFrame, corridors: DataFrame, trials: DataFrame, cues: DataFrame, zones: DataFrame,
     runtime_states: DataFrame, *, trial_types: dict[int, str], state_labels: dict[int, str],
-    reinforcing: DataFrame | None = None, aversive: DataFrame | None = None, width: int | None = None,
+    reinforcing: DataFrame | None = None, aversive: DataFrame | None = None, width: int | None = None, width_cm: float | None = None,
 ) -> DataFrame:
     """Trial number from 1 on, trial type, cue, trigger zone and runtime state of each sample, and guidance where it was recorded.
 
     ``trials`` and ``cues`` are keyed by ``distance`` and have ``trial_type_index`` and ``cue``; ``runtime_states`` and guidance have ``state``. Samples of
-    sessions without encoder or corridors have no place and drop out.
+    sessions without encoder or corridors have no place and drop out. ``width`` cuts long sessions by time, ``width_cm`` by distance.
     """
     travelled = encoder.select("session", "time_us", "seq", F.col("traveled_distance_cm").alias("distance"))
     placed = corridor_distance(travelled, corridors, clock.select(*FRAME, "time_us"),
         width).withColumnRenamed("corridor_cm", "distance").filter("distance is not null")
     numbered = trials.select("session", "distance", "seq", "trial_type_index", F.row_number().over(in_order(order=["seq"])).alias("trial"))
-    rows = align_all(placed, [(numbered, ["trial", "trial_type_index"], "hold"), (cues, ["cue"], "hold")], on="distance")
-    rows = in_zones(rows, zones, "distance").withColumnRenamed("in_zone", "in_trigger_zone")
+    rows = align_all(placed, [(numbered, ["trial", "trial_type_index"], "hold"), (cues, ["cue"], "hold")], on="distance", width=width_cm)
+    rows = in_zones(rows, zones, "distance", width_cm).withColumnRenamed("in_zone", "in_trigger_zone")
     state = lambda df, name: (df.select("session", "time_us", "seq", F.col("state").alias(name)), [name], "hold")
     guided = {"reinforcing_guided": reinforcing, "aversive_guided": aversive}
     rows = align_all(rows, [state(runtime_states, "_state"), *[state(df, name) for name, df in guided.items() if df is not None]], width=width)
@@ -197,10 +198,10 @@ def fluorescence(band: DataFrame, pulses: DataFrame, recorded: DataFrame, counts
     return attach_traces(aligned_frames(band, pulses, recorded, counts), traces)
 
 
-def camera_clock(frames: DataFrame, ranks: dict[str, int] | None = None) -> DataFrame:
+def camera_clock(frames: DataFrame, ranks: dict[str, int] | None = None, width: int | None = None) -> DataFrame:
     """The frames of each session's slowest camera (A13) as its reference clock, numbered from 1 on. ``frames`` has ``camera``."""
     own = frames.join(slowest_clock(frames, ranks).select("session", "camera"), ["session", "camera"])
-    return own.select("session", F.row_number().over(in_order()).alias("frame"), "time_us")
+    return scanned(own, {"frame": total(F.lit(1))}, ["time_us", "seq"], width).select("session", F.col("frame").cast("int").alias("frame"), "time_us")
 
 
 def experiment(frames: DataFrame, behavior_table: DataFrame, runtime_table: DataFrame, video: DataFrame,

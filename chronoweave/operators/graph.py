@@ -5,9 +5,13 @@ Each round is written to the shared folder (``checkpoint``), so lineage stays sh
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Iterator
 from functools import reduce
 from itertools import count
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -90,10 +94,118 @@ def closure(edges: DataFrame) -> DataFrame:
         rounds = joined(rounds, fresh)
 
 
-def downstream_weight(jobs: DataFrame, edges: DataFrame) -> DataFrame:
-    """Cores of all distinct transitive dependents; 0 without any. A job on a cycle doesn't count itself."""
-    weights = closure(edges).filter("job_id <> after").join(jobs.select(F.col("job_id").alias("after"), "cores"),
-        "after").groupBy("job_id").agg(F.sum("cores").alias("weight"))
+#: Dependents that a task counts at once, and most edges of a unit that a task holds; larger units go through ``closure``.
+COUNTED, HELD_EDGES = 4096, 2_000_000
+
+
+def _groups(after: list[list[int]]) -> list[list[int]]:
+    """Strongly connected groups of a graph, those that lead nowhere first; without recursion."""
+    number, low, on, stack, out = [-1] * len(after), [0] * len(after), [False] * len(after), [], []
+    seen = 0
+    for root in range(len(after)):
+        if number[root] >= 0:
+            continue
+        path = [(root, 0)]
+        while path:
+            node, at = path.pop()
+            if at == 0:
+                number[node] = low[node] = seen
+                seen += 1
+                stack.append(node)
+                on[node] = True
+            elif at > 0 and on[after[node][at - 1]]:
+                low[node] = min(low[node], low[after[node][at - 1]])
+            if at < len(after[node]):
+                path.append((node, at + 1))
+                follower = after[node][at]
+                if number[follower] < 0:
+                    path.append((follower, 0))
+            elif low[node] == number[node]:
+                group = []
+                while not group or group[-1] != node:
+                    group.append(stack.pop())
+                    on[group[-1]] = False
+                out.append(group)
+    return out
+
+
+def reached_weights(after: list[list[int]], cores: np.ndarray, first: int, end: int) -> np.ndarray:
+    """For each job of a graph the cores of the jobs ``first .. end - 1`` that it leads to, itself left out: one set of bits for each group."""
+    own, weights = np.asarray(cores[first:end], dtype=np.int64), np.zeros(len(after), dtype=np.int64)
+    group_of, sets = [0] * len(after), []
+    for index, group in enumerate(_groups(after)):
+        bits = 0
+        for node in group:
+            group_of[node] = index
+        for node in group:
+            if len(group) > 1 and first <= node < end:
+                bits |= 1 << (node - first)
+            for follower in after[node]:
+                if group_of[follower] != index:
+                    bits |= sets[group_of[follower]] | (1 << (follower - first) if first <= follower < end else 0)
+        sets.append(bits)
+        if end - first <= 64:
+            total = sum(int(own[k]) for k in range(end - first) if bits >> k & 1)
+        else:
+            packed = np.frombuffer(bits.to_bytes((end - first + 7) // 8, "little"), dtype=np.uint8)
+            total = int(np.unpackbits(packed, bitorder="little", count=end - first) @ own)
+        for node in group:
+            weights[node] = total - (int(own[node - first]) if len(group) > 1 and first <= node < end else 0)
+    return weights
+
+
+def _unit_weights(block: int, rows: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """The jobs of one unit with what they lead to inside one block of its jobs; rows are job, what it needs, and the job's cores."""
+    place = {job: k for k, job in enumerate(sorted({x for row in rows for x in row[:2]}))}
+    cores, after = np.zeros(len(place), dtype=np.int64), [[] for _ in place]
+    for job, need, own in set(rows):
+        cores[place[job]] = own
+        after[place[need]].append(place[job])
+    first = block * COUNTED
+    if first >= len(place):
+        return []
+    weights = reached_weights(after, cores, first, min(first + COUNTED, len(place))).tolist()
+    return [(job, weights[k]) for job, k in place.items() if weights[k]]
+
+
+def _reached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come unit by unit and block by block; columns are unit, block, job_id, needs, cores."""
+    now, held = None, []
+    for batch in itertools.chain(batches, [None]):
+        found: list[tuple[int, int]] = []
+        rows = zip(*(c.to_pylist() for c in batch.columns), strict=True) if batch is not None else [(None,) * 5]
+        for unit, block, *row in rows:
+            if (unit, block) != now:
+                found += _unit_weights(now[1], held) if held else []
+                now, held = (unit, block), []
+            held.append(tuple(row))
+        yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["job_id", "weight"])
+
+
+def downstream_weight(jobs: DataFrame, edges: DataFrame, unit: str | None = None) -> DataFrame:
+    """Cores of all distinct transitive dependents; 0 without any. A job on a cycle doesn't count itself.
+
+    With ``unit``, a column of ``jobs`` with ids as numbers, weights stay inside a unit, and no pair of jobs is written: a task has the edges of one
+    unit and counts ``COUNTED`` of its jobs as dependents of all, as bits that are merged from the last jobs to the first. A unit of
+    n jobs is n / ``COUNTED`` tasks. Units of over ``HELD_EDGES`` edges, and all without ``unit``, are closed by joins, pair by pair.
+    """
+    if unit is None:
+        found = closure(edges)
+        weights = found.filter("job_id <> after").join(jobs.select(F.col("job_id").alias("after"), "cores"), "after").select("job_id", F.col("cores").alias("weight"))
+    else:
+        own = jobs.select("job_id", F.col(unit).alias("unit"), F.coalesce("cores", F.lit(0)).cast("bigint").alias("cores"))
+        inside = edges.select("job_id", "needs").join(own, "job_id").join(own.select(F.col("job_id").alias("needs"), "unit"), ["needs", "unit"])
+        inside = settled(inside.select("unit", F.col("job_id").cast("bigint"), F.col("needs").cast("bigint"), "cores"))
+        sizes = settled(inside.groupBy("unit").agg(F.count(F.lit(1)).alias("_edges")))
+        blocks = F.explode(F.sequence(F.lit(0), F.floor(2 * F.col("_edges") / COUNTED).cast("int"))).alias("block")
+        dealt = inside.join(sizes.filter(F.col("_edges") <= HELD_EDGES).select("unit", blocks), "unit")
+        dealt = dealt.select("unit", "block", "job_id", "needs", "cores").repartition("unit", "block").sortWithinPartitions("unit", "block")
+        weights = dealt.mapInArrow(_reached, "job_id bigint, weight bigint")
+        large = inside.join(sizes.filter(F.col("_edges") > HELD_EDGES).select("unit"), "unit", "left_semi")
+        if not large.isEmpty():
+            pairs = closure(large).filter("job_id <> after").join(own.select(F.col("job_id").alias("after"), "cores"), "after")
+            weights = weights.unionByName(pairs.select("job_id", F.col("cores").alias("weight")))
+    weights = weights.groupBy("job_id").agg(F.sum("weight").alias("weight"))
     return jobs.join(weights, "job_id", "left").select("job_id", F.coalesce("weight", F.lit(0)).cast("bigint").alias("weight"))
 
 

@@ -9,24 +9,28 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from chronoweave.functions.ordering import in_order, so_far
+from chronoweave.functions.ordering import ORDER, in_order
+from chronoweave.functions.scans import medians, previous, scanned, total
 from chronoweave.operators.asof import neighbours
 
 TOLERANCE_US = 50_000
 ANCHORS = 10
+#: Parts of the unit of time that pulses and frames are merged in.
+SCALE = 1000
 GAP_FACTOR = 3
 LEAST_PULSES = 3
 
 
-def edges(train: DataFrame) -> DataFrame:
-    """edge of each row (the first one has none) and the running number of rising edges."""
-    step = train.withColumn("edge", F.coalesce(F.col("state") - F.lag("state").over(in_order()), F.lit(0)))
-    return step.withColumn("pulse_id", F.sum((F.col("edge") == 1).cast("bigint")).over(so_far()))
+def edges(train: DataFrame, width: int | None = None) -> DataFrame:
+    """edge of each row (the first one has none) and the running number of rising edges. ``width`` cuts long sessions by time."""
+    near = scanned(train, {"_before": previous(F.col("state"))}, ORDER, width)
+    step = near.withColumn("edge", F.coalesce(F.col("state") - F.col("_before.v"), F.lit(0))).drop("_before")
+    return scanned(step, {"pulse_id": total((F.col("edge") == 1).cast("bigint"))}, ORDER, width)
 
 
-def paired_pulses(train: DataFrame) -> DataFrame:
+def paired_pulses(train: DataFrame, width: int | None = None) -> DataFrame:
     """rising and falling edge of each pulse with its length; pulses that miss an edge drop out."""
-    rows = edges(train)
+    rows = edges(train, width)
     rise = rows.filter("edge = 1").select("session", "pulse_id", F.col("time_us").alias("pulse_start"))
     fall = rows.filter("edge = -1").select("session", "pulse_id", F.col("time_us").alias("pulse_end"))
     return rise.join(fall, ["session", "pulse_id"]).withColumn("duration_ms", (F.col("pulse_end") - F.col("pulse_start")) / 1000)
@@ -38,12 +42,19 @@ def in_band(pulses: DataFrame, expected_ms: float, tolerance_ms: float = 20.0) -
     return fit.select("session", F.col("pulse_id").alias("frame"), F.col("pulse_start").alias("time_us"))
 
 
-def pulse_runs(pulses: DataFrame) -> DataFrame:
-    """``run`` from 0 on; a gap over three median periods starts a new one. Sessions of fewer than three pulses are one run."""
-    period = pulses.withColumn("_period", F.col("time_us") - F.lag("time_us").over(in_order(order=["frame"])))
-    middle = period.groupBy("session").agg(F.median("_period").alias("_median"), F.count(F.lit(1)).alias("_pulses"))
+def pulse_runs(pulses: DataFrame, width: int | None = None) -> DataFrame:
+    """``run`` from 0 on; a gap over three median periods starts a new one. Sessions of fewer than three pulses are one run.
+
+    With ``width`` sessions are cut by time, and the median comes from counts of ranges (``medians``): no session is in one task.
+    """
+    near = scanned(pulses, {"_before": previous(F.col("time_us"))}, ["frame"], width, "time_us")
+    period = near.withColumn("_period", F.col("time_us") - F.col("_before.v"))
+    pulse_counts = period.groupBy("session").agg(F.count(F.lit(1)).alias("_pulses"))
+    middle = (period.groupBy("session").agg(F.median("_period").alias("_median"), F.count(F.lit(1)).alias("_pulses")) if width is None
+        else pulse_counts.join(medians(period, F.col("_period"), "_median"), "session", "left"))
     gap = period.join(middle, "session").withColumn("_gap", (F.col("_pulses") >= LEAST_PULSES) & (F.col("_period") > F.col("_median") * GAP_FACTOR))
-    return gap.select(*pulses.columns, F.coalesce(F.sum(F.col("_gap").cast("int")).over(so_far(order=["frame"])), F.lit(0)).alias("run"))
+    runs = scanned(gap, {"run": total(F.col("_gap").cast("int"))}, ["frame"], width, "time_us")
+    return runs.select(*pulses.columns, F.coalesce("run", F.lit(0)).alias("run"))
 
 
 def acquisition_sizes(frames: DataFrame) -> DataFrame:
@@ -136,23 +147,42 @@ def last_frames(pulses: DataFrame, counts: DataFrame) -> DataFrame:
     return pulses.join(counts, "session").withColumn("_back", back).filter("_back <= frame_count").select(*pulses.columns)
 
 
-def clock_offset(pulses: DataFrame, frames: DataFrame, tolerance_us: int = TOLERANCE_US) -> DataFrame:
+def clock_offset(pulses: DataFrame, frames: DataFrame, tolerance_us: int = TOLERANCE_US, block: int = 4096) -> DataFrame:
     """of the first ten pulses as anchors of the first frame, the offset with most matches, the first one on ties.
 
-    ``pulses`` has ``pulse_start``, ``frames`` ``time_us`` on the recorder's clock with ``place`` from 1 on.
+    ``pulses`` has ``pulse_start``, ``frames`` ``time_us`` on the recorder's clock with ``place`` from 1 on. Pulses and frames are merged once,
+    at the first anchor's offset: a frame that any anchor matches with a pulse is no farther from it than the anchors are apart. That
+    reach is the unit of time, so each pulse looks at the frames within one unit and says which anchors it speaks for. Sessions are cut into
+    blocks of ``block`` units; only frames next to a cut stand in two of them.
     """
     anchors = pulses.withColumn("anchor", F.row_number().over(in_order(order=["pulse_start"]))).filter(F.col("anchor") <= ANCHORS)
     start = frames.filter("place = 1").select("session", F.col("time_us").alias("_first"))
-    offsets = anchors.join(start, "session").select("session", "anchor", (F.col("pulse_start") - F.col("_first")).alias("offset_us"))
-    shifted = frames.join(offsets, "session").select("session", "anchor",
-        (F.col("time_us") + F.col("offset_us")).alias("time_us"), F.col("place").alias("seq"))
-    targets = pulses.join(offsets.select("session", "anchor"), "session").select("session", "anchor", F.col("pulse_start").alias("time_us"))
-    near = neighbours(shifted, targets, [], ["session", "anchor"])
-    gap = F.least(F.col("time_us") - F.col("prev.time_us"), F.col("next.time_us") - F.col("time_us"))
-    matched = near.groupBy("session", "anchor").agg(F.count_if(gap < tolerance_us).alias("matches"))
-    best = matched.join(offsets, ["session", "anchor"]).groupBy("session").agg(F.max_by(F.struct("offset_us", "matches"),
-            F.struct("matches", -F.col("anchor"))).alias("b"))
-    return best.select("session", "b.*")
+    offsets = anchors.join(start, "session").groupBy("session").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("anchor", (F.col("pulse_start") - F.col("_first")).alias("offset_us")))),
+            lambda x: x["offset_us"]).alias("_offsets"))
+    base = F.element_at("_offsets", 1)
+    offsets = offsets.select("session", "_offsets", base.alias("_base"), (F.element_at("_offsets", -1) - base + tolerance_us).alias("_reach"))
+    none = F.lit(None)
+    # Times count from the first frame of the session, in thousandths of the reach.
+    first = start.select("session", "_first")
+    of_frames = frames.join(offsets, "session").join(first, "session").select("session",
+        F.floor((F.col("time_us") - F.col("_first")) * SCALE / F.col("_reach")).alias("_at"), F.col("time_us").alias("_frame"), none.cast("bigint").alias("_pulse"),
+        none.cast("array<bigint>").alias("_offsets"))
+    reach = SCALE + 2  # both times are rounded down
+    near_cut = F.sequence(F.floor((F.col("_at") - reach) / (block * SCALE)), F.floor((F.col("_at") + reach) / (block * SCALE)))
+    of_frames = of_frames.withColumn("_block", F.explode(near_cut))
+    of_pulses = pulses.join(offsets, "session").join(first, "session").select("session",
+        F.floor((F.col("pulse_start") - F.col("_base") - F.col("_first")) * SCALE / F.col("_reach")).alias("_at"), none.cast("bigint").alias("_frame"),
+        F.col("pulse_start").alias("_pulse"), "_offsets")
+    both = of_frames.unionByName(of_pulses.withColumn("_block", F.floor(F.col("_at") / (block * SCALE))))
+    around = Window.partitionBy("session", "_block").orderBy("_at").rangeBetween(-reach, reach)
+    near = both.withColumn("_near", F.collect_list("_frame").over(around)).filter("_pulse is not null")
+    votes = F.transform("_offsets", lambda o: F.exists("_near", lambda f: F.abs(F.col("_pulse") - f - o) < tolerance_us).cast("bigint"))
+    voted = near.withColumn("_votes", votes)
+    counted = voted.groupBy("session").agg(F.first("_offsets").alias("_offsets"), *[F.sum(F.get("_votes", k)).alias(f"_v{k}") for k in range(ANCHORS)])
+    all_votes = F.array(*[F.struct(F.col(f"_v{k}").alias("matches"), F.lit(-k).alias("k"), F.get("_offsets", k).alias("offset_us")) for k in range(ANCHORS)])
+    best = F.array_max(F.filter(all_votes, lambda v: v["matches"].isNotNull()))
+    return counted.select("session", best.alias("_b")).select("session", "_b.offset_us", "_b.matches")
 
 
 def align(pulses: DataFrame, frames: DataFrame, tolerance_us: int = TOLERANCE_US) -> DataFrame:

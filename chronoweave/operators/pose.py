@@ -10,6 +10,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronoweave.functions.scans import medians
+
 TRUSTED = 0.8
 LEAST_POINTS = 3
 MOST_CONDITION = 12.0
@@ -86,13 +88,17 @@ def frame_points(predictions: DataFrame, reflection: str, pupil: list[str], eye:
         F.array(*map(one, pupil)).alias("pupil"), F.array(*map(one, eye)).alias("eye"))
 
 
-def pupil_metrics(frames: DataFrame) -> DataFrame:
-    """P12 (fixed names): all metrics of ``session, frame, reflection, pupil, eye`` rows (P1-P11), as floats."""
+def pupil_metrics(frames: DataFrame, long_sessions: bool = False) -> DataFrame:
+    """P12 (fixed names): all metrics of ``session, frame, reflection, pupil, eye`` rows (P1-P11), as floats.
+
+    With ``long_sessions`` the baseline (P7) comes from counts of ranges, so that no session's values are in one buffer.
+    """
     fitted = fit_ring(fit_ring(frames, "pupil", PUPIL_POINTS, "p"), "eye", EYE_POINTS, "e")
     openness = F.when(F.col("e_valid") & (2 * F.col("e_semi_a") >= LEAST_EXTENT), F.col("e_semi_b") / F.col("e_semi_a")).otherwise(NAN)
     opened = fitted.withColumn("openness", openness)
-    base = opened.groupBy("session").agg(F.median(F.when(F.col("e_valid") & ~F.isnan("openness"), F.col("openness"))).alias("_base"))
-    seen = opened.join(base, "session")
+    known = F.when(F.col("e_valid") & ~F.isnan("openness"), F.col("openness"))
+    base = medians(opened, known, "_base") if long_sessions else opened.groupBy("session").agg(F.median(known).alias("_base"))
+    seen = opened.join(base, "session", "left")
     mirror = F.coalesce(F.col("reflection.likelihood") >= TRUSTED, F.lit(False))
     lost = ~(F.col("e_valid") & mirror) | F.isnan("openness")
     closing = ~F.isnan("openness") & F.coalesce(F.col("openness") < BLINK_FRACTION * F.col("_base"), F.lit(False))

@@ -93,12 +93,16 @@ def page(table: DataFrame, order: list, start: int = 0, length: int = 200) -> Da
     return rows.limit(length) if length > 0 else rows
 
 
-def unknown_values(table: DataFrame, column: str, wanted: list[str]) -> DataFrame:
-    """Requested values that the table lacks, with the ones it has."""
+def unknown_values(table: DataFrame, column: str, wanted: list[str], most: int = 50) -> DataFrame:
+    """Requested values that the table lacks, with the first ``most`` of those it has, and how many there are.
+
+    The first values are taken before they are put into one row: each task keeps its own first ones and no row holds all.
+    """
     asked = table.sparkSession.createDataFrame([(w,) for w in wanted], "value string")
-    known = table.select(F.col(column).cast("string").alias("value")).distinct()
-    have = known.agg(F.sort_array(F.collect_set("value")).alias("known"))
-    return asked.join(known, "value", "left_anti").crossJoin(F.broadcast(have))
+    known = table.select(F.col(column).cast("string").alias("value")).filter("value is not null").distinct()
+    have = known.orderBy("value").limit(most).agg(F.sort_array(F.collect_list("value")).alias("known"))
+    count = known.agg(F.count(F.lit(1)).alias("known_values"))
+    return asked.join(known, "value", "left_anti").crossJoin(F.broadcast(have)).crossJoin(F.broadcast(count))
 
 
 def listing(table: DataFrame, filters: dict[str, list], order: list, start: int = 0, length: int = 200) -> DataFrame:

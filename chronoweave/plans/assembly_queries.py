@@ -14,7 +14,7 @@ from chronoweave.plans.asof_queries import COR, ENC, SIGNED, STATE
 from chronoweave.plans.state_queries import MARKERS, _markers
 from chronoweave.plans.stream_queries import PULSES, TONE, TRAIN, VOLUME
 from chronoweave.plans.tables import CLOCK, EV, EXPONENT, LINE, RD, SCALE, clock, near, read, readings, stream, with_
-from chronoweave.sources import ingest
+from chronoweave.sources import ingest, publishing
 
 Q, SQL = {}, {}
 
@@ -45,11 +45,15 @@ ALIGNED = [EV, CLOCK, TRAIN, PULSES, VOLUME, TONE,
     "OVER (PARTITION BY session, run) > 0 THEN 'yes' ELSE 'tone' END AS reward FROM ri)"]
 
 
-def _rewarded(s, d):
+#: Width of a bucket where a session is cut: five days, or so many of a running value.
+FIVE_DAYS, FAR = 5 * 86_400_000_000, 500.0
+
+
+def _rewarded(s, d, width=None):
     events = stream(s, d)
     rows = align_all(clock(s, d), [(streams.valve_volume(events, SCALE, EXPONENT), ["volume"], "hold"),
             (streams.tone(events), ["tone_state"], "hold")])
-    return assemble.reward_classes(rows)
+    return assemble.reward_classes(rows, width=width)
 
 
 @query("flagship_reward_summary", with_(*ALIGNED)
@@ -61,9 +65,22 @@ def _(s, d):
     return _rewarded(s, d).groupBy("session").agg(count("yes", "rewarded"), count("tone", "tone_only"), count("no", "silent"))
 
 
-@query("b3_b6_reward_classes", with_(*ALIGNED) + "SELECT session, frame, round(delta, 4) + 0.0 AS delta, CAST(run AS BIGINT) AS run, reward FROM rw")
+REWARDS_SQL = with_(*ALIGNED) + "SELECT session, frame, round(delta, 4) + 0.0 AS delta, CAST(run AS BIGINT) AS run, reward FROM rw"
+
+
+def _reward_rows(s, d, width=None):
+    return _rewarded(s, d, width).select("session", "frame", (F.round("delta", 4) + 0.0).alias("delta"), "run", "reward")
+
+
+@query("b3_b6_reward_classes", REWARDS_SQL)
 def _(s, d):
-    return _rewarded(s, d).select("session", "frame", (F.round("delta", 4) + 0.0).alias("delta"), "run", "reward")
+    return _reward_rows(s, d)
+
+
+@query("b3_b6_reward_classes_bucketed", REWARDS_SQL)
+def _(s, d):
+    """Long sessions: runs, increments and sums over runs in two levels."""
+    return _reward_rows(s, d, FIVE_DAYS)
 
 
 STATES = (
@@ -101,12 +118,20 @@ def _(s, d):
     return _states(s, d).select("session", "seq", assemble.gated("value", ["run"]).alias("speed"))
 
 
-@query("b8_gated_fill", with_(EV, STATES, NUMBERED)
+GATED_SQL = (with_(EV, STATES, NUMBERED)
     + f"SELECT session, seq, CASE WHEN count(*) FILTER (WHERE system_state <> 'idle') OVER ({_F}) > 0 "
     f"THEN coalesce(last_value(CASE WHEN system_state = 'run' THEN value END IGNORE NULLS) OVER ({_F}), 0.0) "
     f"ELSE 0.0 END AS distance FROM nb")
+
+
+@query("b8_gated_fill", GATED_SQL)
 def _(s, d):
-    return _numbered(s, d).select("session", "seq", assemble.gated_fill("value", ["run"]).alias("distance"))
+    return assemble.gated_fill(_numbered(s, d), "distance", "value", ["run"]).select("session", "seq", "distance")
+
+
+@query("b8_gated_fill_bucketed", GATED_SQL)
+def _(s, d):
+    return assemble.gated_fill(_numbered(s, d), "distance", "value", ["run"], width=FIVE_DAYS).select("session", "seq", "distance")
 
 
 @query("b9_brake_flag", with_(EV, STATES) + "SELECT session, seq, CAST(value > 40 AS INTEGER) AS brake FROM ss")
@@ -181,7 +206,7 @@ def _codes(s, d):
     return readings(s, d).select("session", "time_us", "seq", (F.col("seq") % 3).cast("int").alias("state"))
 
 
-def _behavior(s, d, ticks, whole: bool = True, drop_time: bool = False):
+def _behavior(s, d, ticks, whole: bool = True, drop_time: bool = False, width: int | None = None):
     events = stream(s, d)
     of = lambda *codes: events.filter(F.col("event").isin(*codes))
     valve = of(54, 55).withColumn("volume", F.sum(F.when(F.col("event") == 54, F.col("value")).otherwise(0.0))
@@ -194,7 +219,7 @@ def _behavior(s, d, ticks, whole: bool = True, drop_time: bool = False):
     }
     lick = of(51, 52).withColumn("lick_state", (F.col("event") == 51).cast("int"))
     return assemble.behavior(ticks, _codes(s, d), lick, valve, labels=LABELS, minimum_torque=40.0, window_us=SPEED_US,
-        drop_time=drop_time, **(streams_ if whole else {}))
+        drop_time=drop_time, width=width, **(streams_ if whole else {}))
 
 
 def _rounded(df):
@@ -207,6 +232,12 @@ def _(s, d):
     return _rounded(_behavior(s, d, clock(s, d)))
 
 
+@query("b11_behavior_table_bucketed", with_(EV, CLOCK, *behavior_sql("ck")) + "SELECT * FROM bh")
+def _(s, d):
+    """The same with every pass over a session cut into buckets."""
+    return _rounded(_behavior(s, d, clock(s, d), width=FIVE_DAYS))
+
+
 @query("b10_mandatory_streams", with_(EV, CLOCK, *behavior_sql("ck", whole=False)) + "SELECT * FROM bh")
 def _(s, d):
     """Sessions of a type without encoder, screen, brake and torque: their columns are absent."""
@@ -249,7 +280,7 @@ def runtime_sql(clock: str) -> list[str]:
     ]
 
 
-def _runtime(s, d, ticks):
+def _runtime(s, d, ticks, width=None, width_cm=None):
     events = stream(s, d)
     encoder = readings(s, d).withColumn("traveled_distance_cm", F.sum("value").over(so_far()))
     marks = events.filter("event = 54")
@@ -261,7 +292,7 @@ def _runtime(s, d, ticks):
     states = events.filter("event = 55").select("session", "time_us", "seq", (F.col("seq") % 5).cast("int").alias("state"))
     guided = events.filter("event = 51").select("session", "time_us", "seq", (F.col("seq") % 2).cast("int").alias("state"))
     return assemble.runtime(ticks, encoder, corridors, trials, cues, zones, states, trial_types=TRIAL_TYPES,
-        state_labels=RUNTIME_STATES, reinforcing=guided)
+        state_labels=RUNTIME_STATES, reinforcing=guided, width=width, width_cm=width_cm)
 
 
 @query("b12_runtime_table", with_(EV, RD, CLOCK, ENC, *runtime_sql("ck")) + "SELECT * FROM rt")
@@ -269,6 +300,12 @@ def _(s, d):
     return _runtime(s, d, clock(s, d))
 
 
+@query("b12_runtime_table_bucketed", with_(EV, RD, CLOCK, ENC, *runtime_sql("ck")) + "SELECT * FROM rt")
+def _(s, d):
+    """Cut by time, and by distance where the key is a distance."""
+    return _runtime(s, d, clock(s, d), FIVE_DAYS, FAR)
+
+
 def video_sql(clock: str) -> list[str]:
     """CTEs that end with ``vd``, the video table on a clock."""
     out = ["fc AS (SELECT session, time_us, seq, value FROM ev WHERE event = 51)",
@@ -463,9 +500,21 @@ def _(s, d):
 def _(s, d):
     """A table published twice: readers see the second one whole."""
     path, orders = fresh_path(s, "published"), read(s, d, "orders")
-    ingest.publish(orders.select("o_orderkey"), path)
-    ingest.publish(orders, path)
-    return s.read.parquet(path)
+    publishing.publish({"orders": orders.select("o_orderkey")}, path)
+    publishing.publish({"orders": orders}, path)
+    return publishing.read_published(s, path, "orders")
+
+
+@query("s12_m16_published_together", "SELECT o_custkey AS animal, CAST(count(*) AS BIGINT) AS sessions, max(o_orderkey) AS latest FROM orders GROUP BY 1")
+def _(s, d):
+    """Detail and summary become visible in one step: the summary is read and checked against the detail of the same version."""
+    path, orders = fresh_path(s, "published"), read(s, d, "orders").select(F.col("o_custkey").alias("animal"), F.col("o_orderkey").alias("session"))
+    summary = lambda detail: detail.groupBy("animal").agg(F.count(F.lit(1)).alias("sessions"), F.max("session").alias("latest"))
+    half = orders.filter("session % 2 = 0")
+    publishing.publish({"detail": half, "summary": summary(half)}, path)
+    version = publishing.publish({"detail": orders, "summary": summary(orders)}, path)
+    detail, found = (publishing.read_published(s, path, name, version) for name in ("detail", "summary"))
+    return found.join(detail.groupBy("animal").agg(F.count(F.lit(1)).alias("sessions")), ["animal", "sessions"])
 
 
 @query("s13_session_folders",

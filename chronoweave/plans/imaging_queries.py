@@ -7,6 +7,7 @@ import math
 import numpy as np
 from pyspark.sql import functions as F
 
+from chronoweave.functions.scans import medians
 from chronoweave.operators import imaging, pose, streams, video
 from chronoweave.operators.assemble import PUPIL_FLAGS
 from chronoweave.plans.stream_queries import TRAIN
@@ -30,7 +31,7 @@ EDGES = """eg AS (SELECT *, coalesce(state - lag(state) OVER (PARTITION BY sessi
     ORDER BY seq ROWS UNBOUNDED PRECEDING) AS BIGINT) AS pulse_id FROM eg),
  pp AS (SELECT r.session, r.pulse_id, r.time_us AS pulse_start, f.time_us AS pulse_end, (f.time_us - r.time_us) / 1000 AS duration_ms
     FROM ei r JOIN ei f ON r.session = f.session AND r.pulse_id = f.pulse_id AND r.edge = 1 AND f.edge = -1)"""
-LIMIT_MS = 36_000_000.0
+LIMIT_MS, FIVE_DAYS = 36_000_000.0, 5 * 86_400_000_000
 BAND = f"bd AS (SELECT session, pulse_id AS frame, pulse_start AS time_us FROM pp WHERE duration_ms BETWEEN 0 AND {2 * LIMIT_MS})"
 RUNS = """pr AS (SELECT *, time_us - lag(time_us) OVER (PARTITION BY session ORDER BY frame) AS period FROM bd),
  md AS (SELECT session, median(period) AS med, count(*) AS n FROM pr GROUP BY session),
@@ -58,6 +59,11 @@ def _(s, d):
     return imaging.edges(_train(s, d)).select("session", "time_us", "seq", "edge", "pulse_id")
 
 
+@query("f1_edges_bucketed", with_(EV, TRAIN, EDGES) + "SELECT session, time_us, seq, edge, pulse_id FROM ei")
+def _(s, d):
+    return imaging.edges(_train(s, d), FIVE_DAYS).select("session", "time_us", "seq", "edge", "pulse_id")
+
+
 @query("f2_paired_pulses", with_(EV, TRAIN, EDGES) + "SELECT session, pulse_id, pulse_start, pulse_end, duration_ms FROM pp")
 def _(s, d):
     return imaging.paired_pulses(_train(s, d))
@@ -73,6 +79,18 @@ def _(s, d):
     return imaging.pulse_runs(_band(s, d)).select("session", "frame", "run")
 
 
+@query("f4_pulse_runs_bucketed", with_(EV, TRAIN, EDGES, BAND, RUNS) + "SELECT session, frame, run FROM rn")
+def _(s, d):
+    """Cut by time, the median of the periods from counts of ranges."""
+    return imaging.pulse_runs(_band(s, d), FIVE_DAYS).select("session", "frame", "run")
+
+
+@query("median_in_ranges", "SELECT l_returnflag AS flag, median(l_extendedprice) AS median FROM lineitem GROUP BY 1")
+def _(s, d):
+    """The exact median of a few large groups, of which none is gathered."""
+    return medians(read(s, d, "lineitem").withColumn("flag", F.col("l_returnflag")), F.col("l_extendedprice"), "median", ["flag"], 64, 1000)
+
+
 @query(
     "f5_acquisition_sizes",
     with_("fr AS (SELECT l_suppkey AS session, CASE WHEN l_suppkey % 2 = 0 THEN l_linenumber "

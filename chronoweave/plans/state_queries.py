@@ -210,12 +210,20 @@ def _(s, d):
 
 
 @query("m14_unknown_values",
-    "SELECT v AS value, (SELECT list(DISTINCT o_orderstatus ORDER BY o_orderstatus) FROM orders) AS known "
-    "FROM (VALUES ('X'), ('Y')) t(v)")
+    "SELECT v AS value, (SELECT list(DISTINCT o_orderstatus ORDER BY o_orderstatus) FROM orders) AS known, "
+    "(SELECT count(DISTINCT o_orderstatus) FROM orders) AS known_values FROM (VALUES ('X'), ('Y')) t(v)")
 def _(s, d):
     return state.unknown_values(_sessions(s, d), "type", ["F", "X", "Y"])
 
 
+@query("m14_unknown_values_of_many",
+    "SELECT v AS value, (SELECT list(k ORDER BY k) FROM (SELECT CAST(o_orderkey AS VARCHAR) AS k FROM orders ORDER BY k LIMIT 50)) AS known, "
+    "(SELECT count(DISTINCT o_orderkey) FROM orders) AS known_values FROM (VALUES ('none')) t(v)")
+def _(s, d):
+    """A column with as many values as rows: the first 50 are listed."""
+    return state.unknown_values(_sessions(s, d), "session", ["none"])
+
+
 @query("m15_page", "SELECT o_orderkey AS session FROM orders ORDER BY o_orderkey LIMIT 50 OFFSET 100")
 def _(s, d):
     """A page is a listing by nature: its length is the feature."""
@@ -489,12 +497,22 @@ def _(s, d):
     return graph.blocked(jobs.withColumn("here", (F.col("status") != "FAILED") & (F.col("line") < 7)), _edges(jobs)).select("job_id")
 
 
-@query("g4_downstream_weight", "WITH RECURSIVE " + ",\n".join([LINES, EDGES,
+WEIGHT_SQL = ("WITH RECURSIVE " + ",\n".join([LINES, EDGES,
             "cl(job_id, behind) AS (SELECT needs, job_id FROM ed UNION SELECT cl.job_id, ed.job_id FROM cl "
             "JOIN ed ON ed.needs = cl.behind)"])
     + " SELECT ln.job_id, CAST(coalesce((SELECT sum(b.cores) FROM cl JOIN ln b ON b.job_id = behind "
     "WHERE cl.job_id = ln.job_id), 0) AS BIGINT) AS weight FROM ln")
+
+
+@query("g4_downstream_weight", WEIGHT_SQL)
+def _(s, d):
+    jobs = settled(_lines(s, d))
+    return graph.downstream_weight(jobs, _edges(jobs), "unit")
+
+
+@query("g4_downstream_weight_by_joins", WEIGHT_SQL)
 def _(s, d):
+    """The way of units that are too large for one task: all pairs of the closure."""
     jobs = settled(_lines(s, d))
     return graph.downstream_weight(jobs, _edges(jobs))
 

@@ -1,4 +1,4 @@
-"""Sources and sinks: log archives, path markers, digests, and published tables."""
+"""Sources and sinks: log archives, path markers, digests, and tables of sessions."""
 
 from __future__ import annotations
 
@@ -139,19 +139,6 @@ def verified(digests: DataFrame, stored: DataFrame) -> DataFrame:
     return digests.join(stored.select("session", F.col("digest").alias("stored")), "session", "left").select("session", verdict.alias("verdict"))
 
 
-def publish(table: DataFrame, path: str) -> None:
-    """Write beside the old table and rename: readers see the old one or the new one."""
-    jvm, hadoop = table.sparkSession._jvm, table.sparkSession.sparkContext._jsc.hadoopConfiguration()
-    fresh, old, target = (jvm.org.apache.hadoop.fs.Path(path + s) for s in (".new", ".old", ""))
-    table.write.mode("overwrite").parquet(path + ".new")
-    system = target.getFileSystem(hadoop)
-    system.delete(old, True)
-    if system.exists(target):
-        system.rename(target, old)
-    system.rename(fresh, target)
-    system.delete(old, True)
-
-
 def write_sessions(table: DataFrame, path: str) -> None:
     """One folder for each animal and session; only the ones in ``table`` are replaced."""
     table.repartition("animal", "session").write.mode("overwrite").option("partitionOverwriteMode",

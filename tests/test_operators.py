@@ -292,11 +292,7 @@ def test_archive_round_trip(spark):
         .collect()] == [(3, 1005, b"ab"), (4, 1007, b"")]
 
 
-def test_publish_and_session_folders(spark, tmp_path):
-    path = str(tmp_path / "t")
-    for n in (3, 5):
-        ingest.publish(spark.range(n), path)
-        assert spark.read.parquet(path).count() == n
+def test_session_folders(spark, tmp_path):
     rows = spark.createDataFrame([("a", "s1", 1), ("a", "s2", 2)], "animal string, session string, x int")
     folder = str(tmp_path / "d")
     ingest.write_sessions(rows, folder)
