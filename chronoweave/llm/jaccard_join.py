@@ -80,8 +80,9 @@ def _sketches(shingle: int, percent: int, weights):
             for begin, end, sets, ids in shingle_sets(batch.column(2), shingle):
                 sizes = pa.array(np.array([len(s) for s in sets], dtype=np.int64))
                 own = [batch.column(k).slice(begin, end - begin) for k in (0, 1)]
-                yield pa.RecordBatch.from_arrays([*own, sizes, *_set_ids(ids), _long_lists([rarest(s, table, percent) for s in sets])],
-                    names=["doc_id", "key", "n_shingles", "set_a", "set_b", "rare"])
+                maps = pa.array([bitmap(s).tobytes() if len(s) else b"" for s in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([*own, sizes, *_set_ids(ids), _long_lists([rarest(s, table, percent) for s in sets]), maps],
+                    names=["doc_id", "key", "n_shingles", "set_a", "set_b", "rare", "map"])
 
     return sketch
 
@@ -89,9 +90,8 @@ def _sketches(shingle: int, percent: int, weights):
 def _full_sets(shingle: int):
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, sets, ids in shingle_sets(batch.column(0), shingle):
-                maps = pa.array([bitmap(s).tobytes() for s in sets], pa.binary())
-                yield pa.RecordBatch.from_arrays([*_set_ids(ids), maps, _long_lists(sets)], names=["set_a", "set_b", "map", "shingles"])
+            for begin, end, sets, _ in shingle_sets(batch.column(1), shingle):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, end - begin), _long_lists(sets)], names=["node", "shingles"])
 
     return collect
 
@@ -155,26 +155,37 @@ def _link_rows(links: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["u", "v"])
 
 
+def _pass_pairs(percent: int):
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The pairs that may be alike enough by their sizes and bitmaps; columns are hub, node, and size and bitmap of each."""
+        for batch in batches:
+            one, other, one_map, other_map = (batch.column(k).to_pylist() for k in (2, 3, 4, 5))
+            stay = []
+            for a, b, m, n in zip(one, other, one_map, other_map, strict=True):
+                small, large = min(a, b), max(a, b)
+                fits = 100 * small >= percent * large
+                if fits:
+                    both = _folded([np.frombuffer(m, np.uint64), np.frombuffer(n, np.uint64)])
+                    bound = (a + b - int(np.bitwise_count(both[0] ^ both[1]).sum())) // 2
+                    fits = (100 + percent) * bound >= percent * (a + b)
+                stay.append(fits)
+            yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(stay, pa.bool_())) for k in (0, 1)], names=["hub", "node"])
+
+    return compare
+
+
 def _stars(percent: int):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come with the least set of a tile before those that meet it: columns are hub, part, own, node, map, shingles."""
-        hub, held, held_map = None, None, None
+        """Rows come with the least set of a tile before those that meet it: columns are hub, part, own, node, shingles."""
+        hub, held = None, None
         for batch in batches:
-            links, lists = [], batch.column(5)
+            links, lists = [], batch.column(4)
             bounds, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
-            maps = batch.column(4).to_pylist()
             for k, (own, node) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
                 one = values[bounds[k] : bounds[k + 1]]
-                mask = np.frombuffer(maps[k], np.uint64)
                 if own == 0:
-                    hub, held, held_map = node, one.copy(), mask
-                    continue
-                small, large = sorted((len(one), len(held)))
-                if 100 * small < percent * large:
-                    continue
-                both = _folded([mask, held_map])
-                bound = (small + large - int(np.bitwise_count(both[0] ^ both[1]).sum())) // 2
-                if (100 + percent) * bound >= percent * (small + large) and (100 + percent) * overlap(one, held) >= percent * (small + large):
+                    hub, held = node, one.copy()
+                elif (100 + percent) * overlap(one, held) >= percent * (len(one) + len(held)):
                     links.append((hub, node))
             yield _link_rows(links)
 
@@ -249,22 +260,32 @@ def _apart(members: DataFrame, joined: DataFrame) -> DataFrame:
         F.size("nodes") > 1).select("nodes")
 
 
+def _sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, shingle: int, odd: bool) -> DataFrame:
+    """``node, shingles`` of some classes, from the text of one document of each."""
+    wanted = stored(classes.select("node", "key").join(nodes, "node", "left_semi"), "wanted")
+    chosen = docs.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted, "key").select("node", "text")
+    chosen = chosen.dropDuplicates(["node"]) if odd else chosen
+    return stored(chosen.mapInArrow(lean(_full_sets(shingle)), "node bigint, shingles array<bigint>"), "sets")
+
+
 def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, key, n_shingles, component_id`` of every row of ``docs (doc_id, key, text)``.
 
-    Sets are linked if ``100 * intersection >= percent * union``; ``component_id`` is the smallest id reachable by links.
+    ``key`` is a number that goes with ``doc_id`` and ``text``. Sets are linked if ``100 * intersection >= percent * union``; ``component_id`` is
+    the smallest id reachable by links. Bitmaps go with the classes, so only sets that pass are read again from their texts.
     """
     spark = docs.sparkSession
     small_batches(spark)
+    odd = bool(docs.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count())
     counted = docs.select("text").mapInArrow(lean(_weights(shingle)), "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     weights = np.zeros(BUCKETS, dtype=np.int64)
     weights[counted.column("bucket").to_numpy()] = counted.column("n").to_numpy()
     sketches = docs.select("doc_id", "key", "text").mapInArrow(lean(_sketches(shingle, percent, spark.sparkContext.broadcast(weights))),
-        "doc_id bigint, key bigint, n_shingles bigint, set_a bigint, set_b bigint, rare array<bigint>")
+        "doc_id bigint, key bigint, n_shingles bigint, set_a bigint, set_b bigint, rare array<bigint>, map binary")
     sketches = stored(sketches, "sketches")
     filled = sketches.filter("n_shingles > 0")
     classes = filled.groupBy("set_a", "set_b").agg(F.min("key").alias("key"), F.min("doc_id").alias("doc_id"),
-        F.first("n_shingles").alias("n"), F.first("rare").alias("rare"))
+        F.first("n_shingles").alias("n"), F.first("rare").alias("rare"), F.first("map").alias("map"))
     classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
 
     band = F.floor(F.log(F.col("n")) / math.log(100 / percent)).cast("int").alias("band")
@@ -276,26 +297,23 @@ def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) -> D
     stars = members.select("token", meeting, "node").join(least, ["token", "band"]).filter("hub <> node").select("hub", "node").distinct()
     stars = stored(stars, "stars")
 
-    nodes = stored(stars.select(F.explode(F.array("hub", "node")).alias("node")).distinct(), "nodes")
-    wanted = stored(classes.join(nodes, "node", "left_semi").select("node", "key", "set_a", "set_b", "n"), "wanted")
-    keys = wanted.select("key")
-    keys = F.broadcast(keys) if wanted.count() <= BROADCAST_IDS else keys
-    sets = docs.join(keys, "key", "left_semi").select("text").mapInArrow(lean(_full_sets(shingle)),
-        "set_a bigint, set_b bigint, map binary, shingles array<bigint>").dropDuplicates(["set_a", "set_b"])
-    sets = stored(wanted.select("node", "set_a", "set_b", "n").join(sets, ["set_a", "set_b"]).select("node", "n", "map", "shingles"), "sets")
-
+    maps = classes.select("node", "n", "map")
+    both = stars.join(maps, "node").join(maps.select(F.col("node").alias("hub"), F.col("n").alias("n_hub"), F.col("map").alias("map_hub")), "hub")
+    stars = stored(both.select("hub", "node", "n", "n_hub", "map", "map_hub").mapInArrow(lean(_pass_pairs(percent)), "hub bigint, node bigint"), "stars")
+    sets = _sets(docs, classes, stars.select(F.explode(F.array("hub", "node")).alias("node")).distinct(), shingle, odd)
     parts = stored(stars.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / UNIT).cast("int").alias("parts")), "parts")
     spokes = stars.join(parts, "hub").select("hub", F.pmod(F.xxhash64("node"), "parts").cast("int").alias("part"), F.lit(1).alias("own"), "node")
     hubs = parts.select("hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("own"), F.col("hub").alias("node"))
-    dealt = spokes.unionByName(hubs).join(sets, "node").select("hub", "part", "own", "node", "map", "shingles")
+    dealt = spokes.unionByName(hubs).join(sets, "node").select("hub", "part", "own", "node", "shingles")
     dealt = dealt.repartition("hub", "part").sortWithinPartitions("hub", "part", "own", "node")
     links = stored(dealt.mapInArrow(lean(_stars(percent)), "u bigint, v bigint"), "links")
     joined = stored(components(links), "joined")
 
-    known = sets.join(joined, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "n", "map", "shingles")
-    rough = _dealt(_apart(members, joined), known, ["root", "n", "map"])
+    rooted = lambda df: df.join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rough = _dealt(_apart(members, joined), rooted(maps), ["root", "n", "map"])
     passed = stored(rough.mapInArrow(lean(_pass_bitmaps(percent)), "nodes array<bigint>"), "passed")
-    exact = _dealt(passed, known, ["root", "shingles"])
+    sets = _sets(docs, classes, passed.select(F.explode("nodes").alias("node")).distinct(), shingle, odd)
+    exact = _dealt(passed, rooted(sets), ["root", "shingles"])
     links = stored(links.unionByName(exact.mapInArrow(lean(_intersect(percent)), "u bigint, v bigint")), "all-links")
     joined = stored(components(links), "joined")
 
