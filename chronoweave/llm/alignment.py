@@ -8,8 +8,9 @@ the corpus: their counts are a broadcast of a proven bound, about a million rows
 Texts are cut at single blanks between letters, where tokens of both end (no piece of B has a blank behind another character, which
 is checked), and each distinct chunk of a block is encoded and aligned once. An array gives for each A id the B id of the same bytes. Groups
 of one token each that agree with it are counted by A id in one vector of the length of the vocabulary for each task; only other groups'
-pairs are counted as pairs and shuffled, each distinct pair once a task. A second pass over the texts adds up what each document's
-links have. Tasks hold one block of texts (4 MB, or one longer text), the vector and the distinct pairs.
+pairs are counted as pairs and shuffled, each distinct pair once a task. The same pass stores each document's numbers and its distinct links with
+how often it has them, at most as many as there are pairs; when the counts of the corpus are known, they are looked up for those. Tasks hold one
+block of texts (4 MB, or one longer text), the vector and the distinct pairs.
 
 Special tokens' strings in texts are plain text. Texts that are null or empty, or whose tokens of A or B don't spell blank and text,
 have no tokens: zeros, no links and an empty ``groups_sha256``. Repeated rows count each time; a null ``doc_id`` is kept. An empty table
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoweave.llm.blocks import ChunkCache, chunk_spans, distinct_chunks, lean, ragged_take, text_blocks
-from chronoweave.llm.common import small_batches, table
+from chronoweave.llm.common import small_batches, stored, table
 from chronoweave.llm.library import ChunkEncoder
 
 #: Head of a chunk's record: tokens of A (-1: bytes differ), tokens of B, groups, bytes of the groups as text. Links and text follow.
@@ -139,10 +140,18 @@ class _Block:
         counted = np.repeat(self.good, np.diff(self.first))
         return np.bincount(self.index[counted], minlength=len(self.starts))
 
-    def over_links(self, values: np.ndarray) -> np.ndarray:
-        """Sum of a number of each link over the links of each distinct chunk."""
-        total = np.concatenate([[0], np.cumsum(values)])
-        return total[self.links_at + self.heads[:, 2]] - total[self.links_at]
+    def links_of(self, begin: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The distinct links of some documents one behind the other, how often each stands there, and where each document's begin."""
+        size, taken = np.diff(self.first[begin : end + 1]), self.index[self.first[begin] : self.first[end]]
+        owner = np.repeat(np.arange(end - begin), np.where(self.good[begin:end], size, 0))
+        taken = taken[np.repeat(self.good[begin:end], size)]
+        chunks, times = np.unique(owner * len(self.starts) + taken, return_counts=True)
+        owner, taken = np.divmod(chunks, max(1, len(self.starts)))
+        n = self.heads[taken, 2]
+        found = ragged_take(self.links, self.links_at[taken], n)
+        pairs, at = np.unique((np.repeat(owner, n) << 32) + found, return_inverse=True)
+        counts = np.bincount(at, weights=np.repeat(times, n), minlength=len(pairs)).astype(np.int64)
+        return pairs & 0xFFFFFFFF, counts, np.searchsorted(pairs >> 32, np.arange(end - begin + 1))
 
     def spelled(self, document: int) -> str:
         """Digest of the groups of a document, spelled out some chunks at a time."""
@@ -158,14 +167,27 @@ class _Block:
         return digest.hexdigest()
 
 
-def _count(a_path: str, b_path: str):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """One vector of counts of a task, and its distinct pairs of irregular groups."""
+_STORED = ("doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, groups_sha256 string, links array<bigint>, times array<bigint>, "
+    "vector array<bigint>, pair bigint, n bigint")
+_LONGS = pa.list_(pa.int64())
+_KINDS = {"bigint": pa.int64(), "string": pa.string(), "array<bigint>": _LONGS}
+#: Documents whose links are put together at once hold about so many chunks.
+_TOGETHER = 1 << 18
+
+
+def _rows(size: int, /, **columns: pa.Array) -> pa.RecordBatch:
+    names, kinds = zip(*[c.rsplit(" ", 1) for c in _STORED.split(", ")], strict=True)
+    return pa.RecordBatch.from_arrays([columns.get(c, pa.nulls(size, _KINDS[k])) for c, k in zip(names, kinds, strict=True)], names=list(names))
+
+
+def _aligned(a_path: str, b_path: str):
+    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each document; at the end one vector of counts of the task, and its distinct pairs of irregular groups."""
         aligner = Aligner.load(a_path, b_path)
         vector = np.zeros(len(aligner.same), dtype=np.int64)
         pairs, counts = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for _, _, data, offsets in text_blocks(batch.column(0)):
+            for begin, end, data, offsets in text_blocks(batch.column(1)):
                 block = _Block(data, offsets, aligner)
                 times = np.repeat(block.times(), block.heads[:, 2])
                 a, b = np.divmod(block.links, aligner.width)
@@ -174,59 +196,75 @@ def _count(a_path: str, b_path: str):
                 met = ~regular & (times > 0)
                 pairs, at = np.unique(np.concatenate([pairs, block.links[met]]), return_inverse=True)
                 counts = np.bincount(at, weights=np.concatenate([counts, times[met]]), minlength=len(pairs)).astype(np.int64)
-        own = pa.ListArray.from_arrays(pa.array([0, len(vector)], pa.int32()), pa.array(vector))
-        yield pa.RecordBatch.from_arrays([own, pa.array([None], pa.int64()), pa.array([None], pa.int64())], names=["vector", "pair", "n"])
+                numbers = [np.where(block.good, block.sums(block.heads[:, k]), 0) for k in range(3)]
+                some, documents = 0, end - begin
+                while some < documents:
+                    to = int(np.searchsorted(block.first, block.first[some] + _TOGETHER, side="right")) - 1
+                    to = min(max(to, some + 1), documents)
+                    links, own, bounds = block.links_of(some, to)
+                    lists = [pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(x)) for x in (links, own)]
+                    yield _rows(to - some, doc_id=batch.column(0).slice(begin + some, to - some), links=lists[0], times=lists[1],
+                        groups_sha256=pa.array([block.spelled(k) for k in range(some, to)], pa.string()),
+                        **{name: pa.array(x[some:to]) for name, x in zip(("n_a", "n_b", "n_groups"), numbers, strict=True)})
+                    some = to
+        yield _rows(1, vector=pa.ListArray.from_arrays(pa.array([0, len(vector)], pa.int32()), pa.array(vector)))
         for k in range(0, len(pairs), 10_000):
             part = slice(k, k + 10_000)
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(pairs[part]), own.type), pa.array(pairs[part]), pa.array(counts[part])],
-                names=["vector", "pair", "n"])
+            yield _rows(len(pairs[part]), pair=pa.array(pairs[part]), n=pa.array(counts[part]))
+
+    return align
+
+
+def _counts(found: DataFrame, aligner: Aligner) -> DataFrame:
+    vectors = found.filter("vector IS NOT NULL").select(F.posexplode("vector").alias("a", "n")).filter("n > 0")
+    twin = F.get(F.from_json(F.lit(str(aligner.same.tolist())), "array<int>"), F.col("a"))
+    regular = vectors.select((F.col("a").cast("bigint") * aligner.width + twin).alias("pair"), "n")
+    pairs = regular.unionByName(found.filter("pair IS NOT NULL").select("pair", "n")).groupBy("pair").agg(F.sum("n").alias("n"))
+    return pairs.select(F.floor(F.col("pair") / aligner.width).cast("int").alias("a"), F.pmod("pair", F.lit(aligner.width)).cast("int").alias("b"), "n")
 
-    return count
+
+def _pass(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
+    small_batches(docs.sparkSession)
+    return stored(docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(lean(_aligned(a_path, b_path), resident=True), _STORED), "aligned")
 
 
 def link_counts(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """``a, b, n``: how many links of the corpus hold each pair of ids."""
-    aligner = Aligner.load(a_path, b_path)
-    width, same = aligner.width, aligner.same
-    small_batches(docs.sparkSession)
-    counted = docs.select("text").mapInArrow(lean(_count(a_path, b_path), resident=True), "vector array<bigint>, pair bigint, n bigint")
-    vectors = counted.filter("vector IS NOT NULL").select(F.posexplode("vector").alias("a", "n")).filter("n > 0")
-    twin = F.get(F.from_json(F.lit(str(same.tolist())), "array<int>"), F.col("a"))
-    regular = vectors.select((F.col("a").cast("bigint") * width + twin).alias("pair"), "n")
-    pairs = regular.unionByName(counted.filter("vector IS NULL").select("pair", "n")).groupBy("pair").agg(F.sum("n").alias("n"))
-    return pairs.select(F.floor(F.col("pair") / width).cast("int").alias("a"), F.pmod("pair", F.lit(width)).cast("int").alias("b"), "n")
+    return _counts(_pass(docs, a_path, b_path), Aligner.load(a_path, b_path))
 
 
-def _score(a_path: str, b_path: str, known):
+def _score(known):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner.load(a_path, b_path)
+        """Columns are doc_id, n_a, n_b, n_groups, groups_sha256, links, times."""
         pairs, counts, best = known.value
         for batch in batches:
-            for begin, end, data, offsets in text_blocks(batch.column(1)):
-                block = _Block(data, offsets, aligner)
-                at = np.minimum(np.searchsorted(pairs, block.links), max(0, len(pairs) - 1))
-                # Chunks of texts without tokens alone are not counted; what is looked up for them is dropped below.
-                n, most = (counts[at], best[at].astype(np.int64)) if len(pairs) else (np.zeros(len(at), np.int64),) * 2
-                numbers = [block.heads[:, 0], block.heads[:, 1], block.heads[:, 2], block.heads[:, 2], block.over_links(most), block.over_links(n)]
-                columns = [pa.array(np.where(block.good, block.sums(x), 0)) for x in numbers]
-                digests = pa.array([block.spelled(k) for k in range(end - begin)], pa.string())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, end - begin), *columns, digests],
-                    names=[c.split()[0] for c in _RESULT.split(", ")])
+            links, times = (batch.column(k).flatten().to_numpy(zero_copy_only=False) for k in (5, 6))
+            sizes = np.diff(batch.column(5).offsets.to_numpy())
+            ends = np.cumsum(sizes)
+            at = np.searchsorted(pairs, links)
+            sums = []
+            for values in (times * best[at], times * counts[at]):
+                total = np.concatenate([[0], np.cumsum(values)])
+                sums.append(pa.array((total[ends] - total[ends - sizes]).astype(np.int64)))
+            columns = [*(batch.column(k) for k in range(4)), batch.column(3), *sums, batch.column(4)]
+            yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in _RESULT.split(", ")])
 
     return score
 
 
 def align(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256`` of every row of ``docs (doc_id, text)``."""
-    docs = docs.select(F.col("doc_id").cast("bigint"), "text")
-    found = link_counts(docs, a_path, b_path).toArrow()  # bounded by the vocabularies, see above
+    done = _pass(docs, a_path, b_path)
+    aligner = Aligner.load(a_path, b_path)
+    found = _counts(done, aligner).toArrow()  # bounded by the vocabularies, see above
     a, b, n = (found.column(c).to_numpy() for c in ("a", "b", "n"))
-    pair = a.astype(np.int64) * Aligner.load(a_path, b_path).width + b
+    pair = a.astype(np.int64) * aligner.width + b
     most = np.zeros(int(b.max()) + 1 if len(b) else 0, dtype=np.int64)
     np.maximum.at(most, b, n)
     order = np.argsort(pair)
-    known = docs.sparkSession.sparkContext.broadcast((pair[order], n[order], (n == most[b])[order]))
-    return docs.mapInArrow(lean(_score(a_path, b_path, known), resident=True), _RESULT)
+    known = docs.sparkSession.sparkContext.broadcast((pair[order], n[order], (n == most[b]).astype(np.int64)[order]))
+    rows = done.filter("n_a IS NOT NULL").select("doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "links", "times")
+    return rows.mapInArrow(lean(_score(known)), _RESULT)
 
 
 def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -73,7 +73,7 @@ def test_alignment_equals_the_libraries(spark, monkeypatch, block):
     import functools
 
     monkeypatch.setattr(alignment, "text_blocks", functools.partial(blocks.text_blocks, limit=block))
-    monkeypatch.setattr(alignment, "_SPELLED", 3)
+    monkeypatch.setattr(alignment, "_TOGETHER", 5)
     df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "doc_id bigint, text string").repartition(3)
     df = df.withColumn("n_a", F.lit("x")).withColumn("pair", F.lit(1))
     got = {r["doc_id"]: tuple(r[n] for n in NAMES) for r in alignment.align(df, A, B).collect()}
