@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from chronoweave.functions.ordering import in_order
 from chronoweave.functions.scans import latest, over_runs, previous, scanned, total
 from chronoweave.operators.asof import align_all, corridor_distance, elapsed_minutes, held_at_start, in_windows, in_zones, onsets_of, running_speed, slowest_clock, strongest
-from chronoweave.operators.imaging import aligned_frames, attach_traces
+from chronoweave.operators.imaging import TOLERANCE_US, aligned_frames, attach_traces
 
 #: Values outside the run state (fixed values).
 NO_CUE, NO_TRIAL, NO_TRIAL_TYPE = 255, 65535, "undefined"
@@ -193,9 +193,10 @@ def side_by_side(*tables: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.join(b.drop("time_us"), FRAME), tables)
 
 
-def fluorescence(band: DataFrame, pulses: DataFrame, recorded: DataFrame, counts: DataFrame, traces: dict[str, DataFrame]) -> DataFrame:
+def fluorescence(band: DataFrame, pulses: DataFrame, recorded: DataFrame, counts: DataFrame, traces: dict[str, DataFrame],
+        tolerance_us: int = TOLERANCE_US) -> DataFrame:
     """The imaging clock: frames aligned with the recorder's own (F11, F12), with an array column of each trace."""
-    return attach_traces(aligned_frames(band, pulses, recorded, counts), traces)
+    return attach_traces(aligned_frames(band, pulses, recorded, counts, tolerance_us), traces)
 
 
 def camera_clock(frames: DataFrame, ranks: dict[str, int] | None = None, width: int | None = None) -> DataFrame:

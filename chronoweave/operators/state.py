@@ -199,3 +199,53 @@ def staged_read(table: DataFrame, axes: list[str], filters: dict[str, list] | No
         start: int = 0, length: int = 200) -> tuple[DataFrame, DataFrame | None]:
     """How every listing is read: counts by axis for all rows, and a page once a filter is named."""
     return breakdown(table, axes), listing(table, filters, order or table.columns, start, length) if filters else None
+
+
+def prepared_batches(jobs: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """``batch_id, host, unit_count, job_count, blocked_count, outcome_recorded`` of every batch that was prepared.
+
+    ``jobs`` has ``batch_id, host, unit, job_id, blocked``, ``outcomes`` ``batch_id, host`` and its four counts. A settled batch carries the counts of
+    its outcome and no units.
+    """
+    done = outcomes.select("batch_id", "host", F.lit(None).cast("bigint").alias("unit_count"),
+        (F.col("succeeded") + F.col("failed") + F.col("blocked") + F.col("outstanding")).alias("job_count"),
+        F.col("blocked").alias("blocked_count"), F.lit(True).alias("outcome_recorded"))
+    waiting = jobs.join(outcomes.select("batch_id"), "batch_id", "left_anti")
+    counted = waiting.groupBy("batch_id").agg(F.min("host").alias("host"), F.count_distinct("unit").alias("unit_count"),
+        F.count(F.lit(1)).alias("job_count"), F.count_if("blocked").alias("blocked_count"), F.lit(False).alias("outcome_recorded"))
+    return done.unionByName(counted)
+
+
+def outstanding_jobs(jobs: DataFrame) -> DataFrame:
+    """What a batch would dispatch: jobs that haven't succeeded and are not blocked."""
+    return jobs.filter((F.col("status") != SUCCEEDED) & ~F.col("blocked"))
+
+
+def resource_totals(jobs: DataFrame, keys: list[str]) -> DataFrame:
+    """Jobs, widest cores, largest and summed memory of both kinds."""
+    kinds = ("memory_mb", "resident_mb")
+    figures = [f(F.col(k)).alias(f"{name}_{k}") for k in kinds for name, f in (("largest_job", F.max), ("summed", F.sum))]
+    return jobs.groupBy(*keys).agg(F.count(F.lit(1)).alias("jobs"), F.max("cores").alias("widest_job_cores"), *figures)
+
+
+def resource_units(units: DataFrame, jobs: DataFrame) -> DataFrame:
+    """Every named unit of a batch with the number of its jobs, 0 too."""
+    counted = jobs.groupBy("batch_id", "unit").agg(F.count(F.lit(1)).alias("jobs"))
+    return units.join(counted, ["batch_id", "unit"], "left").select("batch_id", "unit", F.coalesce("jobs", F.lit(0)).alias("jobs"))
+
+
+STATUSES = ("succeeded", "failed", "running", "scheduled")
+
+
+def local_jobs(jobs: DataFrame, records: DataFrame, now_us: int) -> DataFrame:
+    """The jobs of a batch with what their trackers recorded: ``status`` (scheduled if nothing), times and ``elapsed_seconds``."""
+    known = records.select("job_id", "status", "started_at", "completed_at")
+    entries = jobs.drop("status").join(known, "job_id", "left")
+    return entries.withColumns({"status": F.lower(F.coalesce("status", F.lit("SCHEDULED"))),
+        "elapsed_seconds": elapsed_seconds(F.col("started_at"), F.col("completed_at"), now_us)})
+
+
+def local_summary(entries: DataFrame) -> DataFrame:
+    """Jobs of each batch in total, by status, and those that are blocked."""
+    counts = [F.count_if(F.col("status") == name).alias(name) for name in STATUSES]
+    return entries.groupBy("batch_id").agg(F.count(F.lit(1)).alias("total"), *counts, F.count_if("blocked").alias("blocked_jobs"))

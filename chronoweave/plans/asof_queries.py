@@ -169,12 +169,12 @@ def _(s, d):
 
 @query(
     "a10_zone_membership",
-    with_(EV, RD, "zn AS (SELECT session, value - 5 AS a, value + 5 AS b FROM ev WHERE event = 54 AND seq % 3 = 0)")
+    with_(EV, RD, "zn AS (SELECT session, value - 1 AS a, value + 1 AS b FROM ev WHERE event = 54)")
     + "SELECT session, seq, CAST(EXISTS (SELECT 1 FROM zn WHERE zn.session = rd.session AND rd.value BETWEEN a AND b) AS INTEGER) AS in_zone FROM rd",
 )
 def _(s, d):
-    zones = stream(s, d).filter("event = 54 and seq % 3 = 0").select("session", (F.col("value") - 5).alias("start_cm"),
-        (F.col("value") + 5).alias("end_cm"))
+    zones = stream(s, d).filter("event = 54").select("session", (F.col("value") - 1).alias("start_cm"),
+        (F.col("value") + 1).alias("end_cm"))
     return asof.in_zones(readings(s, d), zones, "value").select("session", "seq", "in_zone")
 
 

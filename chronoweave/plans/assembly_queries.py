@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from chronoweave.functions import expect, registry
 from chronoweave.functions.ordering import in_order, so_far
-from chronoweave.functions.shared import fresh_path
+from chronoweave.functions.shared import fresh_path, settled
 from chronoweave.operators import assemble, imaging, streams
 from chronoweave.operators.asof import align_all
 from chronoweave.plans.asof_queries import COR, ENC, SIGNED, STATE
+from chronoweave.plans.imaging_queries import ALIGNED_FRAMES, BAND, EDGES, LIMIT_MS, OFFSETS
+from chronoweave.plans.imaging_queries import _frames as recorded_frames
 from chronoweave.plans.state_queries import MARKERS, _markers
 from chronoweave.plans.stream_queries import PULSES, TONE, TRAIN, VOLUME
 from chronoweave.plans.tables import CLOCK, EV, EXPONENT, LINE, RD, SCALE, clock, near, read, readings, stream, with_
@@ -273,7 +275,7 @@ def runtime_sql(clock: str) -> list[str]:
         near("r3", "rs", "pc", "state"), near("r4", "gd", "pc", "state"),
         f"""rt AS (SELECT r1.session, r1.frame,
     CAST(coalesce(r1.y0, r1.y1).n AS INTEGER) AS trial, {_case('coalesce(r1.y0, r1.y1).i', TRIAL_TYPES)} AS trial_type, coalesce(r2.y0, r2.y1) AS cue,
- CAST(EXISTS (SELECT 1 FROM mk WHERE mk.session = r1.session AND mk.seq % 3 = 0 AND r1.distance BETWEEN mk.distance
+ CAST(EXISTS (SELECT 1 FROM mk WHERE mk.session = r1.session AND r1.distance BETWEEN mk.distance
     AND mk.distance + 40) AS INTEGER) AS in_trigger_zone, {_case('coalesce(r3.y0, r3.y1)', RUNTIME_STATES)} AS runtime_state,
     coalesce(r4.y0, r4.y1) AS reinforcing_guided
  FROM r1 JOIN r2 USING (session, frame) JOIN r3 USING (session, frame) JOIN r4 USING (session, frame))""",
@@ -286,7 +288,7 @@ def _runtime(s, d, ticks, width=None, width_cm=None):
     marks = events.filter("event = 54")
     corridors = marks.select("session", "time_us", "seq", ((F.row_number().over(in_order()) - 1) * 100.0).alias("start_cm"))
     marks = marks.select("session", "time_us", "seq", F.sum("value").over(so_far()).alias("distance"))
-    zones = marks.filter("seq % 3 = 0").select("session", F.col("distance").alias("start_cm"), (F.col("distance") + 40).alias("end_cm"))
+    zones = marks.select("session", F.col("distance").alias("start_cm"), (F.col("distance") + 40).alias("end_cm"))
     trials = marks.select("session", "distance", "seq", (F.col("seq") % 4).cast("int").alias("trial_type_index"))
     cues = marks.select("session", (F.col("distance") / 3).alias("distance"), "seq", (F.col("seq") % 9).cast("int").alias("cue"))
     states = events.filter("event = 55").select("session", "time_us", "seq", (F.col("seq") % 5).cast("int").alias("state"))
@@ -406,6 +408,38 @@ def _(s, d):
     return whole
 
 
+BESIDE = " ".join(f"JOIN {t} ON {t}.session = ck.session AND {t}.frame = ck.frame" for t in ("bh", "rt", "vd"))
+
+
+@query(
+    "b18_imaging_dataset",
+    with_(EV, f"ck AS ({with_(EV, TRAIN, EDGES, BAND, OFFSETS, *ALIGNED_FRAMES)} SELECT session, CAST(row_number() "
+        "OVER (PARTITION BY session ORDER BY frame) AS BIGINT) AS frame, time_us FROM af)",
+        *behavior_sql("ck"), *runtime_sql("ck"), *video_sql("ck"),
+        "sk AS (SELECT label AS session, vec_id AS frame, embedding AS single_day_spikes FROM embeddings)", BOUNDS)
+    + f"""SELECT ck.session, ck.frame, ck.time_us, sk.single_day_spikes, bh.* EXCLUDE (session, frame, time_us, elapsed_minutes),
+ CAST(CASE WHEN system_state IN ('idle', 'rest') THEN 65535 ELSE trial END AS INTEGER) AS trial,
+ CASE WHEN system_state IN ('idle', 'rest') THEN 'undefined' ELSE trial_type END AS trial_type,
+ CAST(CASE WHEN system_state IN ('idle', 'rest') THEN 255 ELSE cue END AS INTEGER) AS cue,
+ rt.* EXCLUDE (session, frame, trial, trial_type, cue), vd.* EXCLUDE (session, frame)
+ FROM ck LEFT JOIN sk ON sk.session = ck.session AND sk.frame = ck.frame {BESIDE}
+ LEFT JOIN fi ON fi.session = ck.session LEFT JOIN la ON la.session = ck.session
+ WHERE coalesce(ck.time_us >= a, true) AND coalesce(ck.time_us <= b, true)""",
+)
+def _(s, d):
+    """The clock is the imaging frames themselves: trigger pulses matched with the recorder's own frames (F11, F12), with traces."""
+    train, recorded = streams.states(stream(s, d), 51, 52), recorded_frames(s, d)
+    pulses = imaging.paired_pulses(train)
+    counts = recorded.groupBy("session").agg(F.count(F.lit(1)).alias("frame_count"))
+    traces = read(s, d, "embeddings").select(F.col("label").cast("bigint").alias("session"),
+        F.col("vec_id").cast("bigint").alias("frame"), F.posexplode("embedding").alias("roi", "value"))
+    frames = settled(assemble.fluorescence(imaging.in_band(pulses, LIMIT_MS, LIMIT_MS), pulses, recorded, counts,
+            {"single_day_spikes": traces}, 3_600_000_000))
+    ticks = frames.select("session", "frame", "time_us")
+    return assemble.experiment(frames, _rounded(_behavior(s, d, ticks, drop_time=True)), _runtime(s, d, ticks),
+        _video(s, d, ticks), _codes(s, d), stream(s, d).filter("event = 55"))
+
+
 CAMERAS = {"face_camera": 51, "body_camera": 52}
 
 

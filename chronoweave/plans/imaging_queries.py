@@ -154,9 +154,9 @@ def _(s, d):
     return imaging.align(imaging.paired_pulses(_train(s, d)), _frames(s, d), 3_600_000_000)
 
 
-@query(
-    "f11_f12_aligned_frames",
-    with_(EV, TRAIN, EDGES, BAND, OFFSETS, "fn AS (SELECT session, count(*) AS n FROM fm GROUP BY session)",
+#: Ends with ``af``, the imaging frames of each session.
+ALIGNED_FRAMES = [
+        "fn AS (SELECT session, count(*) AS n FROM fm GROUP BY session)",
         "hv AS (SELECT fn.session, n, (SELECT count(*) FROM bd WHERE bd.session = fn.session) AS have FROM fn)",
           "nf AS (SELECT pp.session, pulse_id, pulse_start, place, abs(pulse_start - fm.time_us - offset_us) AS dist, "
           "row_number() OVER (PARTITION BY pp.session, pulse_id "
@@ -166,7 +166,12 @@ def _(s, d):
           "WHERE rk = 1 AND dist < 3600000000)",
           "af AS (SELECT session, frame, time_us FROM (SELECT *, row_number() OVER (PARTITION BY session "
           "ORDER BY frame DESC) AS back FROM bd) JOIN hv USING (session) WHERE have >= n AND back <= n UNION ALL "
-          "SELECT session, pulse_id, pulse_start FROM kp JOIN hv USING (session) WHERE rn = 1 AND have < n)")
+          "SELECT session, pulse_id, pulse_start FROM kp JOIN hv USING (session) WHERE rn = 1 AND have < n)"]
+
+
+@query(
+    "f11_f12_aligned_frames",
+    with_(EV, TRAIN, EDGES, BAND, OFFSETS, *ALIGNED_FRAMES)
     + "SELECT session, row_number() OVER (PARTITION BY session ORDER BY frame) AS frame, time_us FROM af",
 )
 def _(s, d):
