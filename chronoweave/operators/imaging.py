@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import cache
+import math
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -72,43 +72,98 @@ def acquisition_sizes(frames: DataFrame) -> DataFrame:
         "size").unionByName(peeled.select("session", "size"))
 
 
+class _Search:
+    """Costs to place acquisitions on runs from some run on, each looked for within a budget.
+
+    A branch ends when what it costs so far and the cheapest span of every acquisition still to place, run over twice or not, are over the
+    budget. Acquisitions of one size are alike, so a state is how many of each size are left and the first free run.
+    """
+
+    def __init__(self, runs: list[int], sizes: list[int]) -> None:
+        self.runs, self.kinds, self.known = runs, sorted(set(sizes)), {}
+        self.spans = [[self._spans_at(size, a) for a in range(len(runs))] for size in self.kinds]
+        self.cheapest = []
+        for own in self.spans:
+            least = [math.inf]
+            for at in reversed(own):
+                least.append(min(least[-1], min(cost for _, cost in at)))
+            self.cheapest.append(least[::-1])
+
+    def _spans_at(self, size: int, a: int) -> list[tuple[int, int]]:
+        """Last run and cost of the spans from a run on; a span ends with the run that makes it larger than the acquisition."""
+        total, out = 0, []
+        for b in range(a, len(self.runs)):
+            total += self.runs[b]
+            out.append((b, abs(total - size)))
+            if total > size:
+                break
+        return out
+
+    def cost(self, left: tuple[int, ...], free: int, budget: float) -> float:
+        """The least cost, or something over the budget if that is more."""
+        open_ = sum(left)
+        if not open_:
+            return 0
+        if len(self.runs) - free < open_:
+            return math.inf
+        bound = sum(n * least[free] for n, least in zip(left, self.cheapest, strict=True) if n)
+        if bound > budget:
+            return bound
+        value, exact = self.known.get((left, free), (0, False))
+        if exact or value > budget:
+            return value
+        best = math.inf
+        for k, n in enumerate(left):
+            if not n:
+                continue
+            rest = (*left[:k], n - 1, *left[k + 1 :])
+            for a in range(free, len(self.runs) - open_ + 1):
+                for b, own in self.spans[k][a]:
+                    room = min(budget, best - 1) - own
+                    if room >= 0:
+                        best = min(best, own + self.cost(rest, b + 1, room))
+        self.known[left, free] = (best, True) if best <= budget else (max(value, budget + 1), False)
+        return self.known[left, free][0]
+
+
 def best_spans(runs: list[int], sizes: list[int]) -> list[tuple[int, int]] | None:
     """the cheapest span of consecutive runs for each acquisition, by absolute difference of counts.
 
     A span ends with the run that makes it larger than the acquisition. Equally cheap plans: the first in the order of acquisitions,
-    then of spans. Dynamic programming over the set of placed acquisitions and the next free run.
+    then of spans. The budget is doubled until a plan fits; then the order is settled acquisition by acquisition, and the spans for it.
     """
     if not sizes or len(sizes) > len(runs):
         return None
-    spans = []
-    for a in range(len(runs)):
-        total, own = 0, []
-        for b in range(a, len(runs)):
-            total += runs[b]
-            own.append((b, total))
-        spans.append(own)
-
-    @cache
-    def best(placed: int, free: int):
-        if placed == (1 << len(sizes)) - 1:
-            return 0, (), ()
-        found = None
-        for k, size in enumerate(sizes):
-            if placed >> k & 1:
-                continue
-            for a in range(free, len(runs)):
-                for b, total in spans[a]:
-                    rest = best(placed | 1 << k, b + 1)
-                    if rest is not None:
-                        plan = (abs(total - size) + rest[0], (k, *rest[1]), ((a, b), *rest[2]))
-                        if found is None or plan < found:
-                            found = plan
-                    if total > size:
-                        break
-        return found
-
-    plan = best(0, 0)
-    return None if plan is None else sorted(plan[2])
+    search = _Search(runs, sizes)
+    left = tuple(sizes.count(k) for k in search.kinds)
+    budget = sum(n * least[0] for n, least in zip(left, search.cheapest, strict=True))
+    while (least := search.cost(left, 0, budget)) > budget:
+        budget = max(2 * budget, 1)
+
+    order, ways, waiting = [], {(0, 0)}, list(range(len(sizes)))  # ways: first free run, and what was spent
+    while waiting:
+        for k in waiting:
+            kind = search.kinds.index(sizes[k])
+            rest = (*left[:kind], left[kind] - 1, *left[kind + 1 :]) if left[kind] else None
+            found = {(b + 1, spent + own) for free, spent in ways for a in range(free, len(runs)) for b, own in search.spans[kind][a]
+                if spent + own + search.cost(rest, b + 1, least - spent - own) == least}
+            if found:
+                order.append(kind)
+                waiting.remove(k)
+                ways, left = found, rest
+                break
+    needed = [[math.inf] * (len(runs) + 1) for _ in order] + [[0] * (len(runs) + 1)]
+    for level in range(len(order) - 1, -1, -1):
+        for free in range(len(runs) - 1, -1, -1):
+            here = min(own + needed[level + 1][b + 1] for b, own in search.spans[order[level]][free])
+            needed[level][free] = min(needed[level][free + 1], here)
+    plan, free, spent = [], 0, 0
+    for level, kind in enumerate(order):
+        a, b, own = next((a, b, own) for a in range(free, len(runs)) for b, own in search.spans[kind][a]
+            if spent + own + needed[level + 1][b + 1] == least)
+        plan.append((a, b))
+        free, spent = b + 1, spent + own
+    return sorted(plan)
 
 
 def claimed_runs(runs: DataFrame, sizes: DataFrame) -> DataFrame:
