@@ -238,9 +238,11 @@ def slowest_clock(clocks: DataFrame, ranks: dict[str, int] | None = None) -> Dat
 
 
 def elapsed_minutes(df: DataFrame, clock: DataFrame | None = None) -> DataFrame:
-    """Minutes since the session's first sample, to two places. ``clock`` has the same times, where ``df`` is dear to compute."""
-    first = (df if clock is None else clock).groupBy("session").agg(F.min("time_us").alias("_start"))
-    started = df.join(first, "session")
+    """Minutes since the session's first sample, to two places. ``clock`` has the same times; with it no session is in one window."""
+    if clock is None:
+        started = df.withColumn("_start", F.min("time_us").over(Window.partitionBy("session")))
+    else:
+        started = df.join(clock.groupBy("session").agg(F.min("time_us").alias("_start")), "session")
     return started.withColumn("elapsed_min", F.bround((F.col("time_us") - F.col("_start")) / 6e7, 2)).select(*df.columns, "elapsed_min")
 
 

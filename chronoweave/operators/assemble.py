@@ -104,7 +104,7 @@ def behavior(
         strongest("torque", F.col("_stream") == "torque").alias("torque"))
     joined = labelled(rows.join(found, FRAME, "left"), "_state", labels, "system_state", strict=True)
 
-    out = reward_classes(elapsed_minutes(joined, ticks), width=width).withColumnsRenamed({"elapsed_min": "elapsed_minutes",
+    out = reward_classes(elapsed_minutes(joined, ticks if width else None), width=width).withColumnsRenamed({"elapsed_min": "elapsed_minutes",
             "volume": "water_uL"}).withColumn("lick", F.coalesce("lick", F.lit(0)))
     if brake is not None:
         out = out.withColumn("brake", brake_flag("brake_torque", minimum_torque))

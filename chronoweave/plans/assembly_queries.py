@@ -397,7 +397,7 @@ _INSIDE = "LEFT JOIN fi USING (session) LEFT JOIN la USING (session) WHERE coale
 )
 def _(s, d):
     """Traces are vectors; the tables on the clock of each session, masked and clipped."""
-    ticks = clock(s, d).select("session", "frame", "time_us")
+    ticks = settled(clock(s, d).select("session", "frame", "time_us"))
     traces = read(s, d, "embeddings").select(F.col("label").cast("bigint").alias("session"),
         F.col("vec_id").cast("bigint").alias("frame"), F.posexplode("embedding").alias("roi", "value"))
     frames = imaging.attach_traces(ticks, {"single_day_spikes": traces})
@@ -428,8 +428,8 @@ BESIDE = " ".join(f"JOIN {t} ON {t}.session = ck.session AND {t}.frame = ck.fram
 )
 def _(s, d):
     """The clock is the imaging frames themselves: trigger pulses matched with the recorder's own frames (F11, F12), with traces."""
-    train, recorded = streams.states(stream(s, d), 51, 52), recorded_frames(s, d)
-    pulses = imaging.paired_pulses(train)
+    train, recorded = streams.states(stream(s, d), 51, 52), settled(recorded_frames(s, d))
+    pulses = settled(imaging.paired_pulses(train))
     counts = recorded.groupBy("session").agg(F.count(F.lit(1)).alias("frame_count"))
     traces = read(s, d, "embeddings").select(F.col("label").cast("bigint").alias("session"),
         F.col("vec_id").cast("bigint").alias("frame"), F.posexplode("embedding").alias("roi", "value"))
@@ -457,7 +457,7 @@ def _(s, d):
     """The slowest of two cameras is the clock of each session."""
     code = F.when(F.col("event") == CAMERAS["face_camera"], "face_camera").otherwise("body_camera")
     frames = stream(s, d).filter("event in (51, 52)").select("session", "time_us", "seq", code.alias("camera"))
-    ticks = assemble.camera_clock(frames, {name: place for place, name in enumerate(CAMERAS)})
+    ticks = settled(assemble.camera_clock(frames, {name: place for place, name in enumerate(CAMERAS)}))
     return assemble.training(_rounded(_behavior(s, d, ticks)), _video(s, d, ticks), _codes(s, d), stream(s, d).filter("event = 55"))
 
 
