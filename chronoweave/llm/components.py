@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from chronoweave.llm.common import discard, stored
 
 
+#: Links of one file between rounds.
+FILE_LINKS = 200_000
+
+
 def _local_forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each batch's links as a forest of (node, root)."""
     for batch in batches:
@@ -35,7 +39,8 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round replaces the links of a node by links to its smallest neighbour, first among larger neighbours and then among
     smaller ones, until only stars are left: about log n rounds, each a few aggregations with partial sums and joins whose
-    large keys Spark splits. Only two numbers a round reach the driver. A node linked with itself alone is its own root.
+    large keys Spark splits. Only two numbers a round reach the driver, one of them the links that are left, which says into how
+    many files a round is written. A node linked with itself alone is its own root.
     """
     edges = stored(links.select("u", "v").mapInArrow(_local_forest, "u bigint, v bigint").distinct(), "forest")
     seen = None
@@ -44,15 +49,16 @@ def components(links: DataFrame) -> DataFrame:
         if tuple(now) == seen:
             break
         seen = tuple(now)
+        kept = lambda df, name, files=-(-max(1, now[0]) // FILE_LINKS): stored(df.coalesce(files), name)
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # Stored, so that the joins by node are between plain shuffles and a hub is split.
-        least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "least")
+        least = kept(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "least")
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = stored(large, "large")
-        small = stored(large.groupBy("u").agg(F.min("v").alias("m")), "small")
+        large = kept(large, "large")
+        small = kept(large.groupBy("u").agg(F.min("v").alias("m")), "small")
         joined = large.join(small, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")),
                     F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-        following = stored(joined.select("e.*").filter("u <> v").distinct(), "forest")
+        following = kept(joined.select("e.*").filter("u <> v").distinct(), "forest")
         for done in (edges, least, large, small):
             discard(done)
         edges = following

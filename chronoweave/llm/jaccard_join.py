@@ -6,10 +6,10 @@ in neighbouring ones, where a band's upper end is ``100 / percent`` times its lo
 sizes, and only sets of one tile, or of a tile and the next one, are compared. Rarity is counted over all documents in a table of fixed length
 by hash of the shingle; any order gives the same links, this one keeps shingles of common passages out of the tiles.
 
-First every set meets the least set of its own tile and of the one below. That joins groups of near copies at linear cost. What still
-is apart in a tile is compared block by block: sets of the largest group are not compared among themselves, equal lists of sets
-are compared once, whatever tiles they come from. A list is first compared by bitmaps: each shingle flips the bit that its hash
-names, so two sets differ in at least as many shingles as their bitmaps differ in bits, which bounds their overlap from above. Only sets
+First every set meets the least set of its own tile and of the one below. That joins groups of near copies at linear cost. What is not
+known as joined by two such links and shares a tile is compared block by block: sets of the largest group are not compared among
+themselves, equal lists of sets are compared once, whatever tiles they come from. A list is first compared by bitmaps: each shingle flips
+the bit that its hash names, so two sets differ in at least as many shingles as their bitmaps differ in bits, which bounds their overlap from above. Only sets
 that pass with a set of another group are sent in full, and the sorted arrays are intersected. No pairs are written but links, of which each task
 emits a forest.
 
@@ -39,6 +39,8 @@ from chronoweave.llm.superminhash import shingle_sets
 
 #: Sets of one block of comparisons.
 UNIT = 1024
+#: Documents for which a table of pairs, links or lists gets one file.
+FILE_DOCUMENTS = 50_000
 #: Length of the table of rarity.
 BUCKETS = 1 << 18
 _LARGEST_MAP = 1 << 16
@@ -233,9 +235,9 @@ def _intersect(percent: int):
     return compare
 
 
-def _dealt(lists: DataFrame, known: DataFrame, columns: list[str]) -> DataFrame:
+def _dealt(lists: DataFrame, known: DataFrame, columns: list[str], kept) -> DataFrame:
     """The distinct lists of ``nodes`` as rows of ``cell, node`` and what is known of each node, cell by cell."""
-    cells = stored(lists.dropDuplicates(["nodes"]).select(F.monotonically_increasing_id().alias("cell"), "nodes"), "cells")
+    cells = kept(lists.dropDuplicates(["nodes"]).select(F.monotonically_increasing_id().alias("cell"), "nodes"), "cells")
     rows = cells.select("cell", F.explode("nodes").alias("node")).join(known, "node").select("cell", "node", *columns)
     return rows.repartition("cell").sortWithinPartitions("cell", "node")
 
@@ -260,12 +262,11 @@ def _apart(members: DataFrame, joined: DataFrame) -> DataFrame:
         F.size("nodes") > 1).select("nodes")
 
 
-def _sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, shingle: int, odd: bool) -> DataFrame:
+def _sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, shingle: int, kept) -> DataFrame:
     """``node, shingles`` of some classes, from the text of one document of each."""
-    wanted = stored(classes.select("node", "key").join(nodes, "node", "left_semi"), "wanted")
-    chosen = docs.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted, "key").select("node", "text")
-    chosen = chosen.dropDuplicates(["node"]) if odd else chosen
-    return stored(chosen.mapInArrow(lean(_full_sets(shingle)), "node bigint, shingles array<bigint>"), "sets")
+    wanted = kept(classes.select("node", "key").join(nodes, "node", "left_semi"), "wanted")
+    chosen = docs.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted, "key").select("node", "text").dropDuplicates(["node"])
+    return kept(chosen.mapInArrow(lean(_full_sets(shingle)), "node bigint, shingles array<bigint>"), "sets")
 
 
 def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -276,7 +277,6 @@ def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) -> D
     """
     spark = docs.sparkSession
     small_batches(spark)
-    odd = bool(docs.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count())
     counted = docs.select("text").mapInArrow(lean(_weights(shingle)), "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     weights = np.zeros(BUCKETS, dtype=np.int64)
     weights[counted.column("bucket").to_numpy()] = counted.column("n").to_numpy()
@@ -284,6 +284,8 @@ def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) -> D
         "doc_id bigint, key bigint, n_shingles bigint, set_a bigint, set_b bigint, rare array<bigint>, map binary")
     sketches = stored(sketches, "sketches")
     filled = sketches.filter("n_shingles > 0")
+    files = -(-max(1, sketches.count()) // FILE_DOCUMENTS)
+    kept = lambda df, name: stored(df.coalesce(files), name)
     classes = filled.groupBy("set_a", "set_b").agg(F.min("key").alias("key"), F.min("doc_id").alias("doc_id"),
         F.first("n_shingles").alias("n"), F.first("rare").alias("rare"), F.first("map").alias("map"))
     classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
@@ -295,32 +297,35 @@ def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) -> D
     least = stored(members.groupBy("token", "band").agg(F.min("node").alias("hub")), "least")
     meeting = F.explode(F.array("band", F.col("band") - 1)).alias("band")
     stars = members.select("token", meeting, "node").join(least, ["token", "band"]).filter("hub <> node").select("hub", "node").distinct()
-    stars = stored(stars, "stars")
+    stars = kept(stars, "stars")
 
     maps = classes.select("node", "n", "map")
     both = stars.join(maps, "node").join(maps.select(F.col("node").alias("hub"), F.col("n").alias("n_hub"), F.col("map").alias("map_hub")), "hub")
-    stars = stored(both.select("hub", "node", "n", "n_hub", "map", "map_hub").mapInArrow(lean(_pass_pairs(percent)), "hub bigint, node bigint"), "stars")
-    sets = _sets(docs, classes, stars.select(F.explode(F.array("hub", "node")).alias("node")).distinct(), shingle, odd)
-    parts = stored(stars.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / UNIT).cast("int").alias("parts")), "parts")
+    stars = kept(both.select("hub", "node", "n", "n_hub", "map", "map_hub").mapInArrow(lean(_pass_pairs(percent)), "hub bigint, node bigint"), "stars")
+    sets = _sets(docs, classes, stars.select(F.explode(F.array("hub", "node")).alias("node")).distinct(), shingle, kept)
+    parts = (stars.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / UNIT).cast("int").alias("parts")))
     spokes = stars.join(parts, "hub").select("hub", F.pmod(F.xxhash64("node"), "parts").cast("int").alias("part"), F.lit(1).alias("own"), "node")
     hubs = parts.select("hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("own"), F.col("hub").alias("node"))
     dealt = spokes.unionByName(hubs).join(sets, "node").select("hub", "part", "own", "node", "shingles")
     dealt = dealt.repartition("hub", "part").sortWithinPartitions("hub", "part", "own", "node")
-    links = stored(dealt.mapInArrow(lean(_stars(percent)), "u bigint, v bigint"), "links")
-    joined = stored(components(links), "joined")
+    links = kept(dealt.mapInArrow(lean(_stars(percent)), "u bigint, v bigint"), "links")
+    # What a set was linked with, and what that was linked with: enough to know most of a group as one.
+    linked = links.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("hub"))
+    above = linked.select(F.col("node").alias("hub"), F.col("hub").alias("above"))
+    joined = kept(linked.join(above, "hub", "left").select("node", F.coalesce("above", "hub").alias("root")), "joined")
 
     rooted = lambda df: df.join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rough = _dealt(_apart(members, joined), rooted(maps), ["root", "n", "map"])
-    passed = stored(rough.mapInArrow(lean(_pass_bitmaps(percent)), "nodes array<bigint>"), "passed")
-    sets = _sets(docs, classes, passed.select(F.explode("nodes").alias("node")).distinct(), shingle, odd)
-    exact = _dealt(passed, rooted(sets), ["root", "shingles"])
-    links = stored(links.unionByName(exact.mapInArrow(lean(_intersect(percent)), "u bigint, v bigint")), "all-links")
-    joined = stored(components(links), "joined")
+    rough = _dealt(_apart(members, joined), rooted(maps), ["root", "n", "map"], kept)
+    passed = kept(rough.mapInArrow(lean(_pass_bitmaps(percent)), "nodes array<bigint>"), "passed")
+    sets = _sets(docs, classes, passed.select(F.explode("nodes").alias("node")).distinct(), shingle, kept)
+    exact = _dealt(passed, rooted(sets), ["root", "shingles"], kept)
+    links = kept(links.unionByName(exact.mapInArrow(lean(_intersect(percent)), "u bigint, v bigint")), "all-links")
+    joined = kept(components(links), "joined")
 
     least = classes.select("node", "doc_id").join(joined, "node").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    linked = joined.join(stored(least, "least"), "root").select("node", "component_id")
+    linked = joined.join(kept(least, "least"), "root").select("node", "component_id")
     groups = classes.select("node", "set_a", "set_b", F.col("doc_id").alias("own_id")).join(linked, "node", "left")
-    groups = stored(groups.select("set_a", "set_b", F.coalesce("component_id", "own_id").alias("component_id")), "groups")
+    groups = kept(groups.select("set_a", "set_b", F.coalesce("component_id", "own_id").alias("component_id")), "groups")
     found = filled.select("doc_id", "key", "n_shingles", "set_a", "set_b").join(groups, ["set_a", "set_b"]).drop("set_a", "set_b")
     empty = sketches.filter("n_shingles = 0").select("doc_id", "key", "n_shingles", F.col("doc_id").alias("component_id"))
     return found.unionByName(empty)
