@@ -235,9 +235,9 @@ def _intersect(percent: int):
     return compare
 
 
-def _dealt(lists: DataFrame, known: DataFrame, columns: list[str], kept) -> DataFrame:
+def _dealt(lists: DataFrame, known: DataFrame, columns: list[str], few) -> DataFrame:
     """The distinct lists of ``nodes`` as rows of ``cell, node`` and what is known of each node, cell by cell."""
-    cells = kept(lists.dropDuplicates(["nodes"]).select(F.monotonically_increasing_id().alias("cell"), "nodes"), "cells")
+    cells = stored(few(lists.dropDuplicates(["nodes"])).select(F.monotonically_increasing_id().alias("cell"), "nodes"), "cells")
     rows = cells.select("cell", F.explode("nodes").alias("node")).join(known, "node").select("cell", "node", *columns)
     return rows.repartition("cell").sortWithinPartitions("cell", "node")
 
@@ -262,11 +262,11 @@ def _apart(members: DataFrame, joined: DataFrame) -> DataFrame:
         F.size("nodes") > 1).select("nodes")
 
 
-def _sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, shingle: int, kept) -> DataFrame:
+def _sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, shingle: int, few) -> DataFrame:
     """``node, shingles`` of some classes, from the text of one document of each."""
-    wanted = kept(classes.select("node", "key").join(nodes, "node", "left_semi"), "wanted")
+    wanted = stored(few(classes.select("node", "key").join(nodes, "node", "left_semi")), "wanted")
     chosen = docs.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted, "key").select("node", "text").dropDuplicates(["node"])
-    return kept(chosen.mapInArrow(lean(_full_sets(shingle)), "node bigint, shingles array<bigint>"), "sets")
+    return stored(few(chosen).mapInArrow(lean(_full_sets(shingle)), "node bigint, shingles array<bigint>"), "sets")
 
 
 def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -285,7 +285,8 @@ def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) -> D
     sketches = stored(sketches, "sketches")
     filled = sketches.filter("n_shingles > 0")
     files = -(-max(1, sketches.count()) // FILE_DOCUMENTS)
-    kept = lambda df, name: stored(df.coalesce(files), name)
+    few = lambda df: df.coalesce(files)
+    kept = lambda df, name: stored(few(df), name)
     classes = filled.groupBy("set_a", "set_b").agg(F.min("key").alias("key"), F.min("doc_id").alias("doc_id"),
         F.first("n_shingles").alias("n"), F.first("rare").alias("rare"), F.first("map").alias("map"))
     classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
@@ -301,25 +302,25 @@ def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) -> D
 
     maps = classes.select("node", "n", "map")
     both = stars.join(maps, "node").join(maps.select(F.col("node").alias("hub"), F.col("n").alias("n_hub"), F.col("map").alias("map_hub")), "hub")
-    stars = kept(both.select("hub", "node", "n", "n_hub", "map", "map_hub").mapInArrow(lean(_pass_pairs(percent)), "hub bigint, node bigint"), "stars")
-    sets = _sets(docs, classes, stars.select(F.explode(F.array("hub", "node")).alias("node")).distinct(), shingle, kept)
+    stars = stored(few(both.select("hub", "node", "n", "n_hub", "map", "map_hub")).mapInArrow(lean(_pass_pairs(percent)), "hub bigint, node bigint"), "stars")
+    sets = _sets(docs, classes, stars.select(F.explode(F.array("hub", "node")).alias("node")).distinct(), shingle, few)
     parts = (stars.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / UNIT).cast("int").alias("parts")))
     spokes = stars.join(parts, "hub").select("hub", F.pmod(F.xxhash64("node"), "parts").cast("int").alias("part"), F.lit(1).alias("own"), "node")
     hubs = parts.select("hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("own"), F.col("hub").alias("node"))
     dealt = spokes.unionByName(hubs).join(sets, "node").select("hub", "part", "own", "node", "shingles")
     dealt = dealt.repartition("hub", "part").sortWithinPartitions("hub", "part", "own", "node")
-    links = kept(dealt.mapInArrow(lean(_stars(percent)), "u bigint, v bigint"), "links")
+    links = stored(few(dealt).mapInArrow(lean(_stars(percent)), "u bigint, v bigint"), "links")
     # What a set was linked with, and what that was linked with: enough to know most of a group as one.
     linked = links.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("hub"))
     above = linked.select(F.col("node").alias("hub"), F.col("hub").alias("above"))
     joined = kept(linked.join(above, "hub", "left").select("node", F.coalesce("above", "hub").alias("root")), "joined")
 
     rooted = lambda df: df.join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rough = _dealt(_apart(members, joined), rooted(maps), ["root", "n", "map"], kept)
-    passed = kept(rough.mapInArrow(lean(_pass_bitmaps(percent)), "nodes array<bigint>"), "passed")
-    sets = _sets(docs, classes, passed.select(F.explode("nodes").alias("node")).distinct(), shingle, kept)
-    exact = _dealt(passed, rooted(sets), ["root", "shingles"], kept)
-    links = kept(links.unionByName(exact.mapInArrow(lean(_intersect(percent)), "u bigint, v bigint")), "all-links")
+    rough = _dealt(_apart(members, joined), rooted(maps), ["root", "n", "map"], few)
+    passed = stored(few(rough).mapInArrow(lean(_pass_bitmaps(percent)), "nodes array<bigint>"), "passed")
+    sets = _sets(docs, classes, passed.select(F.explode("nodes").alias("node")).distinct(), shingle, few)
+    exact = _dealt(passed, rooted(sets), ["root", "shingles"], few)
+    links = stored(links.unionByName(few(exact).mapInArrow(lean(_intersect(percent)), "u bigint, v bigint")), "all-links")
     joined = kept(components(links), "joined")
 
     least = classes.select("node", "doc_id").join(joined, "node").groupBy("root").agg(F.min("doc_id").alias("component_id"))
