@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from chronoweave.functions.ordering import so_far
 from chronoweave.operators import asof
-from chronoweave.plans.tables import CLOCK, EV, LINE, RD, WS, clock, near, readings, stream, with_
+from chronoweave.plans.tables import CLOCK, EV, LINE, RD, WS, clock, exact_total, exact_total_sql, near, readings, stream, with_
 
 Q, SQL = {}, {}
 
@@ -129,10 +128,7 @@ def _(s, d):
     return asof.matches_in_tolerance(readings(s, d), clock(s, d), 10_800_000_000)
 
 
-ENC = (
-    "en AS (SELECT session, time_us, seq, sum(value) OVER (PARTITION BY session "
-    "ORDER BY time_us, seq ROWS UNBOUNDED PRECEDING) AS distance FROM rd)"
-)
+ENC = f"en AS (SELECT session, time_us, seq, {exact_total_sql('value')} AS distance FROM rd)"
 COR = (
     "co AS (SELECT session, time_us, seq, 100.0 * (row_number() OVER (PARTITION BY session "
     "ORDER BY time_us, seq) - 1) AS start_cm FROM ev WHERE event = 54)"
@@ -140,7 +136,7 @@ COR = (
 
 
 def _encoder(s, d):
-    return readings(s, d).withColumn("distance", F.sum("value").over(so_far())).drop("value")
+    return readings(s, d).withColumn("distance", exact_total(F.col("value"))).drop("value")
 
 
 def _corridors(s, d):
@@ -154,7 +150,7 @@ def _corridors(s, d):
     with_(EV, RD, CLOCK, ENC, COR, near("on1", "en", "co", "distance"),
         "os AS (SELECT session, time_us, seq, start_cm, coalesce(y0, 0.0) AS onset, lead(start_cm) "
         "OVER (PARTITION BY session ORDER BY time_us, seq) - start_cm AS len FROM on1)",
-          "pk AS (SELECT session, time_us, {'onset': onset, 's': start_cm, 'len': len} AS p FROM os)",
+          "pk AS (SELECT session, time_us, seq, {'onset': onset, 's': start_cm, 'len': len} AS p FROM os)",
           near("tr", "en", "ck", "distance"),
           f"t2 AS (SELECT session, frame, time_us, {LINE.format(on='time_us')} AS dist FROM tr)",
           near("pl", "pk", "t2", "p"),
@@ -180,19 +176,18 @@ def _(s, d):
 
 @query(
     "a11_hold_by_distance",
-    with_(EV, RD, ENC, "tr AS (SELECT session, seq AS trial, sum(value) OVER (PARTITION BY session "
-        "ORDER BY time_us, seq ROWS UNBOUNDED PRECEDING) AS distance FROM ev WHERE event = 54)",
+    with_(EV, RD, ENC, f"tr AS (SELECT session, seq, seq AS trial, {exact_total_sql('value')} AS distance FROM ev WHERE event = 54)",
         near("nr", "tr", "en", "trial", "distance"))
     + "SELECT session, seq, coalesce(y0, y1) AS trial FROM nr WHERE coalesce(y0, y1) IS NOT NULL",
 )
 def _(s, d):
-    trials = stream(s, d).filter("event = 54").select("session", F.col("seq").alias("trial"), "seq", F.sum("value").over(so_far()).alias("distance"))
+    trials = stream(s, d).filter("event = 54").select("session", F.col("seq").alias("trial"), "seq", exact_total(F.col("value")).alias("distance"))
     return asof.hold(trials, _encoder(s, d), ["trial"], on="distance").filter("trial is not null").select("session", "seq", "trial")
 
 
 @query(
     "a12_running_speed",
-    with_(EV, RD, ENC, "sp AS (SELECT *, first_value({'t': time_us, 'd': distance}) OVER (PARTITION BY session "
+    with_(EV, RD, ENC, "sp AS (SELECT *, min({'t': time_us, 's': seq, 'd': distance}) OVER (PARTITION BY session "
         "ORDER BY time_us RANGE BETWEEN 86400000000 PRECEDING AND CURRENT ROW) AS f FROM en)")
     + "SELECT session, seq, round(CASE WHEN time_us > f.t AND distance > f.d THEN (distance - f.d) / (time_us - f.t) * 1e6 "
     "ELSE 0.0 END, 9) AS speed FROM sp",

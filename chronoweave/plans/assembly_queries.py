@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from chronoweave.functions import expect, registry
-from chronoweave.functions.ordering import in_order, so_far
+from chronoweave.functions.ordering import in_order
 from chronoweave.functions.shared import fresh_path, settled
 from chronoweave.operators import assemble, imaging, streams
 from chronoweave.operators.asof import align_all
@@ -15,7 +15,7 @@ from chronoweave.plans.imaging_queries import ALIGNED_FRAMES, BAND, EDGES, LIMIT
 from chronoweave.plans.imaging_queries import _frames as recorded_frames
 from chronoweave.plans.state_queries import MARKERS, _markers
 from chronoweave.plans.stream_queries import PULSES, TONE, TRAIN, VOLUME
-from chronoweave.plans.tables import CLOCK, EV, EXPONENT, LINE, RD, SCALE, clock, near, read, readings, stream, with_
+from chronoweave.plans.tables import CLOCK, EV, EXPONENT, LINE, RD, SCALE, clock, exact_total, exact_total_sql, near, read, readings, stream, with_
 from chronoweave.sources import ingest, publishing
 
 Q, SQL = {}, {}
@@ -143,12 +143,11 @@ def _(s, d):
 
 #: Streams of an assembled session, read straight from the events; the parsers of each stream have queries of their own.
 VALVE = (
-    "va AS (SELECT session, time_us, seq, {'w': sum(CASE WHEN event = 54 THEN value ELSE 0 END) "
-    "OVER (PARTITION BY session ORDER BY time_us, seq ROWS UNBOUNDED PRECEDING), 't': event = 54} AS p FROM ev "
-    "WHERE event IN (54, 55))"
+    f"va AS (SELECT session, time_us, seq, {{'w': {exact_total_sql('(CASE WHEN event = 54 THEN value ELSE 0 END)')}, "
+    "'t': event = 54} AS p FROM ev WHERE event IN (54, 55))"
 )
 SPEED_US = 86_400_000_000
-SPEED = f"""sf AS (SELECT *, first_value({{'t': time_us, 'd': distance}}) OVER (PARTITION BY session
+SPEED = f"""sf AS (SELECT *, min({{'t': time_us, 's': seq, 'd': distance}}) OVER (PARTITION BY session
     ORDER BY time_us RANGE BETWEEN {SPEED_US} PRECEDING AND CURRENT ROW) AS f FROM en),
  sp AS (SELECT session, time_us, seq, CASE WHEN time_us > f.t AND distance > f.d
     THEN (distance - f.d) / (time_us - f.t) * 1e6 ELSE 0.0 END AS speed FROM sf)"""
@@ -211,10 +210,9 @@ def _codes(s, d):
 def _behavior(s, d, ticks, whole: bool = True, drop_time: bool = False, width: int | None = None):
     events = stream(s, d)
     of = lambda *codes: events.filter(F.col("event").isin(*codes))
-    valve = of(54, 55).withColumn("volume", F.sum(F.when(F.col("event") == 54, F.col("value")).otherwise(0.0))
-        .over(so_far())).withColumn("tone_state", (F.col("event") == 54).cast("int"))
+    valve = of(54, 55).withColumn("volume", exact_total(F.when(F.col("event") == 54, F.col("value")).otherwise(0.0))).withColumn("tone_state", (F.col("event") == 54).cast("int"))
     streams_ = {
-        "encoder": readings(s, d).withColumn("traveled_distance_cm", F.sum("value").over(so_far())),
+        "encoder": readings(s, d).withColumn("traveled_distance_cm", exact_total(F.col("value"))),
         "screen": of(51).withColumn("screen_state", (F.col("seq") % 2).cast("int")),
         "brake": of(52).withColumn("brake_torque", F.col("value")),
         "torque": events.withColumn("torque", F.when(F.col("seq") % 2 == 0, F.col("value")).otherwise(-F.col("value"))),
@@ -256,7 +254,7 @@ def runtime_sql(clock: str) -> list[str]:
         COR, near("on1", "en", "co", "distance"),
         "os AS (SELECT session, time_us, seq, start_cm, coalesce(y0, 0.0) AS onset, lead(start_cm) "
         "OVER (PARTITION BY session ORDER BY time_us, seq) - start_cm AS len FROM on1)",
-        "pk AS (SELECT session, time_us, {'onset': onset, 's': start_cm, 'len': len} AS p FROM os)",
+        "pk AS (SELECT session, time_us, seq, {'onset': onset, 's': start_cm, 'len': len} AS p FROM os)",
         near("tr", "en", clock, "distance"),
         f"t2 AS (SELECT session, frame, time_us, {LINE.format(on='time_us')} AS dist FROM tr)",
         near("pl", "pk", "t2", "p"),
@@ -264,11 +262,10 @@ def runtime_sql(clock: str) -> list[str]:
         "pc AS (SELECT session, frame, time_us, p.s + CASE WHEN p.len IS NULL THEN greatest(dist - p.onset, 0.0) "
         "ELSE least(greatest(dist - p.onset, 0.0), p.len) END AS distance FROM pf WHERE p IS NOT NULL "
         "AND dist IS NOT NULL)",
-        "mk AS (SELECT session, time_us, seq, sum(value) OVER (PARTITION BY session "
-        "ORDER BY time_us, seq ROWS UNBOUNDED PRECEDING) AS distance FROM ev WHERE event = 54)",
-        "tn AS (SELECT session, distance, {'n': row_number() OVER (PARTITION BY session "
+        f"mk AS (SELECT session, time_us, seq, {exact_total_sql('value')} AS distance FROM ev WHERE event = 54)",
+        "tn AS (SELECT session, distance, seq, {'n': row_number() OVER (PARTITION BY session "
         "ORDER BY seq), 'i': seq % 4} AS p FROM mk)",
-        "cu AS (SELECT session, distance / 3 AS distance, CAST(seq % 9 AS INTEGER) AS cue FROM mk)",
+        "cu AS (SELECT session, distance / 3 AS distance, seq, CAST(seq % 9 AS INTEGER) AS cue FROM mk)",
         "rs AS (SELECT session, time_us, seq, seq % 5 AS state FROM ev WHERE event = 55)",
         "gd AS (SELECT session, time_us, seq, CAST(seq % 2 AS INTEGER) AS state FROM ev WHERE event = 51)",
         near("r1", "tn", "pc", "p", "distance"), near("r2", "cu", "pc", "cue", "distance"),
@@ -284,10 +281,10 @@ def runtime_sql(clock: str) -> list[str]:
 
 def _runtime(s, d, ticks, width=None, width_cm=None):
     events = stream(s, d)
-    encoder = readings(s, d).withColumn("traveled_distance_cm", F.sum("value").over(so_far()))
+    encoder = readings(s, d).withColumn("traveled_distance_cm", exact_total(F.col("value")))
     marks = events.filter("event = 54")
     corridors = marks.select("session", "time_us", "seq", ((F.row_number().over(in_order()) - 1) * 100.0).alias("start_cm"))
-    marks = marks.select("session", "time_us", "seq", F.sum("value").over(so_far()).alias("distance"))
+    marks = marks.select("session", "time_us", "seq", exact_total(F.col("value")).alias("distance"))
     zones = marks.select("session", F.col("distance").alias("start_cm"), (F.col("distance") + 40).alias("end_cm"))
     trials = marks.select("session", "distance", "seq", (F.col("seq") % 4).cast("int").alias("trial_type_index"))
     cues = marks.select("session", (F.col("distance") / 3).alias("distance"), "seq", (F.col("seq") % 9).cast("int").alias("cue"))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronoweave.functions.ordering import so_far
+
 STEP_US = 6 * 3600 * 1_000_000
 CM_PER_PULSE, SCALE, EXPONENT = 0.0058, 2.0e-12, 1.2
 
@@ -37,6 +39,19 @@ def clock(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ticks.select("session", F.col("frame").cast("bigint").alias("frame"), "time_us")
 
 
+def exact_total(value: Column) -> Column:
+    """Running sum of a session, added as decimals: sums of doubles depend on how they are grouped, and equal sums then differ in the
+    last place. From a value on that no decimal holds (NaN, infinity) it is the sum of doubles."""
+    exact = F.sum(value.try_cast("decimal(28,6)")).over(so_far()).cast("double")
+    return F.when(F.max(F.abs(value) >= 1e21).over(so_far()), F.sum(value).over(so_far())).otherwise(exact)
+
+
+def exact_total_sql(value: str) -> str:
+    line = "OVER (PARTITION BY session ORDER BY time_us, seq ROWS UNBOUNDED PRECEDING)"
+    return (f"CASE WHEN bool_or(abs({value}) >= 1e21) {line} THEN sum({value}) {line} "
+        f"ELSE CAST(sum(TRY_CAST({value} AS DECIMAL(28,6))) {line} AS DOUBLE) END")
+
+
 #: The same as common table expressions.
 EV = """ev AS (SELECT user_id AS session, epoch_us(ts) AS time_us, event_id AS seq,
  CASE event_type WHEN 'click' THEN 51 WHEN 'view' THEN 52 WHEN 'signup' THEN 54 WHEN 'error' THEN 55 ELSE 60 END AS event, value FROM events)"""
@@ -48,10 +63,12 @@ WS = """ws AS (SELECT *, coalesce(lag(time_us) OVER w, 2 * time_us - lead(time_u
 
 
 def near(name: str, source: str, target: str, value: str, on: str = "time_us") -> str:
-    """CTE: targets with ``x0, y0`` at or before and ``x1, y1`` at or after."""
-    return f"""{name} AS (SELECT a.*, n.{on} AS x1, n.{value} AS y1 FROM (
- SELECT t.*, p.{on} AS x0, p.{value} AS y0 FROM {target} t ASOF LEFT JOIN {source} p ON t.session = p.session AND t.{on} >= p.{on}) a
- ASOF LEFT JOIN {source} n ON a.session = n.session AND a.{on} <= n.{on})"""
+    """CTE: targets with ``x0, y0`` at or before and ``x1, y1`` at or after. Of sources at one place the last by ``seq`` stands for what is
+    at or before, the first for what is behind; a source at the target's own place is both."""
+    one = lambda order: f"(SELECT * FROM {source} QUALIFY row_number() OVER (PARTITION BY session, {on} ORDER BY {order}) = 1)"
+    return f"""{name} AS (SELECT a.*, n.{on} AS x1, CASE WHEN a.x0 = a.{on} THEN a.y0 ELSE n.{value} END AS y1 FROM (
+ SELECT t.*, p.{on} AS x0, p.{value} AS y0 FROM {target} t ASOF LEFT JOIN {one("seq DESC")} p ON t.session = p.session AND t.{on} >= p.{on}) a
+ ASOF LEFT JOIN {one("seq")} n ON a.session = n.session AND a.{on} <= n.{on})"""
 
 
 LINE = "CASE WHEN x0 IS NULL THEN y1 WHEN x1 IS NULL OR x0 = {on} THEN y0 ELSE y0 + (y1 - y0) / (x1 - x0) * ({on} - x0) END"
