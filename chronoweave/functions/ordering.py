@@ -68,12 +68,14 @@ def natural_key(name: Column) -> Column:
 
 
 def natural_sort(df: DataFrame, *names: str, nulls_last: bool = True) -> DataFrame:
-    """Order by several names at once; the name itself breaks ties."""
+    """Order by several names at once; the name itself breaks ties. Keys are columns before the sort, which otherwise would work them out
+    again in each comparison."""
+    made = {f"_key{k}": natural_key(F.col(name)) for k, name in enumerate(names)}
     keys = []
-    for name in names:
-        for key in (natural_key(F.col(name)), F.col(name)):
+    for made_key, name in zip(made, names, strict=True):
+        for key in (F.col(made_key), F.col(name)):
             keys.append(key.asc_nulls_last() if nulls_last else key.asc_nulls_first())
-    return df.orderBy(*keys)
+    return df.withColumns(made).orderBy(*keys).select(*df.columns)
 
 
 def natural_places(df: DataFrame, *names: str, place: str = "place") -> DataFrame:
