@@ -114,18 +114,20 @@ def reconciled(resolutions: DataFrame, edges: DataFrame) -> DataFrame:
     A running job with a held allocation is adopted, the claimed one before the recorded one; one without is withheld, and so is
     every job that needs a withheld job and isn't adopted, to any depth.
     """
-    from chronoweave.operators.graph import settled
+    from chronoweave.operators.graph import joined, settled, together
 
     held = F.when(F.col("claim_state") == HELD, F.col("claim")).when(F.col("scheduler_state") == HELD, F.col("allocation"))
     running = F.col("verdict") == RUNNING
     rows = settled(resolutions.select("job_id", F.when(running, held).alias("adopted"), (running & held.isNull()).alias("_lost")))
-    withheld = settled(rows.filter("_lost").select("job_id"))
-    free = rows.filter("adopted is null").select("job_id")
-    fresh = withheld
+    fresh = rows.filter("_lost").select("job_id")
+    # Kept once: edges may be a long plan, and every round reads them. A round writes its new jobs only.
+    links = settled(edges.select("job_id", "needs").join(rows.filter("adopted is null and not coalesce(_lost, false)").select("job_id"), "job_id", "left_semi"))
+    rounds = [fresh]
     while not fresh.isEmpty():
-        behind = edges.join(fresh.select(F.col("job_id").alias("needs")), "needs", "left_semi").select("job_id").distinct()
-        fresh = settled(behind.join(free, "job_id", "left_semi").join(withheld, "job_id", "left_anti"))
-        withheld = settled(withheld.unionByName(fresh))
+        behind = links.join(fresh.select(F.col("job_id").alias("needs")), "needs", "left_semi").select("job_id").distinct()
+        fresh = settled(behind.join(together(rounds), "job_id", "left_anti"))
+        rounds = joined(rounds, fresh)
+    withheld = together(rounds).distinct()
     decided = rows.join(withheld.withColumn("_w", F.lit(True)), "job_id", "left")
     return decided.select("job_id", F.when(F.col("adopted").isNotNull(), "adopted").when(F.col("_w"), "withheld")
         .otherwise("dispatchable").alias("decision"), F.col("adopted").alias("allocation"))

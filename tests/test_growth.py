@@ -12,3 +12,19 @@ def test_natural_keys_are_made_before_the_sort(spark):
     assert [r.name for r in out.collect()] == ["a02", "a2", "a10", None] and out.columns == ["name"]
     sorts = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Sort [" in line]
     assert sorts and not any("regexp" in line for line in sorts)
+
+
+def test_reconcile_reads_its_edges_once(spark):
+    """A chain of six jobs behind a lost one takes six rounds; edges may be a long plan."""
+    rows = spark.createDataFrame([(k, "running" if k == 0 else "dropped", "gone", "gone", "a", "") for k in range(7)],
+        "job_id long, verdict string, scheduler_state string, claim_state string, allocation string, claim string")
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(k):
+        read.add(1)
+        return (k, k - 1)
+
+    edges = spark.createDataFrame(spark.sparkContext.parallelize(range(1, 7), 2).map(counted), "job_id long, needs long")
+    out = {r.job_id: r.decision for r in scheduler.reconciled(rows, edges).collect()}
+    assert set(out.values()) == {"withheld"} and len(out) == 7
+    assert read.value == 6
