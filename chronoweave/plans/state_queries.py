@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from chronoweave.functions.ordering import natural_places
 from chronoweave.functions.shared import settled
 from chronoweave.operators import datasets, graph, scheduler, state
-from chronoweave.plans.tables import read, with_
+from chronoweave.plans.tables import parts_for, read, with_
 from chronoweave.sources import ingest
 
 Q, SQL = {}, {}
@@ -39,6 +39,8 @@ def _jobs(s, d):
     status = F.when(F.col("l_returnflag") == "A", "FAILED").when((F.col("l_returnflag") == "R")
         & (F.col("l_linestatus") == "O"), "RUNNING").when(F.col("l_returnflag") == "R",
         "SCHEDULED").otherwise("SUCCEEDED")
+    parts = parts_for(s, d, "lineitem")
+    line, orders = line.repartition(parts, "l_orderkey"), orders.repartition(parts, "o_orderkey")
     return line.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("o_custkey").alias("animal"), F.col("l_orderkey").alias("session"), F.col("l_linenumber").alias("line"),
         F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("unit_key"),

@@ -15,6 +15,15 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of a table that one task joins or groups.
+ROWS_OF_TASK = 200_000
+
+
+def parts_for(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """How many tasks deal with a table that is shuffled by key: they grow in number with its rows, not each in size. Counts come from footers."""
+    return max(1, -(-read(spark, sf_dir, name).count() // ROWS_OF_TASK))
+
+
 def micros(ts: str):
     """Microseconds since 1970 of a time without zone, whatever the session's zone."""
     return F.expr(f"timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', cast({ts} as timestamp_ntz))")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from conftest import SF
+
 from chronoweave.functions.ordering import natural_sort
 from chronoweave.operators import scheduler
+from chronoweave.plans import state_queries, tables
 
 
 def test_natural_keys_are_made_before_the_sort(spark):
@@ -28,3 +31,9 @@ def test_reconcile_reads_its_edges_once(spark):
     out = {r.job_id: r.decision for r in scheduler.reconciled(rows, edges).collect()}
     assert set(out.values()) == {"withheld"} and len(out) == 7
     assert read.value == 6
+
+
+def test_jobs_are_dealt_to_as_many_tasks_as_they_have_rows(spark, monkeypatch):
+    rows = tables.read(spark, SF, "lineitem").count()
+    monkeypatch.setattr(tables, "ROWS_OF_TASK", rows // 9)
+    assert state_queries._jobs(spark, SF).rdd.getNumPartitions() == -(-rows // (rows // 9)) > 4
