@@ -114,11 +114,13 @@ def check_sequences(counts: DataFrame) -> DataFrame:
 
 def cue_onsets(placed: DataFrame) -> DataFrame:
     """A row for each cue entered. ``placed`` has ``start_cm, end_cm, truncated`` and ``cues: array<struct<code, length_cm>>``."""
-    opened = placed.select("session", "corridor", "place", "start_cm", "end_cm", "truncated", F.posexplode("cues").alias("cue_place", "cue"))
-    at = F.coalesce(F.sum("cue.length_cm").over(before(["session", "corridor", "place"], ["cue_place"])), F.lit(0.0))
-    entered = opened.withColumn("_at", at).filter(~F.col("truncated") | (F.col("_at") < F.col("end_cm") - F.col("start_cm")))
+    # Where a cue lies in its trial is worked out in the trial's own row: opened first, three times as many rows would be sorted once more.
+    past = lambda k: F.aggregate(F.slice("cues", F.lit(1), k), F.lit(0.0), lambda at, c: at + F.coalesce(c["length_cm"].cast("double"), F.lit(0.0)))
+    lying = F.transform("cues", lambda c, k: F.struct(c["code"].alias("code"), past(k).alias("at")))
+    opened = placed.select("session", "corridor", "place", "start_cm", "end_cm", "truncated", F.posexplode(lying).alias("cue_place", "cue"))
+    entered = opened.filter(~F.col("truncated") | (F.col("cue.at") < F.col("end_cm") - F.col("start_cm")))
     return entered.select("session", "corridor", "place", "cue_place", F.col("cue.code").alias("cue"),
-        (F.col("start_cm") + F.col("_at")).alias("distance_cm"))
+        (F.col("start_cm") + F.col("cue.at")).alias("distance_cm"))
 
 
 def trigger_zones(placed: DataFrame, lead_cm: float = ZONE_LEAD_CM) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from chronoweave.functions.ordering import in_order, with_runs
 from chronoweave.operators import runtime_log, streams
-from chronoweave.plans.tables import CM_PER_PULSE, EV, EXPONENT, SCALE, read, stream, with_
+from chronoweave.plans.tables import CM_PER_PULSE, EV, EXPONENT, SCALE, parts_for, read, stream, with_
 
 Q, SQL = {}, {}
 
@@ -313,9 +313,11 @@ def _placed(s, d):
     line = read(s, d, "lineitem").select(F.col("l_orderkey").alias("session"), (F.col("l_suppkey") % 2).alias("corridor"),
         (F.col("l_partkey") % 4).alias("trial"), (F.col("l_quantity") + 1).alias("length_cm"),
         F.lit(0.5).alias("offset_cm"), "l_linenumber", "l_partkey", "l_extendedprice")
+    parts = parts_for(s, d, "lineitem")
+    line = line.repartition(parts, "session", "corridor")
     placed = line.withColumn("place", F.row_number().over(in_order(["session", "corridor"], ["l_linenumber", "l_partkey", "l_extendedprice"])) - 1)
     swaps = read(s, d, "orders").filter("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("session"),
-        F.lit(0).cast("bigint").alias("corridor"), F.lit(30.0).alias("swap_cm"))
+        F.lit(0).cast("bigint").alias("corridor"), F.lit(30.0).alias("swap_cm")).repartition(parts, "session", "corridor")
     return runtime_log.place_trials(placed, swaps)
 
 

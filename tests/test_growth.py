@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from conftest import SF
+from pyspark.sql import functions as F
 
+from chronoweave.functions import scans
 from chronoweave.functions.ordering import natural_sort
-from chronoweave.operators import scheduler
-from chronoweave.plans import state_queries, tables
+from chronoweave.operators import runtime_log, scheduler
+from chronoweave.plans import state_queries, stream_queries, tables
 
 
 def test_natural_keys_are_made_before_the_sort(spark):
@@ -37,3 +39,20 @@ def test_jobs_are_dealt_to_as_many_tasks_as_they_have_rows(spark, monkeypatch):
     rows = tables.read(spark, SF, "lineitem").count()
     monkeypatch.setattr(tables, "ROWS_OF_TASK", rows // 9)
     assert state_queries._jobs(spark, SF).rdd.getNumPartitions() == -(-rows // (rows // 9)) > 4
+
+
+def test_cues_are_not_sorted_once_opened(spark):
+    placed = spark.createDataFrame([(1, 0, 0, 5.0, 30.0, False), (1, 0, 1, 30.0, 42.0, True)],
+        "session long, corridor long, place int, start_cm double, end_cm double, truncated boolean")
+    cues = F.expr("array(named_struct('code', 7, 'length_cm', 10.0D), named_struct('code', 8, 'length_cm', cast(null as double)), "
+        "named_struct('code', 9, 'length_cm', 5.0D), named_struct('code', 7, 'length_cm', 1.0D))")
+    out = runtime_log.cue_onsets(placed.withColumn("cues", cues))
+    assert [tuple(r) for r in out.orderBy("place", "cue_place").collect()] == [(1, 0, 0, k, c, 5.0 + at) for k, c, at in
+        ((0, 7, 0.0), (1, 8, 10.0), (2, 9, 10.0), (3, 7, 15.0))] + [(1, 0, 1, k, c, 30.0 + at) for k, c, at in ((0, 7, 0.0), (1, 8, 10.0), (2, 9, 10.0))]
+    assert "Window" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_trials_are_dealt_to_as_many_tasks_as_they_have_rows(spark, monkeypatch):
+    rows = tables.read(spark, SF, "lineitem").count()
+    monkeypatch.setattr(tables, "ROWS_OF_TASK", rows // 9)
+    assert stream_queries._placed(spark, SF).rdd.getNumPartitions() == -(-rows // (rows // 9)) > 4
