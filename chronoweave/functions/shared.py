@@ -28,6 +28,11 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def dealt(df: DataFrame, parts: int | None, *keys: str) -> DataFrame:
+    """``df`` by keys in so many parts, a number that its caller lets grow with the input; without one Spark deals it as a join needs it."""
+    return df if parts is None else df.repartition(parts, *keys)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing has been written to."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

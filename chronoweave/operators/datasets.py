@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronoweave.functions.ordering import natural_key, natural_sort
+from chronoweave.functions.shared import dealt
 from chronoweave.operators.state import SUCCEEDED
 
 
@@ -62,22 +63,23 @@ def latest_per_animal(sessions: DataFrame, name: str = "session") -> DataFrame:
     return sessions.groupBy("animal").agg(F.max_by(F.struct(*others), F.struct(natural_key(F.col(name)), name)).alias("_l")).select("animal", "_l.*")
 
 
-def universe(members: DataFrame) -> DataFrame:
-    """Discovery for each animal, extraction and assembly for each session."""
-    discover = members.select("dataset", "animal").distinct().select("dataset", "animal",
+def universe(members: DataFrame, parts: int | None = None) -> DataFrame:
+    """Discovery for each animal, extraction and assembly for each session. ``parts`` is the number of tasks that animals are dealt to."""
+    discover = dealt(members.select("dataset", "animal"), parts, "dataset", "animal").distinct().select("dataset", "animal",
         F.lit(None).cast(members.schema["session"].dataType).alias("session"), F.lit("discover").alias("job_name"))
     each = members.select("dataset", "animal", "session", F.explode(F.array(F.lit("extract"), F.lit("assemble"))).alias("job_name"))
     return discover.unionByName(each)
 
 
-def job_edges(jobs: DataFrame) -> DataFrame:
-    """``dataset, animal, session, job_name, needs``: extraction needs its animal's discovery, assembly its session's extraction."""
-    needs = F.when(F.col("job_name") == "extract", "discover").when(F.col("job_name") == "assemble", "extract")
-    wants = jobs.withColumn("needs", needs).filter("needs is not null")
-    of_animal = jobs.filter("job_name = 'discover'").select("dataset", "animal", F.col("job_name").alias("needs"))
-    of_session = jobs.filter("job_name = 'extract'").select("dataset", "animal", "session", F.col("job_name").alias("needs"))
-    first = wants.filter("needs = 'discover'").join(of_animal, ["dataset", "animal", "needs"], "left_semi")
-    return first.unionByName(wants.filter("needs = 'extract'").join(of_session, ["dataset", "animal", "session", "needs"], "left_semi"))
+def job_edges(jobs: DataFrame, parts: int | None = None) -> DataFrame:
+    """``dataset, animal, session, job_name, needs``: extraction needs its animal's discovery, assembly its session's extraction.
+    ``parts`` is the number of tasks that jobs are dealt to."""
+
+    def wants(name: str, need: str, keys: list[str]) -> DataFrame:
+        there = dealt(jobs.filter(F.col("job_name") == need).select(*keys), parts, *keys)
+        return dealt(jobs.filter(F.col("job_name") == name), parts, *keys).join(there, keys, "left_semi").withColumn("needs", F.lit(need))
+
+    return wants("extract", "discover", ["dataset", "animal"]).unionByName(wants("assemble", "extract", ["dataset", "animal", "session"]))
 
 
 def not_succeeded(jobs: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:

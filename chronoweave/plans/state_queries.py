@@ -481,14 +481,15 @@ def _members(s, d):
 
 @query("d6_universe", with_(MEMBERS, UNIVERSE) + "SELECT * FROM un")
 def _(s, d):
-    return datasets.universe(_members(s, d))
+    return datasets.universe(_members(s, d), parts_for(s, d, "lineitem"))
 
 
 @query("d7_job_edges", with_(MEMBERS, UNIVERSE)
     + "SELECT dataset, animal, session, job_name, CASE job_name WHEN 'extract' THEN 'discover' ELSE 'extract' END AS needs "
     "FROM un WHERE job_name <> 'discover'")
 def _(s, d):
-    return datasets.job_edges(datasets.universe(_members(s, d))).select("dataset", "animal", "session", "job_name", "needs")
+    parts = parts_for(s, d, "lineitem")
+    return datasets.job_edges(datasets.universe(settled(_members(s, d)), parts), parts).select("dataset", "animal", "session", "job_name", "needs")
 
 
 @query("d8_outstanding_jobs", with_(JOBS)

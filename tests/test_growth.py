@@ -56,3 +56,10 @@ def test_trials_are_dealt_to_as_many_tasks_as_they_have_rows(spark, monkeypatch)
     rows = tables.read(spark, SF, "lineitem").count()
     monkeypatch.setattr(tables, "ROWS_OF_TASK", rows // 9)
     assert stream_queries._placed(spark, SF).rdd.getNumPartitions() == -(-rows // (rows // 9)) > 4
+
+
+def test_job_edges_are_dealt_to_as_many_tasks_as_they_have_rows(spark, monkeypatch):
+    rows = tables.read(spark, SF, "lineitem").count()
+    monkeypatch.setattr(tables, "ROWS_OF_TASK", rows // 9)
+    parts = -(-rows // (rows // 9))
+    assert state_queries.Q["d7_job_edges"](spark, SF).rdd.getNumPartitions() == 2 * parts > 8
