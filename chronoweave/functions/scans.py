@@ -119,7 +119,8 @@ def medians(df: DataFrame, value: Column, name: str, keys: list[str] | None = No
 
     Values are counted in equal ranges between a session's least and largest one, with partial sums. The two middle ranks either stand
     at the ends of two ranges, or in one, which is cut again; each round drops its ends at least. Ranges of at most ``most`` values
-    are sorted. A round is a job; a session's values are never in one buffer.
+    are sorted. A round is a job; a session's values are never in one buffer, and those of a session with more than ``most`` are never shuffled: its
+    range is broadcast to them. Such sessions are at most the number of values over ``most``.
     """
     keys = keys or ["session"]
     values = settled(df.select(*keys, value.cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v")))
@@ -128,17 +129,21 @@ def medians(df: DataFrame, value: Column, name: str, keys: list[str] | None = No
         F.floor(n / 2).alias("_b"), n.alias("_n"))
     result, state = None, settled(middle)
     while True:
-        inside = values.join(state.filter("_n <= %d or _lo = _hi" % most).filter("_lo < _hi"), keys).filter("_v between _lo and _hi")
+        large = state.filter("_n > %d and _lo < _hi" % most)
+        short = state.filter("_n <= %d and _lo < _hi" % most)
+        if result is None:
+            inside = values.join(F.broadcast(large.select(*keys)), keys, "left_anti").join(short, keys)
+        else:
+            inside = values.join(F.broadcast(short), keys).filter("_v between _lo and _hi")
         ordered = inside.groupBy(*keys, "_a", "_b").agg(F.sort_array(F.collect_list("_v")).alias("_all"))
         found = ordered.select(*keys, (F.element_at("_all", (F.col("_a") + 1).cast("int")) / 2
             + F.element_at("_all", (F.col("_b") + 1).cast("int")) / 2).alias(name))
         found = found.unionByName(state.filter("_lo = _hi").select(*keys, F.col("_lo").alias(name)))
         result = found if result is None else result.unionByName(found)
-        large = state.filter("_n > %d and _lo < _hi" % most)
         if large.isEmpty():
             return settled(result)
         share = (F.col("_v") / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2)
-        dealt = values.join(large, keys).filter("_v between _lo and _hi").withColumn("_range", F.least(F.floor(share * ranges), F.lit(ranges - 1)))
+        dealt = values.join(F.broadcast(large), keys).filter("_v between _lo and _hi").withColumn("_range", F.least(F.floor(share * ranges), F.lit(ranges - 1)))
         counted = dealt.groupBy(*keys, "_a", "_b", "_range").agg(n.alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
         before = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_range")) - F.col("_n")
         placed = counted.withColumn("_before", before)

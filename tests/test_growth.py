@@ -63,3 +63,19 @@ def test_job_edges_are_dealt_to_as_many_tasks_as_they_have_rows(spark, monkeypat
     monkeypatch.setattr(tables, "ROWS_OF_TASK", rows // 9)
     parts = -(-rows // (rows // 9))
     assert state_queries.Q["d7_job_edges"](spark, SF).rdd.getNumPartitions() == 2 * parts > 8
+
+
+def test_large_groups_are_not_shuffled_for_their_median(spark, monkeypatch):
+    kept = []
+    plain = scans.settled
+    monkeypatch.setattr(scans, "settled", lambda df: kept.append(df) or plain(df))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(20_003).selectExpr("cast(if(id < 3, id, 9) as long) as session", "cast(id * 7919 % 20011 as double) as v")
+        found = {r.session: r.m for r in scans.medians(rows, F.col("v"), "m", ranges=8, most=100).collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found == {r.session: r.m for r in rows.groupBy("session").agg(F.expr("median(v)").alias("m")).collect()}
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in kept]
+    # Only the sessions with few values are joined by a shuffle, in the last table alone.
+    assert [plan.count("SortMergeJoin") for plan in plans] == [0] * (len(plans) - 1) + [1] and len(plans) > 4
