@@ -73,11 +73,11 @@ def universe(members: DataFrame, parts: int | None = None) -> DataFrame:
 
 def job_edges(jobs: DataFrame, parts: int | None = None) -> DataFrame:
     """``dataset, animal, session, job_name, needs``: extraction needs its animal's discovery, assembly its session's extraction.
-    ``parts`` is the number of tasks that jobs are dealt to."""
+    ``parts`` is the number of tasks that jobs are dealt to: a join follows the side that is dealt already."""
 
     def wants(name: str, need: str, keys: list[str]) -> DataFrame:
         there = dealt(jobs.filter(F.col("job_name") == need).select(*keys), parts, *keys)
-        return dealt(jobs.filter(F.col("job_name") == name), parts, *keys).join(there, keys, "left_semi").withColumn("needs", F.lit(need))
+        return jobs.filter(F.col("job_name") == name).join(there, keys, "left_semi").withColumn("needs", F.lit(need))
 
     return wants("extract", "discover", ["dataset", "animal"]).unionByName(wants("assemble", "extract", ["dataset", "animal", "session"]))
 
