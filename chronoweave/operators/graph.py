@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronoweave.functions.shared import settled
+from chronoweave.functions.shared import dealt, settled
 from chronoweave.operators.state import SUCCEEDED
 
 MOST_LISTED = 50
@@ -209,21 +209,25 @@ def downstream_weight(jobs: DataFrame, edges: DataFrame, unit: str | None = None
     return jobs.join(weights, "job_id", "left").select("job_id", F.coalesce("weight", F.lit(0)).cast("bigint").alias("weight"))
 
 
-def submission_order(jobs: DataFrame, edges: DataFrame, most: int | None = None) -> DataFrame:
+def submission_order(jobs: DataFrame, edges: DataFrame, most: int | None = None, parts: int | None = None) -> DataFrame:
     """``job_id, depth``: longest path of prerequisites inside the batch; rounds are at most the number of jobs.
 
-    Round k holds the jobs at the end of a path of length k, so rounds shrink; the last one that holds a job is its depth.
+    Round k holds the jobs at the end of a path of length k, so rounds shrink; the last one that holds a job is its depth. ``parts`` is the
+    number of tasks that jobs are dealt to.
     """
-    inside = settled(edges.join(jobs.select("job_id"), "job_id", "left_semi").join(jobs.select(F.col("job_id").alias("needs")), "needs", "left_semi"))
+    own = dealt(jobs.select("job_id"), parts, "job_id")
+    needed = dealt(jobs.select(F.col("job_id").alias("needs")), parts, "needs")
+    inside = settled(edges.join(own, "job_id", "left_semi").join(needed, "needs", "left_semi"))
     limit = jobs.count() if most is None else most
-    reached = jobs.select("job_id").distinct()
-    rounds = [reached.withColumn("depth", F.lit(0).cast("bigint"))]
+    rounds = [jobs.select("job_id", F.lit(0).cast("bigint").alias("depth"))]
+    behind = inside  # what is needed stands in the batch, so the first round has nothing to look up
     for number in range(1, limit + 1):
-        reached = settled(inside.join(reached.select(F.col("job_id").alias("needs")), "needs", "left_semi").select("job_id").distinct())
+        reached = settled(behind.select("job_id").distinct())
         if reached.isEmpty():
             break
         rounds = joined(rounds, reached.withColumn("depth", F.lit(number).cast("bigint")))
-    return together(rounds).groupBy("job_id").agg(F.max("depth").alias("depth"))
+        behind = inside.join(reached.select(F.col("job_id").alias("needs")), "needs", "left_semi")
+    return dealt(together(rounds), parts, "job_id").groupBy("job_id").agg(F.max("depth").alias("depth"))
 
 
 def outcome(batch: DataFrame, edges: DataFrame) -> DataFrame:

@@ -83,3 +83,13 @@ def test_large_groups_are_not_shuffled_for_their_median(spark, monkeypatch):
     plans = [df._jdf.queryExecution().executedPlan().toString() for df in kept]
     # Only the sessions with few values are joined by a shuffle, in the last table alone.
     assert [plan.count("SortMergeJoin") for plan in plans] == [0] * (len(plans) - 1) + [1] and len(plans) > 4
+
+
+def test_depths_read_what_they_need_and_are_dealt_by_rows(spark, monkeypatch):
+    rows = tables.read(spark, SF, "lineitem").count()
+    monkeypatch.setattr(tables, "ROWS_OF_TASK", rows // 9)
+    kept = []
+    plain = state_queries.settled
+    monkeypatch.setattr(state_queries, "settled", lambda df: kept.append(df.columns) or plain(df))
+    assert state_queries.Q["g5_depth_order"](spark, SF).rdd.getNumPartitions() == -(-rows // (rows // 9)) > 4
+    assert kept == [["job_id", "line"]]
